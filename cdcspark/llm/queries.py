@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, token_store, url_filter, zip_warc
+from . import decontaminate, mixing, ngram_join, token_store, toxicity, url_filter, zip_warc
 from .common import table
 
 
@@ -24,16 +24,28 @@ def op3_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_bm25_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_store(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zip_warc.zip_warc(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pareto_mix, op3_link_trust, op8_huffman_tokens, op10_zip_warc)}
+    return {f.__name__: f for f in (op2_pareto_mix, op3_link_trust, op5_bm25_decontaminate, op7_weak_toxicity, op8_huffman_tokens, op9_ngram_jaccard, op10_zip_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
