@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step works on; a longer single text is a step of its own.
@@ -204,3 +205,25 @@ def distinct_by_text(hashes: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray,
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
     return h[keep], t[keep]
+
+
+# ---------------------------------------------------------------- maps of keys
+
+
+#: Bits of a map of 64-bit keys: a broadcast of 8 MB whatever the input. Where many bits are set,
+#: more rows pass than needed; an exact join always follows.
+MAP_BITS = 26
+
+
+def key_map(keys: DataFrame, name: str) -> np.ndarray:
+    """Bit map of the low bits of a long column."""
+    cells = keys.select(F.expr(f"cast(pmod({name}, {1 << MAP_BITS}) as int)").alias("bit")).distinct()
+    rows = cells.groupBy(F.expr("bit div 32").cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, bit % 32))").alias("bits")).toPandas()
+    out = np.zeros(1 << (MAP_BITS - 5), np.uint32)
+    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    cell = keys & ((1 << MAP_BITS) - 1)
+    return ((bits[cell >> 5] >> (cell & 31).astype(np.uint32)) & 1).astype(bool)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, ngram_join, token_store, toxicity, url_filter, zip_warc
+from . import decontaminate, divergence, mixing, ngram_join, pii, suffix_dedup, token_store, toxicity, url_filter, zip_warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_js_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -24,10 +28,18 @@ def op3_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_lstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op5_bm25_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op7_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,7 +57,7 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pareto_mix, op3_link_trust, op5_bm25_decontaminate, op7_weak_toxicity, op8_huffman_tokens, op9_ngram_jaccard, op10_zip_warc)}
+    return {f.__name__: f for f in (op1_js_divergence, op2_pareto_mix, op3_link_trust, op4_lstm_crf_pii, op5_bm25_decontaminate, op6_suffix_dedup, op7_weak_toxicity, op8_huffman_tokens, op9_ngram_jaccard, op10_zip_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
