@@ -1,0 +1,99 @@
+"""A keyed state table on plain Parquet: versions beside each other, one pointer.
+
+A version is a folder of bucket folders. A batch rewrites only the buckets that its keys touch; the
+version's manifest names the folder of every bucket, so untouched ones are shared. The pointer
+file is replaced last. The batch's number is in the manifest, and a batch that is there already is
+skipped: ``foreachBatch`` may call twice. State and positions of a batch become visible together.
+Files are read and written through Hadoop's file system, so any store that Spark knows will do.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import apply
+
+
+class StateTable:
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], values: list[str], schema: str, buckets: int = 16):
+        """``schema``: of keys and values. ``buckets`` is fixed once the table exists."""
+        self.spark, self.path, self.keys, self.values = spark, path.rstrip("/"), keys, values
+        self.schema = f"{schema}, _file long, _pos long, _seq long, _deleted boolean"
+        self.buckets = buckets
+        jvm = spark._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self.fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _read(self, name: str) -> str | None:
+        p = self._path(f"{self.path}/{name}")
+        if not self.fs.exists(p):
+            return None
+        s = self.fs.open(p)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(s, "UTF-8")
+        finally:
+            s.close()
+
+    def _write(self, name: str, text: str) -> None:
+        own = self._path(f"{self.path}/.{name}-{uuid.uuid4().hex}")
+        s = self.fs.create(own)
+        s.write(bytearray(text.encode()))
+        s.close()
+        to = self._path(f"{self.path}/{name}")
+        if self.fs.exists(to):
+            self.fs.delete(to, False)
+        self.fs.rename(own, to)
+
+    def manifest(self) -> dict:
+        version = self._read("current") or self._latest()
+        return json.loads(self._read(f"manifest-{version}")) if version else {"version": 0, "batch": -1, "buckets": {}, "positions": {}}
+
+    def _latest(self) -> str | None:
+        """The newest manifest, should the pointer be missing between its delete and rename."""
+        if not self.fs.exists(self._path(self.path)):
+            return None
+        names = [s.getPath().getName() for s in self.fs.listStatus(self._path(self.path))]
+        found = [int(n.split("-")[1]) for n in names if n.startswith("manifest-")]
+        return str(max(found)) if found else None
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """State rows with tombstones, of all or some buckets."""
+        m = self.manifest()["buckets"]
+        paths = sorted({p for b, p in m.items() if buckets is None or int(b) in buckets})
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{p}" for p in paths])
+
+    def alive(self) -> DataFrame:
+        return apply.alive(self.read(), self.keys, self.values)
+
+    def positions(self) -> dict:
+        return self.manifest()["positions"]
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def apply(self, ops: DataFrame, batch: int, positions: dict | None = None) -> bool:
+        """Merge operations per key (see ``key_ops``); False if the batch was applied before."""
+        m = self.manifest()
+        if batch <= m["batch"]:
+            return False
+        latest = apply.compact(ops, self.keys, self.values).persist()
+        try:
+            touched = sorted(r[0] for r in latest.select(self._bucket().alias("b")).distinct().collect())  # bucket numbers
+            version = m["version"] + 1
+            if touched:
+                merged = apply.merge(self.read(touched), latest, self.keys, self.values).withColumn("_bucket", self._bucket())
+                folder = f"v{version}-{uuid.uuid4().hex[:8]}"
+                merged.repartition(len(touched), "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
+                m["buckets"] |= {str(b): f"{folder}/_bucket={b}" for b in touched}
+            m |= {"version": version, "batch": batch, "positions": m["positions"] | (positions or {})}
+            self._write(f"manifest-{version}", json.dumps(m))
+            self._write("current", str(version))
+            return True
+        finally:
+            latest.unpersist()
