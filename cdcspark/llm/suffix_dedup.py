@@ -39,9 +39,11 @@ WINDOW, GRAM = 200, 32
 SPAN = WINDOW - GRAM + 1  # grams of a window
 SHALLOW = 64
 LIMIT = 1024
-PIECE = 8 << 20
+PIECE = 1 << 20
+#: Bytes of text whose anchors are found at once: there are about twenty longs a byte meanwhile.
+STEP = 1 << 18
 #: Windows that one sort works on.
-SORT_WINDOWS = 1 << 19
+SORT_WINDOWS = 1 << 17
 
 # ---------------------------------------------------------------- anchors
 
@@ -208,7 +210,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(0).to_numpy()
-            for t in steps(b.column(1)):
+            for t in steps(b.column(1), STEP):
                 for text, h, c, s0, s1, a in chunks(t):
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(keys[t.first + text]), pa.array(_pack(s0, s1, a))], ["h", "c", "key", "at"])
 
@@ -291,8 +293,8 @@ def _sorted_windows(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, windows, last = [], 0, None
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                part = b.slice(i, 512)
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
                 ids = np.stack([part.column("h").to_numpy(), part.column("salt").to_numpy()], 1)
                 cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1
                 if windows > SORT_WINDOWS and (len(cuts) or tuple(ids[0]) != last):
