@@ -42,7 +42,7 @@ def targets(sizes: list[int], weights: list[float], max_repeats: float) -> list[
     out = [0.0] * len(sizes)
     for i in sorted(range(len(sizes)), key=lambda i: (max_repeats * sizes[i] / weights[i], i)):
         level = total / rest
-        out[i] = min(max_repeats * sizes[i], level * weights[i])
+        out[i] = float(min(max_repeats * sizes[i], level * weights[i]))
         if max_repeats * sizes[i] < level * weights[i]:
             total -= max_repeats * sizes[i]
             rest -= weights[i]
@@ -58,9 +58,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_rep
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("_source"), n_words(text).alias("size"), *keep)
     # root: integer, so that its sums are exact in any order
     base = base.withColumn("_root", F.floor(F.sqrt("size")).cast("long") + 1)
-    if not keep:
-        base = written(base, "sizes")
-    per = base.groupBy("_source").agg(F.sum("size").alias("s"), F.sum(F.col("size") * F.col("_root")).alias("r")).limit(MAX_SOURCES + 1).collect()
+    small = written(base.drop(*keep), "sizes")  # what the sums and the cut need; texts are read again at the end
+    per = small.groupBy("_source").agg(F.sum("size").alias("s"), F.sum(F.col("size") * F.col("_root")).alias("r")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     per.sort(key=lambda x: (x[0] is None, x[0] or ""))
@@ -71,14 +70,18 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_rep
         need = t - whole * x.s if x.s else 0.0
         plan.append((x[0], x.s, t, whole, need, need / x.r if x.r else 0.0))
     info = F.broadcast(spark.createDataFrame(plan, "_name string, source_size long, target double, _whole int, _need double, _c double"))  # MAX_SOURCES rows at most
-    d = base.join(info, F.col("_source").eqNullSafe(F.col("_name")), "left")
-    u = (F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
-    p = F.col("_c") * F.col("_root")
-    # odds of u over odds of p, turned to 0..1; certain ones (p >= 1) come first, in a bin of their own
-    rank = F.when(p >= 1, F.lit(-1.0)).otherwise((u * (1 - p)) / (u * (1 - p) + p * (1 - u)))
-    d = d.withColumn("_q", F.when((F.col("_need") > 0) & (F.col("size") > 0), rank))
-    d = d.withColumn("_b1", F.when(F.col("_q") < 0, -1).otherwise(F.least(F.floor(F.col("_q") * BINS), F.lit(BINS - 1))).cast("int"))
-    d = d.withColumn("_b2", F.least(F.floor((F.col("_q") * BINS - F.col("_b1")) * BINS), F.lit(BINS - 1)).cast("int"))
+    def ranked(d: DataFrame) -> DataFrame:
+        d = d.join(info, F.col("_source").eqNullSafe(F.col("_name")), "left")
+        u = (F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
+        p = F.col("_c") * F.col("_root")
+        # odds of u over odds of p, turned to 0..1; certain ones (p >= 1) come first, in a bin of their own
+        rank = F.when(p >= 1, F.lit(-1.0)).otherwise((u * (1 - p)) / (u * (1 - p) + p * (1 - u)))
+        d = d.withColumn("_q", F.when((F.col("_need") > 0) & (F.col("size") > 0), rank))
+        d = d.withColumn("_b1", F.when(F.col("_q") < 0, -1).otherwise(F.least(F.floor(F.col("_q") * BINS), F.lit(BINS - 1))).cast("int"))
+        d = d.withColumn("_b2", F.least(F.floor((F.col("_q") * BINS - F.col("_b1")) * BINS), F.lit(BINS - 1)).cast("int"))
+        return d
+
+    d = ranked(small)
     # first level, then second level inside the bin of the cut; at most BINS rows per source each
     w = lambda b: Window.partitionBy("_name").orderBy(b)
     one = d.filter("_q is not null").groupBy("_name", "_need", "_b1").agg(F.sum("size").alias("s")).withColumn("upto", F.sum("s").over(w("_b1")))
@@ -96,7 +99,9 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_rep
     edge = edge.withColumn("_upto", F.col("_w2") + F.sum("size").over(order))
     last = edge.filter(F.col("_upto") - F.col("size") / 2 < F.col("_need")).groupBy("_name").agg(F.max(F.struct("_q", "doc_id", "size")).alias("_last"))
     last = F.broadcast(written(last.select(F.col("_name").alias("_n3"), "_last"), "cut"))
-    d = d.join(last, F.col("_name").eqNullSafe(F.col("_n3")), "left")
+    d = ranked(base) if keep else ranked(small)
+    for cut, name in ((cut1, "_n1"), (cut2, "_n2"), (last, "_n3")):
+        d = d.join(cut, F.col("_name").eqNullSafe(F.col(name)), "left")
     in_edge = F.coalesce(F.struct("_q", "doc_id", "size") <= F.col("_last"), F.lit(False))
     extra = F.when(F.col("_q").isNull(), 0).when(F.col("_c1").isNull() | (F.col("_b1") < F.col("_c1")), 1).when(F.col("_b1") > F.col("_c1"), 0)
     extra = extra.when(F.col("_c2").isNull() | (F.col("_b2") < F.col("_c2")), 1).when(F.col("_b2") > F.col("_c2"), 0).otherwise(in_edge.cast("int"))
