@@ -371,5 +371,5 @@ def find_pii(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans): counts and text of all spans."""
     got = find(docs, fit(docs))
     text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
     return got.select("doc_id", *counts, F.sha2(text("base").cast("binary"), 256).alias("base_sha256"), text("spans").alias("spans"))
