@@ -129,8 +129,9 @@ def apply_partial(ops: DataFrame, keys: list[str], values: list[str]) -> DataFra
 
 
 def drop_duplicates(feed: DataFrame) -> DataFrame:
-    """One row per place of a table: a replayed stretch of the log counts once."""
-    return feed.dropDuplicates(["src_db", "tbl", "bfile", "pos", "row_seq"])
+    """One row per place of a table: a replayed stretch of the log counts once. Snapshot rows have no place and stay."""
+    live = feed.filter("op <> 'S'").dropDuplicates(["src_db", "tbl", "bfile", "pos", "row_seq"])
+    return feed.filter("op = 'S'").unionByName(live)
 
 
 def op_coded(feed: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

@@ -52,4 +52,4 @@ def observed(changes: DataFrame, name: str = "cdc") -> DataFrame:
 
 def change_rates(events: DataFrame, late: str = "10 minutes", width: str = "1 hour", by: str = "op") -> DataFrame:
     """Events per window and kind; rows later than the watermark are left out in streams."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), by).agg(F.count(F.lit(1)).alias("events"))
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", width), by).agg(F.count(F.lit(1)).alias("events"))
