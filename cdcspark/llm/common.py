@@ -7,6 +7,7 @@ other than the named ones are ignored, and an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -43,9 +44,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing reads any more.
+
+    Spark removes them when the driver collects the garbage of the plans that made them, which a
+    driver with little to do may not come to for long.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -216,11 +228,24 @@ MAP_BITS = 26
 
 
 def key_map(keys: DataFrame, name: str) -> np.ndarray:
-    """Bit map of the low bits of a long column."""
-    cells = keys.select(F.expr(f"cast(pmod({name}, {1 << MAP_BITS}) as int)").alias("bit")).distinct()
-    rows = cells.groupBy(F.expr("bit div 32").cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, bit % 32))").alias("bits")).toPandas()
+    """Bit map of the low bits of a long column, put together in tasks, a block of it in each."""
+    block = MAP_BITS - 6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: dict[int, np.ndarray] = {}
+        for b in batches:
+            bit = b.column(0).to_numpy()
+            for k in np.unique(bit >> block).tolist():
+                mark = have.setdefault(k, np.zeros(1 << block, bool))
+                mark[bit[bit >> block == k] & ((1 << block) - 1)] = True
+        for k, mark in have.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(mark, bitorder="little").tobytes()])], ["block", "bits"])
+
+    cells = keys.select(F.expr(f"cast(pmod({name}, {1 << MAP_BITS}) as int)").alias("bit")).repartition(64, F.expr(f"shiftright(bit, {block})"))
     out = np.zeros(1 << (MAP_BITS - 5), np.uint32)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    for row in cells.mapInArrow(run, "block int, bits binary").toArrow().to_pylist():  # 64 blocks
+        part = np.frombuffer(row["bits"], "<u4")
+        out[row["block"] * len(part) : (row["block"] + 1) * len(part)] |= part
     return out
 
 

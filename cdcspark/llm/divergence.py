@@ -168,7 +168,7 @@ def repeated_lines(t: Texts) -> np.ndarray:
 def judge(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_class: float = MAX_CLASS, max_words: float = MAX_WORDS) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept)."""
     d = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), F.col(doc_id).alias("doc_id"))
-    refs = docs.sparkSession.sparkContext.broadcast(References(reference_counts(d.select("text", "lang")).toPandas()))  # a few tables per language
+    refs = docs.sparkSession.sparkContext.broadcast(References(reference_counts(d.select("text", "lang")).toArrow().to_pandas()))  # a few tables per language
     kind = d.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -270,9 +270,10 @@ def id_counts(encoded: DataFrame, width: int = 2) -> np.ndarray:
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
 
-    rows = encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 0, np.int64)
-    out[rows["id"].to_numpy()] = rows["n"].to_numpy()
+    rows = encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    ids, n = rows["id"].to_numpy(), rows["n"].to_numpy()
+    out = np.zeros(int(ids.max()) + 1 if len(ids) else 0, np.int64)
+    out[ids] = n
     return out
 
 

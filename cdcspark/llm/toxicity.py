@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     least = max(4, n_pos // 100)
     units_ = texts.mapInArrow(count, "unit long, pos long, neg long").groupBy("unit").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     lift = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    best = units_.filter((F.col("pos") >= least) & (lift > 4) & (lift * F.sqrt("pos") > 10.5)).orderBy((lift * F.sqrt("pos")).desc(), "unit").limit(MAX_VOTERS).toPandas()
+    best = units_.filter((F.col("pos") >= least) & (lift > 4) & (lift * F.sqrt("pos") > 10.5)).orderBy((lift * F.sqrt("pos")).desc(), "unit").limit(MAX_VOTERS).toArrow().to_pandas()
     best = best.sort_values("unit", key=lambda s: s.astype("int64").to_numpy().view(np.uint64))
     voters = best["unit"].to_numpy(np.int64).view(np.uint64)
 
@@ -193,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 ends = np.searchsorted(text[order], np.arange(len(t) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(1).slice(t.first, len(t)), pa.ListArray.from_arrays(pa.array(ends), pa.array(voter[order].astype(np.int32)))], ["y", "votes"])
 
-    rows = texts.mapInArrow(vote, "y int, votes array<int>").toPandas()  # MAX_FIT rows of voter numbers
+    rows = texts.mapInArrow(vote, "y int, votes array<int>").toArrow().to_pandas()  # MAX_FIT rows of voter numbers
     return train(rows, voters)
 
 
