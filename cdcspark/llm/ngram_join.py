@@ -30,14 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, distinct_by_text, lower_ascii, mix, powers, shingles, steps, words, written
+from .common import RangeHash, Texts, distinct_by_text, in_map, key_map, lower_ascii, mix, shingles, steps, words, written
 
 #: Cells of the table of shingle counts (its size does not depend on the input).
 CELL_BITS = 18
 FRAGMENTS = 8
-LEADERS = 24
-#: Bits of the map of classes whose fragments are made; when many are set, more are made than needed.
-MAP_BITS = 26
+LEADERS = 10
 RANK_BITS = 57
 
 
@@ -86,7 +84,7 @@ def threshold_sum(n: np.ndarray | Column, percent: int) -> Column:
 
 class Join:
     def __init__(self, docs: DataFrame, doc_id: str, text: str, width: int, percent: int):
-        self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+        self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("k", F.xxhash64("doc_id"))
         self.width, self.percent, self.kind = width, percent, self.docs.schema["doc_id"].dataType.simpleString()
         self.sc = docs.sparkSession.sparkContext
 
@@ -103,13 +101,13 @@ class Join:
             cell = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total[cell])], ["cell", "n"])
 
-        rows = self.docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+        rows = self.docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
         counts = np.zeros(1 << CELL_BITS, np.int64)
         counts[rows["cell"].to_numpy()] = rows["n"].to_numpy()
         return Order(counts)
 
     def base(self) -> DataFrame:
-        """(doc_id, n, cls) of every row."""
+        """(doc_id, k, n, cls) of every row; ``k`` is the id's hash."""
         width = self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,12 +115,15 @@ class Join:
                 for t in steps(b.column(1)):
                     h, of = sets_of(t, width)
                     bounds = np.searchsorted(of, np.arange(len(t) + 1))
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, len(t)), pa.array(np.diff(bounds)), pa.array(names_of(h, bounds))], ["doc_id", "n", "cls"])
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, len(t)), b.column(2).slice(t.first, len(t)), pa.array(np.diff(bounds)), pa.array(names_of(h, bounds))], ["doc_id", "k", "n", "cls"])
 
-        return written(self.docs.mapInArrow(run, f"doc_id {self.kind}, n long, cls long"), "sets")
+        return written(self.docs.mapInArrow(run, f"doc_id {self.kind}, k long, n long, cls long"), "sets")
 
-    def prefixes(self, order) -> DataFrame:
-        """(key, cls, n, pos): the first shingles of each set, one set's only once in a task."""
+    def prefixes(self, order, bits=None) -> DataFrame:
+        """(key, cls, n, pos): the first shingles of each set, one set's only once in a task.
+
+        ``bits``: a bit map of keys; rows of other keys are left out.
+        """
         width, percent = self.width, self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,35 +146,33 @@ class Join:
                     pos = np.arange(len(keys)) - bounds[of]
                     take = n - -(-percent * n // 100) + 1
                     keep = (pos < take[of]) & new[of]
+                    if bits is not None:
+                        keep &= in_map(bits.value, keys)
                     of = of[keep]
                     yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(cls[of]), pa.array(n[of].astype(np.int32)), pa.array(pos[keep].astype(np.int32))], ["key", "cls", "n", "pos"])
 
         return self.docs.select("text").mapInArrow(run, "key long, cls long, n int, pos int")
 
-    def fragments(self, order, wanted: DataFrame) -> DataFrame:
-        """(cls, frag, keys): the cut sets of the classes of ``wanted`` (and some others)."""
-        width, kind = self.width, F.expr(f"cast(pmod(cls, {1 << MAP_BITS}) as int)")
-        cells = wanted.select(kind.alias("bit")).distinct()
-        words_ = cells.groupBy(F.expr("bit div 32").cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, bit % 32))").alias("bits")).toPandas()
-        table = np.zeros(1 << (MAP_BITS - 5), np.uint32)  # MAP_BITS bits, whatever the input
-        table[words_["word"].to_numpy(np.int64)] = words_["bits"].to_numpy(np.int64).astype(np.uint32)
-        shared = self.sc.broadcast(table)
+    def fragments(self, order, base: DataFrame, pairs: DataFrame) -> DataFrame:
+        """(cls, frag, keys): the cut set of a text of each class in ``pairs`` (and of a few others).
+
+        A class may come twice, from repeated rows or by chance; ``links`` takes each fragment once.
+        """
+        width = self.width
+        classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        wanted = base.groupBy("cls").agg(F.min("k").alias("k")).join(classes, "cls", "left_semi")
+        shared = self.sc.broadcast(key_map(wanted, "k"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            o, bits, seen = order.value, shared.value, set()
+            o, bits = order.value, shared.value
             for b in batches:
+                k = b.column(1).to_numpy()
                 for t in steps(b.column(0)):
+                    hit = in_map(bits, k[t.first : t.first + len(t)])
+                    if not hit.any():
+                        continue
                     h, of = sets_of(t, width)
-                    bounds = np.searchsorted(of, np.arange(len(t) + 1))
-                    cls = names_of(h, bounds)
-                    cell = cls & ((1 << MAP_BITS) - 1)
-                    hit = ((bits[cell >> 5] >> (cell & 31).astype(np.uint32)) & 1).astype(bool) & (np.diff(bounds) > 0)
-                    for i in np.flatnonzero(hit).tolist():
-                        if int(cls[i]) in seen:
-                            hit[i] = False
-                        seen.add(int(cls[i]))
-                    if len(seen) > 1_000_000:
-                        seen.clear()
+                    cls = names_of(h, np.searchsorted(of, np.arange(len(t) + 1)))
                     keys = o.keys(h[hit[of]])
                     of = of[hit[of]]
                     rank = np.lexsort((keys, of))
@@ -184,8 +183,7 @@ class Join:
                     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))
                     yield pa.RecordBatch.from_arrays([pa.array(cls[of[start]]), pa.array(frag[start].astype(np.int32)), lists], ["cls", "frag", "keys"])
 
-        rows = self.docs.select("text").mapInArrow(run, "cls long, frag int, keys array<long>")
-        return written(rows.dropDuplicates(["cls", "frag"]), "fragments")
+        return written(self.docs.select("text", "k").mapInArrow(run, "cls long, frag int, keys array<long>"), "fragments")
 
     # -------------------------------------------------------- joins
 
@@ -202,8 +200,9 @@ class Join:
         """The pairs (a, b) over the threshold: overlaps counted by fragment and summed."""
         left = fragments.select(F.col("cls").alias("a"), "frag", F.col("keys").alias("ka"))
         right = fragments.select(F.col("cls").alias("b"), "frag", F.col("keys").alias("kb"))
-        part = pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "both", F.size(F.array_intersect("ka", "kb")).alias("o"))
-        total = part.groupBy("a", "b", "both").agg(F.sum("o").alias("o"))
+        part = pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "both", "frag", F.size(F.array_intersect("ka", "kb")).alias("o"))
+        each = [F.max(F.when(F.col("frag") == f, F.col("o"))).alias(f"o{f}") for f in range(FRAGMENTS)]
+        total = part.groupBy("a", "b", "both").agg(*each).withColumn("o", sum(F.coalesce(F.col(f"o{f}"), F.lit(0)) for f in range(FRAGMENTS)))
         return total.filter(100 * F.col("o") >= self.percent * (F.col("both") - F.col("o"))).select("a", "b")
 
 
@@ -237,18 +236,17 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, doc_i
     j = Join(docs, doc_id, text, width, percent)
     order = j.sc.broadcast(j.order())  # a fixed number of cells
     base = j.base()
-    rows = j.prefixes(order)
-    top = written(rows.groupBy("key").agg(F.max("cls").alias("top"), F.min("cls").alias("low")).filter("top <> low").select("key"), "shared")
-    shared = written(rows.join(top, "key").distinct(), "prefixes")
+    # keys of two classes or more, told apart by half of the name; then only rows that may have them
+    half = F.expr("cast(shiftright(cls, 32) as int)")
+    top = written(j.prefixes(order).groupBy("key").agg(F.max(half).alias("top"), F.min(half).alias("low")).filter("top <> low").select("key"), "shared")
+    shared = written(j.prefixes(order, j.sc.broadcast(key_map(top, "key"))).join(top, "key").distinct(), "prefixes")
     size = written(shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "groups")
     chosen = F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) * F.col("m") < LEADERS * (1 << 20)
     shared = written(shared.join(size, "key").withColumn("lead", chosen), "groups")
     both_lead = ~F.col("y.lead") | (F.col("x.cls") < F.col("y.cls"))
     pairs = written(j.candidates(shared.filter("lead"), shared, both_lead), "pairs")
     large = shared.filter(F.col("m") > LEADERS)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(large.select("cls"))
-    fragments = j.fragments(order, wanted)
-    links = written(j.links(pairs, fragments), "links")
+    links = written(j.links(pairs, j.fragments(order, base, pairs)), "links")
     labels = written(star_components(links), "labels")
     # what is left in large groups
     marked = large.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
@@ -260,10 +258,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, doc_i
         other = marked.join(main, "key").withColumn("minor", F.col("label") != F.col("main")).drop("main")
         apart = (F.col("x.label") != F.col("y.label")) & (~F.col("y.minor") | (F.col("x.cls") < F.col("y.cls"))) & ~F.col("x.lead") & ~F.col("y.lead")
         rest = written(j.candidates(minor, written(other, "others"), apart).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        more = written(j.links(rest, fragments), "links")
+        more = written(j.links(rest, j.fragments(order, base, rest)), "links")
         if not more.isEmpty():
             labels = written(star_components(more.unionByName(labels.select(F.col("cls").alias("a"), F.col("label").alias("b")))), "labels")
-    named = base.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    named = base.drop("k").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     named = written(named, "named")
     least = written(named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
     out = named.join(least, "label", "left")
