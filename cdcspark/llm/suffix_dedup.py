@@ -11,7 +11,8 @@ Every byte covered by a ``WINDOW``-byte string that starts at two places or more
    window length: multikey quicksort to ``SHALLOW`` bytes, then a blind trie for each group that is
    still together. Suffixes that stay together to the end are equal windows.
 4. *Hot anchors.* An anchor of more than ``LIMIT`` different chunks is dealt over several tasks. Their
-   windows' classes are then counted again across tasks by hash, so nothing is gathered in one.
+   windows' classes are then counted again across tasks by hash, packed by ranges of hashes, so
+   nothing is gathered in one.
 5. *Removal.* The runs of repeated windows go back to their texts.
 
 Texts go through the exchange only where they have a chunk to look at or bytes to remove (a bit
@@ -251,9 +252,20 @@ def _chunk_texts(docs: DataFrame, todo: DataFrame) -> DataFrame:
     return docs.join(todo, "key").select("key", "text", "todo").mapInArrow(run, "h long, salt int, salts int, key long, at long, n long, chunk binary")
 
 
-def _sorted_windows(rows: DataFrame) -> DataFrame:
-    """Runs of repeated windows (key, first, last), and windows to count across tasks (with ``hash``)."""
-    schema = pa.schema([("key", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("hash", pa.int64()), ("n", pa.int64())])
+WINDOWS = "key long, first long, last long, block int, hashes array<long>, ns array<long>, keys array<long>, firsts array<long>"
+
+
+def _sorted_windows(rows: DataFrame, blocks: int) -> DataFrame:
+    """Runs of repeated windows (key, first, last), and packed windows to count across tasks.
+
+    Packed rows hold a task's windows of one of ``blocks`` ranges of hashes; ``keys`` is null where a
+    window needs no answer.
+    """
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("key", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("block", pa.int32()), ("hashes", longs), ("ns", longs), ("keys", longs), ("firsts", longs)])
+
+    def out(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)).cast(f.type) for f in schema], schema=schema)
 
     def solve(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(held).combine_chunks()
@@ -278,17 +290,21 @@ def _sorted_windows(rows: DataFrame) -> DataFrame:
             new = np.flatnonzero(np.r_[True, (np.diff(idx) != 1) | (owner[idx[1:]] != owner[idx[:-1]])])
             a, z = idx[new], idx[np.r_[new[1:], len(idx)] - 1]
             s0 = (at >> 16)[owner[a]]
-            none = pa.nulls(len(a), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(key[owner[a]]), pa.array(s0 + k[a]), pa.array(s0 + k[z]), none, none], schema=schema)
-        # anchors dealt over several tasks: one row per class and task, with its place if it is undecided
+            yield out({"key": pa.array(key[owner[a]]), "first": pa.array(s0 + k[a]), "last": pa.array(s0 + k[z])}, len(a))
+        # anchors dealt over several tasks: each class once a task, with its place if it is undecided
         hot = salts[owner] > 1
         if hot.any():
             one = np.unique(np.where(own, cls, len(own) + np.arange(len(own))), return_index=True)[1]
             one = one[hot[one]]
-            codes = RangeHash(text.buf).of(pos[one], pos[one] + WINDOW).view(np.int64)
+            codes = RangeHash(text.buf).of(pos[one], pos[one] + WINDOW)
+            block = (codes % np.uint64(blocks)).astype(np.int64)
+            rank = np.argsort(block, kind="stable")
+            one, codes, block = one[rank], codes[rank], block[rank]
             open_ = (total[one] < 2) & (n[owner[one]] == 1)
-            first = (at >> 16)[owner[one]] + k[one]
-            yield pa.RecordBatch.from_arrays([pa.array(key[owner[one]], mask=~open_), pa.array(first), pa.array(first), pa.array(codes), pa.array(np.minimum(total[one], 2))], schema=schema)
+            new = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            ends = pa.array(np.r_[new, len(block)].astype(np.int32))
+            packed = lambda x: pa.ListArray.from_arrays(ends, x)
+            yield out({"block": pa.array(block[new]), "hashes": packed(pa.array(codes.view(np.int64))), "ns": packed(pa.array(np.minimum(total[one], 2))), "keys": packed(pa.array(key[owner[one]], mask=~open_)), "firsts": packed(pa.array((at >> 16)[owner[one]] + k[one]))}, len(new))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, windows, last = [], 0, None
@@ -309,7 +325,22 @@ def _sorted_windows(rows: DataFrame) -> DataFrame:
         if held:
             yield from solve(held)
 
-    return rows.mapInArrow(run, "key long, first long, last long, hash long, n long")
+    return rows.mapInArrow(run, WINDOWS)
+
+
+def _across(packed: DataFrame) -> DataFrame:
+    """(key, first, last) of the open windows that several tasks have; a partition holds whole blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[np.asarray(pa.array(b.column(i).flatten().fill_null(0))) for i in range(3)] + [np.asarray(b.column(2).flatten().is_valid()), np.asarray(b.column(3).flatten())] for b in batches if b.num_rows]
+        if not held:
+            return
+        hashes, ns, keys, open_, firsts = (np.concatenate(c) for c in zip(*held, strict=True))
+        _, at = np.unique(hashes, return_inverse=True)
+        hit = open_.astype(bool) & (np.bincount(at, ns)[at] >= 2)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), pa.array(firsts[hit]), pa.array(firsts[hit])], ["key", "first", "last"])
+
+    return packed.mapInArrow(run, "key long, first long, last long")
 
 
 def _remove(docs: DataFrame) -> DataFrame:
@@ -358,11 +389,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = _chunk_texts(_passing(docs.select("key", "text"), bits, True), todo)
     dealt = texts.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt")
-    got = written(_sorted_windows(dealt), "windows")
-    resolved = got.filter("hash is null").select("key", "first", "last")
-    across = got.filter("hash is not null")
-    equal = written(across.groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1").select("hash"), "across")
-    crossed = across.filter("key is not null").join(equal, "hash").select("key", "first", "last")
+    got = written(_sorted_windows(dealt, parts), "windows")
+    resolved = got.filter("block is null").select("key", "first", "last")
+    crossed = _across(got.filter("block is not null").select("hashes", "ns", "keys", "firsts", "block").repartition(parts, "block"))
     return whole.unionByName(resolved).unionByName(crossed)
 
 
