@@ -7,8 +7,9 @@ the whole corpus in a table of fixed size.
 
 1. *Candidates.* Two sets over the threshold share a shingle within the first quarter of both, in
    that order. In a small group (a shingle's sets) every pair is a candidate. In a large one about
-   ``LEADERS`` sets are leaders and pairs have a leader in them, so a group of n sets makes
-   n * LEADERS pairs at most, and hot shingles never get here unless they fill whole texts.
+   ``LEADERS * TURNS`` sets are leaders and pairs have a leader in them. Leaders take turns: a
+   later turn looks only at pairs whose components still differ, so a group of n sets that are
+   mostly alike counts about n * LEADERS pairs.
 2. *Vertical counts.* The order is cut into ``FRAGMENTS`` stretches of equal weight. Each set is
    cut there too; a candidate's overlap is counted in each fragment by itself and summed per pair.
 3. *Components* of the links, by alternating star contraction in Spark.
@@ -35,7 +36,7 @@ from .common import RangeHash, Texts, distinct_by_text, in_map, key_map, lower_a
 #: Cells of the table of shingle counts (its size does not depend on the input).
 CELL_BITS = 18
 FRAGMENTS = 8
-LEADERS = 10
+LEADERS, TURNS = 4, 4
 RANK_BITS = 57
 
 
@@ -188,13 +189,14 @@ class Join:
     # -------------------------------------------------------- joins
 
     def candidates(self, a: DataFrame, b: DataFrame, apart: Column) -> DataFrame:
-        """Distinct pairs (a, b, both) of rows of one group that sizes and places do not rule out."""
+        """Pairs (a, b, both, first turn) of rows of one group that sizes and places do not rule out."""
         x, y = a.alias("x"), b.alias("y")
         need = threshold_sum(F.col("x.n") + F.col("y.n"), self.percent)
         rest = 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
         sizes = 100 * F.least("x.n", "y.n") >= self.percent * F.greatest("x.n", "y.n")
         j = x.join(y, F.col("x.key") == F.col("y.key")).filter((F.col("x.cls") != F.col("y.cls")) & apart & sizes & (rest >= need))
-        return j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
+        j = j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both"), F.least("x.turn", "y.turn").alias("turn"))
+        return j.groupBy("a", "b", "both").agg(F.min("turn").alias("turn"))
 
     def links(self, pairs: DataFrame, fragments: DataFrame) -> DataFrame:
         """The pairs (a, b) over the threshold: overlaps counted by fragment and summed."""
@@ -241,13 +243,27 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, doc_i
     top = written(j.prefixes(order).groupBy("key").agg(F.max(half).alias("top"), F.min(half).alias("low")).filter("top <> low").select("key"), "shared")
     shared = written(j.prefixes(order, j.sc.broadcast(key_map(top, "key"))).join(top, "key").distinct(), "prefixes")
     size = written(shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "groups")
-    chosen = F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) * F.col("m") < LEADERS * (1 << 20)
-    shared = written(shared.join(size, "key").withColumn("lead", chosen), "groups")
+    # the share of a set's hash says in which turn it leads the group; TURNS and more: never
+    turn = F.floor(F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) * F.col("m") / (LEADERS * (1 << 20))).cast("int")
+    turn = F.when(F.col("m") <= LEADERS, 0).otherwise(turn)
+    shared = written(shared.join(size, "key").withColumn("turn", turn).withColumn("lead", turn < TURNS), "groups")
     both_lead = ~F.col("y.lead") | (F.col("x.cls") < F.col("y.cls"))
     pairs = written(j.candidates(shared.filter("lead"), shared, both_lead), "pairs")
     large = shared.filter(F.col("m") > LEADERS)
-    links = written(j.links(pairs, j.fragments(order, base, pairs)), "links")
-    labels = written(star_components(links), "labels")
+    fragments = j.fragments(order, base, pairs)
+    none = docs.sparkSession.createDataFrame([], "cls long, label long")
+    labels = none
+    for k in range(TURNS):
+        now = pairs.filter(F.col("turn") == k)
+        if k:
+            la, lb = labels.select(F.col("cls").alias("a"), F.col("label").alias("la")), labels.select(F.col("cls").alias("b"), F.col("label").alias("lb"))
+            now = now.join(la, "a", "left").join(lb, "b", "left").filter(F.coalesce("la", "a") != F.coalesce("lb", "b"))
+        now = written(now.select("a", "b", "both"), "turn")
+        if now.isEmpty():
+            continue
+        links = written(j.links(now, fragments), "links")
+        if not links.isEmpty():
+            labels = written(star_components(links.unionByName(labels.select(F.col("cls").alias("a"), F.col("label").alias("b")))), "labels")
     # what is left in large groups
     marked = large.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     marked = written(marked, "marked")
@@ -257,7 +273,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, doc_i
     if not minor.isEmpty():
         other = marked.join(main, "key").withColumn("minor", F.col("label") != F.col("main")).drop("main")
         apart = (F.col("x.label") != F.col("y.label")) & (~F.col("y.minor") | (F.col("x.cls") < F.col("y.cls"))) & ~F.col("x.lead") & ~F.col("y.lead")
-        rest = written(j.candidates(minor, written(other, "others"), apart).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        rest = written(j.candidates(minor, written(other, "others"), apart).join(pairs, ["a", "b"], "left_anti").select("a", "b", "both"), "pairs")
         more = written(j.links(rest, j.fragments(order, base, rest)), "links")
         if not more.isEmpty():
             labels = written(star_components(more.unionByName(labels.select(F.col("cls").alias("a"), F.col("label").alias("b")))), "labels")
