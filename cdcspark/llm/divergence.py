@@ -7,6 +7,13 @@ by Jensen-Shannon distance (base 2, 0 to 1); the nearest reference counts. A tex
 passes the base rules, and its distances are within the limits; histograms of fewer than
 ``MIN_WORDS`` words (or ``MIN_CHARS`` characters) are too thin to judge and pass.
 
+The word distance of an ordinary text falls with its length, and a text without any common word
+comes to about 0.4, so the limit of words is taken from the corpus: per reference and band of lengths
+(powers of two) ``FENCE`` quartile ranges above the third quartile of the distances, counted over all
+texts of ``MIN_WORDS`` words that pass the base rules, copies once. A quartile range counts as
+``LEAST_SPREAD`` of the median at least. A band of fewer than ``MIN_BAND`` texts has the limit of the
+band over all references, or else that of the next shorter band. ``MAX_WORDS`` is the limit in any case.
+
 Base rules: n_words < 50, or more than half of the words lie in three-word windows that occur twice
 or more in the text.
 
@@ -26,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, lower_ascii, mix, powers, steps, words
+from .common import RangeHash, Texts, lower_ascii, mix, powers, steps, words, written
 
 BUCKETS, COMMON = 1 << 12, 64
 MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 50, 200, 1000
 MAX_CLASS, MAX_WORDS = 0.25, 0.75
 MAX_LANGUAGES = 1000
+FENCE, LEAST_SPREAD, MIN_BAND, BINS = 2.0, 0.1, 20, 4096
 
 #: Character classes by first byte of a UTF-8 character; continuation bytes have none (-1).
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "quote", "symbol", "latin", "other")
@@ -165,6 +173,30 @@ def repeated_lines(t: Texts) -> np.ndarray:
     return np.bincount(o[1:][dup], minlength=len(t))
 
 
+# ---------------------------------------------------------------- limits
+
+
+def word_limits(measured: DataFrame) -> list[tuple[int, int, float]]:
+    """(ref, band, limit) of the word distance, from all measured texts; bands without a limit are left out."""
+    of = measured.filter(f"not base_failed and n_words >= {MIN_WORDS} and ref >= 0").select("ref", "band", "n_words", "word_chars", "word_distance").distinct()
+    bins = of.groupBy("ref", "band", F.expr(f"cast(word_distance * {BINS} as int)").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bins = bins.unionByName(bins.withColumn("ref", F.lit(-1)))  # -1: over all references
+    rows = bins.groupBy("ref", "band").agg(F.sum("n").alias("n"), F.expr("percentile(bin, array(0.25D, 0.5D, 0.75D), n)").alias("q")).collect()  # a row per reference and band
+    at: dict[tuple[int, int], float] = {}
+    for r in rows:
+        if r.n >= MIN_BAND:
+            q1, q2, q3 = ((x + 0.5) / BINS for x in r.q)
+            at[r.ref, r.band] = q3 + FENCE * max(q3 - q1, LEAST_SPREAD * q2)
+    out: list[tuple[int, int, float]] = []
+    for ref in sorted({r.ref for r in rows} - {-1}):
+        limit = None
+        for band in range(64):
+            limit = at.get((ref, band), at.get((-1, band), limit))
+            if limit is not None:
+                out.append((ref, band, limit))
+    return out
+
+
 def judge(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_class: float = MAX_CLASS, max_words: float = MAX_WORDS) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept)."""
     d = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), F.col(doc_id).alias("doc_id"))
@@ -187,13 +219,18 @@ def judge(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str
                 at = np.flatnonzero(cls >= 0)
                 c = histogram(np.repeat(np.arange(n), np.diff(t.bounds))[at], cls[at], n, len(CLASSES))
                 cell = buckets(t, w)
-                far_c, far_w = np.zeros(n), np.zeros(n)
+                far_c, far_w, near = np.zeros(n), np.zeros(n), np.full(n, -1)
                 if langs:
                     each = [(js_distance(c, p), js_distance(histogram(w.text, where[cell], n, COMMON + 1), q)) for p, where, q in langs]
                     near = np.argmin([x + y for x, y in each], 0)
                     far_c, far_w = (np.stack([e[k] for e in each])[near, np.arange(n)] for k in (0, 1))
-                bad = ((far_c > max_class) & (c.sum(1) >= MIN_CHARS)) | ((far_w > max_words) & (n_words >= MIN_WORDS))
+                far = (far_c > max_class) & (c.sum(1) >= MIN_CHARS)
+                band = np.frexp(np.maximum(n_words, 1))[1] - 1
                 longs = (pa.array(x.astype(np.int64)) for x in (n_words, chars, symbols, repeated_lines(t), rep))
-                yield pa.RecordBatch.from_arrays([b.column(2).slice(t.first, n), *longs, pa.array(failed), pa.array(far_c), pa.array(far_w), pa.array(~failed & ~bad)], ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept"])
+                ints = (pa.array(x.astype(np.int32)) for x in (near, band))
+                yield pa.RecordBatch.from_arrays([b.column(2).slice(t.first, n), *longs, pa.array(failed), pa.array(far_c), pa.array(far_w), pa.array(far), *ints], ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "class_far", "ref", "band"])
 
-    return d.mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, word_distance double, kept boolean")
+    measured = written(d.mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, word_distance double, class_far boolean, ref int, band int"), "measured")
+    limits = docs.sparkSession.createDataFrame(word_limits(measured), "ref int, band int, word_limit double")
+    word_far = (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > F.least(F.lit(max_words), "word_limit"))  # least() passes over nulls
+    return measured.join(F.broadcast(limits), ["ref", "band"], "left").withColumn("kept", ~F.col("base_failed") & ~F.col("class_far") & ~word_far).drop("ref", "band", "class_far", "word_limit")

@@ -82,6 +82,19 @@ def test_js_distance_tells_junk(spark):
     assert all(out[r[0]].kept for r in good) and not any(out[r[0]].kept for r in junk)
 
 
+def test_js_distance_tells_junk_of_plain_letters(spark):
+    rng = random.Random(3)
+    made = lambda: "".join(rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 8)))
+    vocab = [made() for _ in range(400)]
+    weights = [1 / (k + 1) for k in range(400)]
+    good = [(i, " ".join(rng.choices(vocab, weights, k=rng.randint(130, 250))), rng.choice(["en", "de"])) for i in range(150)]
+    good += [(i, good[0][1], "en") for i in range(150, 300)]  # many copies do not narrow the limits
+    junk = [(1000 + i, " ".join(made() for _ in range(200)), "en") for i in range(5)]
+    out = {r.doc_id: r for r in divergence.judge(spark.createDataFrame(good + junk, "doc_id long, text string, lang string")).collect()}
+    assert all(out[r[0]].kept for r in good)
+    assert not any(out[r[0]].kept or out[r[0]].base_failed or out[r[0]].class_distance > divergence.MAX_CLASS for r in junk)
+
+
 def test_mixing_targets_and_caps(docs, corpus):
     assert mixing.targets([10, 10, 80], [5, 2, 1], 3) == [30.0, 30.0, 40.0]
     assert mixing.targets([0, 5], [5, 2], 3) == [0.0, 5.0]
