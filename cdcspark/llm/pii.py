@@ -1,8 +1,10 @@
 """Personal data: base patterns, and a character BiLSTM with CRF transitions trained in numpy.
 
 The tagger learns from labelled spans: windows around spans of the base patterns (with some written
-differently, such as phone numbers without their plus sign) and around other digits, at most
-``MAX_FIT`` windows of the smallest hashes. A text is cut into windows that overlap by half. Spans
+differently, such as phone numbers without their plus sign) and around other digits. At most
+``MAX_FIT`` distinct windows are drawn by the smallest hashes, in fixed shares of classes at every
+size of the corpus: a sixth for each kind of span (a window with several kinds is of the one that its
+hash says) and a third for windows without a span; a class with fewer windows is taken whole. A text is cut into windows that overlap by half. Spans
 of every kind hold an ``@`` or ``MIN_DIGITS`` digits, so windows without these decode to nothing and
 are not run. All other windows are decoded (Viterbi with the CRF transitions) and the spans of all
 windows of a text are reconciled together: the set of spans without overlaps of the greatest total
@@ -24,11 +26,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from .common import written
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_FIT = 1500
+#: Windows of each class that are trained on: of each kind, and without a span.
+SHARES = (*[MAX_FIT // 6] * len(KINDS), MAX_FIT // 3)
 SIZE, STRIDE = 64, 32
 MIN_DIGITS = 4
 HIDDEN, EMBED, BATCH, EPOCHS, SEED = 16, 10, 64, 14, 7
@@ -293,25 +299,33 @@ def labelled(text: str) -> Iterator[tuple[str, list[int]]]:
             yield part[:plus] + part[plus + 1 :], t2
 
 
-def fit(docs: DataFrame, text: str = "text") -> Tagger | None:
-    """Train on at most ``MAX_FIT`` windows; None if the corpus has no base span."""
+def drawn(docs: DataFrame, text: str = "text") -> list[Row]:
+    """(class, rank, part, tags): of each class its share of the distinct windows, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict[int, tuple[str, list[int]]]] = [{} for _ in SHARES]
         for b in batches:
-            rows: dict[int, tuple[str, list[int]]] = {}
             for x in b.column(0):
                 s = x.as_py()
                 if s and ("@" in s or DIGIT.search(s)):
                     for part, tags in labelled(s):
-                        # windows with spans first, then by hash
-                        rank = int.from_bytes(hashlib.md5(part.encode("utf-8", "replace")).digest()[:7], "big") + ((1 << 58) if not any(tags) else 0) // 2
-                        rows[rank] = (part, tags)
-                if len(rows) > 4 * MAX_FIT:
-                    rows = {k: rows[k] for k in sorted(rows)[:MAX_FIT]}
-            keep = sorted(rows)[:MAX_FIT]
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array([rows[k][0] for k in keep], pa.string()), pa.array([rows[k][1] for k in keep], pa.list_(pa.int32()))], ["rank", "part", "tags"])
-
-    rows = docs.select(F.col(text).cast("string")).mapInArrow(run, "rank long, part string, tags array<int>").orderBy("rank", "part").limit(MAX_FIT).collect()
+                        rank = int.from_bytes(hashlib.md5(part.encode("utf-8", "replace") + bytes(tags)).digest()[:7], "big")
+                        has = sorted({(t - 1) // 2 for t in tags if t})
+                        k = has[rank % len(has)] if has else len(KINDS)
+                        rows[k][rank] = (part, tags)
+                        if len(rows[k]) > 4 * SHARES[k]:
+                            rows[k] = {r: rows[k][r] for r in sorted(rows[k])[: SHARES[k]]}
+        for k, of in enumerate(rows):
+            keep = sorted(of)[: SHARES[k]]
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(keep), pa.int32()), pa.array(keep, pa.int64()), pa.array([of[r][0] for r in keep], pa.string()), pa.array([of[r][1] for r in keep], pa.list_(pa.int32()))], ["class", "rank", "part", "tags"])
+
+    found = written(docs.select(F.col(text).cast("string")).mapInArrow(run, "class int, rank long, part string, tags array<int>"), "windows")
+    return [r for k, n in enumerate(SHARES) for r in found.filter(F.col("class") == k).dropDuplicates(["rank"]).orderBy("rank").limit(n).collect()]
+
+
+def fit(docs: DataFrame, text: str = "text") -> Tagger | None:
+    """Train on at most ``MAX_FIT`` windows; None if the corpus has no base span."""
+    rows = drawn(docs, text)
     rows = [r for r in rows if r.part]
     if not any(any(r.tags) for r in rows):
         return None

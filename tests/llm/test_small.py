@@ -177,6 +177,22 @@ def test_pii_query_keeps_base_spans(spark):
     assert got[3].n_email == 1 and got[3].n_card == 1 and got[100].spans == got[102].spans == ""
 
 
+def test_pii_trains_on_every_class_of_windows(spark):
+    rng = random.Random(5)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    phone = lambda: f"({rng.randint(200, 999)}) {digits(3)}-{digits(4)}"
+    fill = lambda: " ".join(rng.choice(["call", "the", "office", "about", "it", "today", "or", "then"]) for _ in range(rng.randint(8, 14)))
+    data = [(i, f"{fill()} +1 {phone()} {fill()}") for i in range(1600)]
+    data += [(5000 + i, f"{fill()} {digits(12)} {fill()}") for i in range(600)]  # clean numbers
+    bare = [(9000 + i, f"{fill()} 1 {phone()} {fill()}") for i in range(100)]  # only the tagger finds these
+    df, bare = (spark.createDataFrame(x, "doc_id long, text string") for x in (data, bare))
+    tagger = pii.fit(df)
+    count = lambda d: sum(len(r.spans) > 0 for r in pii.find(d, tagger).collect())
+    assert count(df.filter("doc_id >= 5000")) <= 6 and count(bare) >= 80
+    assert Counter(r["class"] for r in pii.drawn(df)) == {3: pii.SHARES[3], len(pii.KINDS): pii.SHARES[-1]}
+    assert [r.rank for r in pii.drawn(df.union(df).repartition(3))] == [r.rank for r in pii.drawn(df)]
+
+
 def test_decontamination_against_brute_force(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6)))
