@@ -13,8 +13,13 @@ overlap by the longest item, and every passage is a query for all items of score
 A hit counts when the passage holds ``overlap`` of the item's five-word shingles (three quarters)
 and half of both its question (the words before the last sentence) and its answer (the rest).
 
-The index of ``SHARD`` items is broadcast at a time, so its size is bounded; more items are more
-shards. Words are lower-cased letters and digits.
+An item of more than ``PART`` words is indexed in parts of that length at most, which overlap so that
+every shingle lies in one of them: a text that holds ``overlap`` of the item holds as much of one part.
+A part that is hit has the whole item compared with passages of twice the item's length around it; the
+score of such an item is that of its best part there.
+
+A shard is ``SHARD`` items or ``SHARD_BYTES`` of their text, or a single longer item; more items are
+more shards, whose hits are written before the next shard is built. Words are lower-cased letters and digits.
 
 Cases: null and empty texts have no hits; items without a word are skipped; items of fewer than five
 words have one shingle of all words; repeated documents and items report each; a document's hit is
@@ -32,15 +37,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, mix, powers, steps
+from .common import RangeHash, Texts, mix, powers, steps, written
 from .toxicity import folded
 
 K1, B = 1.2, 0.75
 THETA = 0.6
 BLOCK = 8
 SHARD = 4096
-#: Longest item text in bytes; a longer one is refused, so that a shard's size is bounded.
-MAX_ITEM_BYTES = 1 << 16
+SHARD_BYTES = 1 << 22
+#: Most words of an item that are indexed as one.
+PART = 512
+#: Most cells of the table of block maxima; blocks are longer where it would be larger.
+MAX_CELLS = 1 << 26
 
 WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
@@ -68,6 +76,7 @@ def grams(h: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Item:
+    place: int
     number: int
     length: int
     shingles: np.ndarray  # in order of the item
@@ -84,7 +93,8 @@ class Index:
 
     def __init__(self, rows: list[tuple[int, str]], width: int):
         self.width = width
-        self.items: list[Item] = []
+        self.items: list[Item] = []  # the item of each part
+        sizes = []
         lists: dict[int, list[tuple[int, float]]] = {}
         bags = []
         for number, text in rows:
@@ -94,27 +104,35 @@ class Index:
             if not len(h):
                 continue
             g = grams(h, width)
-            self.items.append(Item(number, len(h), g, min(max(len(parts[1]) - width + 1, 0), len(g))))
-            bags.append(np.unique(h, return_counts=True))
+            item = Item(len(bags), number, len(h), g, min(max(len(parts[1]) - width + 1, 0), len(g)))
+            edges = np.linspace(0, len(g), -(-len(g) // max(PART - width + 1, 1)) + 1).astype(int).tolist()  # of the parts' shingles
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                part = h[lo : hi + width - 1]
+                self.items.append(item)
+                sizes.append(len(part))
+                bags.append(np.unique(part, return_counts=True))
         n = len(self.items)
-        mean = sum(i.length for i in self.items) / max(n, 1)
+        mean = sum(sizes) / max(n, 1)
         df: dict[int, int] = {}
         for t, _ in bags:
             for x in t.tolist():
                 df[x] = df.get(x, 0) + 1
         for k, (t, c) in enumerate(bags):
             idf = np.array([np.log(1 + (n - df[x] + 0.5) / (df[x] + 0.5)) for x in t.tolist()])
-            impact = idf * c * (K1 + 1) / (c + K1 * (1 - B + B * self.items[k].length / mean))
+            impact = idf * c * (K1 + 1) / (c + K1 * (1 - B + B * sizes[k] / mean))
             for x, s in zip(t.tolist(), (impact / impact.sum()).tolist(), strict=True):
                 lists.setdefault(x, []).append((k, s))
         self.vocab = np.array(sorted(lists), np.uint64)
         self.posts = [([k for k, _ in lists[x]], [s for _, s in lists[x]]) for x in self.vocab.tolist()]
         self.upper = [max(s) for _, s in self.posts]
-        self.blocks = -(-n // BLOCK)
+        self.block = BLOCK
+        while len(self.vocab) * -(-n // self.block) > MAX_CELLS and self.block < n:
+            self.block *= 2
+        self.blocks = -(-n // self.block)
         self.block_max = np.zeros((len(self.vocab), max(self.blocks, 1)), np.float32)
         for i, (ks, ss) in enumerate(self.posts):
-            np.maximum.at(self.block_max[i], np.array(ks) // BLOCK, np.array(ss, np.float32) * np.float32(1.000001))
-        self.longest = max((i.length for i in self.items), default=0)
+            np.maximum.at(self.block_max[i], np.array(ks) // self.block, np.array(ss, np.float32) * np.float32(1.000001))
+        self.longest = max(sizes, default=0)
 
     def wand(self, query: np.ndarray, open_blocks: np.ndarray, theta: float) -> list[tuple[int, float]]:
         """Items of score ``theta`` or more for the distinct term numbers ``query``."""
@@ -131,9 +149,9 @@ class Index:
                     at[i] = bisect_left(items, item, at[i])
 
         while True:
-            block = after[bisect_left(after, start // BLOCK)]
-            if block * BLOCK > start:  # to the next open block
-                start = block * BLOCK
+            block = after[bisect_left(after, start // self.block)]
+            if block * self.block > start:  # to the next open block
+                start = block * self.block
             if block == self.blocks:
                 return out
             seek(start)
@@ -146,13 +164,13 @@ class Index:
                     break
             if pivot is None:
                 return out
-            if pivot >= (block + 1) * BLOCK:
+            if pivot >= (block + 1) * self.block:
                 start = pivot
                 continue
             # block maxima of the terms up to the pivot; below the threshold, go on at the next term's item
             bound = sum(self.block_max[query[i], block] for item, i in live if item <= pivot)
             if bound < theta:
-                start = min([(block + 1) * BLOCK] + [item for item, _ in live if item > pivot])
+                start = min([(block + 1) * self.block] + [item for item, _ in live if item > pivot])
                 continue
             score = 0.0
             for i, (items, impacts) in enumerate(lists):
@@ -163,8 +181,9 @@ class Index:
                 out.append((pivot, score))
             start = pivot + 1
 
-    def hits(self, h: np.ndarray, first: np.ndarray, theta: float) -> Iterator[tuple[int, int, float, np.ndarray]]:
+    def hits(self, h: np.ndarray, first: np.ndarray, theta: float) -> Iterator[tuple[int, Item, float, np.ndarray]]:
         """(text, item, score, words of the passage) of a step's passages."""
+        long: dict[tuple[int, int, int], tuple[float, Item]] = {}
         if not len(self.vocab) or not len(h):
             return
         at = np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)
@@ -190,22 +209,32 @@ class Index:
                 i, c = divmod(int(passage[p]), wide)
                 a = first[i] + c * stride
                 words_ = h[a : min(a + 2 * stride, first[i + 1])]
-                for item, score in self.wand(term[start[p] : start[p + 1]], open_[k], theta):
-                    yield i, item, score, words_
-
-
-def shards(items: DataFrame, item_id: str, text: str, width: int) -> Iterator[Index]:
-    """The items' indexes, ``SHARD`` items at a time by id; items stream to the driver."""
+                for part, score in self.wand(term[start[p] : start[p + 1]], open_[k], theta):
+                    item = self.items[part]
+                    if item.length <= PART:
+                        yield i, item, score, words_
+                        continue
+                    # the item's own passages, two of its lengths long, that meet this one
+                    for d in range(max(c * stride // item.length - 1, 0), (c * stride + len(words_) - 1) // item.length + 1):
+                        if score > long.get((i, item.place, d), (0.0,))[0]:
+                            long[i, item.place, d] = score, item
+        for (i, _, d), (score, item) in long.items():
+            yield i, item, score, h[first[i] + d * item.length : min(first[i] + (d + 2) * item.length, first[i + 1])]
+
+
+def shards(items: DataFrame, item_id: str, text: str, width: int) -> Iterator[tuple[Index, bool]]:
+    """The items' indexes by id, and whether it is the last; items stream to the driver, a shard at a time."""
     rows: list[tuple[int, str]] = []
+    size = 0
     for r in items.select(F.col(item_id).alias("i"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).orderBy("i", "t").toLocalIterator():
-        if len(r.t.encode()) > MAX_ITEM_BYTES:
-            raise ValueError(f"test item {r.i} is longer than {MAX_ITEM_BYTES} bytes")
+        n = len(r.t.encode())
+        if rows and (len(rows) == SHARD or size + n > SHARD_BYTES):
+            yield Index(rows, width), False
+            rows, size = [], 0
         rows.append((r.i, r.t))
-        if len(rows) == SHARD:
-            yield Index(rows, width)
-            rows = []
+        size += n
     if rows:
-        yield Index(rows, width)
+        yield Index(rows, width), True
 
 
 def search(docs: DataFrame, items: DataFrame, theta: float = THETA, overlap: float = 0.75, width: int = 5, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -213,17 +242,18 @@ def search(docs: DataFrame, items: DataFrame, theta: float = THETA, overlap: flo
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kinds = (d.schema["doc_id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
     out = None
-    for index in shards(items, item_id, item_text, width):
-        shared = docs.sparkSession.sparkContext.broadcast(index)  # SHARD items of MAX_ITEM_BYTES at most
+    for index, last in shards(items, item_id, item_text, width):
+        shared = docs.sparkSession.sparkContext.broadcast(index)  # SHARD_BYTES of items, or one longer item
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ix = shared.value
             for b in batches:
                 for t in steps(b.column(1)):
                     best: dict[tuple[int, int], tuple] = {}
-                    for i, k, score, passage in ix.hits(*terms(t), theta):
-                        whole, q, a = ix.items[k].overlaps(passage, ix.width)
+                    for i, item, score, passage in ix.hits(*terms(t), theta):
+                        whole, q, a = item.overlaps(passage, ix.width)
                         if whole >= overlap and q >= 0.5 and a >= 0.5:
+                            k = item.place
                             best[i, k] = max(best.get((i, k), (0.0,)), (whole, score, q, a))
                     if best:
                         at = pa.array([t.first + i for i, _ in best])
@@ -231,6 +261,9 @@ def search(docs: DataFrame, items: DataFrame, theta: float = THETA, overlap: flo
                         yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array([ix.items[k].number for _, k in best]), *(pa.array(cols[c], pa.float64()) for c in (1, 0, 2, 3))], ["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"])
 
         part = d.mapInArrow(run, f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, overlap double, question_overlap double, answer_overlap double")
+        if not last:
+            part = written(part, "hits")
+            shared.unpersist()
         out = part if out is None else out.unionByName(part)
     if out is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, overlap double, question_overlap double, answer_overlap double")
@@ -240,16 +273,16 @@ def search(docs: DataFrame, items: DataFrame, theta: float = THETA, overlap: flo
 def without_items(docs: DataFrame, items: DataFrame, theta: float = THETA, overlap: float = 0.75, width: int = 5) -> DataFrame:
     """``docs`` without the rows whose text holds an item; all columns stay, nothing is shuffled."""
     at = docs.columns.index("text")
-    for index in shards(items, "item_id", "text", width):
-        shared = docs.sparkSession.sparkContext.broadcast(index)  # SHARD items of MAX_ITEM_BYTES at most
+    for index, _ in shards(items, "item_id", "text", width):
+        shared = docs.sparkSession.sparkContext.broadcast(index)  # SHARD_BYTES of items, or one longer item
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ix = shared.value
             for b in batches:
                 for t in steps(b.column(at)):
                     keep = np.ones(len(t), bool)
-                    for i, k, _, passage in ix.hits(*terms(t), theta):
-                        whole, q, a = ix.items[k].overlaps(passage, ix.width)
+                    for i, item, _, passage in ix.hits(*terms(t), theta):
+                        whole, q, a = item.overlaps(passage, ix.width)
                         if whole >= overlap and q >= 0.5 and a >= 0.5:
                             keep[i] = False
                     yield b.slice(t.first, len(t)).filter(pa.array(keep))

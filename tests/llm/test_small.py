@@ -213,6 +213,23 @@ def test_decontamination_against_brute_force(spark):
     assert {r.doc_id for r in decontaminate.without_items(df, bench).collect()} == {*range(150), 500, 501} - {d for d, _ in truth}
 
 
+@pytest.mark.parametrize("shard", [1 << 22, 1 << 17])
+def test_decontamination_with_long_items(spark, monkeypatch, shard):
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", shard)
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(3, 7))) for _ in range(n))
+    long = text(15_000).split()
+    items = [(1, " ".join(long)), (2, text(40) + ". " + text(6)), (4, text(3000))]
+    assert len(items[0][1]) > 1 << 16
+    docs = [
+        (0, text(900) + " " + " ".join(long) + " " + text(500)), (1, " ".join(long[:7000])), (2, text(100) + " " + items[1][1] + " " + text(100)),
+        (4, text(300)), (5, " ".join(long[2000:])), (6, text(20) + " " + items[2][1]),
+    ]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert rows(decontaminate.search(df, bench).select("doc_id", "item_id")) == [(0, 1), (2, 2), (5, 1), (6, 4)]
+    assert rows(decontaminate.without_items(df, bench).select("doc_id")) == [(1,), (4,)]
+
+
 def test_wand_finds_what_full_scoring_finds():
     rng = random.Random(8)
     vocab = [f"w{i}" for i in range(60)]
