@@ -22,7 +22,7 @@ A shard is ``SHARD`` items or ``SHARD_BYTES`` of their text, or a single longer
 more shards, whose hits are written before the next shard is built. Words are lower-cased letters and digits.
 
 Cases: null and empty texts have no hits; items without a word are skipped; items of fewer than five
-words have one shingle of all words; repeated documents and items report each; a document's hit is
+words have one shingle of all words, looked for among the passage's runs of as many; repeated documents and items report each; a document's hit is
 reported once per item with its best passage; empty tables give no rows.
 """
 
@@ -83,7 +83,7 @@ class Item:
     question: int  # the first so many belong to the question
 
     def overlaps(self, passage: np.ndarray, width: int) -> tuple[float, float, float]:
-        has = np.isin(self.shingles, grams(passage, width))
+        has = np.isin(self.shingles, grams(passage, min(width, self.length)))
         q, a = has[: self.question], has[self.question :]
         return float(has.mean()), float(q.mean()) if len(q) else 1.0, float(a.mean()) if len(a) else 1.0
 
@@ -188,6 +188,8 @@ class Index:
             return
         at = np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)
         word = np.flatnonzero(self.vocab[at] == h)
+        if not len(word):
+            return
         term, text = at[word], np.searchsorted(first, word, "right") - 1
         # a passage is two strides long and begins at each stride, so a word lies in two of them
         stride = max(self.longest, 1)

@@ -230,6 +230,13 @@ def test_decontamination_with_long_items(spark, monkeypatch, shard):
     assert rows(decontaminate.without_items(df, bench).select("doc_id")) == [(1,), (4,)]
 
 
+def test_decontamination_finds_items_of_a_few_words(spark):
+    items = [(1, "quartz xylophone zeppelin"), (2, "Marzipan."), (3, "one two three four five six seven eight nine ten")]
+    docs = [(0, "so it was Quartz xylophone, zeppelin! and then more of it"), (1, "zeppelin of quartz or xylophone and so on"), (2, "a lot of marzipan for all of us"), (3, "nothing at all of the kind")]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert rows(decontaminate.search(df, bench).select("doc_id", "item_id")) == [(0, 1), (2, 2)]
+
+
 def test_wand_finds_what_full_scoring_finds():
     rng = random.Random(8)
     vocab = [f"w{i}" for i in range(60)]
