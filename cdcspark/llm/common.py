@@ -7,10 +7,11 @@ other than the named ones are ignored, and an empty table gives an empty result.
 
 from __future__ import annotations
 
-import gc
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,35 +28,75 @@ STEP_BYTES = 1 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``, set here only where unset."""
+    """Folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, it is set here: to a folder of the warehouse, which a cluster shares as well, or
+    to a temporary one where the whole of Spark is this one process.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
+        if spark.sparkContext.master.split("[")[0] == "local":
+            base = "file://" + tempfile.mkdtemp(prefix="spark-")
+        else:
+            base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; the scope that is open deletes it at its end."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+_scopes: list[list[str]] = []
+
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders through the file system that holds them."""
+    conf = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
-def release(spark: SparkSession) -> None:
-    """Let go of shuffle files that nothing reads any more.
 
-    Spark removes them when the driver collects the garbage of the plans that made them, which a
-    driver with little to do may not come to for long.
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Scratch tables written inside are deleted at the end, except the tables (of ``written``) in the list given.
+
+    Kept tables belong to the scope around, or stay where there is none: a query's result reads them.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    keep: list[DataFrame] = []
+    _scopes.append([])
+    try:
+        yield keep
+    finally:
+        paths = _scopes.pop()
+        kept = [p for p in paths if any(p == getattr(df, "scratch", None) for df in keep)]
+        if _scopes:
+            _scopes[-1].extend(kept)
+        discard(spark, [p for p in paths if p not in kept])
+
+
+#: Spark then deletes the shuffle files of a query at its end, not when the driver collects garbage.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder and read it back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before) if before else spark.conf.unset(CLEAN)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +126,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Byte ranges longer than this are hashed one by one by a library function.
+LONG_RANGE = 256
+SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def codes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of byte ranges of ``buf``, eight bytes at a time; equal for equal bytes.
+
+    Every step mixes what is there before the next eight bytes come in, so no arithmetic relation
+    between texts makes them equal. ``seed`` 0 and 1 are independent of each other.
+    """
+    raw = np.concatenate([buf, np.zeros(8, np.uint8)])
+    words_ = np.ndarray(len(buf) + 1, "<u8", raw, strides=(1,))
+    size = end - start
+    factor = U64(SEEDS[seed])
+    out = (size.astype(np.uint64) + U64(1)) * factor
+    live = np.flatnonzero((size > 0) & (size <= LONG_RANGE))
+    at, left, h = start[live], size[live], out[live]
+    while len(live):
+        h = (h ^ (words_[at] & MASKS[np.minimum(left, 8)])) * factor
+        h ^= h >> U64(29)
+        more = left > 8
+        out[live[~more]] = h[~more]
+        live, at, left, h = live[more], at[more] + 8, left[more] - 8, h[more]
+    out = mix(out)
+    for i in np.flatnonzero(size > LONG_RANGE).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(buf[start[i] : end[i]], digest_size=8, salt=bytes([seed])).digest(), "little")
+    return out
+
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * U64(0xA0761D6478BD642F))
@@ -103,7 +175,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class RangeHash:
-    """64-bit hashes of any byte range of a buffer, equal for equal bytes."""
+    """64-bit hashes of any byte range of a buffer, equal for equal bytes, from sums of powers.
+
+    Only for ranges of a few hundred bytes: a sum of powers modulo 2**64 is the same for certain
+    different ranges of 1,024 bytes and more. ``codes`` is for ranges of any length.
+    """
 
     def __init__(self, buf: np.ndarray, codes: np.ndarray = BYTE_CODES):
         n = len(buf)
@@ -179,6 +255,14 @@ def words(t: Texts) -> Words:
     return Words(start, end, text, first)
 
 
+def folded(buf: np.ndarray) -> np.ndarray:
+    """Lower case of ASCII and Latin-1 letters, as UTF-8 bytes."""
+    out = np.where((buf >= 65) & (buf <= 90), buf + np.uint8(32), buf)
+    second = np.zeros(len(buf), bool)
+    second[1:] = buf[:-1] == 0xC3
+    return np.where(second & (buf >= 0x80) & (buf <= 0x9E) & (buf != 0x97), buf + np.uint8(32), out)
+
+
 def lower_ascii(buf: np.ndarray) -> np.ndarray:
     """A-Z to a-z; bytes of longer UTF-8 sequences are untouched."""
     return np.where((buf >= 65) & (buf <= 90), buf + np.uint8(32), buf)

@@ -15,7 +15,7 @@ A block holds up to ``block_ids`` ids and is decoded without any other; the bit
 reader decode all stretches of a block side by side, one table look-up per id.
 
 Cases: a null text is an empty one and gives the end id alone; null document ids sort first;
-repeated rows and equal ids are all kept, ordered by their token bytes; an empty table writes no
+repeated rows and equal ids are all kept, ordered by a hash of their tokens; an empty table writes no
 file and reads back as no rows. Ids must fit in 32 bits.
 """
 
@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, lower_ascii, scratch_path, steps, words, written
+from .common import SPACE, Texts, codes, folded, scratch_path, scope, steps, words, written
 
 MAGIC = b"HUFTOK01"
 BLOCK_IDS = 1 << 16
@@ -43,92 +43,169 @@ STRIDE = 256
 MAX_LENGTH = 20
 #: Words that a Python worker remembers; when there are more it starts anew.
 CACHE_WORDS = 1_000_000
+#: Fixed value: how the vocabulary cuts words into pieces.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 # ---------------------------------------------------------------- tokenizing
 
 
+#: Classes of bytes for cutting plain words: letters run together, digits stand alone, others run together.
+NONE, LETTER, DIGIT, OTHER, WHOLE = range(5)
+
+
+def byte_classes() -> tuple[np.ndarray, np.ndarray]:
+    """Class of each byte in a plain word, and the bytes that make a word another than plain.
+
+    Plain words hold ASCII without apostrophes (contractions are cut by a rule of their own) and the
+    Latin-1 letters that two bytes with a lead of 0xC3 make.
+    """
+    kind = np.full(256, OTHER, np.uint8)
+    kind[97:123], kind[65:91], kind[48:58], kind[0x80:0xC0], kind[0xC3] = LETTER, LETTER, DIGIT, LETTER, LETTER
+    odd = np.zeros(256, bool)
+    odd[:0x21] = odd[0x7F] = odd[0x27] = odd[0xC0:] = True
+    odd[0xC3] = False
+    return kind, odd
+
+
+CLASS, ODD = byte_classes()
+
+
+class IdTable:
+    """Ids of known byte strings: an open-addressing table of two 64-bit hashes, looked up all at once."""
+
+    def __init__(self, kind: type, bits: int):
+        self.kind, self.bits = kind, bits
+        self.forget()
+
+    def fit(self, more: int) -> None:
+        """Begin anew with a larger table if ``more`` strings leave less than half of it free."""
+        if 2 * (self.count + more) > 1 << self.bits and not self.count:
+            self.bits = (2 * more - 1).bit_length()
+            self.forget()
+
+    def forget(self) -> None:
+        self.keys = np.zeros((2, 1 << self.bits), np.uint64)
+        self.number = np.full(1 << self.bits, -1, np.int32)
+        self.count = 0
+        self.flat = np.zeros(0, self.kind)
+        self.at = np.zeros(1, np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of each string, or -1."""
+        out = np.full(len(a), -1, np.int32)
+        live = np.arange(len(a))
+        slot = (a >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(live):
+            got = self.number[slot]
+            same = (got >= 0) & (self.keys[0][slot] == a[live]) & (self.keys[1][slot] == b[live])
+            out[live[same]] = got[same]
+            on = (got >= 0) & ~same
+            live, slot = live[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, a: np.ndarray, b: np.ndarray, ids: list[bytes]) -> None:
+        """Different new strings, numbered from ``count`` on."""
+        number = np.arange(self.count, self.count + len(a), dtype=np.int32)
+        live = np.arange(len(a))
+        slot = (a >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(live):
+            free = self.number[slot] < 0
+            take = np.flatnonzero(free)[np.unique(slot[free], return_index=True)[1]]
+            at = slot[take]
+            self.number[at], self.keys[0][at], self.keys[1][at] = number[live[take]], a[live[take]], b[live[take]]
+            on = np.ones(len(live), bool)
+            on[take] = False
+            live, slot = live[on], slot[on]
+            slot = np.where(self.number[slot] >= 0, slot + 1, slot) & ((1 << self.bits) - 1)
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), self.kind)])
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.flat.itemsize
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(size)])
+        self.count += len(a)
+
+
 class WordEncoder:
-    """Encodes word by word, with caches.
+    """Encodes word by word, with a table of what is known.
 
     The tokenizer's pieces never contain white space and its normaliser keeps words apart, so a
-    text's ids are its words' ids in a row. Words of plain Latin-1 characters are cut into pieces
-    here and only new pieces go through the BPE model; every other word goes through the whole
-    tokenizer.
+    text's ids are its words' ids in a row. Plain words are cut into pieces here, for all words of a
+    step at once, and only new pieces go through the BPE model; every other word goes through the
+    whole tokenizer. A vocabulary whose settings don't allow this is refused.
     """
 
     def __init__(self, path: str, width: int):
-        import regex
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
         self.kind = {2: np.uint16, 4: np.uint32}[width]
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.cut = regex.compile(split).findall
+            self.check(json.load(f))
         self.model = self.full.model
-        self.plain = regex.compile(r"[\x21-\x7E\xA1-\xFF]+").fullmatch
-        self.level = {i: c for i, c in enumerate(_byte_letters())}
-        self.pieces: dict[str, bytes] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        """Word caches: hash of the word's bytes to a number; its ids lie at ``flat[at[n]:at[n + 1]]``."""
-        self.number: dict[int, int] = {}
-        self.flat = np.zeros(0, self.kind)
-        self.at = np.zeros(1, np.int64)
+        self.level = dict(enumerate(_byte_letters()))
+        self.table = IdTable(self.kind, 1 + (CACHE_WORDS - 1).bit_length())
+
+    @staticmethod
+    def check(spec: dict) -> None:
+        """The normaliser and the cutting of words must be those that ``encode`` relies on."""
+        steps_ = spec.get("normalizer") or {}
+        steps_ = [x["type"] for x in steps_.get("normalizers", [steps_])]
+        cut = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        if steps_ != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in cut] != ["Split", "ByteLevel"] or cut[0]["pattern"] != {"Regex": PIECES} or cut[1]["add_prefix_space"] or cut[1]["use_regex"] or (cut[0]["behavior"], cut[0]["invert"]) != ("Removed", True):
+            raise ValueError("only for vocabularies that normalise by NFC, single spaces and lower case, and drop the white space between words")
 
     def _slow(self, word: str) -> bytes:
         return np.array(self.full.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            letters = piece if piece.isascii() else "".join(self.level[b] for b in piece.encode())
-            got = np.array([t.id for t in self.model.tokenize(letters)], self.kind).tobytes()
-            if len(self.pieces) >= CACHE_WORDS // 4:
-                self.pieces.clear()
-            self.pieces[piece] = got
-        return got
-
-    def _word(self, raw: bytes) -> bytes:
-        word = raw.decode()
-        if "<|" in word or not self.plain(word):
-            return self._slow(word)
-        return b"".join(map(self._piece, self.cut(word.lower())))
+    def _piece(self, raw: bytes) -> bytes:
+        letters = raw.decode() if raw.isascii() else "".join([self.level[b] for b in raw])
+        return struct.pack(f"<{len(got)}{'H' if self.kind is np.uint16 else 'I'}", *got) if (got := [t.id for t in self.model.tokenize(letters)]) else b""
 
     def encode(self, t: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row with ``end_id`` after each, and the texts' bounds in them."""
-        raw = t.buf.tobytes()
-        if b"<|" not in raw:  # upper and lower case encode alike but in special tokens
-            raw = lower_ascii(t.buf).tobytes()
-        buf = np.frombuffer(raw, np.uint8)
+        special = b"<|" in t.buf.tobytes()
+        buf = t.buf if special else folded(t.buf)  # upper and lower case encode alike but in special tokens
         w = words(Texts(t.first, buf, t.bounds))
-        codes, example, which = np.unique(RangeHash(buf).of(w.start, w.end), return_index=True, return_inverse=True)
-        if len(self.number) + len(codes) > CACHE_WORDS:
-            self.forget()
-        keys = codes.tolist()
-        new = [k for k, c in enumerate(keys) if c not in self.number]
-        if new:
-            starts, ends = w.start[example].tolist(), w.end[example].tolist()
-            got = []
-            for k in new:
-                self.number[keys[k]] = len(self.number)
-                got.append(self._word(raw[starts[k] : ends[k]]))
-            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(got), self.kind)])
-            size = np.fromiter(map(len, got), np.int64, len(got)) // self.flat.itemsize
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(size)])
-        number = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))[which]
-        size = self.at[number + 1] - self.at[number]
+        odd = ODD[buf]
+        if special:  # nothing is folded then
+            odd |= (buf == 0x3C) | (buf == 0xC3) | (buf >= 65) & (buf <= 90)
+        odd[1:] |= (buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))  # a sign, not a letter
+        odd = np.r_[0, np.cumsum(odd)]
+        whole = odd[w.end] > odd[w.start]
+        kind = CLASS[buf]
+        kind[SPACE[buf]] = NONE
+        mark = np.zeros(len(buf) + 1, np.int32)
+        mark[w.start[whole]] += 1
+        mark[w.end[whole]] -= 1
+        kind[np.cumsum(mark[:-1]) > 0] = WHOLE
+        cut = np.zeros(len(buf) + 1, bool)  # a piece begins or the one before ends
+        cut[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        cut[w.start] = cut[w.end] = True
+        start = np.flatnonzero(cut[:-1] & (kind != NONE))
+        end = np.flatnonzero(cut)
+        end = end[np.searchsorted(end, start, "right")]
+        a, b = (codes(buf, start, end, seed) for seed in (0, 1))
+        number = self.table.find(a, b)
+        raw = None
+        while len(new := np.flatnonzero(number < 0)):
+            one = new[np.unique(a[new], return_index=True)[1]]
+            if self.table.count + len(one) > CACHE_WORDS and self.table.count:
+                self.table.forget()
+                one = np.unique(a, return_index=True)[1]
+            self.table.fit(len(one))
+            raw = raw or buf.tobytes()
+            slow = (kind[start[one]] == WHOLE).tolist()
+            got = [self._slow(raw[i:j].decode()) if s else self._piece(raw[i:j]) for i, j, s in zip(start[one].tolist(), end[one].tolist(), slow, strict=True)]
+            self.table.add(a[one], b[one], got)
+            number = self.table.find(a, b)
+        size = self.table.at[number + 1] - self.table.at[number]
         ends = np.cumsum(size)
-        before = np.concatenate([[0], ends])[w.first]  # of each text's first word
+        before = np.r_[0, ends][np.searchsorted(start, t.bounds)]  # of each text's first piece
         total = int(ends[-1]) if len(ends) else 0
-        pick = np.repeat(self.at[number] - (ends - size), size) + np.arange(total)
+        pick = np.repeat(self.table.at[number] - (ends - size), size) + np.arange(total)
         bounds = before + np.arange(len(t) + 1)
         out = np.empty(total + len(t), self.kind)
         hole = np.ones(len(out), bool)
         hole[bounds[1:] - 1] = False
-        out[hole] = self.flat[pick]
+        out[hole] = self.table.flat[pick]
         out[bounds[1:] - 1] = end_id
         return out, bounds
 
@@ -339,7 +416,9 @@ def write_store(encoded: DataFrame, path: str, width: int = 2, max_length: int =
         disk.move(own, name)
         yield pa.RecordBatch.from_pylist([{"part": part, "file": name.rsplit("/", 1)[1], "docs": len(docs_), "ids": int(sizes_.sum())}], pa.schema([("part", pa.int32()), ("file", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]))
 
-    ranged = encoded.select("doc_id", "ids").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
+    # rows of one id may be many, so their tokens' hash takes part in the ranges
+    tie = F.xxhash64("ids")
+    ranged = encoded.select("doc_id", "ids").repartitionByRange(parts, "doc_id", tie).sortWithinPartitions("doc_id", tie, "ids")
     return written(ranged.mapInArrow(run, "part int, file string, docs long, ids long"), "files")
 
 
@@ -430,6 +509,7 @@ def digests(decoded: DataFrame) -> DataFrame:
 def token_store(docs: DataFrame, vocab_path: str, end_id: int = 1, width: int = 2) -> DataFrame:
     """Tokenize, write and read back all of ``docs``; see the module's text for the cases."""
     spark = docs.sparkSession
-    encoded = written(tokenize(docs, vocab_path, end_id, width=width), "ids")
     path = scratch_path(spark, "tokens")
-    return digests(read_store(spark, path, write_store(encoded, path, width)))
+    with scope(spark):
+        encoded = written(tokenize(docs, vocab_path, end_id, width=width), "ids")
+        return digests(read_store(spark, path, write_store(encoded, path, width)))
