@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, lower_ascii, mix, powers, steps, words, written
+from .common import Texts, codes, lower_ascii, mix, powers, steps, words, written
 
 BUCKETS, COMMON = 1 << 12, 64
 MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 50, 200, 1000
@@ -60,7 +60,7 @@ SYMBOL[list(b"[#*$%&|<>]"[1:-1])] = True
 
 
 def buckets(t: Texts, w) -> np.ndarray:
-    return (RangeHash(lower_ascii(t.buf)).of(w.start, w.end) >> np.uint64(52)).astype(np.int64)
+    return (codes(lower_ascii(t.buf), w.start, w.end) >> np.uint64(52)).astype(np.int64)
 
 
 def histogram(rows: np.ndarray, cells: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -134,14 +134,14 @@ def reference_counts(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- base counts
 
 
-def repeated_words(codes: np.ndarray, first: np.ndarray, width: int = 3) -> np.ndarray:
+def repeated_words(word: np.ndarray, first: np.ndarray, width: int = 3) -> np.ndarray:
     """Per text: words in windows of ``width`` words that occur twice or more in it."""
     n, counts = len(first) - 1, np.diff(first)
     owner = np.repeat(np.arange(n), counts)
-    m = len(codes) - width + 1
+    m = len(word) - width + 1
     if m <= 0:
         return np.zeros(n, np.int64)
-    mult, spread = powers(width + 1)[0], mix(codes)
+    mult, spread = powers(width + 1)[0], mix(word)
     h = mix(sum(spread[j : j + m] * mult[j + 1] for j in range(width)))
     at = np.flatnonzero(owner[:m] == owner[width - 1 :])
     rank = np.lexsort((h[at], owner[at]))
@@ -149,7 +149,7 @@ def repeated_words(codes: np.ndarray, first: np.ndarray, width: int = 3) -> np.n
     same = (s[1:] == s[:-1]) & (o[1:] == o[:-1])
     again = np.zeros(len(at), bool)
     again[rank] = np.r_[False, same] | np.r_[same, False]
-    mark = np.zeros(len(codes) + 1, np.int64)
+    mark = np.zeros(len(word) + 1, np.int64)
     np.add.at(mark, at[again], 1)
     np.add.at(mark, at[again] + width, -1)
     return np.bincount(owner[np.cumsum(mark[:-1]) > 0], minlength=n)
@@ -166,7 +166,7 @@ def repeated_lines(t: Texts) -> np.ndarray:
     solid = np.r_[0, np.cumsum(~np.isin(t.buf, np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8)))]
     has = solid[end] > solid[start]
     start, end, text = start[has], end[has], text[has]
-    h = RangeHash(t.buf).of(start, end)
+    h = codes(t.buf, start, end)
     rank = np.lexsort((h, text))
     s, o = h[rank], text[rank]
     dup = (s[1:] == s[:-1]) & (o[1:] == o[:-1])
@@ -208,12 +208,11 @@ def judge(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str
         for b in batches:
             for t in steps(b.column(0)):
                 n, w = len(t), words(t)
-                codes = RangeHash(t.buf).of(w.start, w.end)
                 n_words = np.diff(w.first)
                 lead = np.r_[0, np.cumsum((t.buf & 0xC0) != 0x80)]
                 chars = np.bincount(w.text, lead[w.end] - lead[w.start], n).astype(np.int64)
                 symbols = np.diff(np.r_[0, np.cumsum(SYMBOL[t.buf])][t.bounds])
-                rep = repeated_words(codes, w.first)
+                rep = repeated_words(codes(t.buf, w.start, w.end), w.first)
                 failed = (n_words < 50) | (100 * rep > 50 * n_words)
                 cls = CLASS[t.buf]
                 at = np.flatnonzero(cls >= 0)
