@@ -37,8 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, mix, powers, steps, written
-from .toxicity import folded
+from .common import Texts, codes, folded, mix, powers, steps, written
 
 K1, B = 1.2, 0.75
 THETA = 0.6
@@ -62,7 +61,7 @@ def terms(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     before, after = np.r_[False, solid], np.r_[solid, False]
     start = np.flatnonzero(after & (~before | edge))
     end = np.flatnonzero(before & (~after | edge))
-    return RangeHash(folded(t.buf)).of(start, end), np.searchsorted(start, t.bounds)
+    return codes(folded(t.buf), start, end), np.searchsorted(start, t.bounds)
 
 
 def grams(h: np.ndarray, width: int) -> np.ndarray:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, steps
+from .common import Texts, codes, folded, steps
 
 MAX_FIT = 20_000
 MAX_VOTERS = 256
@@ -39,14 +39,6 @@ LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
 
 
-def folded(buf: np.ndarray) -> np.ndarray:
-    """Lower case of ASCII and Latin-1 letters, as UTF-8 bytes."""
-    out = np.where((buf >= 65) & (buf <= 90), buf + np.uint8(32), buf)
-    second = np.zeros(len(buf), bool)
-    second[1:] = buf[:-1] == 0xC3
-    return np.where(second & (buf >= 0x80) & (buf <= 0x9E) & (buf != 0x97), buf + np.uint8(32), out)
-
-
 def units(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and word beginnings of a step, and the text of each."""
     solid = LETTER[t.buf]
@@ -56,11 +48,11 @@ def units(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     start = np.flatnonzero(after & (~before | edge))
     end = np.flatnonzero(before & (~after | edge))
     text = np.searchsorted(t.bounds, start, "right") - 1
-    h = RangeHash(folded(t.buf))
-    out, of = [h.of(start, end)], [text]
+    low = folded(t.buf)
+    out, of = [codes(low, start, end)], [text]
     for k in STEMS:
         long = end - start > k
-        out.append(h.of(start[long], start[long] + k))
+        out.append(codes(low, start[long], start[long] + k))
         of.append(text[long])
     return np.concatenate(out), np.concatenate(of)
 
