@@ -1,25 +1,32 @@
 """Exact Jaccard join on word n-grams by vertical partitioning.
 
-Every text becomes its set of distinct word shingles (64-bit hashes; sets are named by the 64-bit
-sum of their mixed hashes, so a wrong answer needs a hash collision). Equal sets form one class and
-one member stands for it. All shingles are put in one global order, rare ones first, by counts over
-the whole corpus in a table of fixed size.
-
-1. *Candidates.* Two sets over the threshold share a shingle within the first quarter of both, in
-   that order. In a small group (a shingle's sets) every pair is a candidate. In a large one about
-   ``LEADERS * TURNS`` sets are leaders and pairs have a leader in them. Leaders take turns: a
-   later turn looks only at pairs whose components still differ, so a group of n sets that are
-   mostly alike counts about n * LEADERS pairs.
-2. *Vertical counts.* The order is cut into ``FRAGMENTS`` stretches of equal weight. Each set is
+Every text becomes its set of distinct word shingles (64-bit hashes). Equal sets form one class, named
+by 64 bits of the set; a second, independent name tells whether two sets share a name by chance, and
+then all are named anew. One member stands for its class.
+
+1. *Classes without a partner.* Of a fixed part of the shingles (``SAMPLE`` of all hashes) those that
+   one class alone has are counted. A class that has too many of them to reach the threshold with any
+   other goes no further; that is most of an ordinary corpus. Shingles are packed by ranges of hashes
+   for the exchange, and one that several classes of a task have travels without them.
+2. *Global order* of the shingles of the classes left, rare ones first, by exact counts. Frequent ones
+   (over ``HEAVY`` plus twice the mean of a table of ``CELLS`` counters) are counted in that table by
+   cell and never gathered; all others are counted in the range of hashes they belong to. Shingles of
+   one class are dropped: they come first in its order, and only their number matters.
+3. *Candidates.* Of two sets over the threshold the smaller one has a shingle of the other within its
+   first seventh (for 75 percent), the larger one within its first quarter. In a small group (a
+   shingle's sets) every pair is a candidate. In a large one a leader meets all others, then about
+   ``LEADERS`` more, which look only at pairs whose components still differ.
+4. *Vertical counts.* The order is cut into ``FRAGMENTS`` stretches of equal weight. Each set is
    cut there too; a candidate's overlap is counted in each fragment by itself and summed per pair.
-3. *Components* of the links, by alternating star contraction in Spark.
-4. *The rest.* In large groups, pairs of sets whose components still differ have not been compared
+5. *Components* of the links, by alternating star contraction in Spark.
+6. *The rest.* In large groups, pairs of sets whose components still differ have not been compared
    unless one is a leader. Every such pair has a member outside the group's main component; all of
    them are made, counted and linked the same way. So no link between components is missed.
 
 Cases: null and empty texts have no shingles, link with nothing and are their own component; a text
 of fewer words than ``width`` has one shingle of all its words; repeated rows are equal sets, each
-with its row; ties in the order fall to the hash; an empty table gives no rows.
+with its row; ties in the order fall to the hash; other columns of any name are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,54 +38,123 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, distinct_by_text, in_map, key_map, lower_ascii, mix, shingles, steps, words, written
+from .common import Texts, codes, distinct_by_text, in_map, key_map, lower_ascii, mix, scope, shingles, steps, words, written
 
-#: Cells of the table of shingle counts (its size does not depend on the input).
-CELL_BITS = 18
-FRAGMENTS = 8
-LEADERS, TURNS = 4, 4
+#: Hashes below this belong to the part of all shingles that the first step looks at: three eighths.
+SAMPLE = np.uint64(3 << 61)
+#: Bits of the number of counters (a table of 8 MB whatever the input), and the least count of a frequent shingle.
+CELL_BITS, HEAVY = 20, 64
+CELL_BLOCKS = 64
+FRAGMENTS = 4
+LEADERS = 4
 RANK_BITS = 57
+#: Shingles that a task holds before it packs them.
+FLUSH = 1 << 21
 
-
-class Order:
-    """The global order: a shingle's key is its count's class (high bits) and its hash (low bits)."""
-
-    def __init__(self, counts: np.ndarray):
-        self.rank = np.minimum(np.round(2 * np.log2(counts + 1.0)), 63).astype(np.uint64)
-        weight = np.bincount(self.rank.astype(np.int64), counts, 64)
-        ends = np.cumsum(weight)
-        cuts = []
-        for k in range(1, FRAGMENTS):
-            want = ends[-1] * k / FRAGMENTS
-            r = int(np.searchsorted(ends, want))
-            if r > 63 or weight[r] == 0:
-                continue
-            part = (want - (ends[r] - weight[r])) / weight[r]
-            cuts.append((r << RANK_BITS) + int(part * 2**RANK_BITS * 0.999999))
-        self.cuts = np.array(cuts, np.int64)
-
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
-        rank = self.rank[hashes >> np.uint64(64 - CELL_BITS)]
-        low = mix(hashes) >> np.uint64(64 - RANK_BITS)
-        return ((rank << np.uint64(RANK_BITS)) | low).astype(np.int64)
+# ---------------------------------------------------------------- sets and their names
 
 
 def sets_of(t: Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of a step and the text of each, by text."""
     buf = lower_ascii(t.buf)
     w = words(Texts(t.first, buf, t.bounds))
-    return distinct_by_text(*shingles(RangeHash(buf).of(w.start, w.end), w.first, width))
+    return distinct_by_text(*shingles(codes(buf, w.start, w.end), w.first, width))
 
 
-def names_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Name of each set: from the sum of its mixed hashes; 0 for the empty set."""
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
+def names_of(hashes: np.ndarray, bounds: np.ndarray, salt: int) -> np.ndarray:
+    """Name of each set: from the sum of its mixed hashes; 0 for the empty set. Salts are independent."""
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ mix(np.array([0x5851F42D4C957F2D + salt], np.uint64))), dtype=np.uint64)])
     n = np.diff(bounds)
     got = mix((sums[bounds[1:]] - sums[bounds[:-1]]) + n.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
     return np.where(n > 0, got, np.uint64(0)).view(np.int64)
 
 
-def threshold_sum(n: np.ndarray | Column, percent: int) -> Column:
+def order_keys(rank: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places in the global order: the class of the count (high bits), then the hash (low bits)."""
+    return ((rank.astype(np.uint64) << np.uint64(RANK_BITS)) | (mix(hashes) >> np.uint64(64 - RANK_BITS))).astype(np.int64)
+
+
+def rank_of(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.round(2 * np.log2(counts + 1.0)), 63).astype(np.uint8)
+
+
+# ---------------------------------------------------------------- packing by ranges of hashes
+
+
+def _binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values: stretches of ``values`` between the element offsets ``ends``."""
+    size = (ends * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(size), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (((hashes & np.uint64(0xFFFFFFFF)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+
+
+PACKED = "bucket int, owners binary, counts binary, hashes binary, shared binary"
+
+
+def pack(hashes: np.ndarray, cls: np.ndarray, shared: np.ndarray, buckets: int) -> dict[str, pa.Array]:
+    """Columns of ``PACKED``: of each bucket the classes, how many hashes each has, the hashes; and ``shared`` ones."""
+    bucket = bucket_of(hashes, buckets)
+    rank = np.lexsort((cls, bucket))
+    hashes, cls, bucket = hashes[rank], cls[rank], bucket[rank]
+    new = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (cls[1:] != cls[:-1])]) if len(cls) else np.zeros(0, np.int64)
+    runs = np.diff(np.r_[new, len(cls)]).astype(np.uint32)
+    own = bucket_of(shared, buckets)
+    shared, own = shared[np.argsort(own, kind="stable")], np.sort(own)
+    every = np.arange(buckets + 1)
+    a, b, c = (np.searchsorted(x, every) for x in (bucket[new], bucket, own))
+    used = np.flatnonzero((np.diff(b) > 0) | (np.diff(c) > 0))
+    cols = {"bucket": pa.array(every[:-1].astype(np.int32)), "owners": _binaries(cls[new], a), "counts": _binaries(runs, a), "hashes": _binaries(hashes, b), "shared": _binaries(shared, c)}
+    return {k: v.take(pa.array(used)) for k, v in cols.items()}
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows that are not packed as they come; (hashes, classes, shared) of each bucket, whose rows follow each other."""
+    held: dict[str, list[bytes]] = {}
+    last = None
+    names = ("owners", "counts", "hashes", "shared")
+    kinds = (np.int64, np.uint32, np.uint64, np.uint64)
+
+    def done() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        owners, counts, hashes, shared = (np.frombuffer(b"".join(held[k]), t) for k, t in zip(names, kinds, strict=True))
+        return hashes, np.repeat(owners, counts), shared
+
+    for b in batches:
+        packed = b.column("hashes").is_valid()
+        rest = b.filter(pa.compute.invert(packed))
+        if rest.num_rows:
+            yield rest
+        part = b.filter(packed)
+        for k, *row in zip(part.column("bucket").to_pylist(), *(part.column(n).to_pylist() for n in names), strict=True):
+            if k != last:
+                if held:
+                    yield done()
+                held, last = {n: [] for n in names}, k
+            for n, v in zip(names, row, strict=True):
+                held[n].append(v)
+    if held:
+        yield done()
+
+
+def distinct_members(hashes: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, class) pairs once, by hash."""
+    rank = np.lexsort((cls, hashes))
+    h, c = hashes[rank], cls[rank]
+    keep = np.ones(len(h), bool)
+    keep[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+    return h[keep], c[keep]
+
+
+def _batch(schema: pa.Schema, n_rows: int, **columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n_rows, f.type) for f in schema], schema=schema)
+
+
+# ---------------------------------------------------------------- the join
+
+
+def least_overlap(n: Column, percent: int) -> Column:
     """Least overlap for two sets of ``n`` shingles together: ceil(percent * n / (100 + percent))."""
     return F.ceil(n * percent / F.lit(100 + percent))
 
@@ -87,124 +163,241 @@ class Join:
     def __init__(self, docs: DataFrame, doc_id: str, text: str, width: int, percent: int):
         self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("k", F.xxhash64("doc_id"))
         self.width, self.percent, self.kind = width, percent, self.docs.schema["doc_id"].dataType.simpleString()
-        self.sc = docs.sparkSession.sparkContext
-
-    # -------------------------------------------------------- passes over the texts
+        self.spark = docs.sparkSession
+        self.parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.docs.rdd.getNumPartitions())
 
-    def order(self) -> Order:
-        width = self.width
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(1 << CELL_BITS, np.int64)
-            for b in batches:
-                for t in steps(b.column(0)):
-                    total += np.bincount((sets_of(t, width)[0] >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(total))
-            cell = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total[cell])], ["cell", "n"])
+    def bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.parts, "bucket").sortWithinPartitions("bucket")
 
-        rows = self.docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-        counts = np.zeros(1 << CELL_BITS, np.int64)
-        counts[rows["cell"].to_numpy()] = rows["n"].to_numpy()
-        return Order(counts)
+    # -------------------------------------------------------- step 1
 
-    def base(self) -> DataFrame:
-        """(doc_id, k, n, cls) of every row; ``k`` is the id's hash."""
-        width = self.width
+    def named(self, salt: int) -> DataFrame:
+        """Rows (doc_id, k, n, cls, again) of all texts, and rows (cls, alone): shingles of no other class in a range."""
+        width, buckets = self.width, 2 * self.parts
+        out = f"doc_id {self.kind}, k long, n long, cls long, again long"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for t in steps(b.column(1)):
-                    h, of = sets_of(t, width)
-                    bounds = np.searchsorted(of, np.arange(len(t) + 1))
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, len(t)), b.column(2).slice(t.first, len(t)), pa.array(np.diff(bounds)), pa.array(names_of(h, bounds))], ["doc_id", "k", "n", "cls"])
-
-        return written(self.docs.mapInArrow(run, f"doc_id {self.kind}, k long, n long, cls long"), "sets")
-
-    def prefixes(self, order, bits=None) -> DataFrame:
-        """(key, cls, n, pos): the first shingles of each set, one set's only once in a task.
+            schema, seen, held, size = None, set(), [], 0
 
-        ``bits``: a bit map of keys; rows of other keys are left out.
-        """
-        width, percent = self.width, self.percent
+            def flush() -> Iterator[pa.RecordBatch]:
+                h, c = (np.concatenate(x) for x in zip(*held, strict=True))
+                rank = np.argsort(h, kind="stable")
+                h, c = h[rank], c[rank]
+                same = h[1:] == h[:-1]
+                many = np.r_[False, same] | np.r_[same, False]
+                cols = pack(h[~many], c[~many], h[many & ~np.r_[False, same]], buckets)
+                yield _batch(schema, len(cols["bucket"]), **cols)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            o, seen = order.value, set()
             for b in batches:
-                for t in steps(b.column(0)):
+                if schema is None:
+                    schema = pa.schema([("doc_id", b.schema.field(0).type), ("k", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("again", pa.int64()), ("bucket", pa.int32()), *((x, pa.binary()) for x in ("owners", "counts", "hashes", "shared"))])
+                for t in steps(b.column(1)):
                     h, of = sets_of(t, width)
                     bounds = np.searchsorted(of, np.arange(len(t) + 1))
-                    cls, n = names_of(h, bounds), np.diff(bounds)
+                    cls, again, n = names_of(h, bounds, 2 * salt), names_of(h, bounds, 2 * salt + 1), np.diff(bounds)
+                    k = b.column(2).slice(t.first, len(t))
+                    where = pa.array((k.to_numpy().view(np.uint64) % np.uint64(buckets)).astype(np.int32))
+                    yield _batch(schema, len(t), doc_id=b.column(0).slice(t.first, len(t)), k=k, n=pa.array(n), cls=pa.array(cls), again=pa.array(again), bucket=where)
                     new = np.zeros(len(t), bool)
                     for i, c in enumerate(cls.tolist()):
                         if c not in seen:
                             seen.add(c)
-                            new[i] = n[i] > 0
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    keys = o.keys(h)
-                    rank = np.lexsort((keys, of))
-                    keys, of = keys[rank], of[rank]
-                    pos = np.arange(len(keys)) - bounds[of]
-                    take = n - -(-percent * n // 100) + 1
-                    keep = (pos < take[of]) & new[of]
-                    if bits is not None:
-                        keep &= in_map(bits.value, keys)
-                    of = of[keep]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(cls[of]), pa.array(n[of].astype(np.int32)), pa.array(pos[keep].astype(np.int32))], ["key", "cls", "n", "pos"])
-
-        return self.docs.select("text").mapInArrow(run, "key long, cls long, n int, pos int")
-
-    def fragments(self, order, base: DataFrame, pairs: DataFrame) -> DataFrame:
-        """(cls, frag, keys): the cut set of a text of each class in ``pairs`` (and of a few others).
-
-        A class may come twice, from repeated rows or by chance; ``links`` takes each fragment once.
-        """
+                            new[i] = True
+                    take = (h < SAMPLE) & new[of]
+                    held.append((h[take], cls[of[take]]))
+                    size += len(held[-1][0])
+                    if size > FLUSH or len(seen) > 1_000_000:
+                        yield from flush()
+                        held, size = [], 0
+                        if len(seen) > 1_000_000:
+                            seen.clear()
+            if held:
+                yield from flush()
+
+        def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            schema = None
+            for x in by_bucket(batches):
+                if isinstance(x, pa.RecordBatch):
+                    x = x.select(["doc_id", "k", "n", "cls", "again"])
+                    yield x.append_column("alone", pa.nulls(x.num_rows, pa.int64()))
+                    continue
+                h, c = distinct_members(x[0], x[1])
+                every = np.concatenate([h, x[2], x[2]])
+                rank = np.argsort(every, kind="stable")
+                s = every[rank]
+                edge = np.r_[True, s[1:] != s[:-1], True]
+                own, n = np.unique(c[rank[edge[1:] & edge[:-1]]], return_counts=True)
+                schema = schema or pa.schema([("doc_id", kind), *((f, pa.int64()) for f in ("k", "n", "cls", "again", "alone"))])
+                yield _batch(schema, len(own), cls=pa.array(own), alone=pa.array(n))
+
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        kind = to_arrow_type(self.docs.schema["doc_id"].dataType)
+        packed = self.docs.select("doc_id", "text", "k").mapInArrow(run, f"{out}, {PACKED}")
+        return written(self.bucketed(packed).mapInArrow(alone, f"{out}, alone long"), "named")
+
+    def classes(self, named: DataFrame) -> DataFrame:
+        """(cls, n, k, rows, clash) of each class; ``clash`` where different sets have one name."""
+        sets = named.filter("alone is null and n > 0").groupBy("cls").agg(F.max("n").alias("n"), F.min("k").alias("k"), (F.min("again") != F.max("again")).alias("clash"))
+        alone = named.filter("alone is not null").groupBy("cls").agg(F.sum("alone").alias("alone"))
+        left = F.col("n") - F.coalesce("alone", F.lit(0))  # that another class may have
+        return sets.join(alone, "cls", "left").select("cls", "n", "k", "clash", (100 * left >= self.percent * F.col("n")).alias("open"))
+
+    # -------------------------------------------------------- step 2
+
+    def open_sets(self, classes: DataFrame, salt: int) -> DataFrame:
+        """(cls, n, hashes) of a text of each open class (and of a few others)."""
         width = self.width
-        classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        wanted = base.groupBy("cls").agg(F.min("k").alias("k")).join(classes, "cls", "left_semi")
-        shared = self.sc.broadcast(key_map(wanted, "k"))
+        shared = self.spark.sparkContext.broadcast(key_map(classes, "k"))  # a map of fixed size
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            o, bits = order.value, shared.value
             for b in batches:
-                k = b.column(1).to_numpy()
+                b = b.filter(pa.array(in_map(shared.value, b.column(1).to_numpy())))
                 for t in steps(b.column(0)):
-                    hit = in_map(bits, k[t.first : t.first + len(t)])
-                    if not hit.any():
-                        continue
                     h, of = sets_of(t, width)
-                    cls = names_of(h, np.searchsorted(of, np.arange(len(t) + 1)))
-                    keys = o.keys(h[hit[of]])
-                    of = of[hit[of]]
-                    rank = np.lexsort((keys, of))
-                    keys, of = keys[rank], of[rank]
-                    frag = np.searchsorted(o.cuts, keys, "right")
-                    start = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (frag[1:] != frag[:-1])]) if len(of) else np.zeros(0, np.int64)
-                    ends = np.r_[start, len(of)].astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))
-                    yield pa.RecordBatch.from_arrays([pa.array(cls[of[start]]), pa.array(frag[start].astype(np.int32)), lists], ["cls", "frag", "keys"])
+                    bounds = np.searchsorted(of, np.arange(len(t) + 1))
+                    lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(h.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(names_of(h, bounds, 2 * salt)), pa.array(np.diff(bounds)), lists], ["cls", "n", "hashes"])
+
+        return written(self.docs.select("text", "k").mapInArrow(run, "cls long, n long, hashes array<long>"), "open")
+
+    def heavy(self, sets: DataFrame) -> np.ndarray:
+        """Rank of each cell of shingles that is frequent; 0 for the others."""
+        per = (1 << CELL_BITS) // CELL_BLOCKS
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(1 << CELL_BITS, np.int64)
+            for b in batches:
+                h = b.column(0).flatten().to_numpy().view(np.uint64)
+                total += np.bincount((h >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(total))
+            if total.any():
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(CELL_BLOCKS, dtype=np.int32)), _binaries(total, np.arange(CELL_BLOCKS + 1) * per)], ["block", "counts"])
 
-        return written(self.docs.select("text", "k").mapInArrow(run, "cls long, frag int, keys array<long>"), "fragments")
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            have: dict[int, np.ndarray] = {}
+            for b in batches:
+                for k, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    have[k] = have.get(k, 0) + np.frombuffer(raw, np.int64)
+            for k, v in have.items():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.tobytes()])], ["block", "counts"])
+
+        rows = sets.select("hashes").mapInArrow(count, "block int, counts binary").repartition(CELL_BLOCKS, "block").mapInArrow(add, "block int, counts binary")
+        total = np.zeros((CELL_BLOCKS, per), np.int64)
+        for r in rows.toArrow().to_pylist():  # CELL_BLOCKS rows, 8 MB
+            total[r["block"]] = np.frombuffer(r["counts"], np.int64)
+        total = total.reshape(-1)
+        return np.where(total >= HEAVY + 2 * total.mean(), rank_of(total), 0).astype(np.uint8)
+
+    def ordered(self, sets: DataFrame) -> DataFrame:
+        """(cls, n, keys): the shingles that other classes have as well, in the global order."""
+        level = self.spark.sparkContext.broadcast(self.heavy(sets))  # one byte per cell
+        buckets = 2 * self.parts
+        schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("bucket", pa.int32()), *((x, pa.binary()) for x in ("owners", "counts", "hashes", "shared"))])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size, none = [], 0, np.zeros(0, np.uint64)
 
-    # -------------------------------------------------------- joins
+            def flush() -> Iterator[pa.RecordBatch]:
+                cols = pack(*(np.concatenate(x) for x in zip(*held, strict=True)), none, buckets)
+                yield _batch(schema, len(cols["bucket"]), **cols)
+
+            for b in batches:
+                cls, lists = b.column(0).to_numpy(), b.column(2)
+                h = lists.flatten().to_numpy().view(np.uint64)
+                ends = lists.offsets.to_numpy().astype(np.int64)
+                of = np.repeat(np.arange(len(cls)), np.diff(ends))
+                rank = level.value[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                hot = rank > 0
+                at = np.searchsorted(of[hot], np.arange(len(cls) + 1)).astype(np.int32)
+                where = (b.column(0).to_numpy().view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+                yield _batch(schema, len(cls), cls=b.column(0), n=b.column(1), keys=pa.ListArray.from_arrays(pa.array(at), pa.array(order_keys(rank[hot], h[hot]))), bucket=pa.array(where))
+                held.append((h[~hot], cls[of[~hot]]))
+                size += len(held[-1][0])
+                if size > FLUSH:
+                    yield from flush()
+                    held, size = [], 0
+            if held:
+                yield from flush()
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = pa.schema([schema.field(i) for i in range(3)])
+            for x in by_bucket(batches):
+                if isinstance(x, pa.RecordBatch):
+                    yield x.select(["cls", "n", "keys"])
+                    continue
+                h, c = distinct_members(x[0], x[1])
+                _, at, n = np.unique(h, return_inverse=True, return_counts=True)
+                n = n[at]
+                many = n > 1
+                keys, c = order_keys(rank_of(n[many]), h[many]), c[many]
+                rank = np.argsort(c, kind="stable")
+                keys, c = keys[rank], c[rank]
+                new = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.zeros(0, np.int64)
+                yield _batch(out, len(new), cls=pa.array(c[new]), keys=pa.ListArray.from_arrays(pa.array(np.r_[new, len(c)].astype(np.int32)), pa.array(keys)))
+
+        rows = self.bucketed(sets.mapInArrow(run, f"cls long, n long, keys array<long>, {PACKED}")).mapInArrow(count, "cls long, n long, keys array<long>")
+        # a class's own shingles; a class of several rows may come more than once
+        return written(rows.groupBy("cls").agg(F.max("n").alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("keys")), "ordered")
+
+    # -------------------------------------------------------- steps 3 and 4
+
+    def groups(self, sets: DataFrame) -> DataFrame:
+        """(key, cls, n, pos, small, m, turn): the first shingles of each set that may lead to a partner."""
+        p, n = self.percent, F.col("n")
+        sets = sets.withColumn("u", n - F.size("keys")).withColumn("probe", (n - F.ceil(n * p / F.lit(100)) + 1).cast("int"))
+        sets = sets.withColumn("index", n - F.ceil(n * (2 * p) / F.lit(100 + p)) + 1)
+        rows = sets.select("cls", "n", "u", "index", F.posexplode(F.slice("keys", F.lit(1), F.greatest(F.col("probe") - F.col("u"), F.lit(0)).cast("int"))).alias("at", "key"))
+        pos = (F.col("u") + F.col("at")).cast("int")
+        rows = written(rows.select("key", "cls", F.col("n").cast("int").alias("n"), pos.alias("pos"), (pos < F.col("index")).alias("small")), "prefixes")
+        lead = F.struct(F.xxhash64("cls").alias("h"), "cls")
+        group = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("small").alias("any"), F.min(lead).alias("first")).filter("m > 1 and any").select("key", "m", F.col("first.cls").alias("first"))
+        # turn 0: all of a small group, or the first of a large one; turn 1: about LEADERS more; 2: never
+        share = F.pmod(F.xxhash64("cls", F.lit(1)), F.lit(1 << 20)) * F.col("m")
+        turn = F.when((F.col("m") <= LEADERS) | (F.col("cls") == F.col("first")), 0).when(share < LEADERS << 20, 1).otherwise(2)
+        return written(rows.join(group, "key").withColumn("turn", turn).drop("first"), "groups")
 
     def candidates(self, a: DataFrame, b: DataFrame, apart: Column) -> DataFrame:
         """Pairs (a, b, both, first turn) of rows of one group that sizes and places do not rule out."""
         x, y = a.alias("x"), b.alias("y")
-        need = threshold_sum(F.col("x.n") + F.col("y.n"), self.percent)
-        rest = 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
+        need = least_overlap(F.col("x.n") + F.col("y.n"), self.percent)
+        rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
         sizes = 100 * F.least("x.n", "y.n") >= self.percent * F.greatest("x.n", "y.n")
-        j = x.join(y, F.col("x.key") == F.col("y.key")).filter((F.col("x.cls") != F.col("y.cls")) & apart & sizes & (rest >= need))
+        less = (F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls"))
+        early = F.when(less, F.col("x.small")).otherwise(F.col("y.small"))
+        j = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") != F.col("y.cls")) & apart & sizes & early & (rest >= need))
         j = j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both"), F.least("x.turn", "y.turn").alias("turn"))
         return j.groupBy("a", "b", "both").agg(F.min("turn").alias("turn"))
 
+    def cuts(self, sets: DataFrame) -> list[int]:
+        """Places of the order between the fragments, by the shingles of all sets."""
+        rows = sets.select(F.explode(F.transform("keys", lambda x: F.shiftright(x, RANK_BITS))).alias("r")).groupBy("r").agg(F.count(F.lit(1)).alias("n")).collect()  # 64 ranks
+        weight = np.zeros(64)
+        for r in rows:
+            weight[r.r] = r.n
+        ends = np.cumsum(weight)
+        out = []
+        for k in range(1, FRAGMENTS):
+            want = ends[-1] * k / FRAGMENTS
+            r = int(np.searchsorted(ends, want))
+            if r < 64 and weight[r]:
+                out.append((r << RANK_BITS) + int((want - (ends[r] - weight[r])) / weight[r] * 2**RANK_BITS * 0.999999))
+        return out
+
+    def fragments(self, sets: DataFrame, pairs: DataFrame, cuts: list[int]) -> DataFrame:
+        """(cls, frag, keys): the cut sets of the classes in ``pairs``."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        edges = [None, *cuts, None]
+        inside = lambda lo, hi: lambda x: (F.lit(True) if lo is None else x >= lo) & (F.lit(True) if hi is None else x < hi)
+        parts = [F.struct(F.lit(i).alias("frag"), F.filter("keys", inside(lo, hi)).alias("keys")) for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+        rows = sets.join(wanted, "cls", "left_semi").select("cls", F.explode(F.array(*parts)).alias("f")).select("cls", "f.*").filter(F.size("keys") > 0)
+        return written(rows, "fragments")
+
     def links(self, pairs: DataFrame, fragments: DataFrame) -> DataFrame:
         """The pairs (a, b) over the threshold: overlaps counted by fragment and summed."""
         left = fragments.select(F.col("cls").alias("a"), "frag", F.col("keys").alias("ka"))
         right = fragments.select(F.col("cls").alias("b"), "frag", F.col("keys").alias("kb"))
-        part = pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "both", "frag", F.size(F.array_intersect("ka", "kb")).alias("o"))
-        each = [F.max(F.when(F.col("frag") == f, F.col("o"))).alias(f"o{f}") for f in range(FRAGMENTS)]
-        total = part.groupBy("a", "b", "both").agg(*each).withColumn("o", sum(F.coalesce(F.col(f"o{f}"), F.lit(0)) for f in range(FRAGMENTS)))
+        part = pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "both", F.size(F.array_intersect("ka", "kb")).alias("o"))
+        total = part.groupBy("a", "b", "both").agg(F.sum("o").alias("o"))
         return total.filter(100 * F.col("o") >= self.percent * (F.col("both") - F.col("o"))).select("a", "b")
 
 
@@ -214,71 +407,100 @@ def star_components(links: DataFrame) -> DataFrame:
     Alternating large and small stars until the edges stay the same; each step is a minimum per
     node (combined before the shuffle) and a join.
     """
+    spark = links.sparkSession
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
     mark = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = written(large, "edges")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct()
-        edges = written(small, "edges")
+        with scope(spark) as keep:
+            both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+            large = written(large, "edges")
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct()
+            edges = written(small, "edges")
+            keep.append(edges)
         now = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first()
         if now == mark:
             return edges.select(F.col("u").alias("cls"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("cls"), F.col("v").alias("label")).distinct())
         mark = now
 
 
+class Labels:
+    """Components of the links found so far: (cls, label)."""
+
+    def __init__(self, join: Join):
+        self.join = join
+        self.table = join.spark.createDataFrame([], "cls long, label long")
+
+    def add(self, pairs: DataFrame, fragments: DataFrame) -> None:
+        with scope(self.join.spark) as keep:
+            links = written(self.join.links(pairs, fragments), "links")
+            if not links.isEmpty():
+                self.table = written(star_components(links.unionByName(self.table.select(F.col("cls").alias("a"), F.col("label").alias("b")))), "labels")
+                keep.append(self.table)
+
+    def differ(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose components differ."""
+        a, b = (self.table.select(F.col("cls").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+        return pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb")
+
+
+def link_classes(j: Join, sets: DataFrame) -> DataFrame:
+    """(cls, label) of the classes that are linked with others."""
+    labels = Labels(j)
+    rows = j.groups(sets)
+    both_lead = (F.col("y.turn") > 1) | (F.col("x.cls") < F.col("y.cls"))
+    pairs = written(j.candidates(rows.filter("turn < 2"), rows, both_lead), "pairs")
+    if pairs.isEmpty():
+        return labels.table
+    cuts = j.cuts(sets)
+    fragments = j.fragments(sets, pairs, cuts)
+    labels.add(pairs.filter("turn = 0").select("a", "b", "both"), fragments)
+    more = written(labels.differ(pairs.filter("turn = 1").select("a", "b", "both")), "pairs")
+    if not more.isEmpty():
+        labels.add(more, fragments)
+    # what is left in large groups
+    large = rows.filter(F.col("m") > LEADERS)
+    marked = written(large.join(labels.table, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "marked")
+    main = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+    marked = written(marked.join(main.filter("labels > 1").drop("labels"), "key").withColumn("minor", F.col("label") != F.col("main")).drop("main").filter("turn = 2"), "marked")
+    minor = marked.filter("minor")
+    if not minor.isEmpty():
+        apart = (F.col("x.label") != F.col("y.label")) & (~F.col("y.minor") | (F.col("x.cls") < F.col("y.cls")))
+        rest = written(j.candidates(minor, marked, apart).join(pairs, ["a", "b"], "left_anti").select("a", "b", "both"), "pairs")
+        if not rest.isEmpty():
+            labels.add(rest, j.fragments(sets, rest, cuts))
+    return labels.table
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): texts are linked when 100 * |A & B| >= percent * |A | B|.
 
     ``component_id`` is the smallest doc_id reachable by links, the row's own included.
     """
     j = Join(docs, doc_id, text, width, percent)
-    order = j.sc.broadcast(j.order())  # a fixed number of cells
-    base = j.base()
-    # keys of two classes or more, told apart by half of the name; then only rows that may have them
-    half = F.expr("cast(shiftright(cls, 32) as int)")
-    top = written(j.prefixes(order).groupBy("key").agg(F.max(half).alias("top"), F.min(half).alias("low")).filter("top <> low").select("key"), "shared")
-    shared = written(j.prefixes(order, j.sc.broadcast(key_map(top, "key"))).join(top, "key").distinct(), "prefixes")
-    size = written(shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "groups")
-    # the share of a set's hash says in which turn it leads the group; TURNS and more: never
-    turn = F.floor(F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) * F.col("m") / (LEADERS * (1 << 20))).cast("int")
-    turn = F.when(F.col("m") <= LEADERS, 0).otherwise(turn)
-    shared = written(shared.join(size, "key").withColumn("turn", turn).withColumn("lead", turn < TURNS), "groups")
-    both_lead = ~F.col("y.lead") | (F.col("x.cls") < F.col("y.cls"))
-    pairs = written(j.candidates(shared.filter("lead"), shared, both_lead), "pairs")
-    large = shared.filter(F.col("m") > LEADERS)
-    fragments = j.fragments(order, base, pairs)
-    none = docs.sparkSession.createDataFrame([], "cls long, label long")
-    labels = none
-    for k in range(TURNS):
-        now = pairs.filter(F.col("turn") == k)
-        if k:
-            la, lb = labels.select(F.col("cls").alias("a"), F.col("label").alias("la")), labels.select(F.col("cls").alias("b"), F.col("label").alias("lb"))
-            now = now.join(la, "a", "left").join(lb, "b", "left").filter(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-        now = written(now.select("a", "b", "both"), "turn")
-        if now.isEmpty():
-            continue
-        links = written(j.links(now, fragments), "links")
-        if not links.isEmpty():
-            labels = written(star_components(links.unionByName(labels.select(F.col("cls").alias("a"), F.col("label").alias("b")))), "labels")
-    # what is left in large groups
-    marked = large.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    marked = written(marked, "marked")
-    main = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-    main = written(main.filter("labels > 1").drop("labels"), "main")
-    minor = written(marked.join(main, "key").filter("label <> main").drop("main"), "minor")
-    if not minor.isEmpty():
-        other = marked.join(main, "key").withColumn("minor", F.col("label") != F.col("main")).drop("main")
-        apart = (F.col("x.label") != F.col("y.label")) & (~F.col("y.minor") | (F.col("x.cls") < F.col("y.cls"))) & ~F.col("x.lead") & ~F.col("y.lead")
-        rest = written(j.candidates(minor, written(other, "others"), apart).join(pairs, ["a", "b"], "left_anti").select("a", "b", "both"), "pairs")
-        more = written(j.links(rest, j.fragments(order, base, rest)), "links")
-        if not more.isEmpty():
-            labels = written(star_components(more.unionByName(labels.select(F.col("cls").alias("a"), F.col("label").alias("b")))), "labels")
-    named = base.drop("k").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    named = written(named, "named")
-    least = written(named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
-    out = named.join(least, "label", "left")
+    with scope(j.spark) as keep:
+        salt = 0
+        while True:
+            with scope(j.spark) as kept:
+                named = j.named(salt)
+                classes = written(j.classes(named), "classes")
+                if clash := not classes.filter("clash").isEmpty():
+                    salt += 1
+                else:
+                    kept += [named, classes]
+            if not clash:
+                break
+        with scope(j.spark) as kept:
+            sets = j.ordered(j.open_sets(classes.filter("open"), salt))
+            kept.append(sets)
+        with scope(j.spark) as kept:
+            labels = link_classes(j, sets)
+            kept.append(labels)
+        rows = named.filter("alone is null").select("doc_id", "n", "cls").join(labels, "cls", "left")
+        rows = written(rows.select("doc_id", "n", F.coalesce("label", "cls").alias("label")), "labelled")
+        least = written(rows.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
+        keep += [rows, least]
+    out = rows.join(least, "label", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
