@@ -32,6 +32,7 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -94,9 +95,12 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 PACKED = "bucket int, owners binary, counts binary, hashes binary, shared binary"
 
 
-def pack(hashes: np.ndarray, cls: np.ndarray, shared: np.ndarray, buckets: int) -> dict[str, pa.Array]:
-    """Columns of ``PACKED``: of each bucket the classes, how many hashes each has, the hashes; and ``shared`` ones."""
-    bucket = bucket_of(hashes, buckets)
+def pack(hashes: np.ndarray, cls: np.ndarray, shared: np.ndarray, buckets: int, by: np.ndarray | None = None) -> dict[str, pa.Array]:
+    """Columns of ``PACKED``: of each bucket the classes, how many hashes each has, the hashes; and ``shared`` ones.
+
+    Buckets are ranges of the hashes, or of what is given in ``by``.
+    """
+    bucket = bucket_of(hashes if by is None else by, buckets)
     rank = np.lexsort((cls, bucket))
     hashes, cls, bucket = hashes[rank], cls[rank], bucket[rank]
     new = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (cls[1:] != cls[:-1])]) if len(cls) else np.zeros(0, np.int64)
@@ -138,6 +142,32 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | tu
         yield done()
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], solve) -> Iterator[pa.RecordBatch]:
+    """``solve(rows, hashes, classes)`` of each bucket: its rows that are not packed, and what the others hold."""
+    rows: list[pa.RecordBatch] = []
+    packed: list[tuple[np.ndarray, np.ndarray]] = []
+    last = None
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if rows:
+            none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield from solve(rows, *(np.concatenate(x) for x in zip(none, *packed, strict=True)))
+
+    for b in batches:
+        bucket = b.column("bucket").to_numpy()
+        edges = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)].tolist() if len(bucket) else [0]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            if bucket[lo] != last:
+                yield from done()
+                rows, packed, last = [], [], bucket[lo]
+            for x in by_bucket(iter([b.slice(lo, hi - lo)])):
+                if isinstance(x, pa.RecordBatch):
+                    rows.append(x)
+                else:
+                    packed.append(x[:2])
+    yield from done()
+
+
 def distinct_members(hashes: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, class) pairs once, by hash."""
     rank = np.lexsort((cls, hashes))
@@ -181,6 +211,8 @@ class Join:
 
             def flush() -> Iterator[pa.RecordBatch]:
                 h, c = (np.concatenate(x) for x in zip(*held, strict=True))
+                if not len(h):
+                    return
                 rank = np.argsort(h, kind="stable")
                 h, c = h[rank], c[rank]
                 same = h[1:] == h[:-1]
@@ -190,7 +222,7 @@ class Join:
 
             for b in batches:
                 if schema is None:
-                    schema = pa.schema([("doc_id", b.schema.field(0).type), ("k", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("again", pa.int64()), ("bucket", pa.int32()), *((x, pa.binary()) for x in ("owners", "counts", "hashes", "shared"))])
+                    schema = pa.schema([b.schema.field(0), ("k", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("again", pa.int64()), ("bucket", pa.int32()), *((x, pa.binary()) for x in ("owners", "counts", "hashes", "shared"))])
                 for t in steps(b.column(1)):
                     h, of = sets_of(t, width)
                     bounds = np.searchsorted(of, np.arange(len(t) + 1))
@@ -215,11 +247,13 @@ class Join:
                 yield from flush()
 
         def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            schema = None
-            for x in by_bucket(batches):
+            first = next(batches, None)
+            if first is None:
+                return
+            schema = pa.schema([first.schema.field("doc_id"), *((f, pa.int64()) for f in ("k", "n", "cls", "again", "alone"))])
+            for x in by_bucket(chain([first], batches)):
                 if isinstance(x, pa.RecordBatch):
-                    x = x.select(["doc_id", "k", "n", "cls", "again"])
-                    yield x.append_column("alone", pa.nulls(x.num_rows, pa.int64()))
+                    yield _batch(schema, x.num_rows, **{f: x.column(f) for f in schema.names[:-1]})
                     continue
                 h, c = distinct_members(x[0], x[1])
                 every = np.concatenate([h, x[2], x[2]])
@@ -227,12 +261,8 @@ class Join:
                 s = every[rank]
                 edge = np.r_[True, s[1:] != s[:-1], True]
                 own, n = np.unique(c[rank[edge[1:] & edge[:-1]]], return_counts=True)
-                schema = schema or pa.schema([("doc_id", kind), *((f, pa.int64()) for f in ("k", "n", "cls", "again", "alone"))])
                 yield _batch(schema, len(own), cls=pa.array(own), alone=pa.array(n))
 
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        kind = to_arrow_type(self.docs.schema["doc_id"].dataType)
         packed = self.docs.select("doc_id", "text", "k").mapInArrow(run, f"{out}, {PACKED}")
         return written(self.bucketed(packed).mapInArrow(alone, f"{out}, alone long"), "named")
 
@@ -309,7 +339,7 @@ class Join:
                 rank = level.value[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 hot = rank > 0
                 at = np.searchsorted(of[hot], np.arange(len(cls) + 1)).astype(np.int32)
-                where = (b.column(0).to_numpy().view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+                where = bucket_of(cls.view(np.uint64), buckets)
                 yield _batch(schema, len(cls), cls=b.column(0), n=b.column(1), keys=pa.ListArray.from_arrays(pa.array(at), pa.array(order_keys(rank[hot], h[hot]))), bucket=pa.array(where))
                 held.append((h[~hot], cls[of[~hot]]))
                 size += len(held[-1][0])
@@ -320,24 +350,36 @@ class Join:
                 yield from flush()
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = pa.schema([schema.field(i) for i in range(3)])
             for x in by_bucket(batches):
                 if isinstance(x, pa.RecordBatch):
-                    yield x.select(["cls", "n", "keys"])
+                    yield x
                     continue
                 h, c = distinct_members(x[0], x[1])
                 _, at, n = np.unique(h, return_inverse=True, return_counts=True)
                 n = n[at]
                 many = n > 1
-                keys, c = order_keys(rank_of(n[many]), h[many]), c[many]
-                rank = np.argsort(c, kind="stable")
-                keys, c = keys[rank], c[rank]
-                new = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.zeros(0, np.int64)
-                yield _batch(out, len(new), cls=pa.array(c[new]), keys=pa.ListArray.from_arrays(pa.array(np.r_[new, len(c)].astype(np.int32)), pa.array(keys)))
+                cols = pack(order_keys(rank_of(n[many]), h[many]).view(np.uint64), c[many], np.zeros(0, np.uint64), buckets, c[many].view(np.uint64))
+                yield _batch(schema, len(cols["bucket"]), **cols)
 
-        rows = self.bucketed(sets.mapInArrow(run, f"cls long, n long, keys array<long>, {PACKED}")).mapInArrow(count, "cls long, n long, keys array<long>")
-        # a class's own shingles; a class of several rows may come more than once
-        return written(rows.groupBy("cls").agg(F.max("n").alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("keys")), "ordered")
+        def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = pa.schema([schema.field(i) for i in range(3)])
+
+            def classes(rows: list[pa.RecordBatch], keys: np.ndarray, cls: np.ndarray) -> Iterator[pa.RecordBatch]:
+                t = pa.Table.from_batches(rows).combine_chunks()
+                own, sizes = t.column("cls").to_numpy(), t.column("n").to_numpy()
+                own, at = np.unique(own, return_index=True)  # a class of several rows may come more than once
+                lists = t.column("keys").combine_chunks()
+                lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+                heavy = lists.flatten().to_numpy()
+                of = np.repeat(t.column("cls").to_numpy(), np.diff(lists.offsets.to_numpy()))
+                cls, keys = distinct_members(np.r_[of, cls], np.r_[heavy, keys.view(np.int64)])
+                ends = np.r_[np.searchsorted(cls, own), len(cls)].astype(np.int32)
+                yield _batch(out, len(own), cls=pa.array(own), n=pa.array(sizes[at]), keys=pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)))
+
+            yield from _gathered(batches, classes)
+
+        rows = self.bucketed(sets.mapInArrow(run, f"cls long, n long, keys array<long>, {PACKED}")).mapInArrow(count, f"cls long, n long, keys array<long>, {PACKED}")
+        return written(self.bucketed(rows).mapInArrow(gather, "cls long, n long, keys array<long>"), "ordered")
 
     # -------------------------------------------------------- steps 3 and 4
 
@@ -357,14 +399,19 @@ class Join:
         return written(rows.join(group, "key").withColumn("turn", turn).drop("first"), "groups")
 
     def candidates(self, a: DataFrame, b: DataFrame, apart: Column) -> DataFrame:
-        """Pairs (a, b, both, first turn) of rows of one group that sizes and places do not rule out."""
+        """Pairs (a, b, both, first turn) of rows of one group that sizes and places do not rule out.
+
+        Every pair over the threshold passes in the group of the first shingle that both have; where rows
+        have the shingles ``before`` theirs, a pair is looked at in that group only.
+        """
         x, y = a.alias("x"), b.alias("y")
         need = least_overlap(F.col("x.n") + F.col("y.n"), self.percent)
         rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
         sizes = 100 * F.least("x.n", "y.n") >= self.percent * F.greatest("x.n", "y.n")
         less = (F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls"))
         early = F.when(less, F.col("x.small")).otherwise(F.col("y.small"))
-        j = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") != F.col("y.cls")) & apart & sizes & early & (rest >= need))
+        first = ~F.arrays_overlap("x.before", "y.before") if "before" in a.columns else F.lit(True)
+        j = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") != F.col("y.cls")) & apart & sizes & early & (rest >= need) & first)
         j = j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both"), F.least("x.turn", "y.turn").alias("turn"))
         return j.groupBy("a", "b", "both").agg(F.min("turn").alias("turn"))
 
@@ -465,6 +512,8 @@ def link_classes(j: Join, sets: DataFrame) -> DataFrame:
     marked = written(large.join(labels.table, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "marked")
     main = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
     marked = written(marked.join(main.filter("labels > 1").drop("labels"), "key").withColumn("minor", F.col("label") != F.col("main")).drop("main").filter("turn = 2"), "marked")
+    before = F.slice("keys", F.lit(1), (F.col("pos") - F.col("n") + F.size("keys")).cast("int"))
+    marked = written(marked.join(sets.select("cls", "keys"), "cls").withColumn("before", before).drop("keys"), "marked")
     minor = marked.filter("minor")
     if not minor.isEmpty():
         apart = (F.col("x.label") != F.col("y.label")) & (~F.col("y.minor") | (F.col("x.cls") < F.col("y.cls")))
