@@ -74,6 +74,15 @@ def diff_plan(source: DataFrame, target: DataFrame) -> DataFrame:
     return j.select("tbl", "column", action.alias("action"))
 
 
+def column_sets(source: DataFrame, target: DataFrame) -> DataFrame:
+    """(tbl, columns, common, only_source, only_target) of every table of either catalog; names compare without case."""
+    none = F.array().cast("array<string>")
+    s, g = (df.groupBy("tbl").agg(F.collect_set(F.lower("column")).alias(n)) for df, n in ((source, "s"), (target, "g")))
+    s, g = s.join(g, "tbl", "full_outer").select("tbl", F.coalesce("s", none).alias("s"), F.coalesce("g", none).alias("g")), None
+    sets = {"columns": F.array_union("s", "g"), "common": F.array_intersect("s", "g"), "only_source": F.array_except("s", "g"), "only_target": F.array_except("g", "s")}
+    return s.select("tbl", *[F.array_sort(c).alias(n) for n, c in sets.items()])
+
+
 def align(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """The target's columns in its order: missing ones null, the others cast; names compare without case."""
     have = {c.lower(): c for c in df.columns}

@@ -38,25 +38,46 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 1 THEN NULL ELSE o_orderstatus E
 UNION ALL SELECT o_orderkey + 50000000, o_orderstatus, o_totalprice FROM {orders} WHERE o_orderkey % 500 = 5
 """
 
-CATALOG = """
-SELECT * FROM (VALUES
- ('orders','o_orderkey','BIGINT(20)',FALSE,TRUE,FALSE),('orders','o_status','varchar(20)',TRUE,FALSE,FALSE),('orders','o_price','decimal(12,2)',TRUE,FALSE,FALSE),('orders','o_total','int(11)',TRUE,FALSE,TRUE),
- ('lines','l_orderkey','bigint',FALSE,TRUE,FALSE),('lines','l_line','int',FALSE,TRUE,FALSE),('lines','tenant_id','int(10) unsigned',TRUE,FALSE,FALSE),
- ('tmp_notes','id','text',FALSE,TRUE,FALSE),('tmp_notes','project_id','int',TRUE,FALSE,FALSE),('tmp_notes','tenant_id','int',TRUE,FALSE,FALSE),
- ('parts','id','varchar(64)',FALSE,TRUE,FALSE),('parts','tenant_id','smallint unsigned',FALSE,FALSE,FALSE),('logs','line','text',TRUE,FALSE,FALSE),('logs','tenant_id','tinyint',TRUE,FALSE,FALSE)
-) AS t(tbl, "column", type, nullable, is_pk, generated)
+#: Catalog rows of one table for each row of ``part``: names, types and keys follow from its number.
+TABLE_NAME = "concat(CASE p_partkey % 7 WHEN 0 THEN 'tmp_' WHEN 1 THEN 'log' ELSE 'Tab' END, CAST(p_partkey AS VARCHAR(20)), CASE WHEN p_partkey % 2 = 0 THEN 's' ELSE '' END)"
+CATALOG = f"""
+SELECT {TABLE_NAME} AS tbl, 'Id' AS "column", CASE p_partkey % 5 WHEN 0 THEN 'BIGINT(20)' WHEN 1 THEN 'varchar(64)' WHEN 2 THEN 'varchar(600)' WHEN 3 THEN 'text' ELSE 'int' END AS type, FALSE AS nullable, p_partkey % 11 <> 0 AS is_pk, FALSE AS generated FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 'line', 'int', FALSE, TRUE, FALSE FROM {{part}} WHERE p_partkey % 6 = 0
+UNION ALL SELECT {TABLE_NAME}, 'status', concat('varchar(', CAST(p_size + 5 AS VARCHAR(9)), ')'), p_partkey % 3 <> 0, FALSE, FALSE FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 'price', concat('decimal(', CAST(10 + p_partkey % 4 AS VARCHAR(9)), ',2)'), TRUE, FALSE, FALSE FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 'total', 'int(11)', TRUE, FALSE, TRUE FROM {{part}} WHERE p_partkey % 4 = 0
+UNION ALL SELECT {TABLE_NAME}, 'tenant_id', CASE WHEN p_partkey % 2 = 0 THEN 'int(10) unsigned' ELSE 'smallint unsigned' END, TRUE, FALSE, FALSE FROM {{part}} WHERE p_partkey % 3 <> 0
+UNION ALL SELECT {TABLE_NAME}, 'project_id', 'bigint', p_partkey % 2 = 0, FALSE, FALSE FROM {{part}} WHERE p_partkey % 5 = 0
 """
 
-CATALOG_TARGET = """
-SELECT * FROM (VALUES
- ('orders','O_ORDERKEY','int',FALSE),('orders','o_status','varchar(10)',FALSE),('orders','o_price','decimal(14,2)',TRUE),
- ('lines','l_orderkey','bigint',FALSE),('lines','l_line','smallint',FALSE),('lines','tenant_id','int',FALSE),
- ('tmp_notes','id','text',FALSE),('tmp_notes','project_id','bigint',TRUE),('parts','id','varchar(600)',FALSE),('parts','tenant_id','smallint',FALSE),('logs','line','varchar(100)',TRUE)
-) AS t(tbl, "column", type, nullable)
+CATALOG_TARGET = f"""
+SELECT {TABLE_NAME} AS tbl, 'ID' AS "column", CASE p_partkey % 3 WHEN 0 THEN 'bigint' WHEN 1 THEN 'int' ELSE 'varchar(64)' END AS type, FALSE AS nullable FROM {{part}} WHERE p_partkey % 13 <> 0
+UNION ALL SELECT {TABLE_NAME}, 'line', 'smallint', FALSE FROM {{part}} WHERE p_partkey % 6 = 0
+UNION ALL SELECT {TABLE_NAME}, 'status', 'varchar(30)', FALSE FROM {{part}} WHERE p_partkey % 13 <> 0
+UNION ALL SELECT {TABLE_NAME}, 'price', 'decimal(12,2)', TRUE FROM {{part}} WHERE p_partkey % 13 <> 0
+UNION ALL SELECT {TABLE_NAME}, 'tenant_id', 'int', FALSE FROM {{part}} WHERE p_partkey % 3 <> 0
+UNION ALL SELECT concat('only', CAST(p_partkey AS VARCHAR(20))), 'id', 'int', FALSE FROM {{part}} WHERE p_partkey % 17 = 0
 """
 
+#: Foreign keys between those tables (every third one's parent is the table with half its number), of one or two columns.
+OTHER_NAME = TABLE_NAME.replace("p_partkey", "(p_partkey - p_partkey % 2)")
+FKS = f"""
+SELECT {TABLE_NAME} AS child, concat('fk', CAST(p_partkey AS VARCHAR(20))) AS name, {OTHER_NAME} AS parent, 1 AS seq, 'tenant_id' AS "column", 'Id' AS parent_column FROM {{part}} WHERE p_partkey % 9 = 1
+UNION ALL SELECT {TABLE_NAME}, concat('fk', CAST(p_partkey AS VARCHAR(20))), {OTHER_NAME}, 2, 'status', 'line' FROM {{part}} WHERE p_partkey % 9 = 1 AND p_partkey % 2 = 0
+UNION ALL SELECT {TABLE_NAME}, concat('lost', CAST(p_partkey AS VARCHAR(20))), concat('missing', CAST(p_size AS VARCHAR(9))), 1, 'status', 'Id' FROM {{part}} WHERE p_partkey % 29 = 3
+"""
+
+INDEXES = f"""
+SELECT {TABLE_NAME} AS tbl, 'i1' AS idx, 2 AS seq, 'status' AS "column", 'BTREE' AS kind, CAST(CASE WHEN p_partkey % 10 = 0 THEN p_size END AS INT) AS prefix FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 'i1', 1, CASE WHEN p_partkey % 8 <> 0 THEN 'price' END, 'btree', CAST(NULL AS INT) FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 'i2', 1, 'status', 'FULLTEXT', CAST(NULL AS INT) FROM {{part}} WHERE p_partkey % 4 = 1
+"""
+
+#: Stored positions: fixed ones, one of each customer's table for each order, blank and zero ones among them.
 POSITIONS = """
-SELECT * FROM (VALUES ('table','orders','binlog.000002',CAST(500 AS BIGINT),1),('table','orders','binlog.000001',CAST(9000 AS BIGINT),2),('table','Customer','binlog.000001',CAST(120 AS BIGINT),3),('table','blank','',CAST(7 AS BIGINT),4),('table','zero','binlog.000009',CAST(0 AS BIGINT),5),('stream','main','binlog.999999',CAST(4 AS BIGINT),6),('stream','main','binlog.1000000',CAST(4 AS BIGINT),7)) AS t(kind, "key", bfile, pos, updated_at)
+SELECT * FROM (VALUES ('table','orders','binlog.000002',CAST(500 AS BIGINT),1),('table','Customer','binlog.000001',CAST(120 AS BIGINT),3),('stream','main','binlog.999999',CAST(4 AS BIGINT),6),('stream','main','binlog.1000000',CAST(4 AS BIGINT),7)) AS t(kind, "key", bfile, pos, updated_at)
+UNION ALL SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'stream' ELSE 'table' END, concat(CASE WHEN o_orderkey % 3 = 0 THEN 'T' ELSE 't' END, CAST(o_custkey AS VARCHAR(20))), CASE WHEN o_orderkey % 19 = 0 THEN ' ' ELSE concat('binlog.', CAST(1 + o_orderkey % 3 AS VARCHAR(9))) END, CASE WHEN o_orderkey % 23 = 0 THEN CAST(0 AS BIGINT) ELSE o_orderkey END, CAST(10 + o_orderkey AS INT) FROM {orders}
+UNION ALL SELECT 'table', 'CUSTOMER', 'binlog.000001', 200 + o_orderkey, CAST(10 + o_orderkey AS INT) FROM {orders} WHERE o_orderkey % 50 = 0
 """
 
 DATES = """

@@ -112,12 +112,10 @@ def a6_key_classification(t):
     return scans.classify_keys(t.sql(fx.CATALOG))
 
 
-FKS = """SELECT * FROM (VALUES ('lines','fk1','orders',1,'l_orderkey','o_orderkey'),('lines','fk1','orders',2,'l_shard','o_shard'),('parts','fk2','missing',1,'id','id')) AS t(child, name, parent, seq, "column", parent_column)"""
 
-
-@query("SELECT DISTINCT tbl FROM cat WHERE tbl NOT IN (SELECT child FROM fks) AND tbl NOT IN (SELECT parent FROM fks)", cat=fx.CATALOG, fks=FKS)
+@query("SELECT DISTINCT tbl FROM cat WHERE tbl NOT IN (SELECT child FROM fks) AND tbl NOT IN (SELECT parent FROM fks)", cat=fx.CATALOG, fks=fx.FKS)
 def a7_related_exclusion(t):
-    return scans.without_related(t.sql(fx.CATALOG).select("tbl").distinct(), t.sql(FKS))
+    return scans.without_related(t.sql(fx.CATALOG).select("tbl").distinct(), t.sql(fx.FKS))
 
 
 @query("SELECT c_custkey, c_name FROM customer ORDER BY c_custkey < (SELECT max(c_custkey) - 20 FROM customer), c_custkey LIMIT 50")
@@ -126,17 +124,15 @@ def a8_wrap_sample(t):
     return scans.wrap_sample(t.customer, "c_custkey", start, 50).select("c_custkey", "c_name")
 
 
-INDEXES = """SELECT * FROM (VALUES ('orders','i1',2,'o_status','BTREE',NULL),('orders','i1',1,'o_price','BTREE',NULL),('orders','i2',1,'o_note','FULLTEXT',NULL),('lines','i3',1,NULL,'BTREE',NULL),('lines','i4',1,'l_text','BTREE',10)) AS t(tbl, idx, seq, "column", kind, prefix)"""
-
 
-@query("""SELECT tbl, idx, string_agg(coalesce("column", '?'), ',' ORDER BY seq) AS columns, max(CASE WHEN upper(kind) <> 'BTREE' THEN 'not a BTREE index' WHEN "column" IS NULL THEN 'expression index' WHEN prefix IS NOT NULL THEN 'prefix index' END) AS skip FROM ix GROUP BY tbl, idx""", ix=INDEXES)
+@query("""SELECT tbl, idx, string_agg(coalesce("column", '?'), ',' ORDER BY seq) AS columns, max(CASE WHEN upper(kind) <> 'BTREE' THEN 'not a BTREE index' WHEN "column" IS NULL THEN 'expression index' WHEN prefix IS NOT NULL THEN 'prefix index' END) AS skip FROM ix GROUP BY tbl, idx""", ix=fx.INDEXES)
 def a9_index_catalog(t):
-    return scans.index_catalog(t.sql(INDEXES))
+    return scans.index_catalog(t.sql(fx.INDEXES))
 
 
-@query("""SELECT child, name, parent, string_agg("column", ',' ORDER BY seq) AS columns, string_agg(parent_column, ',' ORDER BY seq) AS parents FROM fks WHERE child IN (SELECT tbl FROM cat) AND parent IN (SELECT tbl FROM cat) GROUP BY child, name, parent""", fks=FKS, cat=fx.CATALOG)
+@query("""SELECT child, name, parent, string_agg("column", ',' ORDER BY seq) AS columns, string_agg(parent_column, ',' ORDER BY seq) AS parents FROM fks WHERE child IN (SELECT tbl FROM cat) AND parent IN (SELECT tbl FROM cat) GROUP BY child, name, parent""", fks=fx.FKS, cat=fx.CATALOG)
 def a10_fk_catalog(t):
-    return scans.fk_catalog(t.sql(FKS), t.sql(fx.CATALOG).select("tbl").distinct())
+    return scans.fk_catalog(t.sql(fx.FKS), t.sql(fx.CATALOG).select("tbl").distinct())
 
 
 # ---------------------------------------------------------------- transforms
@@ -350,10 +346,11 @@ def w3_top_k(t):
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25)
 
 
-@query("""SELECT tbl, list_sort(list_distinct(list(lower("column")))) AS columns FROM (SELECT tbl, "column" FROM src UNION ALL SELECT tbl, "column" FROM tgt) GROUP BY tbl""", src=fx.CATALOG, tgt=fx.CATALOG_TARGET)
-def w7_column_union(t):
-    s, g = (t.sql(x).groupBy("tbl").agg(F.collect_set(F.lower("column")).alias("c")) for x in (fx.CATALOG, fx.CATALOG_TARGET))
-    return s.join(g.withColumnRenamed("c", "d"), "tbl", "left").select("tbl", F.array_sort(F.array_union("c", F.coalesce("d", F.array().cast("array<string>")))).alias("columns"))
+@query("""WITH a AS (SELECT tbl, list(DISTINCT lower("column")) AS c FROM src GROUP BY tbl), b AS (SELECT tbl, list(DISTINCT lower("column")) AS d FROM tgt GROUP BY tbl)
+SELECT coalesce(a.tbl, b.tbl) AS tbl, list_sort(list_distinct(list_concat(coalesce(c, []), coalesce(d, [])))) AS columns, list_sort(list_filter(coalesce(c, []), lambda x: list_contains(coalesce(d, []), x))) AS common,
+list_sort(list_filter(coalesce(c, []), lambda x: NOT list_contains(coalesce(d, []), x))) AS only_source, list_sort(list_filter(coalesce(d, []), lambda x: NOT list_contains(coalesce(c, []), x))) AS only_target FROM a FULL JOIN b ON a.tbl = b.tbl""", src=fx.CATALOG, tgt=fx.CATALOG_TARGET)
+def w7_column_sets(t):
+    return drift.column_sets(t.sql(fx.CATALOG), t.sql(fx.CATALOG_TARGET))
 
 
 # ---------------------------------------------------------------- aggregates
@@ -483,7 +480,19 @@ def r9_digest_drill(t):
 # ---------------------------------------------------------------- drift
 
 
-@query("""SELECT * FROM (VALUES ('lines','l_line','BLOCKED'),('lines','l_orderkey','KEEP'),('lines','tenant_id','MODIFY'),('logs','line','MODIFY'),('logs','tenant_id','ADD'),('orders','o_orderkey','BLOCKED'),('orders','o_price','KEEP'),('orders','o_status','MODIFY'),('orders','o_total','SKIP'),('parts','id','KEEP'),('parts','tenant_id','MODIFY'),('tmp_notes','id','KEEP'),('tmp_notes','project_id','KEEP'),('tmp_notes','tenant_id','ADD')) AS t(tbl, "column", action)""")
+TOKEN = "regexp_replace(lower(%s), '(tinyint|smallint|mediumint|bigint|int)\\(\\d+\\)', '\\1')"
+WIDTH = "CASE WHEN starts_with(%s, 'tinyint') THEN 0 WHEN starts_with(%s, 'smallint') THEN 2 WHEN starts_with(%s, 'mediumint') THEN 4 WHEN starts_with(%s, 'int') THEN 6 WHEN starts_with(%s, 'bigint') THEN 8 END + CASE WHEN contains(%s, 'unsigned') THEN 1 ELSE 0 END"
+LONG = "CASE WHEN starts_with(%s, 'varchar') THEN CASE WHEN CAST(regexp_extract(%s, '(\\d+)', 1) AS INT) <= 512 THEN CAST(regexp_extract(%s, '(\\d+)', 1) AS INT) ELSE 1073741824 END WHEN %s = 'text' THEN 1073741824 END"
+WHOLE = "CASE WHEN starts_with(%s, 'decimal') THEN CAST(regexp_extract(%s, '(\\d+)', 1) AS INT) END"
+
+
+def of(expression: str, name: str) -> str:
+    return expression.replace("%s", name)
+
+
+@query(f"""WITH j AS (SELECT s.tbl, s."column", s.nullable, s.is_pk, s.generated, {of(TOKEN, 's.type')} AS a, {of(TOKEN, 'g.type')} AS b, g.nullable AS n2 FROM src s LEFT JOIN tgt g ON s.tbl = g.tbl AND lower(s."column") = lower(g."column")),
+w AS (SELECT *, a <> b AND coalesce({of(WIDTH, 'a')} > {of(WIDTH, 'b')}, {of(WHOLE, 'a')} > {of(WHOLE, 'b')}, {of(LONG, 'a')} > {of(LONG, 'b')}, FALSE) AS wider FROM j)
+SELECT tbl, "column", CASE WHEN generated THEN 'SKIP' WHEN b IS NULL THEN 'ADD' WHEN wider THEN CASE WHEN is_pk THEN 'BLOCKED' ELSE 'MODIFY' END WHEN nullable AND NOT n2 THEN CASE WHEN is_pk THEN 'BLOCKED' ELSE 'RELAX_NULL' END ELSE 'KEEP' END AS action FROM w""", src=fx.CATALOG, tgt=fx.CATALOG_TARGET)
 def f3_schema_diff(t):
     return drift.diff_plan(t.sql(fx.CATALOG), t.sql(fx.CATALOG_TARGET))
 
@@ -493,7 +502,7 @@ def f5_align(t):
     return drift.align(t.orders, {"o_orderkey": "bigint", "note": "string", "O_TOTALPRICE": "decimal(18,2)"})
 
 
-SHARD_CATALOG = f"SELECT 'merged' AS tgt_db, s.src_db, c.tbl, c.\"column\", CASE WHEN s.src_db = 'b' AND c.\"column\" = 'o_status' THEN 'varchar(30)' ELSE c.type END AS type, c.is_pk FROM ({fx.CATALOG}) c CROSS JOIN (VALUES ('a'), ('b')) AS s(src_db)"
+SHARD_CATALOG = f"SELECT 'merged' AS tgt_db, s.src_db, c.tbl, c.\"column\", CASE WHEN s.src_db = 'b' AND c.\"column\" = 'status' AND c.tbl LIKE '%4' THEN 'varchar(30)' ELSE c.type END AS type, c.is_pk FROM ({fx.CATALOG}) c CROSS JOIN (VALUES ('a'), ('b')) AS s(src_db)"
 
 
 @query("SELECT tgt_db, tbl, count(DISTINCT sig) AS versions FROM (SELECT tgt_db, tbl, src_db, string_agg(concat(\"column\", type), ',' ORDER BY \"column\") AS sig FROM cat GROUP BY ALL) GROUP BY ALL HAVING count(DISTINCT sig) > 1", cat=SHARD_CATALOG)
@@ -544,7 +553,7 @@ def c6_split_apply(t):
 # ---------------------------------------------------------------- positions
 
 NUM = ORD
-LATEST = f'v AS (SELECT *, {NUM} AS n FROM p WHERE trim(bfile) <> \'\' AND pos > 0), l AS (SELECT kind, "key", arg_max(bfile, n * 1000000 + pos) AS bfile, arg_max(pos, n * 1000000 + pos) AS pos, arg_max(updated_at, n * 1000000 + pos) AS updated_at FROM v GROUP BY kind, "key")'
+LATEST = f'v AS (SELECT *, {NUM} AS n FROM p WHERE trim(bfile) <> \'\' AND pos > 0), l AS (SELECT kind, "key", arg_max(bfile, n * 1000000000 + pos) AS bfile, arg_max(pos, n * 1000000000 + pos) AS pos, arg_max(updated_at, n * 1000000000 + pos) AS updated_at FROM v GROUP BY kind, "key")'
 
 
 @query(f'WITH {LATEST} SELECT kind, "key", bfile, pos, updated_at FROM l', p=fx.POSITIONS)
