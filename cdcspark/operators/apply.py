@@ -69,10 +69,14 @@ def expire_tombstones(state: DataFrame, before_file: int) -> DataFrame:
 
 
 def upsert(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Replace by key, else insert; ``rows`` has one row per key. Key-only tables keep what they have."""
+    """Replace by key, else insert; ``rows`` has one row per key. Key-only tables keep what they have.
+
+    Rows with a null in their key are left out.
+    """
     values = [c for c in target.columns if c not in keys]
     if not values:
         return target.unionByName(rows.select(*keys)).dropDuplicates(keys)
+    rows = rows.dropna(subset=keys)  # a null key matches nothing and would be inserted anew each time
     j = target.select(*keys, F.struct(*values).alias("_t")).join(rows.select(*keys, F.struct(*values).alias("_r")), keys, "full_outer")
     return j.select(*keys, F.coalesce("_r", "_t").alias("r")).select(*keys, "r.*")
 
@@ -88,6 +92,25 @@ def insert_missing(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataF
     return target.unionByName(rows.join(target, keys, "left_anti").dropDuplicates(keys))
 
 
+def update_first(target: DataFrame, where: Column, order: list[Column], n: int, change: dict[str, Column], keys: list[str]) -> DataFrame:
+    """Change the first ``n`` rows that meet ``where``, in an order; all other rows stay as they are."""
+    first = target.filter(where).orderBy(*order).limit(n).select(*keys, F.lit(True).alias("_hit"))
+    j = target.join(first, keys, "left")
+    return j.select(*[F.when(F.col("_hit"), change[c]).otherwise(F.col(c)).alias(c) if c in change else F.col(c) for c in target.columns])
+
+
+def insert_or_change(target: DataFrame, rows: DataFrame, keys: list[str], change: dict[str, Column]) -> DataFrame:
+    """Insert rows of new keys; rows of known keys change the target's by ``change``.
+
+    In ``change``, ``old`` and ``new`` are structs of the values that the target has and the row brings.
+    """
+    values = [c for c in target.columns if c not in keys]
+    j = target.select(*keys, F.struct(*values).alias("old")).join(rows.dropna(subset=keys).select(*keys, F.struct(*values).alias("new")), keys, "full_outer")
+    both = F.col("old").isNotNull() & F.col("new").isNotNull()
+    kept = lambda c: F.coalesce(F.col("old"), F.col("new"))[c]
+    return j.select(*keys, *[F.when(both, change[c]).otherwise(kept(c)).alias(c) if c in change else kept(c).alias(c) for c in values])
+
+
 def delete_keys(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     """Delete by key; null keys match nothing."""
     return target.join(gone.select(*keys).dropna(), keys, "left_anti")

@@ -36,7 +36,28 @@ def cascade(deleted: DataFrame, links: list[tuple[str, DataFrame, str, str, str,
         out = part if out is None else out.unionByName(part)
         if rule == "CASCADE":
             reached[name] = hit if name not in reached else reached[name].unionByName(hit).distinct()
-    return out
+    return out if out is None else out.distinct()  # a row that several keys reach is there once
+
+
+def in_order(deletes: dict[str, DataFrame], upserts: dict[str, DataFrame], edges: list[tuple[str, str]], run) -> list[tuple[str, str]]:
+    """Call ``run(action, table, rows)`` so that no key of ``edges`` (child, parent) is ever broken.
+
+    Children's deletes come first, then parents' upserts before their children's; tables on a cycle
+    come last. Returns the (action, table) pairs in their order.
+    """
+    order, cyclic = apply_order(sorted({*deletes, *upserts}), edges)
+    order += cyclic
+    todo = [("delete", t, deletes[t]) for t in reversed(order) if t in deletes] + [("upsert", t, upserts[t]) for t in order if t in upserts]
+    for action, name, rows in todo:
+        run(action, name, rows)
+    return [(action, name) for action, name, _ in todo]
+
+
+def referential_rules(usage: DataFrame, rules: DataFrame) -> DataFrame:
+    """Constraint usage (child, name, ...) with each one's rules (child, name, on_delete, on_update), ``NO ACTION`` where none is told."""
+    r = rules.select("child", "name", "on_delete", "on_update")
+    j = usage.join(r, ["child", "name"], "left")
+    return j.withColumns({c: F.coalesce(c, F.lit("NO ACTION")) for c in ("on_delete", "on_update")})
 
 
 def apply_order(tables: list[str], edges: list[tuple[str, str]]) -> tuple[list[str], list[str]]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Most unequal buckets that are broadcast; more are joined.
+MAX_BUCKETS = 100_000
 NUMERIC = ("integer", "year", "decimal")
 
 
@@ -30,16 +32,35 @@ def normalised(c: Column, kind: str) -> Column:
     if kind == "char":
         return F.rtrim(c)
     if kind == "json":
-        return F.to_json(F.parse_json(c))
+        return F.coalesce(F.to_json(F.try_parse_json(c)), c)  # text that is no JSON stays
     if kind == "binary":
         return F.hex(c)
     return c
 
 
+def decimal_text(c: Column) -> Column:
+    """One writing of a decimal number of any length: sign, digits without outer zeros, power of ten; null for other texts."""
+    t = F.trim(c.cast("string"))
+    ok = t.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,9})?$")
+    mantissa = F.regexp_replace(F.regexp_extract(t, r"^[+-]?([0-9.]+)", 1), r"^\.", "0.")
+    power = F.coalesce(F.regexp_extract(t, r"[eE]([+-]?\d+)$", 1).try_cast("long"), F.lit(0))
+    fraction = F.regexp_extract(mantissa, r"\.(\d*)$", 1)
+    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.", ""), "^0+", "")
+    short = F.regexp_replace(digits, "0+$", "")
+    power = power - F.length(fraction) + F.length(digits) - F.length(short)
+    text = F.concat(F.when(t.startswith("-"), "-").otherwise(""), short, F.lit("e"), power.cast("string"))
+    return F.when(ok, F.when(short == "", "0").otherwise(text))
+
+
 def equal(a: Column, b: Column, kind: str) -> Column:
-    """True where both are null or equal by kind; never null."""
+    """True where both are null or equal by kind; never null.
+
+    Equal texts are equal. Numbers are compared at their full length, and as floats only where a text
+    is no decimal number.
+    """
     if kind in NUMERIC:
-        same = a.try_cast("decimal(38,10)") == b.try_cast("decimal(38,10)")
+        x, y = decimal_text(a), decimal_text(b)
+        same = (a.cast("string") == b.cast("string")) | F.coalesce(x == y, a.try_cast("double") == b.try_cast("double"), F.lit(False))
     elif kind == "float":
         x, y = a.cast("double"), b.cast("double")
         special = F.isnan(x) | F.isnan(y) | (F.abs(x) == float("inf")) | (F.abs(y) == float("inf"))
@@ -87,19 +108,53 @@ def preview(c: str, n: int = 500) -> Column:
 
 
 def bucket_digests(df: DataFrame, key: str, cols: list[str], buckets: int) -> DataFrame:
-    """(bucket, rows, digest): an order-free digest of the rows of each key bucket."""
-    row = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in [key, *cols]])), 1, 12), 16, 10).cast("decimal(38,0)")
-    return df.groupBy(F.pmod(F.col(key), F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"), F.sum(row).cast("string").alias("digest"))
+    """(bucket, rows, low, high): order-free digests of the rows of each key bucket.
+
+    A row's hash is over its typed columns and a flag for each null, so no two rows are written alike;
+    two sums of independent hashes are kept.
+    """
+    every = [x for c in [key, *cols] for x in (F.col(c).isNull(), F.col(c))]
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *every).cast("decimal(38,0)")).cast("string")
+    return df.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"), total(1).alias("low"), total(2).alias("high"))
 
 
 def unequal_buckets(source: DataFrame, target: DataFrame, key: str, cols: list[str], buckets: int) -> DataFrame:
-    s, t = (bucket_digests(df, key, cols, buckets).select("bucket", F.struct("rows", "digest").alias(n)) for df, n in ((source, "_s"), (target, "_t")))
+    s, t = (bucket_digests(df, key, cols, buckets).select("bucket", F.struct("rows", "low", "high").alias(n)) for df, n in ((source, "_s"), (target, "_t")))
     return s.join(t, "bucket", "full_outer").filter(~F.col("_s").eqNullSafe(F.col("_t"))).select("bucket")
 
 
-def drill(source: DataFrame, target: DataFrame, table: str, key: str, plan: list[tuple[str, str]], buckets: int = 256) -> DataFrame:
-    """Mismatches, looked for only in the buckets whose digests differ."""
-    bad = unequal_buckets(source, target, key, [n for n, _ in plan], buckets)
-    keep = lambda df: df.join(bad, F.pmod(df[key], F.lit(buckets)) == bad["bucket"], "left_semi")
+def drill(source: DataFrame, target: DataFrame, table: str, key: str, plan: list[tuple[str, str]], rows_per_bucket: int = 64, worth: float = 0.5) -> DataFrame:
+    """Mismatches, looked for only in the buckets whose digests differ.
+
+    Buckets grow with the rows, so that few differences make few buckets unequal. Where more than
+    ``worth`` of them are, nothing is gained and all rows are compared at once.
+    """
+    types = dict(source.dtypes)
+    same = target.select(*[F.col(c).cast(types[c]) for c in [key, *[n for n, _ in plan]]])
+    buckets = max(1, source.count() // rows_per_bucket)
+    bad = unequal_buckets(source, same, key, [n for n, _ in plan], buckets)
+    found = bad.limit(MAX_BUCKETS + 1).toArrow()  # bucket numbers
+    if found.num_rows > worth * buckets:
+        return mismatches(source, target, table, key, plan)
+    few = F.broadcast(source.sparkSession.createDataFrame(found)) if found.num_rows <= MAX_BUCKETS else bad
+    keep = lambda df: df.join(few, F.pmod(F.xxhash64(F.col(key).cast(types[key])), F.lit(buckets)) == few["bucket"], "left_semi")
     return mismatches(keep(source), keep(target), table, key, plan)
 
+
+def checked(tables: dict[str, tuple[DataFrame, DataFrame, str, list[tuple[str, str]]]]) -> DataFrame:
+    """(tbl, rows, mismatches, keys, state): ``tables`` are name to (source, target, key, plan).
+
+    ``rows``: compared ones of the source. A table without a mismatch is ``clean``, and one that the
+    target lacks a column of is an ``error`` and not compared.
+    """
+    out = None
+    for name, (source, target, key, plan) in tables.items():
+        rows = source.agg(F.count(F.lit(1)).alias("rows"))
+        if {key, *[n for n, _ in plan]} <= set(target.columns):
+            found = mismatches(source, target, name, key, plan).agg(F.count(F.lit(1)).alias("mismatches"), F.countDistinct("key").alias("keys"))
+            part = rows.join(F.broadcast(found)).withColumn("state", F.when(F.col("mismatches") == 0, "clean").otherwise("mismatch"))  # one row each
+        else:
+            part = rows.select("rows", F.lit(0).cast("long").alias("mismatches"), F.lit(0).cast("long").alias("keys"), F.lit("error").alias("state"))
+        part = part.select(F.lit(name).alias("tbl"), "rows", "mismatches", "keys", "state")
+        out = part if out is None else out.unionByName(part)
+    return out

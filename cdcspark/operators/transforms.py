@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -144,14 +144,19 @@ def hidden_place(layouts: DataFrame) -> DataFrame:
 
 
 #: What a required column gets when an event does not have it.
-ZEROS = {"char": "", "varchar": "", "text": "", "tinyint": 0, "smallint": 0, "int": 0, "bigint": 0, "decimal": 0, "float": 0.0, "double": 0.0, "date": "1970-01-01", "time": "00:00:00", "datetime": "1970-01-01 00:00:00", "timestamp": "1970-01-01 00:00:00", "binary": "", "blob": ""}
+ZEROS = {"datetime": "1970-01-01 00:00:00", "timestamp": "1970-01-01 00:00:00", "date": "1970-01-01", "time": "00:00:00", "year": 0, "float": 0.0, "double": 0.0, "real": 0.0, "int": 0, "decimal": 0, "numeric": 0, "bit": 0, "bool": 0, "json": "{}"}
+
+
+def zero_of(kind: str) -> str:
+    """The zero of a type: of the first name that it contains, or an empty text."""
+    return str(next((v for k, v in ZEROS.items() if k in kind.lower()), ""))
 
 
 def fill_required(map_col: str, required: dict[str, str]) -> Column:
     """Map image with a typed zero for each required column that is absent; explicit nulls stay."""
     out = F.col(map_col)
     for name, kind in required.items():
-        out = F.when(F.map_contains_key(F.col(map_col), F.lit(name)), out).otherwise(F.map_concat(out, F.create_map(F.lit(name), F.lit(str(ZEROS[kind])))))
+        out = F.when(F.map_contains_key(F.col(map_col), F.lit(name)), out).otherwise(F.map_concat(out, F.create_map(F.lit(name), F.lit(zero_of(kind)))))
     return out
 
 
@@ -174,6 +179,3 @@ def render_json(cols: list[str], binary: tuple[str, ...] = (), stamps: tuple[str
     one = lambda c: F.lower(F.hex(c)).alias(c) if c in binary else F.unix_micros(c).alias(c) if c in stamps else F.col(c)
     return F.to_json(F.struct(*[one(c) for c in cols]), {"ignoreNullFields": "false"})
 
-
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)

@@ -135,6 +135,30 @@ def a10_fk_catalog(t):
     return scans.fk_catalog(t.sql(fx.FKS), t.sql(fx.CATALOG).select("tbl").distinct())
 
 
+RULES = "SELECT child, name, 'CASCADE' AS on_delete, CASE WHEN length(child) % 2 = 0 THEN 'SET NULL' END AS on_update FROM ({fks}) k WHERE seq = 1 AND name LIKE 'fk%'".replace("{fks}", fx.FKS)
+
+
+@query("""SELECT f.child, f.name, f.seq, f."column", coalesce(r.on_delete, 'NO ACTION') AS on_delete, coalesce(r.on_update, 'NO ACTION') AS on_update FROM fks f LEFT JOIN rules r ON f.child = r.child AND f.name = r.name""", fks=fx.FKS, rules=RULES)
+def j6_referential_rules(t):
+    return integrity.referential_rules(t.sql(fx.FKS), t.sql(RULES)).select("child", "name", "seq", "column", "on_delete", "on_update")
+
+
+@query("""WITH f AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey LIMIT 50)
+SELECT o_orderkey, CASE WHEN o_orderkey IN (SELECT o_orderkey FROM f) THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders""")
+def e17_update_first(t):
+    o = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return apply.update_first(o, F.col("o_orderstatus") == "F", [F.desc("o_totalprice"), F.asc("o_orderkey")], 50, {"o_orderstatus": F.lit("X")}, ["o_orderkey"])
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN concat(o_orderstatus, 'N') ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders
+UNION ALL SELECT o_orderkey + 90000000, 'N', CAST(1 AS DOUBLE) FROM orders WHERE o_orderkey % 6 = 0""")
+def e17_on_duplicate_key(t):
+    o = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    new = lambda d: d.select("o_orderkey", F.lit("N").alias("status"), F.lit(1.0).alias("price"))
+    rows = new(o.filter("o_orderkey % 4 = 0")).unionByName(new(o.filter("o_orderkey % 6 = 0").withColumn("o_orderkey", F.col("o_orderkey") + 90000000)))
+    return apply.insert_or_change(o, rows, ["o_orderkey"], {"status": F.concat("old.status", "new.status"), "price": F.col("old.price") + F.col("new.price")})
+
+
 # ---------------------------------------------------------------- transforms
 
 IN = ("project", "tenant"), ("1", "3", "7", "12")
@@ -445,6 +469,21 @@ def r3_float_equality(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", reconcile.equal(a, a * (1 + F.col("l_discount") * 2e-5), "float").alias("same"))
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_linenumber % 2 = 0 AS long_integer, l_linenumber % 3 = 0 AS small_decimal, TRUE AS other_writing, l_linenumber % 2 = 0 AS not_a_number, l_linenumber % 3 <> 1 AS document FROM lineitem""")
+def r3_exact_equality(t):
+    """Integers of 30 digits, decimals that differ in the twelfth place, other writings of a number, texts, JSON."""
+    key, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
+    pick = lambda m, a, b: F.when(n % m == 0, F.lit(a)).otherwise(F.lit(b))
+    cases = {
+        "long_integer": (F.concat(key, F.lit("0" * 24 + "1")), F.concat(key, F.lit("0" * 24), pick(2, "1", "2")), "integer"),
+        "small_decimal": (F.concat(key, F.lit(".000000000001")), F.concat(key, F.lit("."), pick(3, "000000000001", "000000000002")), "decimal"),
+        "other_writing": (F.concat(F.lit("+00"), key, F.lit(".50")), F.concat(key, F.lit("5e-1")), "decimal"),
+        "not_a_number": (F.concat(key, F.lit("x")), F.concat(key, pick(2, "x", "y")), "decimal"),
+        "document": (F.concat(F.lit('{"a": '), key, F.when(n % 3 == 2, "").otherwise("}")), F.concat(F.lit('{"a":'), F.when(n % 3 == 2, " ").otherwise(""), F.when(n % 3 == 1, "1.5").otherwise(key), F.when(n % 3 == 2, "").otherwise("}")), "json"),
+    }
+    return t.lineitem.select("l_orderkey", "l_linenumber", *[reconcile.equal(a, b, kind).alias(c) for c, (a, b, kind) in cases.items()])
+
+
 @query(f'WITH {FOUND} SELECT tbl, "key", "column", reason FROM found', drifted=fx.DRIFTED)
 def r4_mismatch_report(t):
     return found(t).select("tbl", "key", "column", "reason")
@@ -461,6 +500,12 @@ def r6_reconcile_summary(t):
     return reconcile.summary(found(t))
 
 
+@query(f"""WITH {FOUND} SELECT 'orders' AS tbl, (SELECT count(*) FROM orders) AS rows, count(*) AS mismatches, count(DISTINCT "key") AS keys, 'mismatch' AS state FROM found
+UNION ALL SELECT 'customer', count(*), 0, 0, 'clean' FROM customer UNION ALL SELECT 'nation', count(*), 0, 0, 'error' FROM nation""", drifted=fx.DRIFTED)
+def r6_checked_tables(t):
+    return reconcile.checked({"orders": (t.orders, t.sql(fx.DRIFTED), "o_orderkey", PLAN), "customer": (t.customer, t.customer, "c_custkey", [("c_name", "text")]), "nation": (t.nation, t.region, "n_nationkey", [("n_name", "text")])})
+
+
 @query("SELECT event_id, CAST(strlen(props) AS INTEGER) AS source_bytes, CAST(strlen(props) + 1 AS INTEGER) AS target_bytes FROM events WHERE event_id % 50 = 0")
 def r7_large_values(t):
     target = t.events.withColumn("props", F.when(F.col("event_id") % 50 == 0, F.concat("props", F.lit("!"))).otherwise(F.col("props")))

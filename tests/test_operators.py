@@ -215,3 +215,42 @@ def test_retry():
 
     stream.with_retry(sink, 5, 0.001)(None, 7)
     assert seen == [7, 7, 7]
+
+
+def test_compare_long_numbers_and_broken_json(spark):
+    cases = [("decimal", "1e-11", "2e-11", False), ("decimal", "0.00000000001", "1e-11", True), ("integer", "9" * 32, "9" * 32, True), ("integer", "9" * 32, "9" * 31 + "8", False), ("decimal", "-0.0", "0", True), ("decimal", "1.50e3", "1500", True), ("decimal", "NaN", "NaN", True), ("decimal", "abc", "abd", False), ("json", "{broken", "{broken", True), ("json", "{broken", "{}", False), ("json", '{"a":[1, 2]}', '{ "a" : [1,2] }', True)]
+    df = spark.createDataFrame([(k, a, b) for k, a, b, _ in cases], "k string, a string, b string")
+    for kind, a, b, want in cases:
+        got = df.filter((F.col("k") == kind) & (F.col("a") == a) & (F.col("b") == b)).select(reconcile.equal(F.col("a"), F.col("b"), kind)).first()[0]
+        assert got is want, (kind, a, b)
+
+
+def test_digests_tell_rows_with_separators_and_nulls(spark):
+    s = spark.createDataFrame([(1, "a|b", "c"), (2, None, "x"), (3, "y", "z")], "k long, a string, b string")
+    t = spark.createDataFrame([(1, "a", "b|c"), (2, "~", "x"), (3, "y", "z")], "k long, a string, b string")
+    plan = [("a", "text"), ("b", "text")]
+    for worth in (0.0, 1.0):
+        assert rows(reconcile.drill(s, t, "t", "k", plan, 1, worth)) == rows(reconcile.mismatches(s, t, "t", "k", plan))
+    assert reconcile.drill(s, t, "t", "k", plan, 1, 1.0).count() == 3 and reconcile.drill(s, s, "t", "k", plan).count() == 0
+
+
+def test_zero_of_types_by_containment():
+    assert [tr.zero_of(k) for k in ("bit(1)", "bool", "longtext", "real", "BIGINT(20) unsigned", "datetime(3)", "json", "mediumblob")] == ["0", "0", "", "0.0", "0", "1970-01-01 00:00:00", "{}", ""]
+
+
+def test_upserts_leave_out_null_keys(spark):
+    t = spark.createDataFrame([(1, "a")], "k long, v string")
+    r = spark.createDataFrame([(None, "x"), (1, "b"), (2, "c")], "k long, v string")
+    once = apply.upsert(t, r, ["k"])
+    assert rows(once) == rows(apply.upsert(once, r, ["k"])) == [(1, "b"), (2, "c")]
+
+
+def test_cascade_lists_a_row_once_and_order_of_applies(spark):
+    p = spark.createDataFrame([(1,), (2,)], "k long")
+    c = spark.createDataFrame([(10, 1, 2)], "k long, a long, b long")
+    got = integrity.cascade(p, [("p", c, "c", "a", "k", "CASCADE"), ("p", c, "c", "b", "k", "CASCADE")], "p")
+    assert rows(got) == [("c", 10, "CASCADE")]
+    done = []
+    d = {n: None for n in ("orders", "lines")}
+    order = integrity.in_order(d, d | {"customer": None}, [("lines", "orders"), ("orders", "customer")], lambda a, t, _: done.append((a, t)))
+    assert order == done == [("delete", "lines"), ("delete", "orders"), ("upsert", "customer"), ("upsert", "orders"), ("upsert", "lines")]
