@@ -2,8 +2,12 @@
 
 A version is a folder of bucket folders. A batch rewrites only the buckets that its keys touch; the
 version's manifest names the folder of every bucket, so untouched ones are shared. The pointer
-file is replaced last. The batch's number is in the manifest, and a batch that is there already is
-skipped: ``foreachBatch`` may call twice. State and positions of a batch become visible together.
+file is replaced last. The last batch of each query (a checkpoint is one) is in the manifest, and a
+batch that is there already is skipped: ``foreachBatch`` may call twice. A new checkpoint counts from 0
+again and is another query, so its batches are applied; what it reads again changes nothing, as rows
+keep their latest place. State and positions of a batch become visible together, and positions never
+go back. ``grow`` deals the table over more buckets, ``expire`` forgets old deletes, ``vacuum`` removes
+what no reader of the current version needs.
 Files are read and written through Hadoop's file system, so any store that Spark knows will do.
 """
 
@@ -20,7 +24,7 @@ from ..operators import apply
 
 class StateTable:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], values: list[str], schema: str, buckets: int = 16):
-        """``schema``: of keys and values. ``buckets`` is fixed once the table exists."""
+        """``schema``: of keys and values. ``buckets``: of a new table; later its manifest tells, see ``grow``."""
         self.spark, self.path, self.keys, self.values = spark, path.rstrip("/"), keys, values
         self.schema = f"{schema}, _file long, _pos long, _seq long, _deleted boolean"
         self.buckets = buckets
@@ -50,7 +54,7 @@ class StateTable:
 
     def manifest(self) -> dict:
         version = self._read("current") or self._latest()
-        return json.loads(self._read(f"manifest-{version}")) if version else {"version": 0, "batch": -1, "buckets": {}, "positions": {}}
+        return json.loads(self._read(f"manifest-{version}")) if version else {"version": 0, "batches": {}, "n": self.buckets, "buckets": {}, "positions": {}}
 
     def _latest(self) -> str | None:
         """The newest manifest, should the pointer be missing between its delete and rename."""
@@ -74,26 +78,62 @@ class StateTable:
     def positions(self) -> dict:
         return self.manifest()["positions"]
 
-    def _bucket(self):
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def apply(self, ops: DataFrame, batch: int, positions: dict | None = None) -> bool:
-        """Merge operations per key (see ``key_ops``); False if the batch was applied before."""
+    def _bucket(self, n: int):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(n)).cast("int")
+
+    def _put(self, rows: DataFrame, m: dict, touched: list[int]) -> None:
+        """Write ``rows`` as the buckets ``touched`` of a new version and make it the current one."""
+        version = m["version"] + 1
+        if touched:
+            folder = f"v{version}-{uuid.uuid4().hex[:8]}"
+            rows.withColumn("_bucket", self._bucket(m["n"])).repartition(len(touched), "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
+            there = {s.getPath().getName() for s in self.fs.listStatus(self._path(f"{self.path}/{folder}"))}
+            m["buckets"] = {b: p for b, p in m["buckets"].items() if int(b) not in touched} | {str(b): f"{folder}/_bucket={b}" for b in touched if f"_bucket={b}" in there}
+        m["version"] = version
+        self._write(f"manifest-{version}", json.dumps(m))
+        self._write("current", str(version))
+
+    def apply(self, ops: DataFrame, batch: int, positions: dict | None = None, query: str = "") -> bool:
+        """Merge operations per key (see ``key_ops``); False if the query's batch was applied before.
+
+        ``positions``: table to [file, place]; the further of the stored one and this is kept.
+        """
         m = self.manifest()
-        if batch <= m["batch"]:
+        if batch <= m["batches"].get(query, -1):
             return False
         latest = apply.compact(ops, self.keys, self.values).persist()
         try:
-            touched = sorted(r[0] for r in latest.select(self._bucket().alias("b")).distinct().collect())  # bucket numbers
-            version = m["version"] + 1
-            if touched:
-                merged = apply.merge(self.read(touched), latest, self.keys, self.values).withColumn("_bucket", self._bucket())
-                folder = f"v{version}-{uuid.uuid4().hex[:8]}"
-                merged.repartition(len(touched), "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
-                m["buckets"] |= {str(b): f"{folder}/_bucket={b}" for b in touched}
-            m |= {"version": version, "batch": batch, "positions": m["positions"] | (positions or {})}
-            self._write(f"manifest-{version}", json.dumps(m))
-            self._write("current", str(version))
+            touched = sorted(r[0] for r in latest.select(self._bucket(m["n"]).alias("b")).distinct().collect())  # bucket numbers
+            m["batches"] |= {query: batch}
+            for name, at in (positions or {}).items():
+                m["positions"][name] = max(list(at), m["positions"].get(name, list(at)), key=place)
+            self._put(apply.merge(self.read(touched), latest, self.keys, self.values), m, touched)
             return True
         finally:
             latest.unpersist()
+
+    def grow(self, buckets: int) -> None:
+        """Deal all rows over ``buckets`` buckets, so that each stays small enough for a task."""
+        m, rows = self.manifest(), self.read()
+        m |= {"n": buckets, "buckets": {}}
+        self._put(rows, m, list(range(buckets)))
+
+    def expire(self, before_file: int) -> None:
+        """Rewrite without the deletes of log files before ``before_file``."""
+        m = self.manifest()
+        self._put(apply.expire_tombstones(self.read(), before_file), m, sorted(map(int, m["buckets"])))
+
+    def vacuum(self) -> list[str]:
+        """Delete folders and manifests that the current version does not name; their names."""
+        m = self.manifest()
+        keep = {p.split("/")[0] for p in m["buckets"].values()} | {f"manifest-{m['version']}", "current"}
+        gone = [s.getPath() for s in self.fs.listStatus(self._path(self.path)) if s.getPath().getName() not in keep and not s.getPath().getName().startswith(".")]
+        for p in gone:
+            self.fs.delete(p, True)
+        return sorted(p.getName() for p in gone)
+
+
+def place(at: list) -> tuple[int, int]:
+    """Order of positions: number of the log file, place in it."""
+    tail = str(at[0] or "").rpartition(".")[2]
+    return (int(tail) if tail.isdigit() else 0, int(at[1] or 0))

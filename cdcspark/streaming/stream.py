@@ -37,7 +37,7 @@ def apply_stream(changes: DataFrame, table: StateTable, checkpoint: str, transfo
         kept = apply.drop_duplicates(transform(df)).persist()
         try:
             top = kept.groupBy("tbl").agg(F.max(F.struct(apply.file_number("bfile").alias("n"), "pos", "bfile")).alias("m")).collect()  # a row per table
-            table.apply(apply.key_ops(kept, table.keys, table.values), batch, {r.tbl: [r.m.bfile, r.m.pos] for r in top})
+            table.apply(apply.key_ops(kept, table.keys, table.values), batch, {r.tbl: [r.m.bfile, r.m.pos] for r in top}, checkpoint)
         finally:
             kept.unpersist()
 

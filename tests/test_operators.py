@@ -180,7 +180,7 @@ def test_state_table_and_stream(spark, feed, tmp_path):
     failed = []
 
     def once_failing(df):
-        if not failed and table.manifest()["batch"] >= 0:
+        if not failed and table.manifest()["batches"]:
             failed.append(1)
             raise RuntimeError("lost")
         return df
@@ -192,8 +192,32 @@ def test_state_table_and_stream(spark, feed, tmp_path):
     assert failed and rows(table.alive()) == want
     assert table.positions()["orders"][0] == "binlog.000003"
     version = table.manifest()["version"]
-    assert not table.apply(apply.key_ops(feed, KEY, VALUES), table.manifest()["batch"])
+    (query, batch), = table.manifest()["batches"].items()
+    assert not table.apply(apply.key_ops(feed, KEY, VALUES), batch, query=query)
     assert table.manifest()["version"] == version
+    # a new checkpoint counts from 0 again: its batches are applied, and what they repeat changes nothing
+    stream.apply_stream(src, table, str(tmp_path / "cp2"), trigger={"availableNow": True}).awaitTermination(120)
+    assert len(table.manifest()["batches"]) == 2 and rows(table.alive()) == want
+
+
+def test_state_table_keeps_places_and_cleans_up(spark, tmp_path):
+    op = lambda key, kind, file, pos: (key, kind, "s", 1.0, file, pos, 0)
+    frame = lambda *ops: spark.createDataFrame(list(ops), "key long, kind string, status string, price double, _file long, _pos long, _seq long")
+    table = StateTable(spark, str(tmp_path / "state"), KEY, VALUES, "key long, status string, price double", buckets=2)
+    assert table.apply(frame(*(op(k, "U", 2, k) for k in range(1, 30))), 5, {"orders": ["binlog.000002", 29]})
+    assert table.apply(frame(op(1, "D", 3, 1), op(99, "U", 1, 1)), 0, {"orders": ["binlog.000001", 900], "new": ["binlog.000001", 4]}, "other")
+    assert not table.apply(frame(op(7, "D", 9, 9)), 5)
+    assert table.positions() == {"orders": ["binlog.000002", 29], "new": ["binlog.000001", 4]}
+    want = sorted([*range(2, 30), 99])
+    keys = lambda: sorted(r.key for r in table.alive().collect())
+    assert keys() == want and table.read().filter("_deleted").count() == 1
+    table.grow(8)
+    assert keys() == want and len(table.manifest()["buckets"]) > 2
+    assert table.apply(frame(op(2, "D", 4, 1)), 1, query="other")
+    want.remove(2)
+    table.expire(4)
+    assert keys() == want and table.read().filter("_deleted").count() == 1
+    assert table.vacuum() and keys() == want and table.vacuum() == []
 
 
 def test_windowed_rates_stream(spark, tmp_path):
