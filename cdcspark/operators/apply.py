@@ -50,6 +50,11 @@ def to_state(latest: DataFrame, keys: list[str], values: list[str]) -> DataFrame
     return latest.select(*keys, *values, *PLACE, (F.col("kind") == "D").alias("_deleted"))
 
 
+def as_ops(state: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """State rows as operations again."""
+    return state.select(*keys, F.when(F.col("_deleted"), "D").otherwise("U").alias("kind"), *values, *PLACE)
+
+
 def merge(state: DataFrame, latest: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """State after a compacted batch: a full outer join; the later place wins, so replays change nothing."""
     b = to_state(latest, keys, values)

@@ -22,7 +22,12 @@ def replicate_routed(feed: DataFrame, routes: DataFrame, keys: list[str], values
 
 
 def in_batches(state: DataFrame, keys: list[str], values: list[str], parts: list[DataFrame]) -> DataFrame:
-    """State after applying the parts of a feed one after the other."""
+    """State after applying the parts of a feed one after the other.
+
+    The latest place of a key wins whatever the order of the parts, so they are put together with the
+    state and compacted once: one exchange, with rows of a key combined before it.
+    """
+    ops = apply.as_ops(state, keys, values)
     for part in parts:
-        state = apply.merge(state, apply.compact(apply.key_ops(part, keys, values), keys, values), keys, values)
-    return state
+        ops = ops.unionByName(apply.key_ops(part, keys, values).select(*ops.columns))
+    return apply.to_state(apply.compact(ops, keys, values), keys, values)
