@@ -99,6 +99,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Keys that are broadcast as hot ones: those with more than this share of all rows, so at most so many.
+HOT_KEYS = 50_000
+
+
+def hot_join(rows: DataFrame, keys: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """Inner join of ``rows`` with ``keys``, unique on ``on``; ``weight`` tells how many rows a key has.
+
+    A key with more than one ``HOT_KEYS``th of the rows is joined by broadcast (there are at most
+    ``HOT_KEYS`` of them), so its rows stay where they are; all others meet in an exchange.
+    """
+    limit = max(64, -(-rows.count() // HOT_KEYS))
+    hot = F.broadcast(keys.filter(F.col(weight) > limit))
+    return rows.join(hot, on).unionByName(rows.join(hot, on, "left_anti").join(keys.filter(F.col(weight) <= limit), on))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

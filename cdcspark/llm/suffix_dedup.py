@@ -13,6 +13,9 @@ Every byte covered by a ``WINDOW``-byte string that starts at two places or more
 4. *Hot anchors.* An anchor of more than ``LIMIT`` different chunks is dealt over several tasks. Their
    windows' classes are then counted again across tasks by hash, packed by ranges of hashes, so
    nothing is gathered in one.
+
+   Chunks are equal when both their anchor's hash and their own are, windows across tasks when their
+   hashes are; these are of 371 bytes at most, for which ``RangeHash`` tells texts apart.
 5. *Removal.* The runs of repeated windows go back to their texts.
 
 Texts go through the exchange only where they have a chunk to look at or bytes to remove (a bit
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Texts, in_map, key_map, mix, steps, written
+from .common import RangeHash, Texts, hot_join, in_map, key_map, mix, scope, steps, written
 
 WINDOW, GRAM = 200, 32
 SPAN = WINDOW - GRAM + 1  # grams of a window
@@ -329,16 +332,30 @@ def _sorted_windows(rows: DataFrame, blocks: int) -> DataFrame:
 
 
 def _across(packed: DataFrame) -> DataFrame:
-    """(key, first, last) of the open windows that several tasks have; a partition holds whole blocks."""
+    """(key, first, last) of the open windows that several tasks have; the rows of a block follow each other."""
+
+    def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        hashes, ns, keys, firsts = (t.column(c).combine_chunks() for c in ("hashes", "ns", "keys", "firsts"))
+        hashes, ns, keys, firsts = (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in (hashes, ns, keys, firsts))
+        keys = keys.flatten()
+        _, at = np.unique(hashes.flatten().to_numpy(), return_inverse=True)
+        hit = keys.is_valid().to_numpy(zero_copy_only=False) & (np.bincount(at, ns.flatten().to_numpy())[at] >= 2)
+        first = firsts.flatten().to_numpy()[hit]
+        return pa.RecordBatch.from_arrays([keys.filter(pa.array(hit)), pa.array(first), pa.array(first)], ["key", "first", "last"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[np.asarray(pa.array(b.column(i).flatten().fill_null(0))) for i in range(3)] + [np.asarray(b.column(2).flatten().is_valid()), np.asarray(b.column(3).flatten())] for b in batches if b.num_rows]
-        if not held:
-            return
-        hashes, ns, keys, open_, firsts = (np.concatenate(c) for c in zip(*held, strict=True))
-        _, at = np.unique(hashes, return_inverse=True)
-        hit = open_.astype(bool) & (np.bincount(at, ns)[at] >= 2)
-        yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), pa.array(firsts[hit]), pa.array(firsts[hit])], ["key", "first", "last"])
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            block = b.column("block").to_numpy()
+            edges = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(block)] if len(block) else np.zeros(1, np.int64)
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if held and held[-1].column("block")[0].as_py() != block[lo]:
+                    yield solve(held)
+                    held = []
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield solve(held)
 
     return packed.mapInArrow(run, "key long, first long, last long")
 
@@ -372,26 +389,30 @@ def _remove(docs: DataFrame) -> DataFrame:
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(key, first, last): runs of repeated windows of the texts ``docs`` (key, text)."""
-    sc = docs.sparkSession.sparkContext
-    rows = written(_rows(docs), "anchors")
-    twice = written(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "anchors")
-    rows = written(rows.join(twice, "h"), "repeated")
-    variants = written(rows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one")), "variants")
-    # chunks that occur twice or more: all their windows repeat
-    many = written(variants.filter("n > 1").select("h", "c"), "many")
-    whole = rows.join(many, ["h", "c"]).select("key", F.expr("shiftright(at, 16)").alias("first"), F.expr("shiftright(at, 16) + (shiftright(at, 8) & 255)").alias("last"))
-    # anchors with a chunk that occurs once and others beside it
-    open_ = written(variants.groupBy("h").agg(F.count(F.lit(1)).alias("v"), F.min("n").alias("least")).filter("v > 1 and least = 1").select("h", "v"), "open")
-    todo = variants.join(open_, "h").select("h", "n", "one.key", "one.at", F.expr(f"cast(ceil(v / {LIMIT}) as int)").alias("salts"), F.col("c"))
-    todo = todo.withColumn("salt", F.expr("cast(pmod(xxhash64(c), salts) as int)"))
-    todo = written(todo.groupBy("key").agg(F.collect_list(F.struct("h", "at", "n", "salt", "salts")).alias("todo")), "todo")  # a text's own chunks
-    bits = sc.broadcast(key_map(todo, "key"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = _chunk_texts(_passing(docs.select("key", "text"), bits, True), todo)
-    dealt = texts.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt")
-    got = written(_sorted_windows(dealt, parts), "windows")
-    resolved = got.filter("block is null").select("key", "first", "last")
-    crossed = _across(got.filter("block is not null").select("hashes", "ns", "keys", "firsts", "block").repartition(parts, "block"))
+    spark = docs.sparkSession
+    with scope(spark) as keep:
+        rows = written(_rows(docs), "anchors")
+        twice = written(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "anchors")
+        rows = written(hot_join(rows, twice, ["h"], "n").select("h", "c", "key", "at"), "repeated")
+        variants = written(rows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one")), "variants")
+        # chunks that occur twice or more: all their windows repeat
+        many = written(variants.filter("n > 1").select("h", "c", "n"), "many")
+        whole = hot_join(rows, many, ["h", "c"], "n").select("key", F.expr("shiftright(at, 16)").alias("first"), F.expr("shiftright(at, 16) + (shiftright(at, 8) & 255)").alias("last"))
+        whole = written(whole.distinct(), "whole")  # equal rows have the same runs
+        # anchors with a chunk that occurs once and others beside it
+        open_ = written(variants.groupBy("h").agg(F.count(F.lit(1)).alias("v"), F.min("n").alias("least")).filter("v > 1 and least = 1").select("h", "v"), "open")
+        todo = hot_join(variants, open_, ["h"], "v").select("h", "n", "one.key", "one.at", F.expr(f"cast(ceil(v / {LIMIT}) as int)").alias("salts"), F.col("c"))
+        todo = todo.withColumn("salt", F.expr("cast(pmod(xxhash64(c), salts) as int)"))
+        todo = written(todo.groupBy("key").agg(F.collect_list(F.struct("h", "at", "n", "salt", "salts")).alias("todo")), "todo")  # a text's own chunks
+        bits = spark.sparkContext.broadcast(key_map(todo, "key"))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        texts = _chunk_texts(_passing(docs.select("key", "text"), bits, True), todo)
+        dealt = texts.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt")
+        got = written(_sorted_windows(dealt, 8 * parts), "windows")
+        resolved = got.filter("block is null").select("key", "first", "last")
+        packed = got.filter("block is not null").select("block", "hashes", "ns", "keys", "firsts")
+        crossed = written(_across(packed.repartition(parts, "block").sortWithinPartitions("block")), "crossed")
+        keep += [whole, got, crossed]
     return whole.unionByName(resolved).unionByName(crossed)
 
 
@@ -399,8 +420,10 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     d = d.withColumn("key", F.xxhash64("doc_id", "text"))
-    runs = repeated_runs(d).select("key", (F.col("first") * 256 + (F.col("last") - F.col("first"))).alias("run"))
-    lists = written(runs.groupBy("key").agg(F.collect_list("run").alias("runs")), "runs")  # a text's own runs
+    with scope(d.sparkSession) as keep:
+        runs = repeated_runs(d).select("key", (F.col("first") * 256 + (F.col("last") - F.col("first"))).alias("run"))
+        lists = written(runs.groupBy("key").agg(F.collect_set("run").alias("runs")), "runs")  # a text's own runs, once
+        keep.append(lists)
     bits = d.sparkSession.sparkContext.broadcast(key_map(lists, "key"))
     whole = _remove(_passing(d, bits, False).select("doc_id", "text", F.lit(None).cast("array<long>").alias("runs")))
     return whole.unionByName(_remove(_passing(d, bits, True).join(lists, "key", "left").select("doc_id", "text", "runs")))
