@@ -1,8 +1,9 @@
 """Quality rules: distribution divergence from language references.
 
 References are made from the corpus itself: per language label the histogram of character classes
-and the histogram of common words (words are hashed to ``BUCKETS`` cells; a language's ``COMMON``
-heaviest cells and one for all others). A text's two histograms are compared with every reference
+and the histogram of common words (the ``COMMON`` most frequent words that are at least one in
+``RARE`` of the language's words, lower case in A-Z, and one place for all others; words are counted by
+their 64-bit hashes). A text's two histograms are compared with every reference
 by Jensen-Shannon distance (base 2, 0 to 1); the nearest reference counts. A text is kept when it
 passes the base rules, and its distances are within the limits; histograms of fewer than
 ``MIN_WORDS`` words (or ``MIN_CHARS`` characters) are too thin to judge and pass.
@@ -33,24 +34,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Texts, codes, lower_ascii, mix, powers, steps, words, written
+from .common import STEP_BYTES, Texts, codes, lower_ascii, mix, powers, scope, steps, words, written
 
-BUCKETS, COMMON = 1 << 12, 64
+COMMON, RARE = 64, 2000
 MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 50, 200, 1000
 MAX_CLASS, MAX_WORDS = 0.25, 0.75
 MAX_LANGUAGES = 1000
 FENCE, LEAST_SPREAD, MIN_BAND, BINS = 2.0, 0.1, 20, 4096
 
 #: Character classes by first byte of a UTF-8 character; continuation bytes have none (-1).
-CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "quote", "symbol", "latin", "other")
+CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "quote", "symbol", "latin", "greek", "cyrillic", "semitic", "indic", "signs", "east", "beyond", "other")
 
 
 def class_table() -> np.ndarray:
-    out = np.full(256, CLASSES.index("symbol"), np.int64)
+    at = CLASSES.index
+    out = np.full(256, at("symbol"), np.int64)
     out[97:123], out[65:91], out[48:58] = 0, 1, 2
     out[[0x20, 0x09]], out[[0x0A, 0x0B, 0x0C, 0x0D]] = 3, 4
     out[list(b".,;:!?")], out[list(b"'\"()-")] = 5, 6
-    out[0x80:0xC0], out[0xC0:0xC8], out[0xC8:] = -1, 8, 9
+    out[0x80:0xC0], out[0xC0:] = -1, at("other")
+    out[0xC3:0xCA], out[0xCE:0xD0], out[0xD0:0xD4], out[0xD6:0xDC] = at("latin"), at("greek"), at("cyrillic"), at("semitic")
+    out[0xE0], out[0xE2], out[0xE3:0xEE], out[0xF0:0xF5] = at("indic"), at("signs"), at("east"), at("beyond")
     return out
 
 
@@ -59,10 +63,6 @@ SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"[#*$%&|<>]"[1:-1])] = True
 
 
-def buckets(t: Texts, w) -> np.ndarray:
-    return (codes(lower_ascii(t.buf), w.start, w.end) >> np.uint64(52)).astype(np.int64)
-
-
 def histogram(rows: np.ndarray, cells: np.ndarray, n: int, width: int) -> np.ndarray:
     return np.bincount(rows * width + cells, minlength=n * width).reshape(n, width)
 
@@ -81,54 +81,67 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class References:
-    """Of each language: class distribution, common cells, and the distribution over them and the rest."""
+    """Of each language: class distribution, hashes of its common words, and the distribution over them and the rest."""
 
     def __init__(self, counts: pd.DataFrame):
         self.langs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for _, g in counts.groupby("lang", dropna=False, sort=True):
             w, c = g[g.kind == "w"], g[g.kind == "c"]
-            if w.n.sum() < MIN_REFERENCE:
+            total = g[g.kind == "n"].n.sum()
+            if total < MIN_REFERENCE:
                 continue
             top = w.sort_values(["n", "cell"], ascending=[False, True]).head(COMMON)
-            where = np.full(BUCKETS, COMMON, np.int64)
-            where[top.cell.to_numpy()] = np.arange(len(top))
-            q = np.zeros(COMMON + 1)
-            q[: len(top)] = top.n.to_numpy()
-            q[COMMON] = w.n.sum() - q.sum()
+            code, n = top.cell.to_numpy(np.int64).view(np.uint64), top.n.to_numpy()
+            rank = np.argsort(code)
             p = np.zeros(len(CLASSES))
-            p[c.cell.to_numpy()] = c.n.to_numpy()
-            self.langs.append((p / max(p.sum(), 1), where, q / q.sum()))
+            p[c.cell.to_numpy(np.int64)] = c.n.to_numpy()
+            self.langs.append((p / max(p.sum(), 1), code[rank], np.r_[n[rank], total - n.sum()] / total))
+
 
+def places(words_: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Place of each word among the sorted hashes ``common``; the last one for all others."""
+    at = np.searchsorted(common, words_)
+    hit = common[np.minimum(at, len(common) - 1)] == words_ if len(common) else np.zeros(len(words_), bool)
+    return np.where(hit, at, len(common))
 
-def reference_counts(docs: DataFrame) -> DataFrame:
-    """(lang, kind, cell, n): counts over all texts, a row per language and cell."""
+
+def reference_counts(docs: DataFrame) -> pd.DataFrame:
+    """(lang, kind, cell, n): counts over all texts of classes (c), all words (n) and words that are common (w)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
+        total: dict[str | None, np.ndarray] = {}
+        out = lambda lang, kind, cell, n: pa.RecordBatch.from_arrays([pa.array([lang] * len(cell), pa.string()), pa.array([kind] * len(cell), pa.string()), pa.array(cell.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "kind", "cell", "n"])
         for b in batches:
             enc = b.column(1).dictionary_encode()
             names = enc.dictionary.to_pylist()
             code = enc.indices.fill_null(len(names)).to_numpy().astype(np.int64)
             names.append(None)
-            for t in steps(b.column(0)):
+            for t in steps(b.column(0), 8 * STEP_BYTES):
                 lang = code[t.first : t.first + len(t)]
                 w = words(t)
-                wc = histogram(lang[w.text], buckets(t, w), len(names), BUCKETS)
+                of = lang[w.text]
+                each = codes(lower_ascii(t.buf), w.start, w.end)
                 cls = CLASS[t.buf]
                 at = np.flatnonzero(cls >= 0)
                 cc = histogram(np.repeat(lang, np.diff(t.bounds))[at], cls[at], len(names), len(CLASSES))
                 for k in np.unique(lang).tolist():
-                    have = total.setdefault(names[k], (np.zeros(BUCKETS, np.int64), np.zeros(len(CLASSES), np.int64)))
-                    have[0][:] += wc[k]
-                    have[1][:] += cc[k]
+                    have = total.setdefault(names[k], np.zeros(len(CLASSES), np.int64))
+                    have += cc[k]
+                    one, n = np.unique(each[of == k], return_counts=True)
+                    yield out(names[k], "w", one.view(np.int64), n)
                 if len(total) > MAX_LANGUAGES:
                     raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        for lang, arrays in total.items():
-            for kind, a in zip("wc", arrays, strict=True):
-                cell = np.flatnonzero(a)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cell), pa.string()), pa.array([kind] * len(cell), pa.string()), pa.array(cell.astype(np.int32)), pa.array(a[cell])], ["lang", "kind", "cell", "n"])
+        for lang, a in total.items():
+            cell = np.flatnonzero(a)
+            yield out(lang, "c", cell, a[cell])
 
-    return docs.mapInArrow(run, "lang string, kind string, cell int, n long").groupBy("lang", "kind", "cell").agg(F.sum("n").alias("n"))
+    with scope(docs.sparkSession):
+        counts = written(docs.mapInArrow(run, "lang string, kind string, cell long, n long").groupBy("lang", "kind", "cell").agg(F.sum("n").alias("n")), "counts")
+        totals = counts.filter("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("n"))
+        least = F.broadcast(totals.select(F.col("lang").alias("of"), (F.col("n") / RARE).alias("least")))  # MAX_LANGUAGES rows
+        common = counts.filter("kind = 'w'").join(least, F.col("lang").eqNullSafe(F.col("of"))).filter("n >= least").select(counts.columns)  # RARE words a language at most
+        rows = counts.filter("kind = 'c'").unionByName(common).unionByName(totals.select("lang", F.lit("n").alias("kind"), F.lit(0).cast("long").alias("cell"), "n"))
+        return rows.toArrow().to_pandas()
 
 
 # ---------------------------------------------------------------- base counts
@@ -200,7 +213,7 @@ def word_limits(measured: DataFrame) -> list[tuple[int, int, float]]:
 def judge(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_class: float = MAX_CLASS, max_words: float = MAX_WORDS) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept)."""
     d = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), F.col(doc_id).alias("doc_id"))
-    refs = docs.sparkSession.sparkContext.broadcast(References(reference_counts(d.select("text", "lang")).toArrow().to_pandas()))  # a few tables per language
+    refs = docs.sparkSession.sparkContext.broadcast(References(reference_counts(d.select("text", "lang"))))  # a few tables per language
     kind = d.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,10 +230,10 @@ def judge(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str
                 cls = CLASS[t.buf]
                 at = np.flatnonzero(cls >= 0)
                 c = histogram(np.repeat(np.arange(n), np.diff(t.bounds))[at], cls[at], n, len(CLASSES))
-                cell = buckets(t, w)
+                each_word = codes(lower_ascii(t.buf), w.start, w.end)
                 far_c, far_w, near = np.zeros(n), np.zeros(n), np.full(n, -1)
                 if langs:
-                    each = [(js_distance(c, p), js_distance(histogram(w.text, where[cell], n, COMMON + 1), q)) for p, where, q in langs]
+                    each = [(js_distance(c, p), js_distance(histogram(w.text, places(each_word, common), n, len(q)), q)) for p, common, q in langs]
                     near = np.argmin([x + y for x, y in each], 0)
                     far_c, far_w = (np.stack([e[k] for e in each])[near, np.arange(n)] for k in (0, 1))
                 far = (far_c > max_class) & (c.sum(1) >= MIN_CHARS)
