@@ -228,11 +228,13 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def read_archives(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
-    """One row per record: page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload.
+    """One row per record: page_id, url, record_type, refers_to, payload_bytes, payload_digest, intact, payload.
 
-    ``files`` names the packages; each is read by the task that has its name, a record at a time.
+    ``files`` names the packages; each is read by a task of its own, a record at a time. ``intact``: the
+    payload's digest is the one that its header has (a revisit has no payload of its own).
     """
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+    n_files = files.count()
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("intact", pa.bool_()), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         disk, base = pafs.FileSystem.from_uri(path)
@@ -248,7 +250,9 @@ def read_archives(spark: SparkSession, path: str, files: DataFrame) -> DataFrame
                         fields, payload = parse_record(zlib.decompress(f.read_at(int(n), data.data_at + int(at)), 31))
                         page = fields["WARC-Record-ID"][len("<urn:page:") : -1]
                         ref = fields.get("WARC-Refers-To")
-                        rows.append((number(page), fields["WARC-Target-URI"], fields["WARC-Type"], ref and number(ref[len("<urn:page:") : -1]), int(fields["X-Payload-Length"]), fields["WARC-Payload-Digest"][5:], payload))
+                        kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"][5:]
+                        intact = kind == "revisit" or base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest
+                        rows.append((number(page), fields["WARC-Target-URI"], kind, ref and number(ref[len("<urn:page:") : -1]), int(fields["X-Payload-Length"]), digest, intact, payload))
                         held += len(payload)
                         if held > 4 << 20 or len(rows) >= 4096:
                             yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
@@ -256,15 +260,18 @@ def read_archives(spark: SparkSession, path: str, files: DataFrame) -> DataFrame
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return files.select("file").repartition("file").mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    return files.select("file").repartitionByRange(max(n_files, 1), "file").mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, intact boolean, payload binary")
 
 
 def zip_warc(pages: DataFrame) -> DataFrame:
-    """Write all pages, read the packages back and check each response's payload against its header."""
+    """Write all pages, read the packages back and check each response's payload against its header.
+
+    ``payload_bytes`` is null for a record whose payload is not the one that its header tells.
+    """
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     got = read_archives(spark, path, write_archives(pages, path))
-    whole = (F.col("record_type") == "revisit") | (F.octet_length("payload") == F.col("payload_bytes"))
+    whole = F.col("intact") & ((F.col("record_type") == "revisit") | (F.octet_length("payload") == F.col("payload_bytes")))
     return got.select("page_id", F.when(whole, F.col("payload_bytes")).alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
 
