@@ -29,7 +29,7 @@ reported once per item with its best passage; empty tables give no rows.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,8 +46,8 @@ SHARD = 4096
 SHARD_BYTES = 1 << 22
 #: Most words of an item that are indexed as one.
 PART = 512
-#: Most cells of the table of block maxima; blocks are longer where it would be larger.
-MAX_CELLS = 1 << 26
+#: Sums of block maxima that are made at once.
+CELLS = 1 << 22
 
 WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
@@ -88,9 +88,13 @@ class Item:
 
 
 class Index:
-    """Inverted index of one shard of items, with block maxima."""
+    """Inverted index of one shard of items, with the block maxima of each term's own blocks.
 
-    def __init__(self, rows: list[tuple[int, str]], width: int):
+    ``corpus``: number of parts of all items, their mean length and a function from terms to how many
+    parts have each; without it the shard is all there is.
+    """
+
+    def __init__(self, rows: list[tuple[int, str]], width: int, corpus: tuple[int, float, Callable[[np.ndarray], np.ndarray]] | None = None):
         self.width = width
         self.items: list[Item] = []  # the item of each part
         sizes = []
@@ -104,35 +108,44 @@ class Index:
                 continue
             g = grams(h, width)
             item = Item(len(bags), number, len(h), g, min(max(len(parts[1]) - width + 1, 0), len(g)))
-            edges = np.linspace(0, len(g), -(-len(g) // max(PART - width + 1, 1)) + 1).astype(int).tolist()  # of the parts' shingles
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                part = h[lo : hi + width - 1]
+            for part in parts_of(h, width):
                 self.items.append(item)
                 sizes.append(len(part))
                 bags.append(np.unique(part, return_counts=True))
         n = len(self.items)
-        mean = sum(sizes) / max(n, 1)
-        df: dict[int, int] = {}
-        for t, _ in bags:
-            for x in t.tolist():
-                df[x] = df.get(x, 0) + 1
+        self.vocab, df = np.unique(np.concatenate([t for t, _ in bags]) if bags else np.zeros(0, np.uint64), return_counts=True)
+        total, mean = n, sum(sizes) / max(n, 1)
+        if corpus:
+            total, mean = corpus[:2]
+            df = corpus[2](self.vocab)
+        idf_of = np.log(1 + (total - df + 0.5) / (df + 0.5))
         for k, (t, c) in enumerate(bags):
-            idf = np.array([np.log(1 + (n - df[x] + 0.5) / (df[x] + 0.5)) for x in t.tolist()])
+            idf = idf_of[np.searchsorted(self.vocab, t)]
             impact = idf * c * (K1 + 1) / (c + K1 * (1 - B + B * sizes[k] / mean))
             for x, s in zip(t.tolist(), (impact / impact.sum()).tolist(), strict=True):
                 lists.setdefault(x, []).append((k, s))
-        self.vocab = np.array(sorted(lists), np.uint64)
         self.posts = [([k for k, _ in lists[x]], [s for _, s in lists[x]]) for x in self.vocab.tolist()]
         self.upper = [max(s) for _, s in self.posts]
-        self.block = BLOCK
-        while len(self.vocab) * -(-n // self.block) > MAX_CELLS and self.block < n:
-            self.block *= 2
-        self.blocks = -(-n // self.block)
-        self.block_max = np.zeros((len(self.vocab), max(self.blocks, 1)), np.float32)
-        for i, (ks, ss) in enumerate(self.posts):
-            np.maximum.at(self.block_max[i], np.array(ks) // self.block, np.array(ss, np.float32) * np.float32(1.000001))
+        self.block, self.blocks = BLOCK, -(-n // BLOCK)
+        # the blocks that a term's postings lie in, and its largest impact in each
+        self.peaks: list[dict[int, float]] = []
+        for ks, ss in self.posts:
+            top: dict[int, float] = {}
+            for k, x in zip(ks, ss, strict=True):
+                top[k // BLOCK] = max(top.get(k // BLOCK, 0.0), x * 1.000001)
+            self.peaks.append(top)
+        self.peak_at = np.r_[0, np.cumsum([len(x) for x in self.peaks])].astype(np.int64)
+        self.peak_block = np.array([k for x in self.peaks for k in x], np.int64)
+        self.peak_value = np.array([v for x in self.peaks for v in x.values()])
         self.longest = max(sizes, default=0)
 
+    def bounds(self, term: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+        """(n, blocks): sums of the block maxima of the terms of each of ``n`` passages."""
+        size = self.peak_at[term + 1] - self.peak_at[term]
+        ends = np.cumsum(size)
+        at = np.repeat(self.peak_at[term] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return np.bincount(np.repeat(owner, size) * self.blocks + self.peak_block[at], self.peak_value[at], n * self.blocks).reshape(n, self.blocks)
+
     def wand(self, query: np.ndarray, open_blocks: np.ndarray, theta: float) -> list[tuple[int, float]]:
         """Items of score ``theta`` or more for the distinct term numbers ``query``."""
         lists = [self.posts[t] for t in query.tolist()]
@@ -167,7 +180,7 @@ class Index:
                 start = pivot
                 continue
             # block maxima of the terms up to the pivot; below the threshold, go on at the next term's item
-            bound = sum(self.block_max[query[i], block] for item, i in live if item <= pivot)
+            bound = sum(self.peaks[query[i]].get(block, 0.0) for item, i in live if item <= pivot)
             if bound < theta:
                 start = min([(block + 1) * self.block] + [item for item, _ in live if item > pivot])
                 continue
@@ -200,11 +213,11 @@ class Index:
         pair = np.unique(where * len(self.vocab) + term[ok])
         owner, term = pair // len(self.vocab), pair % len(self.vocab)
         start = np.searchsorted(owner, np.arange(len(passage) + 1))
-        step = max(1, (1 << 22) // (max(self.blocks, 1) * 64))  # passages whose bounds are summed at once
+        step = max(1, CELLS // (max(self.blocks, 1) * 64))  # passages whose bounds are summed at once
         for lo in range(0, len(passage), step):
             hi = min(lo + step, len(passage))
-            bounds = np.add.reduceat(self.block_max[term[start[lo] : start[hi]]], start[lo:hi] - start[lo], axis=0)
-            open_ = bounds >= theta * 0.999
+            at = slice(start[lo], start[hi])
+            open_ = self.bounds(term[at], owner[at] - lo, hi - lo) >= theta * 0.999
             for k in np.flatnonzero(open_.any(1)).tolist():
                 p = lo + k
                 i, c = divmod(int(passage[p]), wide)
@@ -223,19 +236,66 @@ class Index:
             yield i, item, score, h[first[i] + d * item.length : min(first[i] + (d + 2) * item.length, first[i + 1])]
 
 
+def parts_of(h: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """The words of an item in parts of ``PART`` words at most, which overlap so that every shingle lies in one."""
+    n = max(len(h) - width + 1, 1)
+    edges = np.linspace(0, n, -(-n // max(PART - width + 1, 1)) + 1).astype(int).tolist()
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        yield h[lo : hi + width - 1]
+
+
+def term_counts(items: DataFrame, text: str, width: int) -> tuple[int, float, DataFrame]:
+    """Number of parts of all items, their mean length, and (term, n): in how many parts a term is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in steps(b.column(0)):
+                h, first = terms(t)
+                every = [p for i in range(len(t)) if first[i + 1] > first[i] for p in parts_of(h[first[i] : first[i + 1]], width)]
+                one, n = np.unique(np.concatenate([np.unique(p) for p in every]) if every else np.zeros(0, np.uint64), return_counts=True)
+                at = len(one) + 1  # the last row: parts and their words
+                yield pa.RecordBatch.from_arrays([pa.array(np.r_[one.view(np.int64), 0], mask=np.arange(at) == at - 1), pa.array(np.r_[n, len(every)].astype(np.int64)), pa.array(np.r_[np.zeros(at - 1, np.int64), sum(map(len, every))])], ["term", "n", "words"])
+
+    rows = items.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).mapInArrow(run, "term long, n long, words long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    rows = written(rows, "terms")
+    of = rows.filter("term is null").first()
+    return (of.n or 0, (of.words or 0) / max(of.n or 0, 1), rows.filter("term is not null").select("term", "n")) if of else (0, 1.0, rows.select("term", "n"))
+
+
 def shards(items: DataFrame, item_id: str, text: str, width: int) -> Iterator[tuple[Index, bool]]:
-    """The items' indexes by id, and whether it is the last; items stream to the driver, a shard at a time."""
+    """The items' indexes by id, and whether it is the last; items stream to the driver, a shard at a time.
+
+    With several shards all use the counts of all items, made in Spark, so a score does not hang on the
+    items that share a shard; of these counts a shard's own terms come to the driver.
+    """
     rows: list[tuple[int, str]] = []
-    size = 0
+    size, corpus = 0, None
+    spark = items.sparkSession
+
+    def index(rows: list[tuple[int, str]], last: bool) -> tuple[Index, bool]:
+        nonlocal corpus
+        if corpus is None and not last:
+            n, mean, counts = term_counts(items, text, width)
+
+            def df(vocab: np.ndarray) -> np.ndarray:
+                own = F.broadcast(spark.createDataFrame(pa.table({"term": pa.array(vocab.view(np.int64))})))  # the terms of a shard
+                got = counts.join(own, "term").toArrow()
+                out = np.ones(len(vocab))
+                out[np.searchsorted(vocab, got["term"].to_numpy().view(np.uint64))] = got["n"].to_numpy()
+                return out
+
+            corpus = (n, mean, df)
+        return Index(rows, width, corpus), last
+
     for r in items.select(F.col(item_id).alias("i"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).orderBy("i", "t").toLocalIterator():
         n = len(r.t.encode())
         if rows and (len(rows) == SHARD or size + n > SHARD_BYTES):
-            yield Index(rows, width), False
+            yield index(rows, False)
             rows, size = [], 0
         rows.append((r.i, r.t))
         size += n
     if rows:
-        yield Index(rows, width), True
+        yield index(rows, True)
 
 
 def search(docs: DataFrame, items: DataFrame, theta: float = THETA, overlap: float = 0.75, width: int = 5, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
