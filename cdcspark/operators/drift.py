@@ -48,6 +48,19 @@ def spark_type(c: str | Column) -> Column:
     return F.when(base(t).isin("decimal", "numeric"), F.concat(F.lit("decimal("), F.when(p > 0, p).otherwise(10).cast("string"), F.lit(","), s.cast("string"), F.lit(")"))).otherwise(out)
 
 
+#: Types of the analytic store by the beginning of the source's; the first that fits.
+STORE_TYPES = (("tinyint(1)", "BOOLEAN"), ("tinyint", "TINYINT"), ("smallint", "SMALLINT"), ("mediumint", "INT"), ("int", "INT"), ("bigint", "BIGINT"), ("float", "FLOAT"), ("double", "DOUBLE"), ("datetime", "DATETIME"), ("timestamp", "DATETIME"), ("date", "DATE"), ("time", "VARCHAR(32)"))
+
+
+def store_type(c: str | Column) -> Column:
+    """Type of the analytic store: decimals and bounded text keep their sizes, all else without one is text."""
+    t = F.lower(F.trim(c))
+    out = F.when(t.rlike("^(decimal|numeric|varchar|char)"), F.upper(t)).otherwise("STRING")
+    for start, name in reversed(STORE_TYPES):
+        out = F.when(t.startswith(start), name).otherwise(out)
+    return out
+
+
 def text_kind(t: Column, long_text: int = 512) -> Column:
     """Text types: their length, or a very large one for unbounded text."""
     bounded = base(t).isin("char", "varchar")
@@ -55,12 +68,22 @@ def text_kind(t: Column, long_text: int = 512) -> Column:
 
 
 def widens(source: Column, target: Column) -> Column:
-    """True where the target type must grow to hold the source's: never narrows."""
+    """True where the target type must change to hold the source's: never narrows.
+
+    Text needs text of its length (and of its padding), bytes need bytes, an integer a wider integer or
+    any decimal, a decimal one of its digits, a timestamp a timestamp; a bit holds no number.
+    """
     s, t = token(source), token(target)
-    whole = lambda x: F.when(base(x).isin("decimal", "numeric"), size(x, 1) - size(x, 2))
-    by_int = rank(s) > rank(t)
-    by_dec = (whole(s) > whole(t)) | (size(s, 2) > size(t, 2)) & whole(s).isNotNull() & whole(t).isNotNull()
-    return F.coalesce(by_int, by_dec, text_kind(s) > text_kind(t), F.lit(False))
+    decimal = lambda x: base(x).isin("decimal", "numeric")
+    binary = lambda x: base(x).isin("binary", "varbinary", "tinyblob", "blob", "mediumblob", "longblob")
+    stamp = lambda x: base(x).isin("timestamp", "datetime")
+    whole = lambda x: size(x, 1) - size(x, 2)
+    padding = base(s).isin("char", "varchar") & base(t).isin("char", "varchar") & (base(s) != base(t))
+    text = text_kind(t).isNull() | padding | (text_kind(s) > text_kind(t))
+    out = F.when(text_kind(s).isNotNull(), text).when(binary(s), ~binary(t))
+    out = out.when(rank(s).isNotNull(), F.when(rank(t).isNotNull(), rank(s) > rank(t)).otherwise(~decimal(t)))
+    out = out.when(decimal(s), F.when(decimal(t), (whole(s) > whole(t)) | (size(s, 2) > size(t, 2))).otherwise(True))
+    return F.coalesce(out.when(stamp(s), ~stamp(t)), F.lit(False))
 
 
 def diff_plan(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -525,6 +525,12 @@ def r9_digest_drill(t):
 # ---------------------------------------------------------------- drift
 
 
+@query("""SELECT tbl, "column", CASE WHEN type LIKE '%unsigned%' THEN CASE WHEN type LIKE 'int%' THEN 'bigint' ELSE 'int' END WHEN lower(type) LIKE 'bigint%' THEN 'bigint' WHEN type LIKE 'int%' THEN 'int' WHEN type LIKE 'decimal%' THEN type ELSE 'string' END AS spark_type,
+CASE WHEN type LIKE 'varchar%' OR type LIKE 'decimal%' THEN upper(type) WHEN lower(type) LIKE 'bigint%' THEN 'BIGINT' WHEN type LIKE 'smallint%' THEN 'SMALLINT' WHEN type LIKE 'int%' THEN 'INT' ELSE 'STRING' END AS store_type FROM cat""", cat=fx.CATALOG)
+def f1_type_mappings(t):
+    return t.sql(fx.CATALOG).select("tbl", "column", drift.spark_type("type").alias("spark_type"), drift.store_type("type").alias("store_type"))
+
+
 TOKEN = "regexp_replace(lower(%s), '(tinyint|smallint|mediumint|bigint|int)\\(\\d+\\)', '\\1')"
 WIDTH = "CASE WHEN starts_with(%s, 'tinyint') THEN 0 WHEN starts_with(%s, 'smallint') THEN 2 WHEN starts_with(%s, 'mediumint') THEN 4 WHEN starts_with(%s, 'int') THEN 6 WHEN starts_with(%s, 'bigint') THEN 8 END + CASE WHEN contains(%s, 'unsigned') THEN 1 ELSE 0 END"
 LONG = "CASE WHEN starts_with(%s, 'varchar') THEN CASE WHEN CAST(regexp_extract(%s, '(\\d+)', 1) AS INT) <= 512 THEN CAST(regexp_extract(%s, '(\\d+)', 1) AS INT) ELSE 1073741824 END WHEN %s = 'text' THEN 1073741824 END"
@@ -536,7 +542,7 @@ def of(expression: str, name: str) -> str:
 
 
 @query(f"""WITH j AS (SELECT s.tbl, s."column", s.nullable, s.is_pk, s.generated, {of(TOKEN, 's.type')} AS a, {of(TOKEN, 'g.type')} AS b, g.nullable AS n2 FROM src s LEFT JOIN tgt g ON s.tbl = g.tbl AND lower(s."column") = lower(g."column")),
-w AS (SELECT *, a <> b AND coalesce({of(WIDTH, 'a')} > {of(WIDTH, 'b')}, {of(WHOLE, 'a')} > {of(WHOLE, 'b')}, {of(LONG, 'a')} > {of(LONG, 'b')}, FALSE) AS wider FROM j)
+w AS (SELECT *, a <> b AND coalesce(CASE WHEN {of(LONG, 'a')} IS NOT NULL THEN {of(LONG, 'b')} IS NULL OR {of(LONG, 'a')} > {of(LONG, 'b')} WHEN {of(WIDTH, 'a')} IS NOT NULL THEN CASE WHEN {of(WIDTH, 'b')} IS NOT NULL THEN {of(WIDTH, 'a')} > {of(WIDTH, 'b')} ELSE NOT starts_with(b, 'decimal') END WHEN {of(WHOLE, 'a')} IS NOT NULL THEN coalesce({of(WHOLE, 'a')} > {of(WHOLE, 'b')}, TRUE) END, FALSE) AS wider FROM j)
 SELECT tbl, "column", CASE WHEN generated THEN 'SKIP' WHEN b IS NULL THEN 'ADD' WHEN wider THEN CASE WHEN is_pk THEN 'BLOCKED' ELSE 'MODIFY' END WHEN nullable AND NOT n2 THEN CASE WHEN is_pk THEN 'BLOCKED' ELSE 'RELAX_NULL' END ELSE 'KEEP' END AS action FROM w""", src=fx.CATALOG, tgt=fx.CATALOG_TARGET)
 def f3_schema_diff(t):
     return drift.diff_plan(t.sql(fx.CATALOG), t.sql(fx.CATALOG_TARGET))

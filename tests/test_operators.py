@@ -104,9 +104,11 @@ def test_ddl_columns(spark):
 
 
 def test_types_and_widening(spark):
-    df = spark.createDataFrame([("INT(11) unsigned", "int", True), ("tinyint", "bigint", False), ("decimal(12,2)", "decimal(10,0)", True), ("varchar(600)", "varchar(20)", True), ("varchar(20)", "text", False), ("date", "int", False)], "s string, t string, w boolean")
+    df = spark.createDataFrame([("INT(11) unsigned", "int", True), ("tinyint", "bigint", False), ("decimal(12,2)", "decimal(10,0)", True), ("varchar(600)", "varchar(20)", True), ("varchar(20)", "text", False), ("date", "int", False), ("tinyint(1)", "bit", True), ("int", "varchar(9)", True), ("int", "decimal(10,0)", False), ("decimal(9,2)", "bigint", True), ("text", "varchar(20)", True), ("blob", "varchar(20)", True), ("blob", "longblob", False), ("datetime", "date", True), ("timestamp", "datetime", False), ("char(3)", "varchar(9)", True), ("varchar(5)", "varchar(9)", False)], "s string, t string, w boolean")
     assert all(r[0] == r[1] for r in df.select(drift.widens(F.col("s"), F.col("t")), "w").collect())
-    assert [r[0] for r in df.select(drift.spark_type("s")).collect()] == ["bigint", "tinyint", "decimal(12,2)", "string", "string", "date"]
+    assert [r[0] for r in df.limit(6).select(drift.spark_type("s")).collect()] == ["bigint", "tinyint", "decimal(12,2)", "string", "string", "date"]
+    d = spark.createDataFrame([(x,) for x in ("tinyint(1)", "TINYINT(4)", "mediumint", "bigint(20) unsigned", "decimal(10,2)", "varchar(30)", "time", "timestamp", "longtext", "json")], "s string")
+    assert [r[0] for r in d.select(drift.store_type("s")).collect()] == ["BOOLEAN", "TINYINT", "INT", "BIGINT", "DECIMAL(10,2)", "VARCHAR(30)", "VARCHAR(32)", "DATETIME", "STRING", "STRING"]
 
 
 def test_late_types_and_defaults(spark):
