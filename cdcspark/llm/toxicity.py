@@ -1,15 +1,19 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
 1. *Voters* come from labelled texts of the learning part: words and word beginnings that stand out
-   in toxic ones (lexicon voters), and shouting and exclamation marks (pattern voters).
-2. The *label model* knows no labels when it runs: EM estimates each voter's hit rates in both
-   classes and the prior from the votes alone, starting from the rates of the labelled texts. A
-   voter that is silent abstains; a text on which all are silent is a vote of its own.
-   Voters whose votes go together beyond the class (residual correlation) share their weight.
+   in toxic ones (lexicon voters for toxic), shouting and exclamation marks (pattern voters for toxic),
+   and calm writing in a text long enough to tell (pattern voters for clean). A word is taken when its
+   log-likelihood ratio is beyond chance for so many words, and its odds are ``LIFT`` times the others'.
+2. The *label model* knows no labels when it runs: EM estimates from the votes alone, starting from the
+   rates of the labelled texts, the prior, each voter's rate of voting in both classes (its accuracy),
+   and its correlation with one other voter: a vote's chance depends on the class and on the vote of a
+   parent, and the parents make the tree of the strongest dependence within the classes. It runs on the
+   labelled texts and on as many others, without their labels.
 3. A *linear classifier* (logistic, L2) over the same evidence is trained on the posteriors.
 
-At most ``MAX_FIT`` labelled texts are used, those with the smallest hash of their id; voters are
-counted in Spark and only their counts and hits reach the driver. Scoring reads every whole text.
+At most ``MAX_FIT`` labelled and ``MAX_FIT`` other texts are used, those with the smallest hashes of
+their ids, none of the held-out part; voters are counted in Spark and only their counts and hits reach
+the driver. Scoring reads every whole text.
 
 Cases: null and empty texts have no evidence and get the score of the intercept; without usable
 labels of both kinds every score is 0; labels with a null id or value are not used; of a document's
@@ -33,7 +37,12 @@ MAX_FIT = 20_000
 MAX_VOTERS = 256
 #: Bytes of word beginnings that count as evidence besides whole words.
 STEMS = (4, 5, 6, 7)
-PATTERNS = 2
+#: Odds of a lexicon voter; letters of a text that a voter for clean needs.
+LIFT, CALM = 8.0, (100, 400)
+#: Least log-likelihood ratio (chi-squared of one degree): one chance in 5 million.
+CHANCE = 27.5
+#: Pattern voters for toxic, then for clean.
+SHOUTS, PATTERNS = 2, 4
 
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
@@ -58,11 +67,12 @@ def units(t: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def patterns(t: Texts) -> np.ndarray:
-    """Per text: a tenth of its letters are capitals; one byte in a hundred is an exclamation mark."""
+    """Per text: a tenth of its letters are capitals; one byte in a hundred is an exclamation mark; neither, by ``CALM`` letters."""
     sums = lambda mask: np.diff(np.r_[0, np.cumsum(mask)][t.bounds])
     size = np.maximum(np.diff(t.bounds), 1)
     upper, letters = sums((t.buf >= 65) & (t.buf <= 90)), np.maximum(sums(LETTER[t.buf]), 1)
-    return np.stack([upper * 10 >= letters, sums(t.buf == 33) * 100 >= size], 1) & (np.diff(t.bounds) > 0)[:, None]
+    shout, mark = upper * 10 >= letters, sums(t.buf == 33) * 100 >= size
+    return np.stack([shout, mark, *(~shout & ~mark & (letters >= n) for n in CALM)], 1) & (np.diff(t.bounds) > 0)[:, None]
 
 
 def present(t: Texts, voters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,33 +87,75 @@ def present(t: Texts, voters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- the models
 
 
-def label_model(votes: np.ndarray, up: np.ndarray, down: np.ndarray, prior: float, rounds: int = 25) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of the positive class and the voters' weights.
+def parents(v: np.ndarray, post: np.ndarray, least: float = 10.0) -> np.ndarray:
+    """Of each voter the one that it depends on most within the classes, or -1: a maximum spanning forest.
 
-    ``votes``: 0/1 by text and voter; ``up`` and ``down``: first guesses of the rates of a vote in
-    the positive and the other class.
+    Edges weigh twice the texts times the conditional mutual information of two votes given the class;
+    weaker ones than ``least`` are chance.
+    """
+    weight = np.zeros((v.shape[1], v.shape[1]))
+    for p in (post, 1 - post):
+        n, one = p.sum() + 1e-9, p @ v
+        both = (v * p[:, None]).T @ v
+        cells = ((both, one[:, None], one[None]), (one[:, None] - both, one[:, None], n - one[None]), (one[None] - both, n - one[:, None], one[None]), (n - one[:, None] - one[None] + both, n - one[:, None], n - one[None]))
+        for joint, a, b in cells:
+            joint = np.maximum(joint, 0)
+            weight += 2 * joint * np.log(np.maximum(joint * n, 1e-12) / np.maximum(a * b, 1e-12)) * (joint > 1e-9)
+    np.fill_diagonal(weight, 0)
+    m = len(weight)
+    out = np.full(m, -1)
+    best, via, free = np.zeros(m), np.full(m, -1), np.ones(m, bool)
+    for _ in range(m):
+        k = int(np.argmax(np.where(free, best, -1)))
+        if best[k] >= least:
+            out[k] = via[k]
+        free[k] = False
+        nearer = free & (weight[k] > best)
+        best[nearer], via[nearer] = weight[k][nearer], k
+    return out
+
+
+def vote_rates(v: np.ndarray, p: np.ndarray, parent: np.ndarray, least: float) -> np.ndarray:
+    """(2, voters): the rate of a vote among the texts (weighted by ``p``) on which the parent is silent, and votes.
+
+    Without a parent both are the plain rate. Rates are drawn towards the plain one by one text, and that
+    towards ``least``.
+    """
+    n, one = p.sum(), p @ v
+    plain = np.clip((one + least) / (n + 1), 1e-5, 1 - 1e-4)
+    has = np.flatnonzero(parent >= 0)
+    out = np.stack([plain, plain])
+    up = v[:, parent[has]]
+    both, seen = np.einsum("n,nm,nm->m", p, v[:, has], up), p @ up
+    out[1, has] = (both + plain[has]) / (seen + 1)
+    out[0, has] = (one[has] - both + plain[has]) / (n - seen + 1)
+    return np.clip(out, 1e-5, 1 - 1e-4)
+
+
+def label_model(votes: np.ndarray, up: np.ndarray, down: np.ndarray, prior: float, rounds: int = 25, clean: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of the positive class, and the voters' parents.
+
+    ``votes``: 0/1 by text and voter, the last ``clean`` of them for the other class; ``up`` and ``down``:
+    first guesses of the rates of a vote in the positive and the other class.
     """
     n, m = votes.shape
-    weight = np.ones(m)
     v = votes.astype(np.float64)
-    silent = v.sum(1) == 0
-    quiet = np.log(0.1 / 0.9)  # of a text that no voter votes on
+    speaks = np.r_[np.ones(m - clean), -np.ones(clean)]  # the class that a voter is for; it never speaks for the other
+    parent = np.full(m, -1)
+    rates = np.stack([np.tile(up, (2, 1)), np.tile(down, (2, 1))])
     for k in range(rounds):
-        z = np.log(prior / (1 - prior)) + v @ (weight * np.log(up / down)) + quiet * silent
-        post = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        pos = post.sum()
-        prior = float(np.clip((pos + 1) / (n + 2), 1e-3, 0.999))
-        up = np.clip((post @ v + 0.5) / (pos + 1), 1e-4, 1 - 1e-4)
-        down = np.clip(((1 - post) @ v + 0.5) / (n - pos + 1), 1e-5, 1 - 1e-4)
-        up = np.maximum(up, down)  # a voter never speaks against its class
-        quiet = np.log((post @ silent + 0.5) / (pos + 1)) - np.log(((1 - post) @ silent + 0.5) / (n - pos + 1))
-        if k in (2, 6, 12):  # residual correlations within the classes
-            rest = v - post[:, None] * up - (1 - post)[:, None] * down
-            rest = rest / np.maximum(np.sqrt((rest**2).mean(0)), 1e-6)
-            corr = np.clip(rest.T @ rest / n, 0, 1)
-            np.fill_diagonal(corr, 0)
-            weight = 1 / (1 + np.where(corr > 0.5, corr, 0).sum(1))
-    return post, weight
+        on = np.log(rates[0] / rates[1])
+        off = np.log((1 - rates[0]) / (1 - rates[1]))
+        wrong = on * speaks < 0
+        on, off = np.where(wrong, 0, on), np.where(wrong, 0, off)
+        given = v[:, np.maximum(parent, 0)] * (parent >= 0)
+        each = v * (on[0] * (1 - given) + on[1] * given) + (1 - v) * (off[0] * (1 - given) + off[1] * given)
+        post = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + each.sum(1), -40, 40)))
+        prior = float(np.clip((post.sum() + 1) / (n + 2), 1e-3, 0.999))
+        if k in (1, 5, 10):
+            parent = parents(v, post)
+        rates = np.stack([vote_rates(v, post, parent, 0.5), vote_rates(v, 1 - post, parent, 0.5)])
+    return post, parent
 
 
 def logistic(x: np.ndarray, target: np.ndarray, l2: float = 1e-5, rounds: int = 40) -> np.ndarray:
@@ -150,7 +202,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     learn = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("y")).filter("doc_id is not null and y is not null").filter(~held_out("doc_id"))
     learn = learn.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT)
     learn = F.broadcast(learn)  # MAX_FIT rows at most
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(learn, "doc_id").select("text", "y")
+    every = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    texts = every.join(learn, "doc_id").select("text", "y")
+    share = min(1.0, MAX_FIT / max(docs.count(), 1))
+    others = every.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30))).filter("doc_id is not null").filter(~held_out("doc_id"))
+    others = others.join(learn, "doc_id", "left_anti").select("text", F.lit(-1).alias("y"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -167,10 +223,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     n_pos, n_neg = totals.get(1, 0), totals.get(0, 0)
     if not n_pos or not n_neg:
         return None
-    least = max(4, n_pos // 100)
     units_ = texts.mapInArrow(count, "unit long, pos long, neg long").groupBy("unit").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    lift = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    best = units_.filter((F.col("pos") >= least) & (lift > 4) & (lift * F.sqrt("pos") > 10.5)).orderBy((lift * F.sqrt("pos")).desc(), "unit").limit(MAX_VOTERS).toArrow().to_pandas()
+    # log-likelihood ratio of a unit's texts: as toxic as it is, against as toxic as all; beyond chance for all units
+    rate = n_pos / (n_pos + n_neg)
+    n, share = F.col("pos") + F.col("neg"), F.col("pos") / (F.col("pos") + F.col("neg"))
+    term = lambda k, q: F.when(k > 0, k * F.log(q)).otherwise(0.0)
+    ratio = 2 * (term(F.col("pos"), share / rate) + term(F.col("neg"), (1 - share) / (1 - rate)))
+    lift = F.col("pos") / n_pos * n_neg / (F.col("neg") + 3)  # three more than seen: what may be there unseen
+    units_ = units_.filter(n > 2).select("unit", ratio.alias("ratio"), lift.alias("lift"))
+    best = units_.filter((F.col("ratio") > CHANCE) & (F.col("lift") > LIFT)).orderBy(F.col("ratio").desc(), "unit").limit(MAX_VOTERS).toArrow().to_pandas()
     best = best.sort_values("unit", key=lambda s: s.astype("int64").to_numpy().view(np.uint64))
     voters = best["unit"].to_numpy(np.int64).view(np.uint64)
 
@@ -185,20 +246,22 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 ends = np.searchsorted(text[order], np.arange(len(t) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(1).slice(t.first, len(t)), pa.ListArray.from_arrays(pa.array(ends), pa.array(voter[order].astype(np.int32)))], ["y", "votes"])
 
-    rows = texts.mapInArrow(vote, "y int, votes array<int>").toArrow().to_pandas()  # MAX_FIT rows of voter numbers
+    rows = texts.unionByName(others).mapInArrow(vote, "y int, votes array<int>").toArrow().to_pandas()  # 2 * MAX_FIT rows or so of voter numbers
     return train(rows, voters)
 
 
 def train(rows: pd.DataFrame, voters: np.ndarray) -> Model:
-    """``rows``: y and the numbers of the voters that vote."""
+    """``rows``: y (-1 where there is no label) and the numbers of the voters that vote."""
     votes = np.zeros((len(rows), len(voters) + PATTERNS), np.float32)
     for i, v in enumerate(rows["votes"]):
         votes[i, v] = 1
     y = rows["y"].to_numpy()
     up = np.clip((votes[y == 1].sum(0) + 0.5) / ((y == 1).sum() + 1), 1e-4, 0.99)
-    down = np.clip((votes[y != 1].sum(0) + 0.5) / ((y != 1).sum() + 1), 1e-5, 0.99)
-    votes[:, up < 2 * down] = 0  # no better than chance on the labelled texts: such a voter falls silent
-    post, _ = label_model(votes, np.maximum(up, down), down, float(np.clip((y == 1).mean(), 0.01, 0.9)))
+    down = np.clip((votes[y == 0].sum(0) + 0.5) / ((y == 0).sum() + 1), 1e-5, 0.99)
+    clean = PATTERNS - SHOUTS
+    better = np.where(np.arange(len(up)) < len(up) - clean, up >= 2 * down, down >= up)
+    votes[:, ~better] = 0  # no better than chance on the labelled texts: such a voter falls silent
+    post, _ = label_model(votes, up, down, float(np.clip((y == 1).sum() / max((y >= 0).sum(), 1), 0.01, 0.9)), clean=clean)
     w = logistic(votes, post)
     return Model(voters, w[:-1], float(w[-1]))
 
