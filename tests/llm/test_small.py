@@ -247,7 +247,7 @@ def test_wand_finds_what_full_scoring_finds():
         for t in q.tolist():
             for k, s in zip(*ix.posts[t], strict=True):
                 full[k] += s
-        bounds = ix.block_max[q].sum(0)
+        bounds = ix.bounds(q, np.zeros(len(q), np.int64), 1)[0]
         assert {k for k, _ in ix.wand(q, bounds >= 0.4 * 0.999, 0.4)} == {k for k, s in full.items() if s >= 0.4}
 
 
@@ -378,3 +378,262 @@ def test_key_maps(spark):
     bits = common.key_map(df, "k")
     keys = np.array([r.k for r in df.collect()])
     assert common.in_map(bits, keys).all() and common.in_map(bits, keys + 1).mean() < 0.01
+
+
+def thue_morse(n):
+    """Two texts of ``n`` letters that sums of powers modulo 2**64 take for one."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_texts_that_sums_of_powers_confuse(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    a, b = thue_morse(4096)
+    raw = np.frombuffer((a + b).encode(), np.uint8)
+    assert len(set(common.codes(raw, np.array([0, 4096]), np.array([4096, 8192])).tolist())) == 2
+    for n in (40, 200, 1024):  # below and above the length from which a library hashes
+        x, y = thue_morse(n)
+        raw = np.frombuffer((x + y).encode(), np.uint8)
+        assert len(set(common.codes(raw, np.array([0, n]), np.array([n, 2 * n])).tolist())) == 2
+    data = [(1, f"{a}\n{b}\n{a}"), (2, a), (3, b), (4, f"{a} {b} x y z"), (5, f"{b} {a} x y z")]
+    df = spark.createDataFrame([(i, t, "en") for i, t in data], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.n_dup_lines for r in divergence.judge(df).collect()}[1] == 1
+    assert {(r.doc_id, r.component_id) for r in ngram_join.jaccard_components(df).collect()} == {(i, i) for i, _ in data}
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {(i, zlib.crc32(np.array(t.encode(x, add_special_tokens=False).ids + [1], "<u4").tobytes())) for i, x in data}
+    assert {(r.doc_id, r.ids_crc32) for r in token_store.token_store(df, public_tokenizers.path("word_bpe_49k.json")).collect()} == want
+    x, y = thue_morse(1024)
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.dedup_substrings(spark.createDataFrame([(1, x), (2, "q" + y[:199])], "doc_id long, text string")).collect()}
+    count = Counter(d[j : j + 200] for d in (x, "q" + y[:199]) for j in range(len(d) - 199))
+    assert got[2] == 0 and (got[1] > 0) == (max(count.values()) > 1)
+
+
+def test_jaccard_join_of_unlike_texts_with_one_passage(spark):
+    """Two thousand texts share a passage of half their words; only a few are alike beyond it."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passage, own = text(60), text(80)
+    data = [(i, f"{text(rng.randint(40, 80))} {passage} {text(rng.randint(1, 9))}") for i in range(2000)]
+    data += [(3000 + i, f"{own} {passage} {text(4)}") for i in range(6)]
+    data += [(4000 + i, f"{passage} {text(rng.randint(6, 16))}") for i in range(300)]  # some of these are alike by the passage alone
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in data)]
+    part = list(range(len(data)))
+
+    def root(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for i in range(2000, len(data)):
+        for j in range(2000, i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                part[max(root(i), root(j))] = min(root(i), root(j))
+    want = sorted((d, len(s), data[root(i)][0]) for i, ((d, _), s) in enumerate(zip(data, sets, strict=True)))
+    assert sorted(map(tuple, ngram_join.jaccard_components(df).collect())) == want
+
+
+def test_jaccard_names_that_clash_are_given_anew(docs, corpus, monkeypatch):
+    real = ngram_join.names_of
+    monkeypatch.setattr(ngram_join.Join, "classes", lambda self, named, real=ngram_join.Join.classes: real(self, named).withColumn("clash", F.lit(self.__dict__.setdefault("tries", 0) == 0)) if not self.__dict__.update(tries=self.__dict__.get("tries", -1) + 1) else None)
+    assert rows(ngram_join.jaccard_components(docs)) == brute_components(corpus) and real is ngram_join.names_of
+
+
+def test_mixing_of_tied_rows(spark):
+    words = "a b c " * 100
+    data = [(None, words, "x", "en")] * 1000 + [(i, "w " * (i % 50), "y", "en") for i in range(300)] + [(7, "q r", "z", f"l{i % 3}") for i in range(90)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, lang string").repartition(3)
+    got = mixing.mix_sources(df, keep=("lang",)).collect()
+    assert Counter((r.doc_id, r.lang) for r in got) == Counter((r[0], r[3]) for r in data)
+    x = [r for r in got if r.doc_id is None]
+    assert abs(sum(r.taken for r in x) - x[0].target) <= 300 and {r.copies for r in x} == {0, 1}
+    assert rows(mixing.mix_sources(df.repartition(5), keep=("lang",))) == sorted(map(tuple, got), key=str)
+
+
+def test_equal_rows_have_their_runs_once(spark):
+    rng = random.Random(13)
+    text = "".join(rng.choice("abcdef ") for _ in range(3000))
+    df = spark.createDataFrame([(1, text)] * 200 + [(2, text[500:900])], "doc_id long, text string")
+    assert Counter((r.doc_id, r.n_removed, r.n_spans) for r in suffix_dedup.dedup_substrings(df).collect()) == {(1, 3000, 1): 200, (2, 400, 1): 1}
+
+
+def test_packages_are_read_by_as_many_tasks(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i}/", f"text {i}") for i in range(400)], "page_id long, url string, html string").repartition(6)
+    path = common.scratch_path(spark, "warc")
+    got = zip_warc.read_archives(spark, path, zip_warc.write_archives(pages, path))
+    n = zip_warc.write_archives(pages, common.scratch_path(spark, "warc")).count()
+    assert n > 1 and got.select(F.spark_partition_id().alias("p")).distinct().count() == n
+    assert got.filter("intact").count() == 400
+
+
+def test_divergence_against_a_plain_version(spark):
+    """Distances, limits and verdicts by plain counting, on texts of two languages, one null, and junk."""
+    rng = random.Random(21)
+    made = lambda k: "".join(rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 8))) + k
+    vocab = {lang: [made(k) for _ in range(300)] for lang, k in (("en", ""), ("de", "ß"), (None, "’"))}
+    data = []
+    for i in range(240):
+        lang = ("en", "de", None)[i % 3]
+        data.append((i, " ".join(rng.choices(vocab[lang], [1 / (k + 1) for k in range(300)], k=rng.randint(30, 250))) + rng.choice([".", "\n", ""]), lang))
+    data += [(900 + i, " ".join(made("") for _ in range(150)), "en") for i in range(3)] + [(910, "%% ## " * 80 + " ".join(vocab["en"][:60]), "en"), (911, "", "en"), (912, None, "de"), (913, "Слово и дело " * 9 + " ".join(vocab["de"]), "de")]
+    got = {r.doc_id: r for r in divergence.judge(spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3)).collect()}
+
+    table = divergence.CLASS
+    classes = lambda t: Counter(int(c) for c in table[np.frombuffer(t.encode(), np.uint8)] if c >= 0)
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def js(p, q):
+        a, b = sum(p.values()), sum(q.values())
+        if not a:
+            return 0.0
+        d = 0.0
+        for k in {*p, *q}:
+            x, y = p.get(k, 0) / a, q.get(k, 0) / b
+            d += (x * math.log2(2 * x / (x + y)) if x else 0) + (y * math.log2(2 * y / (x + y)) if y else 0)
+        return math.sqrt(min(max(d / 2, 0), 1))
+
+    refs = []
+    for lang in ("de", "en", None):
+        w, c = Counter(), Counter()
+        for _, t, g in data:
+            if g == lang and t:
+                w.update(WORD.findall(t.translate(low)))
+                c.update(classes(t))
+        if sum(w.values()) >= divergence.MIN_REFERENCE:
+            hashed = lambda x: int(common.codes(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x.encode())])).view(np.int64)[0])
+            top = dict(sorted(((x, n) for x, n in w.items() if n * divergence.RARE >= sum(w.values())), key=lambda x: (-x[1], hashed(x[0])))[: divergence.COMMON])
+            refs.append((c, top | {"": sum(w.values()) - sum(top.values())}, set(top)))
+    far = {}
+    for i, t, _ in data:
+        w = WORD.findall((t or "").translate(low))
+        each = [(js(classes(t or ""), c), js(Counter(x if x in top else "" for x in w), q)) for c, q, top in refs]
+        near = min(range(len(each)), key=lambda k: sum(each[k]))
+        far[i] = (*each[near], near, len(w))
+        assert abs(got[i].class_distance - each[near][0]) < 1e-9 and abs(got[i].word_distance - each[near][1]) < 1e-9
+    groups = {}
+    for i, t, _ in data:
+        if not got[i].base_failed and far[i][3] >= divergence.MIN_WORDS:
+            for ref in (far[i][2], -1):
+                groups.setdefault((ref, int(math.log2(far[i][3]))), []).append(int(far[i][1] * divergence.BINS))
+    at = {}
+    for k, v in groups.items():
+        if len(v) >= divergence.MIN_BAND:
+            q1, q2, q3 = ((x + 0.5) / divergence.BINS for x in np.percentile(v, [25, 50, 75]))
+            at[k] = q3 + divergence.FENCE * max(q3 - q1, divergence.LEAST_SPREAD * q2)
+    for i, t, _ in data:
+        c, w, ref, n = far[i]
+        limit = None
+        for band in range((n or 1).bit_length()):
+            limit = at.get((ref, band), at.get((-1, band), limit))
+        chars = sum(classes(t or "").values())
+        want = not got[i].base_failed and not (c > divergence.MAX_CLASS and chars >= divergence.MIN_CHARS) and not (n >= divergence.MIN_WORDS and w > min(divergence.MAX_WORDS, limit if limit is not None else 9))
+        assert got[i].kept == want, i
+    assert not any(got[i].kept for i in (900, 901, 902, 910, 911, 912))
+
+
+def plain_label_model(votes, up, down, prior, rounds, clean):
+    """The same EM in plain loops."""
+    n, m = len(votes), len(votes[0])
+    parent = [-1] * m
+    rate = [[[up[j]] * 2 for j in range(m)], [[down[j]] * 2 for j in range(m)]]
+    clip = lambda x: min(max(x, 1e-5), 1 - 1e-4)
+    for k in range(rounds):
+        post = []
+        for v in votes:
+            z = math.log(prior / (1 - prior))
+            for j in range(m):
+                g = v[parent[j]] if parent[j] >= 0 else 0
+                a, b = rate[0][j][g], rate[1][j][g]
+                if (a < b) == (j < m - clean) and a != b:
+                    continue
+                z += math.log(a / b) if v[j] else math.log((1 - a) / (1 - b))
+            post.append(1 / (1 + math.exp(-min(max(z, -40), 40))))
+        prior = min(max((sum(post) + 1) / (n + 2), 1e-3), 0.999)
+        if k in (1, 5, 10):
+            parent = toxicity.parents(np.array(votes, float), np.array(post)).tolist()
+        for y in (0, 1):
+            p = [x if y == 0 else 1 - x for x in post]
+            for j in range(m):
+                plain = clip((sum(q for q, v in zip(p, votes, strict=True) if v[j]) + 0.5) / (sum(p) + 1))
+                rate[y][j] = [plain, plain]
+                if parent[j] >= 0:
+                    for g in (0, 1):
+                        of = [(q, v[j]) for q, v in zip(p, votes, strict=True) if v[parent[j]] == g]
+                        rate[y][j][g] = clip((sum(q for q, x in of if x) + plain) / (sum(q for q, _ in of) + 1))
+    return post, parent
+
+
+def test_label_model_against_plain_loops():
+    rng = np.random.default_rng(5)
+    y = rng.random(240) < 0.25
+    votes = (rng.random((240, 7)) < np.where(y[:, None], [0.6, 0.5, 0.4, 0.3, 0.5, 0.2, 0.3], [0.05, 0.02, 0.05, 0.02, 0.05, 0.6, 0.7])).astype(np.float32)
+    votes[:, 1] = np.where(rng.random(240) < 0.9, votes[:, 0], votes[:, 1])  # nearly a copy of the first
+    up, down = np.full(7, 0.4), np.full(7, 0.1)
+    up[5:], down[5:] = 0.1, 0.4
+    post, parent = toxicity.label_model(votes, up, down, 0.3, clean=2)
+    want, want_parent = plain_label_model(votes.astype(int).tolist(), up, down, 0.3, 25, 2)
+    assert parent.tolist() == want_parent and np.allclose(post, want, atol=1e-6)
+    assert (parent[1] == 0) or (parent[0] == 1)
+    assert ((post > 0.5) == y).mean() > 0.9
+
+
+def test_strongest_dependences_make_the_tree():
+    rng = np.random.default_rng(6)
+    v = (rng.random((500, 6)) < 0.3).astype(float)
+    v[:, 2] = np.where(rng.random(500) < 0.8, v[:, 0], v[:, 2])
+    v[:, 4] = np.where(rng.random(500) < 0.7, v[:, 2], v[:, 4])
+    post = rng.random(500)
+
+    def weight(i, j):
+        out = 0.0
+        for p in (post, 1 - post):
+            n = p.sum()
+            for a in (0, 1):
+                for b in (0, 1):
+                    joint, x, y = p[(v[:, i] == a) & (v[:, j] == b)].sum(), p[v[:, i] == a].sum(), p[v[:, j] == b].sum()
+                    out += 2 * joint * math.log(joint * n / (x * y)) if joint else 0.0
+        return out
+
+    edges, part = set(), list(range(6))
+    for w, i, j in sorted(((weight(i, j), i, j) for i in range(6) for j in range(i)), reverse=True):  # one edge after the other
+        if w >= 10 and part[i] != part[j]:
+            edges.add((i, j))
+            part = [part[j] if x == part[i] else x for x in part]
+    got = {(max(i, int(k)), min(i, int(k))) for i, k in enumerate(toxicity.parents(v, post)) if k >= 0}
+    assert got == edges and {(2, 0), (4, 2)} <= got
+
+
+def test_classifier_is_at_its_least_loss():
+    rng = np.random.default_rng(7)
+    x = (rng.random((200, 4)) < 0.4).astype(np.float32)
+    target = 1 / (1 + np.exp(-(x @ np.array([2, -1, 0.5, 0]) - 0.5 + rng.normal(0, 0.3, 200))))
+    w = toxicity.logistic(x, target)
+
+    def loss(w):
+        p = 1 / (1 + np.exp(-(np.c_[x, np.ones(200)] @ w)))
+        one = target > 0.5
+        share = np.where(one, 0.5 / one.sum(), 0.5 / (~one).sum())
+        return float(-(share * (target * np.log(p) + (1 - target) * np.log(1 - p))).sum() + (np.r_[np.full(4, 1e-5), 1e-6] * w**2 / 2).sum())
+
+    best = loss(w)
+    for k in range(5):
+        for step in (-0.01, 0.01):
+            v = w.copy()
+            v[k] += step
+            assert loss(v) > best
+
+
+def test_scores_do_not_hang_on_shards(spark, monkeypatch):
+    rng = random.Random(31)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(120)]
+    items = [(i, " ".join(rng.choices(vocab, [1 / (k + 1) for k in range(120)], k=rng.randint(10, 40)))) for i in range(60)] + [(60, None), (3, items_text := "only one of its kind and no other")]
+    docs = [(i, " ".join(rng.choices(vocab, k=80)) + " " + (items[i][1] or "") + " " + items_text * (i % 2)) for i in range(40)] * 2
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = rows(decontaminate.search(df, bench))
+    monkeypatch.setattr(decontaminate, "SHARD", 7)
+    many = rows(decontaminate.search(df, bench))
+    assert len(one) >= 80 and [r[:2] for r in one] == [r[:2] for r in many]
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(one, many, strict=True))
