@@ -2,8 +2,10 @@
 
 A url's longest fitting rule decides. For urls that no rule fits, hosts are judged by the links
 between them: personalised PageRank along the links from the hosts of allowed pages (trust), and
-along the reversed links from the hosts of blocked pages (distrust). A host is blocked when its
-distrust passes ``threshold`` times its trust. All steps are DataFrame operations.
+along the reversed links from the hosts of blocked pages (distrust). Rounds go on until the scores of
+a kind change by less than ``TOLERANCE`` in all. Scores of a kind sum to 1 in the end: hosts without a
+link onwards give theirs back to the seeds, which comes to the same factor for all. A host is blocked
+when its distrust passes ``threshold`` times its trust. All steps are DataFrame operations.
 
 Cases: a null url or one without ``://`` has an empty host and path, fits no rule and is allowed; a
 null html has no links; links to the own host and repeated links of a page do not add weight;
@@ -13,14 +15,18 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import scope, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-DAMPING, ROUNDS, THRESHOLD = 0.85, 8, 1.0
+DAMPING, THRESHOLD = 0.85, 1.0
+#: Change of all scores of a kind at which rounds end, rounds between two looks at it, and the rounds after which it is reached in any case.
+TOLERANCE, STRIDE, ROUNDS = 1e-3, 6, 48
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z]+:)?//([^/?#"'\s>]+)"""
 
 
@@ -48,8 +54,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return n
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """Scores (kind, host, score) after ``rounds``; ``seeds`` has them at the start, summing to 1 by kind.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
+    """Settled scores (kind, host, score); ``seeds`` has them at the start, summing to 1 by kind.
 
     Trust runs along an edge, distrust against it; one join and one sum a round do both.
     """
@@ -57,27 +63,39 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -
     total = written(both.groupBy("kind", "host").agg(F.sum("n").alias("all")), "degrees")
     both = written(both.join(total, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("all")).alias("w")), "edges")
     score = seeds
-    for _ in range(rounds):
-        moved = both.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("w") * F.col("score") * damping).alias("score"))
-        score = written(moved.unionByName(seeds.withColumn("score", F.col("score") * (1 - damping))).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
-    return score
-
-
-def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, damping: float = DAMPING, rounds: int = ROUNDS, threshold: float = THRESHOLD, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    # a round changes the scores by at most ``damping`` times what the round before it did
+    for _ in range(math.ceil(math.log(tolerance / 2, damping) / STRIDE)):
+        for _ in range(STRIDE):
+            before = score
+            moved = both.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("w") * F.col("score") * damping).alias("score"))
+            score = moved.unionByName(seeds.withColumn("score", F.col("score") * (1 - damping))).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        last = before.withColumnRenamed("score", "last")
+        score = written(score.join(last, ["kind", "host"], "full_outer").select("kind", "host", F.coalesce("score", F.lit(0.0)).alias("score"), F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("last", F.lit(0.0))).alias("moved")), "scores")
+        moved = score.groupBy("kind").agg(F.sum("moved").alias("moved")).agg(F.max("moved")).first()[0]
+        score = score.drop("moved")
+        if (moved or 0.0) < tolerance:
+            break
+    total = F.broadcast(score.groupBy("kind").agg(F.sum("score").alias("all")))  # two rows
+    return score.join(total, "kind").select("kind", "host", (F.col("score") / F.col("all")).alias("score"))
+
+
+def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, damping: float = DAMPING, tolerance: float = TOLERANCE, threshold: float = THRESHOLD, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, host, path, rule, verdict) of every page."""
     host, path = host_and_path(url)
     p = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), F.col(html).cast("string").alias("html"))
     text, kind = rule_of(F.col("host"), F.col("path"), rules)
-    judged = written(p.select("page_id", "host", "path", text.alias("rule"), kind.alias("kind")), "judged")
-    edges = written(host_edges(p), "links")
-    seeds = judged.filter("kind is not null and host <> ''").groupBy(F.when(F.col("kind") == "allow", "trust").otherwise("distrust").alias("kind"), "host").agg(F.count(F.lit(1)).alias("n"))
-    seeds = written(seeds, "seeds")
-    sums = {r.kind: r.n for r in seeds.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    whole = F.when(F.col("kind") == "trust", float(sums.get("trust", 1))).otherwise(float(sums.get("distrust", 1)))
-    seeds = seeds.select("kind", "host", (F.col("n") / whole).alias("score"))
-    scores = seeds if edges.isEmpty() else propagate(edges, seeds, damping, rounds)
-    bad = scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"))
-    bad = written(bad.filter(F.col("distrust") > threshold * F.col("trust")).select("host", F.lit(True).alias("bad")), "hosts")
+    with scope(pages.sparkSession) as keep:
+        judged = written(p.select("page_id", "host", "path", text.alias("rule"), kind.alias("kind")), "judged")
+        edges = written(host_edges(p), "links")
+        seeds = judged.filter("kind is not null and host <> ''").groupBy(F.when(F.col("kind") == "allow", "trust").otherwise("distrust").alias("kind"), "host").agg(F.count(F.lit(1)).alias("n"))
+        seeds = written(seeds, "seeds")
+        sums = {r.kind: r.n for r in seeds.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+        whole = F.when(F.col("kind") == "trust", float(sums.get("trust", 1))).otherwise(float(sums.get("distrust", 1)))
+        seeds = seeds.select("kind", "host", (F.col("n") / whole).alias("score"))
+        scores = seeds if edges.isEmpty() else propagate(edges, seeds, damping, tolerance)
+        bad = scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"))
+        bad = written(bad.filter(F.col("distrust") > threshold * F.col("trust")).select("host", F.lit(True).alias("bad")), "hosts")
+        keep += [judged, bad]
     return judged.join(bad, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("kind", F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"))
 
 
@@ -98,7 +116,7 @@ b AS (SELECT 'trust' AS kind, src AS host, dst AS dest, n FROM n UNION ALL SELEC
 e AS (SELECT kind, host, dest, n / sum(n) OVER (PARTITION BY kind, host) AS w FROM b),
 c AS (SELECT CASE kind WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n FROM j WHERE kind IS NOT NULL AND host <> '' GROUP BY ALL),
 s0 AS (SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) AS score FROM c), {rounds},
-f AS (SELECT * FROM s{ROUNDS} WHERE EXISTS (SELECT 1 FROM n) UNION ALL SELECT * FROM s0 WHERE NOT EXISTS (SELECT 1 FROM n)),
+f AS (SELECT kind, host, score / sum(score) OVER (PARTITION BY kind) AS score FROM s{ROUNDS} WHERE EXISTS (SELECT 1 FROM n) UNION ALL SELECT * FROM s0 WHERE NOT EXISTS (SELECT 1 FROM n)),
 d AS (SELECT host FROM f GROUP BY host HAVING coalesce(sum(score) FILTER (kind = 'distrust'), 0) > {THRESHOLD} * coalesce(sum(score) FILTER (kind = 'trust'), 0))
 SELECT page_id, host, path, rule, coalesce(kind, CASE WHEN host IN (SELECT host FROM d) THEN 'block' ELSE 'allow' END) AS verdict FROM j
 """
