@@ -13,15 +13,16 @@ then all are named anew. One member stands for its class.
    cell and never gathered; all others are counted in the range of hashes they belong to. Shingles of
    one class are dropped: they come first in its order, and only their number matters.
 3. *Candidates.* Of two sets over the threshold the smaller one has a shingle of the other within its
-   first seventh (for 75 percent), the larger one within its first quarter. In a small group (a
-   shingle's sets) every pair is a candidate. In a large one a leader meets all others, then about
-   ``LEADERS`` more, which look only at pairs whose components still differ.
+   first seventh (for 75 percent), the larger one within its first quarter. A pair is a candidate
+   once, in the group (a shingle's sets) of the first shingle that both have. In a small group every
+   pair is one. In a large one a leader meets all others.
 4. *Vertical counts.* The order is cut into ``FRAGMENTS`` stretches of equal weight. Each set is
    cut there too; a candidate's overlap is counted in each fragment by itself and summed per pair.
 5. *Components* of the links, by alternating star contraction in Spark.
-6. *The rest.* In large groups, pairs of sets whose components still differ have not been compared
-   unless one is a leader. Every such pair has a member outside the group's main component; all of
-   them are made, counted and linked the same way. So no link between components is missed.
+6. *Later turns.* What is left are pairs of large groups, neither of them a leader, whose components
+   differ. Turn by turn about ``LEADERS`` more sets of a group lead, four times as many each time, and
+   meet only sets of other components; in the last turn all pairs that still differ are compared. So no
+   link between components is missed, and a group of alike sets costs a few pairs a set.
 
 Cases: null and empty texts have no shingles, link with nothing and are their own component; a text
 of fewer words than ``width`` has one shingle of all its words; repeated rows are equal sets, each
@@ -47,7 +48,7 @@ SAMPLE = np.uint64(3 << 61)
 CELL_BITS, HEAVY = 20, 64
 CELL_BLOCKS = 64
 FRAGMENTS = 4
-LEADERS = 4
+LEADERS, TURNS = 4, 4
 RANK_BITS = 57
 #: Shingles that a task holds before it packs them.
 FLUSH = 1 << 21
@@ -202,7 +203,7 @@ class Join:
     # -------------------------------------------------------- step 1
 
     def named(self, salt: int) -> DataFrame:
-        """Rows (doc_id, k, n, cls, again) of all texts, and rows (cls, alone): shingles of no other class in a range."""
+        """Rows (doc_id, k, n, cls, again) of all texts, and packed ones: how many shingles of a range a class has alone."""
         width, buckets = self.width, 2 * self.parts
         out = f"doc_id {self.kind}, k long, n long, cls long, again long"
 
@@ -250,10 +251,10 @@ class Join:
             first = next(batches, None)
             if first is None:
                 return
-            schema = pa.schema([first.schema.field("doc_id"), *((f, pa.int64()) for f in ("k", "n", "cls", "again", "alone"))])
+            schema = first.schema
             for x in by_bucket(chain([first], batches)):
                 if isinstance(x, pa.RecordBatch):
-                    yield _batch(schema, x.num_rows, **{f: x.column(f) for f in schema.names[:-1]})
+                    yield x
                     continue
                 h, c = distinct_members(x[0], x[1])
                 every = np.concatenate([h, x[2], x[2]])
@@ -261,15 +262,22 @@ class Join:
                 s = every[rank]
                 edge = np.r_[True, s[1:] != s[:-1], True]
                 own, n = np.unique(c[rank[edge[1:] & edge[:-1]]], return_counts=True)
-                yield _batch(schema, len(own), cls=pa.array(own), alone=pa.array(n))
+                cols = pack(n.astype(np.uint64), own, np.zeros(0, np.uint64), buckets, own.view(np.uint64))
+                yield _batch(schema, len(cols["bucket"]), **cols)
 
         packed = self.docs.select("doc_id", "text", "k").mapInArrow(run, f"{out}, {PACKED}")
-        return written(self.bucketed(packed).mapInArrow(alone, f"{out}, alone long"), "named")
+        return written(self.bucketed(packed).mapInArrow(alone, f"{out}, {PACKED}"), "named")
 
     def classes(self, named: DataFrame) -> DataFrame:
         """(cls, n, k, rows, clash) of each class; ``clash`` where different sets have one name."""
-        sets = named.filter("alone is null and n > 0").groupBy("cls").agg(F.max("n").alias("n"), F.min("k").alias("k"), (F.min("again") != F.max("again")).alias("clash"))
-        alone = named.filter("alone is not null").groupBy("cls").agg(F.sum("alone").alias("alone"))
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for n, cls, _ in by_bucket(batches):  # a class is in one bucket
+                own, at = np.unique(cls, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.bincount(at, n).astype(np.int64))], ["cls", "alone"])
+
+        sets = named.filter("hashes is null and n > 0").groupBy("cls").agg(F.max("n").alias("n"), F.min("k").alias("k"), (F.min("again") != F.max("again")).alias("clash"))
+        alone = self.bucketed(named.filter("hashes is not null").select(*[x.split()[0] for x in PACKED.split(", ")])).mapInArrow(add, "cls long, alone long")
         left = F.col("n") - F.coalesce("alone", F.lit(0))  # that another class may have
         return sets.join(alone, "cls", "left").select("cls", "n", "k", "clash", (100 * left >= self.percent * F.col("n")).alias("open"))
 
@@ -384,36 +392,40 @@ class Join:
     # -------------------------------------------------------- steps 3 and 4
 
     def groups(self, sets: DataFrame) -> DataFrame:
-        """(key, cls, n, pos, small, m, turn): the first shingles of each set that may lead to a partner."""
+        """(key, cls, n, pos, small, before, m, turn): the first shingles of each set that may lead to a partner.
+
+        ``before``: what other classes have as well and comes before in the order.
+        """
         p, n = self.percent, F.col("n")
         sets = sets.withColumn("u", n - F.size("keys")).withColumn("probe", (n - F.ceil(n * p / F.lit(100)) + 1).cast("int"))
-        sets = sets.withColumn("index", n - F.ceil(n * (2 * p) / F.lit(100 + p)) + 1)
-        rows = sets.select("cls", "n", "u", "index", F.posexplode(F.slice("keys", F.lit(1), F.greatest(F.col("probe") - F.col("u"), F.lit(0)).cast("int"))).alias("at", "key"))
+        sets = sets.withColumn("index", n - F.ceil(n * (2 * p) / F.lit(100 + p)) + 1).withColumn("keys", F.slice("keys", F.lit(1), F.greatest(F.col("probe") - F.col("u"), F.lit(0)).cast("int")))
+        rows = sets.select("cls", "n", "u", "index", "keys", F.posexplode("keys").alias("at", "key"))
         pos = (F.col("u") + F.col("at")).cast("int")
-        rows = written(rows.select("key", "cls", F.col("n").cast("int").alias("n"), pos.alias("pos"), (pos < F.col("index")).alias("small")), "prefixes")
+        rows = written(rows.select("key", "cls", F.col("n").cast("int").alias("n"), pos.alias("pos"), (pos < F.col("index")).alias("small"), F.slice("keys", F.lit(1), F.col("at")).alias("before")), "prefixes")
         lead = F.struct(F.xxhash64("cls").alias("h"), "cls")
         group = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("small").alias("any"), F.min(lead).alias("first")).filter("m > 1 and any").select("key", "m", F.col("first.cls").alias("first"))
-        # turn 0: all of a small group, or the first of a large one; turn 1: about LEADERS more; 2: never
+        # turn 0: all of a small group, or the first of a large one; then ever more of them, by the share of a hash
         share = F.pmod(F.xxhash64("cls", F.lit(1)), F.lit(1 << 20)) * F.col("m")
-        turn = F.when((F.col("m") <= LEADERS) | (F.col("cls") == F.col("first")), 0).when(share < LEADERS << 20, 1).otherwise(2)
-        return written(rows.join(group, "key").withColumn("turn", turn).drop("first"), "groups")
+        turn = F.when((F.col("m") <= LEADERS) | (F.col("cls") == F.col("first")), 0)
+        for k in range(1, TURNS):
+            turn = turn.when(share < (LEADERS * 4 ** (k - 1)) << 20, k)
+        return written(rows.join(group, "key").withColumn("turn", turn.otherwise(TURNS)).drop("first"), "groups")
 
-    def candidates(self, a: DataFrame, b: DataFrame, apart: Column) -> DataFrame:
-        """Pairs (a, b, both, first turn) of rows of one group that sizes and places do not rule out.
+    def candidates(self, rows: DataFrame, turn: int) -> DataFrame:
+        """Pairs (a, b, both) of one group, led in ``turn``, that sizes and places do not rule out, each pair once.
 
-        Every pair over the threshold passes in the group of the first shingle that both have; where rows
-        have the shingles ``before`` theirs, a pair is looked at in that group only.
+        ``rows``: (key, cls, n, pos, small, before, turn, label); sets of one label need no comparison.
         """
-        x, y = a.alias("x"), b.alias("y")
+        x, y = rows.filter(F.col("turn") == turn).alias("x"), rows.filter(F.col("turn") >= turn).alias("y")
+        once = (F.col("y.turn") > turn) | (F.col("x.cls") < F.col("y.cls"))
         need = least_overlap(F.col("x.n") + F.col("y.n"), self.percent)
         rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
         sizes = 100 * F.least("x.n", "y.n") >= self.percent * F.greatest("x.n", "y.n")
         less = (F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls"))
         early = F.when(less, F.col("x.small")).otherwise(F.col("y.small"))
-        first = ~F.arrays_overlap("x.before", "y.before") if "before" in a.columns else F.lit(True)
-        j = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") != F.col("y.cls")) & apart & sizes & early & (rest >= need) & first)
-        j = j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both"), F.least("x.turn", "y.turn").alias("turn"))
-        return j.groupBy("a", "b", "both").agg(F.min("turn").alias("turn"))
+        first = ~F.arrays_overlap("x.before", "y.before")  # else they meet in another group
+        j = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & sizes & early & (rest >= need) & first)
+        return j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both"))
 
     def cuts(self, sets: DataFrame) -> list[int]:
         """Places of the order between the fragments, by the shingles of all sets."""
@@ -432,7 +444,7 @@ class Join:
 
     def fragments(self, sets: DataFrame, pairs: DataFrame, cuts: list[int]) -> DataFrame:
         """(cls, frag, keys): the cut sets of the classes in ``pairs``."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        wanted = pairs.select(F.col("a").alias("cls")).distinct().unionByName(pairs.select(F.col("b").alias("cls")).distinct()).distinct()
         edges = [None, *cuts, None]
         inside = lambda lo, hi: lambda x: (F.lit(True) if lo is None else x >= lo) & (F.lit(True) if hi is None else x < hi)
         parts = [F.struct(F.lit(i).alias("frag"), F.filter("keys", inside(lo, hi)).alias("keys")) for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
@@ -487,39 +499,25 @@ class Labels:
                 self.table = written(star_components(links.unionByName(self.table.select(F.col("cls").alias("a"), F.col("label").alias("b")))), "labels")
                 keep.append(self.table)
 
-    def differ(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose components differ."""
-        a, b = (self.table.select(F.col("cls").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
-        return pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb")
-
 
 def link_classes(j: Join, sets: DataFrame) -> DataFrame:
     """(cls, label) of the classes that are linked with others."""
     labels = Labels(j)
-    rows = j.groups(sets)
-    both_lead = (F.col("y.turn") > 1) | (F.col("x.cls") < F.col("y.cls"))
-    pairs = written(j.candidates(rows.filter("turn < 2"), rows, both_lead), "pairs")
-    if pairs.isEmpty():
-        return labels.table
-    cuts = j.cuts(sets)
-    fragments = j.fragments(sets, pairs, cuts)
-    labels.add(pairs.filter("turn = 0").select("a", "b", "both"), fragments)
-    more = written(labels.differ(pairs.filter("turn = 1").select("a", "b", "both")), "pairs")
-    if not more.isEmpty():
-        labels.add(more, fragments)
-    # what is left in large groups
-    large = rows.filter(F.col("m") > LEADERS)
-    marked = written(large.join(labels.table, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "marked")
-    main = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-    marked = written(marked.join(main.filter("labels > 1").drop("labels"), "key").withColumn("minor", F.col("label") != F.col("main")).drop("main").filter("turn = 2"), "marked")
-    before = F.slice("keys", F.lit(1), (F.col("pos") - F.col("n") + F.size("keys")).cast("int"))
-    marked = written(marked.join(sets.select("cls", "keys"), "cls").withColumn("before", before).drop("keys"), "marked")
-    minor = marked.filter("minor")
-    if not minor.isEmpty():
-        apart = (F.col("x.label") != F.col("y.label")) & (~F.col("y.minor") | (F.col("x.cls") < F.col("y.cls")))
-        rest = written(j.candidates(minor, marked, apart).join(pairs, ["a", "b"], "left_anti").select("a", "b", "both"), "pairs")
-        if not rest.isEmpty():
-            labels.add(rest, j.fragments(sets, rest, cuts))
+    rows = j.groups(sets).withColumn("label", F.col("cls"))
+    cuts = None
+    for turn in range(TURNS + 1):
+        if turn:  # large groups of more than one component
+            rows = rows.filter(F.col("m") > LEADERS).drop("label").join(labels.table, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+            rows = written(rows, "marked")
+            apart = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("apart")).filter("apart").select("key")
+            rows = written(rows.filter(F.col("turn") >= turn).join(apart, "key"), "marked")
+        pairs = written(j.candidates(rows, turn), "pairs")
+        if pairs.isEmpty():
+            if rows.isEmpty():
+                break
+            continue
+        cuts = j.cuts(sets) if cuts is None else cuts
+        labels.add(pairs, j.fragments(sets, pairs, cuts))
     return labels.table
 
 
@@ -547,7 +545,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, doc_i
         with scope(j.spark) as kept:
             labels = link_classes(j, sets)
             kept.append(labels)
-        rows = named.filter("alone is null").select("doc_id", "n", "cls").join(labels, "cls", "left")
+        rows = named.filter("hashes is null").select("doc_id", "n", "cls").join(labels, "cls", "left")
         rows = written(rows.select("doc_id", "n", F.coalesce("label", "cls").alias("label")), "labelled")
         least = written(rows.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
         keep += [rows, least]
