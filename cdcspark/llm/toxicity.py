@@ -87,14 +87,14 @@ def present(t: Texts, voters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- the models
 
 
-def parents(v: np.ndarray, post: np.ndarray, least: float = 10.0) -> np.ndarray:
+def parents(v: np.ndarray, post: np.ndarray, least: float = 10.0, times: np.ndarray | float = 1.0) -> np.ndarray:
     """Of each voter the one that it depends on most within the classes, or -1: a maximum spanning forest.
 
     Edges weigh twice the texts times the conditional mutual information of two votes given the class;
     weaker ones than ``least`` are chance.
     """
     weight = np.zeros((v.shape[1], v.shape[1]))
-    for p in (post, 1 - post):
+    for p in (post * times, (1 - post) * times):
         n, one = p.sum() + 1e-9, p @ v
         both = (v * p[:, None]).T @ v
         cells = ((both, one[:, None], one[None]), (one[:, None] - both, one[:, None], n - one[None]), (one[None] - both, n - one[:, None], one[None]), (n - one[:, None] - one[None] + both, n - one[:, None], n - one[None]))
@@ -132,13 +132,16 @@ def vote_rates(v: np.ndarray, p: np.ndarray, parent: np.ndarray, least: float) -
     return np.clip(out, 1e-5, 1 - 1e-4)
 
 
-def label_model(votes: np.ndarray, up: np.ndarray, down: np.ndarray, prior: float, rounds: int = 25, clean: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, up: np.ndarray, down: np.ndarray, prior: float, rounds: int = 25, clean: int = 0, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of the positive class, and the voters' parents.
 
     ``votes``: 0/1 by text and voter, the last ``clean`` of them for the other class; ``up`` and ``down``:
-    first guesses of the rates of a vote in the positive and the other class.
+    first guesses of the rates of a vote in the positive and the other class; ``times``: how many
+    texts have each row of votes.
     """
-    n, m = votes.shape
+    m = votes.shape[1]
+    times = np.ones(len(votes)) if times is None else times
+    n = times.sum()
     v = votes.astype(np.float64)
     speaks = np.r_[np.ones(m - clean), -np.ones(clean)]  # the class that a voter is for; it never speaks for the other
     parent = np.full(m, -1)
@@ -151,17 +154,19 @@ def label_model(votes: np.ndarray, up: np.ndarray, down: np.ndarray, prior: floa
         given = v[:, np.maximum(parent, 0)] * (parent >= 0)
         each = v * (on[0] * (1 - given) + on[1] * given) + (1 - v) * (off[0] * (1 - given) + off[1] * given)
         post = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + each.sum(1), -40, 40)))
-        prior = float(np.clip((post.sum() + 1) / (n + 2), 1e-3, 0.999))
+        prior = float(np.clip((post @ times + 1) / (n + 2), 1e-3, 0.999))
         if k in (1, 5, 10):
-            parent = parents(v, post)
-        rates = np.stack([vote_rates(v, post, parent, 0.5), vote_rates(v, 1 - post, parent, 0.5)])
+            parent = parents(v, post, times=times)
+        rates = np.stack([vote_rates(v, post * times, parent, 0.5), vote_rates(v, (1 - post) * times, parent, 0.5)])
     return post, parent
 
 
-def logistic(x: np.ndarray, target: np.ndarray, l2: float = 1e-5, rounds: int = 40) -> np.ndarray:
-    """Weights, then the intercept, by Newton steps. Classes weigh the same."""
+def logistic(x: np.ndarray, target: np.ndarray, l2: float = 1e-5, rounds: int = 40, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights, then the intercept, by Newton steps. Classes weigh the same; a row counts ``times``."""
+    times = np.ones(len(x)) if times is None else times
     n, m = x.shape
-    share = np.where(target > 0.5, 0.5 / max((target > 0.5).sum(), 1), 0.5 / max((target <= 0.5).sum(), 1))
+    one = target > 0.5
+    share = times * np.where(one, 0.5 / max(times[one].sum(), 1), 0.5 / max(times[~one].sum(), 1))
     share /= share.sum()
     a = np.c_[x, np.ones(n)].astype(np.float64)
     ridge = np.r_[np.full(m, l2), 1e-6]
@@ -251,18 +256,24 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def train(rows: pd.DataFrame, voters: np.ndarray) -> Model:
-    """``rows``: y (-1 where there is no label) and the numbers of the voters that vote."""
-    votes = np.zeros((len(rows), len(voters) + PATTERNS), np.float32)
+    """``rows``: y (-1 where there is no label) and the numbers of the voters that vote.
+
+    Texts with the same votes are one row from there on, with their number.
+    """
+    votes = np.zeros((len(rows), len(voters) + PATTERNS), bool)
     for i, v in enumerate(rows["votes"]):
-        votes[i, v] = 1
+        votes[i, v] = True
     y = rows["y"].to_numpy()
     up = np.clip((votes[y == 1].sum(0) + 0.5) / ((y == 1).sum() + 1), 1e-4, 0.99)
     down = np.clip((votes[y == 0].sum(0) + 0.5) / ((y == 0).sum() + 1), 1e-5, 0.99)
     clean = PATTERNS - SHOUTS
     better = np.where(np.arange(len(up)) < len(up) - clean, up >= 2 * down, down >= up)
-    votes[:, ~better] = 0  # no better than chance on the labelled texts: such a voter falls silent
-    post, _ = label_model(votes, up, down, float(np.clip((y == 1).sum() / max((y >= 0).sum(), 1), 0.01, 0.9)), clean=clean)
-    w = logistic(votes, post)
+    votes[:, ~better] = False  # no better than chance on the labelled texts: such a voter falls silent
+    packed = np.ascontiguousarray(np.packbits(votes, 1))
+    _, first, times = np.unique(packed.view(np.dtype((np.void, packed.shape[1])))[:, 0], return_index=True, return_counts=True)
+    votes, times = votes[first].astype(np.float32), times.astype(np.float64)
+    post, _ = label_model(votes, up, down, float(np.clip((y == 1).sum() / max((y >= 0).sum(), 1), 0.01, 0.9)), clean=clean, times=times)
+    w = logistic(votes, post, times=times)
     return Model(voters, w[:-1], float(w[-1]))
 
 
