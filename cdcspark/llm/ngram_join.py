@@ -13,16 +13,16 @@ then all are named anew. One member stands for its class.
    cell and never gathered; all others are counted in the range of hashes they belong to. Shingles of
    one class are dropped: they come first in its order, and only their number matters.
 3. *Candidates.* Of two sets over the threshold the smaller one has a shingle of the other within its
-   first seventh (for 75 percent), the larger one within its first quarter. A pair is a candidate
-   once, in the group (a shingle's sets) of the first shingle that both have. In a small group every
-   pair is one. In a large one a leader meets all others.
+   first seventh (for 75 percent), the larger one within its first quarter. In a small group (a
+   shingle's sets) every pair is a candidate. In a large one a leader meets all others.
 4. *Vertical counts.* The order is cut into ``FRAGMENTS`` stretches of equal weight. Each set is
    cut there too; a candidate's overlap is counted in each fragment by itself and summed per pair.
 5. *Components* of the links, by alternating star contraction in Spark.
 6. *Later turns.* What is left are pairs of large groups, neither of them a leader, whose components
    differ. Turn by turn about ``LEADERS`` more sets of a group lead, four times as many each time, and
-   meet only sets of other components; in the last turn all pairs that still differ are compared. So no
-   link between components is missed, and a group of alike sets costs a few pairs a set.
+   meet only sets of other components, each pair in the group of the first shingle that both have; in the
+   last turn all pairs that still differ are compared. So no link between components is missed, and a
+   group of alike sets costs a few pairs a set.
 
 Cases: null and empty texts have no shingles, link with nothing and are their own component; a text
 of fewer words than ``width`` has one shingle of all its words; repeated rows are equal sets, each
@@ -392,16 +392,13 @@ class Join:
     # -------------------------------------------------------- steps 3 and 4
 
     def groups(self, sets: DataFrame) -> DataFrame:
-        """(key, cls, n, pos, small, before, m, turn): the first shingles of each set that may lead to a partner.
-
-        ``before``: what other classes have as well and comes before in the order.
-        """
+        """(key, cls, n, pos, small, m, turn): the first shingles of each set that may lead to a partner."""
         p, n = self.percent, F.col("n")
         sets = sets.withColumn("u", n - F.size("keys")).withColumn("probe", (n - F.ceil(n * p / F.lit(100)) + 1).cast("int"))
         sets = sets.withColumn("index", n - F.ceil(n * (2 * p) / F.lit(100 + p)) + 1).withColumn("keys", F.slice("keys", F.lit(1), F.greatest(F.col("probe") - F.col("u"), F.lit(0)).cast("int")))
-        rows = sets.select("cls", "n", "u", "index", "keys", F.posexplode("keys").alias("at", "key"))
+        rows = sets.select("cls", "n", "u", "index", F.posexplode("keys").alias("at", "key"))
         pos = (F.col("u") + F.col("at")).cast("int")
-        rows = written(rows.select("key", "cls", F.col("n").cast("int").alias("n"), pos.alias("pos"), (pos < F.col("index")).alias("small"), F.slice("keys", F.lit(1), F.col("at")).alias("before")), "prefixes")
+        rows = written(rows.select("key", "cls", F.col("n").cast("int").alias("n"), pos.alias("pos"), (pos < F.col("index")).alias("small")), "prefixes")
         lead = F.struct(F.xxhash64("cls").alias("h"), "cls")
         group = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("small").alias("any"), F.min(lead).alias("first")).filter("m > 1 and any").select("key", "m", F.col("first.cls").alias("first"))
         # turn 0: all of a small group, or the first of a large one; then ever more of them, by the share of a hash
@@ -414,7 +411,8 @@ class Join:
     def candidates(self, rows: DataFrame, turn: int) -> DataFrame:
         """Pairs (a, b, both) of one group, led in ``turn``, that sizes and places do not rule out, each pair once.
 
-        ``rows``: (key, cls, n, pos, small, before, turn, label); sets of one label need no comparison.
+        ``rows``: (key, cls, n, pos, small, turn, label); sets of one label need no comparison. Where rows
+        also have the shingles ``before`` theirs, a pair is looked at only where it first meets.
         """
         x, y = rows.filter(F.col("turn") == turn).alias("x"), rows.filter(F.col("turn") >= turn).alias("y")
         once = (F.col("y.turn") > turn) | (F.col("x.cls") < F.col("y.cls"))
@@ -423,9 +421,9 @@ class Join:
         sizes = 100 * F.least("x.n", "y.n") >= self.percent * F.greatest("x.n", "y.n")
         less = (F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls"))
         early = F.when(less, F.col("x.small")).otherwise(F.col("y.small"))
-        first = ~F.arrays_overlap("x.before", "y.before")  # else they meet in another group
+        first = ~F.arrays_overlap("x.before", "y.before") if "before" in rows.columns else F.lit(True)
         j = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & sizes & early & (rest >= need) & first)
-        return j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both"))
+        return j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
 
     def cuts(self, sets: DataFrame) -> list[int]:
         """Places of the order between the fragments, by the shingles of all sets."""
@@ -510,7 +508,13 @@ def link_classes(j: Join, sets: DataFrame) -> DataFrame:
             rows = rows.filter(F.col("m") > LEADERS).drop("label").join(labels.table, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
             rows = written(rows, "marked")
             apart = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("apart")).filter("apart").select("key")
-            rows = written(rows.filter(F.col("turn") >= turn).join(apart, "key"), "marked")
+            rows = rows.filter(F.col("turn") >= turn).join(apart, "key")
+            if turn == 1:
+                before = F.slice("keys", F.lit(1), (F.col("pos") - F.col("n") + F.size("keys")).cast("int"))
+                rows = written(rows, "marked")
+                own = sets.select("cls", "keys").join(rows.select("cls").distinct(), "cls", "left_semi")
+                rows = rows.join(own, "cls").withColumn("before", before).drop("keys")
+            rows = written(rows, "marked")
         pairs = written(j.candidates(rows, turn), "pairs")
         if pairs.isEmpty():
             if rows.isEmpty():
