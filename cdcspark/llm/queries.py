@@ -5,15 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, divergence, mixing, ngram_join, pii, suffix_dedup, token_store, toxicity, url_filter, zip_warc
+from . import alignment, decontaminate, divergence, hard_negatives, mixing, ngram_join, packing, pii, suffix_dedup, token_store, toxicity, url_filter, zip_warc
 from .common import table
 
 
-def word_vocabulary() -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_vocabulary() -> str:
+    return vocabulary("word_bpe_49k.json")
 
 
 def op1_js_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,9 +61,22 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zip_warc.zip_warc(table(spark, sf_dir, "pages"))
 
 
+def op11_lemp_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_js_divergence, op2_pareto_mix, op3_link_trust, op4_lstm_crf_pii, op5_bm25_decontaminate, op6_suffix_dedup, op7_weak_toxicity, op8_huffman_tokens, op9_ngram_jaccard, op10_zip_warc)}
+    return {f.__name__: f for f in (op1_js_divergence, op2_pareto_mix, op3_link_trust, op4_lstm_crf_pii, op5_bm25_decontaminate, op6_suffix_dedup, op7_weak_toxicity, op8_huffman_tokens, op9_ngram_jaccard, op10_zip_warc, op11_lemp_negatives, op12_best_fit_packing, op13_tokenizer_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_pareto_mix": mixing.SQL, "op3_link_trust": url_filter.sql(), "op10_zip_warc": zip_warc.SQL}
+    return {"op2_pareto_mix": mixing.SQL, "op3_link_trust": url_filter.sql(), "op10_zip_warc": zip_warc.SQL, "op11_lemp_negatives": hard_negatives.SQL}
