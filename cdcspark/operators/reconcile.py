@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import cut, shared_path
+
 #: Most unequal buckets that are broadcast; more are joined.
 MAX_BUCKETS = 100_000
 NUMERIC = ("integer", "year", "decimal")
@@ -58,13 +60,14 @@ def equal(a: Column, b: Column, kind: str) -> Column:
     Equal texts are equal. Numbers are compared at their full length, and as floats only where a text
     is no decimal number.
     """
+    text = a.cast("string") == b.cast("string")
     if kind in NUMERIC:
         x, y = decimal_text(a), decimal_text(b)
-        same = (a.cast("string") == b.cast("string")) | F.coalesce(x == y, a.try_cast("double") == b.try_cast("double"), F.lit(False))
+        same = text | F.coalesce(x == y, a.try_cast("double") == b.try_cast("double"), F.lit(False))
     elif kind == "float":
-        x, y = a.cast("double"), b.cast("double")
+        x, y = a.try_cast("double"), b.try_cast("double")
         special = F.isnan(x) | F.isnan(y) | (F.abs(x) == float("inf")) | (F.abs(y) == float("inf"))
-        same = F.when(special, x == y).otherwise(F.abs(x - y) <= F.greatest(F.abs(x), F.abs(y), F.lit(1.0)) * 1e-6)
+        same = text | F.when(special, x == y).otherwise(F.abs(x - y) <= F.greatest(F.abs(x), F.abs(y), F.lit(1.0)) * 1e-6)
     else:
         same = normalised(a, kind) == normalised(b, kind)
     return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).otherwise(F.coalesce(same, F.lit(False)))
@@ -96,48 +99,149 @@ def summary(found: DataFrame) -> DataFrame:
     return found.groupBy("tbl").agg(F.count(F.lit(1)).alias("mismatches"), F.countDistinct("key").alias("keys"))
 
 
+#: Characters and bytes of a chunk that large values are compared by.
+TEXT_CHUNK, BYTES_CHUNK = 200, 1000
+
+
 def large_differences(source: DataFrame, target: DataFrame, key: str, column: str) -> DataFrame:
-    """Keys whose long values differ: only lengths and digests are shuffled."""
-    d = lambda df, n: df.select(key, F.struct(F.octet_length(column).alias("n"), F.sha2(F.col(column).cast("binary"), 256).alias("h")).alias(n))
-    j = d(source, "_s").join(d(target, "_t"), key)
-    return j.filter(~F.col("_s").eqNullSafe(F.col("_t"))).select(key, F.col("_s.n").alias("source_bytes"), F.col("_t.n").alias("target_bytes"))
+    """(key, source_bytes, target_bytes, chunk, place): keys whose long values differ, with the first unequal chunk and place.
+
+    Only lengths and a digest of each value are shuffled; of values that differ the digests of their chunks,
+    and of the first chunk that differs the chunk itself. Places count characters of text and bytes of binary, from 0.
+    A null is no value and is left to ``mismatches``.
+    """
+    binary = dict(source.dtypes)[column] == "binary"
+    size = BYTES_CHUNK if binary else TEXT_CHUNK
+    whole = lambda df, n: df.filter(F.col(column).isNotNull()).select(key, F.struct(F.octet_length(column).alias("n"), F.sha2(F.col(column).cast("binary"), 256).alias("h")).alias(n))
+    both = whole(source, "_s").join(whole(target, "_t"), key).filter(~F.col("_s").eqNullSafe(F.col("_t")))
+    both = cut(both.select(key, F.col("_s.n").alias("source_bytes"), F.col("_t.n").alias("target_bytes")))
+    chunk = lambda i: F.substring(F.col(column), i * size + 1, F.lit(size))
+    n_chunks = F.ceil(F.length(column) / size).cast("int")
+    hashes = lambda df, n: df.join(both.select(key), key, "left_semi").select(key, F.transform(F.when(n_chunks > 0, F.sequence(F.lit(0), n_chunks - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.xxhash64(chunk(i))).alias(n))
+    pairs = hashes(source, "_s").join(hashes(target, "_t"), key)
+    first = F.array_position(F.transform(F.arrays_zip("_s", "_t"), lambda x: ~x["_s"].eqNullSafe(x["_t"])), True) - 1
+    places = cut(pairs.select(key, first.cast("int").alias("chunk")))
+    text = lambda df, n: df.join(places, key).select(key, "chunk", F.when(F.col("chunk") < n_chunks, chunk(F.col("chunk"))).otherwise(F.lit("").cast(dict(df.dtypes)[column])).alias(n))
+    found = text(source, "_s").join(text(target, "_t"), [key, "chunk"])
+    same = F.filter(F.sequence(F.lit(1), F.lit(size)), lambda i: (F.length(F.substring(F.col("_s"), i, F.lit(1))) == 0) | (F.length(F.substring(F.col("_t"), i, F.lit(1))) == 0) | (F.substring(F.col("_s"), i, F.lit(1)) != F.substring(F.col("_t"), i, F.lit(1))))
+    place = (F.col("chunk") * size + F.get(same, 0) - 1).cast("long")
+    return both.join(found.select(key, "chunk", place.alias("place")), key)
 
 
 def preview(c: str, n: int = 500) -> Column:
     return F.concat(F.lit("len="), F.length(c).cast("string"), F.lit(" value="), F.substring(c, 1, n))
 
 
-def bucket_digests(df: DataFrame, key: str, cols: list[str], buckets: int) -> DataFrame:
-    """(bucket, rows, low, high): order-free digests of the rows of each key bucket.
+def comparable(c: Column, kind: str, same_type: bool) -> Column:
+    """A value whose equality means that ``equal`` holds; the converse need not be true of numbers within a tolerance.
+
+    Columns of one type are taken as they are where that is enough; of two types, a text that both write alike.
+    """
+    if kind in NUMERIC:
+        return c if same_type else F.coalesce(decimal_text(c), c.cast("string"))
+    if kind == "float":
+        number = c.try_cast("double")
+        return F.when(number.isNull() | F.isnan(number), c.cast("string")).otherwise((number + 0.0).cast("string"))
+    return normalised(c, kind) if kind == "binary" else normalised(c, kind).cast("string")
+
+
+#: Keys of a leaf of a digest tree, and nodes of a level that one of the level above covers.
+LEAF, FAN = 64, 32
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def leaf_of(key: Column, numeric: bool, leaf: int = LEAF) -> Column:
+    """The leaf of a key: a range of ``leaf`` whole numbers, or a range of hashes of other keys."""
+    return F.floor(key / leaf) if numeric else F.shiftright(F.xxhash64(key), 32)
 
-    A row's hash is over its typed columns and a flag for each null, so no two rows are written alike;
-    two sums of independent hashes are kept.
+
+def leaves(df: DataFrame, key: str, plan: list[tuple[str, str]], other: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """(node, rows, low, high): order-free digests of the rows of each leaf, comparable with those of ``other``.
+
+    A row's hash is over its normalised columns and a flag for each null, so no two rows are written alike;
+    two sums of independent hashes are kept, so a node's digest is the sum of its children's.
     """
-    every = [x for c in [key, *cols] for x in (F.col(c).isNull(), F.col(c))]
-    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *every).cast("decimal(38,0)")).cast("string")
-    return df.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"), total(1).alias("low"), total(2).alias("high"))
+    mine, theirs = dict(df.dtypes), dict(other.dtypes)
+    numeric = mine[key] in WHOLE and theirs[key] in WHOLE
+    name = F.col(key).cast("long") if numeric else F.col(key) if mine[key] == theirs[key] else F.coalesce(decimal_text(F.col(key)), F.col(key).cast("string"))
+    every = [name] + [x for c, k in plan for x in (F.col(c).isNull(), comparable(F.col(c), k, mine[c] == theirs[c]))]
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *every).cast("decimal(38,0)")).alias(("low", "high")[seed])
+    return df.filter(F.col(key).isNotNull()).groupBy(leaf_of(name, numeric, leaf).alias("node")).agg(F.count(F.lit(1)).alias("rows"), total(0), total(1))
 
 
-def unequal_buckets(source: DataFrame, target: DataFrame, key: str, cols: list[str], buckets: int) -> DataFrame:
-    s, t = (bucket_digests(df, key, cols, buckets).select("bucket", F.struct("rows", "low", "high").alias(n)) for df, n in ((source, "_s"), (target, "_t")))
-    return s.join(t, "bucket", "full_outer").filter(~F.col("_s").eqNullSafe(F.col("_t"))).select("bucket")
+def level_above(level: DataFrame, fan: int = FAN) -> DataFrame:
+    return level.groupBy(F.floor(F.col("node") / fan).alias("node")).agg(*[F.sum(c).alias(c) for c in ("rows", "low", "high")])
 
 
-def drill(source: DataFrame, target: DataFrame, table: str, key: str, plan: list[tuple[str, str]], rows_per_bucket: int = 64, worth: float = 0.5) -> DataFrame:
-    """Mismatches, looked for only in the buckets whose digests differ.
+class DigestTree:
+    """Digests of a table in levels, leaves first, kept beside it: ``path`` has a folder for each level.
+
+    A level above has a ``fan``-th of the nodes, up to one with no more than ``fan``.
+    """
 
-    Buckets grow with the rows, so that few differences make few buckets unequal. Where more than
-    ``worth`` of them are, nothing is gained and all rows are compared at once.
+    def __init__(self, spark: SparkSession, path: str, levels: int, fan: int = FAN):
+        self.spark, self.path, self.levels, self.fan = spark, path.rstrip("/"), levels, fan
+
+    @classmethod
+    def write(cls, bottom: DataFrame, path: str, fan: int = FAN, levels: int | None = None) -> DigestTree:
+        """Store the levels over the leaves ``bottom``: as many as needed, or ``levels`` to match another tree."""
+        spark, n = bottom.sparkSession, 0
+        level = bottom
+        while True:
+            level.repartitionByRange(max(1, min(64, spark.sparkContext.defaultParallelism)), "node").sortWithinPartitions("node").write.mode("overwrite").parquet(f"{path}/level={n}")
+            level = spark.read.parquet(f"{path}/level={n}")
+            n += 1
+            if n == levels or (levels is None and level.count() <= fan):
+                return cls(spark, path, n, fan)
+            level = level_above(level, fan)
+
+    def level(self, n: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/level={n}")
+
+    def unequal(self, other: DigestTree, worth: float = 1.0) -> tuple[DataFrame, list[tuple[int, int, int]]]:
+        """The leaves that differ, and (level, nodes looked at, nodes unequal), the top first: below a node that is equal nothing is read.
+
+        On a level of which more than ``worth`` differs it ends, with that level's nodes.
+        """
+        report, bad = [], None
+        for n in reversed(range(self.levels)):
+            mine, theirs = (t.level(n).select("node", F.struct("rows", "low", "high").alias(c)) for t, c in ((self, "_s"), (other, "_t")))
+            if bad is not None:
+                up = bad.withColumnRenamed("node", "_up")
+                mine, theirs = (x.join(up, F.floor(F.col("node") / self.fan) == F.col("_up"), "left_semi") for x in (mine, theirs))
+            seen = mine.join(theirs, "node", "full_outer").select("node", (~F.col("_s").eqNullSafe(F.col("_t"))).alias("bad"))
+            seen = cut(seen)
+            looked, differ = seen.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+            report.append((n, looked, differ))
+            bad = seen.filter("bad").select("node")
+            if not differ or differ > worth * looked:
+                break
+        return bad, report
+
+
+def trees(source: DataFrame, target: DataFrame, key: str, plan: list[tuple[str, str]], path: str, leaf: int = LEAF, fan: int = FAN) -> tuple[DigestTree, DigestTree]:
+    """Digest trees of both tables, of the same height."""
+    one = DigestTree.write(leaves(source, key, plan, target, leaf), f"{path}/source", fan)
+    return one, DigestTree.write(leaves(target, key, plan, source, leaf), f"{path}/target", fan, one.levels)
+
+
+def drill(source: DataFrame, target: DataFrame, table: str, key: str, plan: list[tuple[str, str]], path: str | None = None, leaf: int = LEAF, fan: int = FAN, both: tuple[DigestTree, DigestTree] | None = None, worth: float = 0.5) -> DataFrame:
+    """What ``mismatches`` finds, looked for only below the nodes whose digests differ.
+
+    ``path``: where the trees are stored (the shared folder by default), ``both``: trees stored before. Rows
+    without a key are compared as they are. Unequal nodes are broadcast up to ``MAX_BUCKETS``, else joined.
+    Where more than ``worth`` of a level differs, going down gains little: its nodes are compared whole.
     """
-    types = dict(source.dtypes)
-    same = target.select(*[F.col(c).cast(types[c]) for c in [key, *[n for n, _ in plan]]])
-    buckets = max(1, source.count() // rows_per_bucket)
-    bad = unequal_buckets(source, same, key, [n for n, _ in plan], buckets)
-    found = bad.limit(MAX_BUCKETS + 1).toArrow()  # bucket numbers
-    if found.num_rows > worth * buckets:
+    one, two = both or trees(source, target, key, plan, path or shared_path(source.sparkSession, "digests"), leaf, fan)
+    bad, report = one.unequal(two, worth)
+    height, looked, differ = report[-1]
+    if height == one.levels - 1 and differ > worth * looked:
         return mismatches(source, target, table, key, plan)
-    few = F.broadcast(source.sparkSession.createDataFrame(found)) if found.num_rows <= MAX_BUCKETS else bad
-    keep = lambda df: df.join(few, F.pmod(F.xxhash64(F.col(key).cast(types[key])), F.lit(buckets)) == few["bucket"], "left_semi")
+    few = F.broadcast(bad) if differ <= MAX_BUCKETS else bad
+    numeric = all(dict(df.dtypes)[key] in WHOLE for df in (source, target))
+    same = dict(source.dtypes)[key] == dict(target.dtypes)[key]
+    name = F.col(key).cast("long") if numeric else F.col(key) if same else F.coalesce(decimal_text(F.col(key)), F.col(key).cast("string"))
+    keep = lambda df: df.withColumn("_leaf", F.floor(leaf_of(name, numeric, leaf) / fan**height)).join(few.withColumnRenamed("node", "_leaf"), "_leaf", "left_semi").drop("_leaf").unionByName(df.filter(F.col(key).isNull()))
     return mismatches(keep(source), keep(target), table, key, plan)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import mysqlfn as fn
 from ..operators import apply, drift, integrity, metrics, positions, reconcile, split
 from ..operators import transforms as tr
+from ..scratch import cut, shared_path
 from ..sources import scans
 from . import fixtures as fx
 from . import replication
@@ -506,10 +507,15 @@ def r6_checked_tables(t):
     return reconcile.checked({"orders": (t.orders, t.sql(fx.DRIFTED), "o_orderkey", PLAN), "customer": (t.customer, t.customer, "c_custkey", [("c_name", "text")]), "nation": (t.nation, t.region, "n_nationkey", [("n_name", "text")])})
 
 
-@query("SELECT event_id, CAST(strlen(props) AS INTEGER) AS source_bytes, CAST(strlen(props) + 1 AS INTEGER) AS target_bytes FROM events WHERE event_id % 50 = 0")
+@query("""WITH v AS (SELECT event_id, repeat(props, CAST(event_id % 40 + 1 AS BIGINT)) AS s FROM events), d AS (SELECT *, CASE WHEN event_id % 50 = 0 THEN concat(s, '!') WHEN event_id % 50 = 7 THEN concat(substr(s, 1, CAST(event_id % 30 AS BIGINT) * length(props_) ), '#', substr(s, CAST(event_id % 30 AS BIGINT) * length(props_) + 2)) END AS t FROM (SELECT v.*, e.props AS props_ FROM v JOIN events e USING (event_id)) x)
+SELECT event_id, CAST(strlen(s) AS INTEGER) AS source_bytes, CAST(strlen(t) AS INTEGER) AS target_bytes, CAST(floor(place / 200) AS INTEGER) AS chunk, place FROM (SELECT *, CASE WHEN event_id % 50 = 0 THEN length(s) ELSE least(CAST(event_id % 30 AS BIGINT) * length(props_), length(s)) END AS place FROM d WHERE t IS NOT NULL) y""")
 def r7_large_values(t):
-    target = t.events.withColumn("props", F.when(F.col("event_id") % 50 == 0, F.concat("props", F.lit("!"))).otherwise(F.col("props")))
-    return reconcile.large_differences(t.events, target, "event_id", "props")
+    """Long values, of which some have one more character at their end and some another one inside."""
+    n, k, size = F.col("event_id"), F.col("event_id") % 30, F.length("props")
+    long = t.events.select("event_id", "props", F.repeat("props", (n % 40 + 1).cast("int")).alias("s"))
+    inside = F.concat(F.substring("s", F.lit(1), (k * size).cast("int")), F.lit("#"), F.substring("s", (k * size + 2).cast("int"), F.length("s")))
+    target = long.select("event_id", F.when(n % 50 == 0, F.concat("s", F.lit("!"))).when(n % 50 == 7, inside).otherwise(F.col("s")).alias("s"))
+    return reconcile.large_differences(long.select("event_id", "s"), target, "event_id", "s")
 
 
 @query("SELECT event_id, concat('len=', CAST(length(props) AS VARCHAR), ' value=', substr(props, 1, 20)) AS preview FROM events")
@@ -522,6 +528,18 @@ def r9_digest_drill(t):
     return reconcile.drill(t.orders, t.sql(fx.DRIFTED), "orders", "o_orderkey", PLAN).select("tbl", "key", "column", "reason")
 
 
+NODE = "CAST(floor(k / (64 * power(32, lvl))) AS BIGINT)"
+
+
+@query(f"""WITH x AS (SELECT coalesce(s.o_orderkey, d.o_orderkey) AS k, s.o_orderkey IS NULL OR d.o_orderkey IS NULL OR s.o_orderstatus IS DISTINCT FROM d.o_orderstatus OR s.o_totalprice IS DISTINCT FROM d.o_totalprice AS bad FROM orders s FULL JOIN drifted d ON s.o_orderkey = d.o_orderkey),
+n AS (SELECT lvl, {NODE} AS node, CAST(floor({NODE} / 32) AS BIGINT) AS up, bool_or(bad) AS bad FROM x, range(6) r(lvl) GROUP BY ALL), h AS (SELECT min(lvl) AS top FROM (SELECT lvl FROM (SELECT DISTINCT lvl, CAST(floor(o_orderkey / (64 * power(32, lvl))) AS BIGINT) AS node FROM orders, range(6) r(lvl)) GROUP BY lvl HAVING count(*) <= 32))
+SELECT CAST(n.lvl AS INTEGER) AS level, count(*) AS looked_at, count(*) FILTER (n.bad) AS unequal FROM n CROSS JOIN h LEFT JOIN n p ON p.lvl = n.lvl + 1 AND p.node = n.up WHERE n.lvl = top OR (n.lvl < top AND p.bad) GROUP BY n.lvl""", drifted=fx.DRIFTED)
+def r9_tree_levels(t):
+    """How many nodes of the digest trees are read and how many differ, level by level."""
+    one, two = reconcile.trees(t.orders, t.sql(fx.DRIFTED), "o_orderkey", [("o_orderstatus", "text"), ("o_totalprice", "float")], shared_path(t.spark, "digests"))
+    return t.spark.createDataFrame(one.unequal(two)[1], "level int, looked_at long, unequal long")
+
+
 # ---------------------------------------------------------------- drift
 
 

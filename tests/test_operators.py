@@ -1,6 +1,7 @@
 """Literal cases and properties of the change-data-capture operators."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -251,13 +252,41 @@ def test_compare_long_numbers_and_broken_json(spark):
         assert got is want, (kind, a, b)
 
 
-def test_digests_tell_rows_with_separators_and_nulls(spark):
-    s = spark.createDataFrame([(1, "a|b", "c"), (2, None, "x"), (3, "y", "z")], "k long, a string, b string")
-    t = spark.createDataFrame([(1, "a", "b|c"), (2, "~", "x"), (3, "y", "z")], "k long, a string, b string")
+@pytest.mark.parametrize("worth", [0.0, 0.5, 1.0])
+def test_digests_tell_rows_with_separators_and_nulls(spark, worth):
+    s = spark.createDataFrame([(1, "a|b", "c"), (2, None, "x"), (3, "y", "z"), (None, "n", "n")], "k long, a string, b string")
+    t = spark.createDataFrame([(1, "a", "b|c"), (2, "~", "x"), (3, "y", "z"), (None, "n", "n")], "k long, a string, b string")
     plan = [("a", "text"), ("b", "text")]
-    for worth in (0.0, 1.0):
-        assert rows(reconcile.drill(s, t, "t", "k", plan, 1, worth)) == rows(reconcile.mismatches(s, t, "t", "k", plan))
-    assert reconcile.drill(s, t, "t", "k", plan, 1, 1.0).count() == 3 and reconcile.drill(s, s, "t", "k", plan).count() == 0
+    got = reconcile.drill(s, t, "t", "k", plan, leaf=1, worth=worth)
+    assert rows(got) == rows(reconcile.mismatches(s, t, "t", "k", plan)) and got.count() == 5
+    assert reconcile.drill(s.dropna(subset=["k"]), s.dropna(subset=["k"]), "t", "k", plan, worth=worth).count() == 0
+
+
+def test_digests_see_what_wider_types_hold(spark):
+    cases = [("k long, v long", (1, 7), "k long, v double", (1, 7.4), "decimal", 1), ("k long, v decimal(10,2)", (1, Decimal("7.00")), "k long, v decimal(20,4)", (1, Decimal("7.0004")), "decimal", 1), ("k long, v decimal(10,2)", (1, Decimal("7.00")), "k long, v decimal(20,4)", (1, Decimal("7.0000")), "decimal", 0), ("k long, v long", (1, 7), "k long, v string", (1, "x"), "integer", 1), ("k long, v double", (1, 7.0), "k long, v string", (1, "x"), "float", 1), ("k long, v long", (1, 7), "k long, v string", (1, "7.0"), "integer", 0), ("k long, v double", (1, 7.0), "k long, v double", (1, 7.000001), "float", 0), ("k long, v string", (1, "2026-06-27 00:00:00.10"), "k long, v string", (1, "2026-06-27 00:00:00.1"), "datetime", 0), ("k int, v string", (1, "a"), "k decimal(9,1), v string", (Decimal("1.0"), "a "), "char", 0), ("k string, v string", ("a", "x"), "k string, v string", ("a", "y"), "text", 1)]
+    for schema, row, other, partner, kind, n in cases:
+        s, t = spark.createDataFrame([row], schema), spark.createDataFrame([partner], other)
+        assert reconcile.drill(s, t, "t", "k", [("v", kind)], worth=1.0).count() == reconcile.mismatches(s, t, "t", "k", [("v", kind)]).count() == n, (row, partner)
+
+
+def test_tree_reads_only_below_unequal_nodes(spark, tmp_path):
+    s = spark.range(40_000).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id") % 97).alias("v"))
+    t = s.withColumn("v", F.when(F.col("k").isin(5, 6, 33_333), "w").otherwise(F.col("v"))).filter("k <> 12345")
+    both = reconcile.trees(s, t, "k", [("v", "text")], str(tmp_path / "d"))
+    bad, report = both[0].unequal(both[1])
+    assert report == [(1, 20, 3), (0, 96, 3)] and rows(bad) == [(0,), (192,), (520,)]
+    assert rows(reconcile.drill(s, t, "t", "k", [("v", "text")], both=both)) == rows(reconcile.mismatches(s, t, "t", "k", [("v", "text")]))
+    one = reconcile.DigestTree(spark, str(tmp_path / "d/source"), 2)
+    assert one.unequal(both[0])[1] == [(1, 20, 0)]
+
+
+def test_first_unequal_chunk_of_large_values(spark):
+    long = "é" * 450
+    s = spark.createDataFrame([(1, long), (2, long), (3, long), (4, "a"), (5, ""), (6, None), (7, long)], "k long, v string")
+    t = spark.createDataFrame([(1, long[:399] + "e" + long[400:]), (2, long + "x"), (3, long), (4, "b"), (5, "x"), (6, "x"), (7, long[:200])], "k long, v string")
+    assert rows(reconcile.large_differences(s, t, "k", "v")) == [(1, 900, 899, 1, 399), (2, 900, 901, 2, 450), (4, 1, 1, 0, 0), (5, 0, 1, 0, 0), (7, 900, 400, 1, 200)]
+    b, c = (df.select("k", F.col("v").cast("binary").alias("v")) for df in (s, t))
+    assert rows(reconcile.large_differences(b, c, "k", "v"))[0] == (1, 900, 899, 0, 798)
 
 
 def test_zero_of_types_by_containment():
