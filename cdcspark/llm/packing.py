@@ -23,6 +23,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,19 +32,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Texts, scope, steps, written
+from .token_store import _byte_letters
 from .units import Ragged, Units, cut
 
 WINDOW = 2048
 
 
 class ByteEncoder(Units):
-    """Ids of a byte-level vocabulary, unit by unit; a special token's string is that token."""
+    """Ids of a byte-level vocabulary, unit by unit; a special token's string is that token. Letters here are those of \\p{L}."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.full = Tokenizer.from_file(path)
+        self.level = _byte_letters()
         super().__init__()
 
     def forget(self) -> None:
@@ -51,12 +54,23 @@ class ByteEncoder(Units):
         self.ids = Ragged(np.uint32)
 
     def learn(self, units: list[bytes]) -> None:
-        got = [e.ids for e in self.full.encode_batch([u.decode() for u in units], add_special_tokens=False)]
-        self.ids.add(np.fromiter((x for g in got for x in g), np.uint32), np.fromiter(map(len, got), np.int64, len(got)))
+        """Words of ASCII letters are one piece of the pattern and go to the BPE model itself; all else goes through the whole tokenizer."""
+        got: list[list[int]] = [[]] * len(units)
+        rest, model, level = [], self.full.model, self.level
+        for i, u in enumerate(units):
+            if u.isascii() and (u[1:] if u[:1] == b" " else u).isalpha():
+                got[i] = [x.id for x in model.tokenize(u.decode().replace(" ", level[0x20]))]
+            elif (word := u.decode())[1:].isalpha() and word[0] == " " and max(word) < "\u0100":
+                got[i] = [x.id for x in model.tokenize("".join([level[b] for b in u]))]
+            else:
+                rest.append(i)
+        for i, e in zip(rest, self.full.encode_batch([units[i].decode() for i in rest], add_special_tokens=False), strict=True):
+            got[i] = e.ids
+        self.ids.add(np.array(list(chain.from_iterable(got)), np.uint32), np.fromiter(map(len, got), np.int64, len(got)))
 
     def encode(self, t: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row with ``end_id`` after each, and the texts' bounds in them."""
-        start, end, first = cut(t)
+        start, end, first = cut(t, marks=True)
         values, ends = self.ids.take(self.numbers(t.buf, start, end))
         bounds = np.r_[0, ends][first] + np.arange(len(t) + 1)
         out = np.empty(len(values) + len(t), np.uint32)

@@ -27,10 +27,16 @@ def plain_bytes() -> np.ndarray:
 
 
 PLAIN = plain_bytes()
+LETTER = np.isin(np.arange(256), [*range(0x41, 0x5B), *range(0x61, 0x7B)])
+MARK = PLAIN & ~LETTER & ~np.isin(np.arange(256), [*range(0x30, 0x3A)])
 
 
-def cut(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end) of the units of a step, and the first unit of each text with one past the last."""
+def cut(t: Texts, marks: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end) of the units of a step, and the first unit of each text with one past the last.
+
+    ``marks``: a unit also begins at a mark behind an ASCII letter, where the byte-level pattern always ends a
+    piece; not for steps with a ``<|``, so that no special token is cut.
+    """
     buf, n = t.buf, len(t.buf)
     begin = np.zeros(n + 1, bool)
     at = np.flatnonzero(buf == 0x20)
@@ -38,6 +44,8 @@ def cut(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     after = PLAIN[buf[at + 1]] | (buf[at + 1] == 0xC3)
     before = PLAIN[buf[at - 1]] | ((buf[at - 2] == 0xC3) & (buf[at - 1] >= 0x80))
     begin[at[after & before]] = True
+    if marks and b"<|" not in buf.tobytes():
+        begin[1:-1] |= LETTER[buf[:-1]] & MARK[buf[1:]]
     begin[t.bounds] = True
     edges = np.flatnonzero(begin)
     return edges[:-1], edges[1:], np.searchsorted(edges, t.bounds)
