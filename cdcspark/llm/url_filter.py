@@ -2,8 +2,9 @@
 
 A url's longest fitting rule decides. For urls that no rule fits, hosts are judged by the links
 between them: personalised PageRank along the links from the hosts of allowed pages (trust), and
-along the reversed links from the hosts of blocked pages (distrust). Rounds go on until the scores of
-a kind change by less than ``TOLERANCE`` in all. Scores of a kind sum to 1 in the end: hosts without a
+along the reversed links from the hosts of blocked pages (distrust). There are ``ROUNDS`` rounds, fewer only
+where no score of any host moves any more, so that verdicts never depend on how much the many settle
+while a few, far from all seeds, are still to be reached. Scores of a kind sum to 1 in the end: hosts without a
 link onwards give theirs back to the seeds, which comes to the same factor for all. A host is blocked
 when its distrust passes ``threshold`` times its trust. All steps are DataFrame operations.
 
@@ -15,8 +16,6 @@ table gives no rows.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +24,8 @@ from .common import scope, written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 DAMPING, THRESHOLD = 0.85, 1.0
-#: Change of all scores of a kind at which rounds end, rounds between two looks at it, and the rounds after which it is reached in any case.
-TOLERANCE, STRIDE, ROUNDS = 1e-3, 6, 48
+#: Rounds, and those between two looks at whether a score still moves.
+ROUNDS, STRIDE = 48, 6
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z]+:)?//([^/?#"'\s>]+)"""
 
 
@@ -54,32 +53,30 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return n
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
-    """Settled scores (kind, host, score); ``seeds`` has them at the start, summing to 1 by kind.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int = ROUNDS) -> DataFrame:
+    """Scores (kind, host, score) after ``rounds`` rounds; ``seeds`` has them at the start, summing to 1 by kind.
 
     Trust runs along an edge, distrust against it; one join and one sum a round do both.
     """
     both = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").unionByName(edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n"))
     total = written(both.groupBy("kind", "host").agg(F.sum("n").alias("all")), "degrees")
     both = written(both.join(total, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("all")).alias("w")), "edges")
-    score = seeds
-    # a round changes the scores by at most ``damping`` times what the round before it did
-    for _ in range(math.ceil(math.log(tolerance / 2, damping) / STRIDE)):
-        for _ in range(STRIDE):
-            before = score
+    start = seeds.withColumn("score", F.col("score") * (1 - damping))
+    score, done = seeds, 0
+    while done < rounds:
+        before = score
+        for _ in range(min(STRIDE, rounds - done)):
             moved = both.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("w") * F.col("score") * damping).alias("score"))
-            score = moved.unionByName(seeds.withColumn("score", F.col("score") * (1 - damping))).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        last = before.withColumnRenamed("score", "last")
-        score = written(score.join(last, ["kind", "host"], "full_outer").select("kind", "host", F.coalesce("score", F.lit(0.0)).alias("score"), F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("last", F.lit(0.0))).alias("moved")), "scores")
-        moved = score.groupBy("kind").agg(F.sum("moved").alias("moved")).agg(F.max("moved")).first()[0]
-        score = score.drop("moved")
-        if (moved or 0.0) < tolerance:
+            score = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+            done += 1
+        score = written(score, "scores")
+        if score.join(before, ["kind", "host", "score"], "left_anti").isEmpty():
             break
     total = F.broadcast(score.groupBy("kind").agg(F.sum("score").alias("all")))  # two rows
     return score.join(total, "kind").select("kind", "host", (F.col("score") / F.col("all")).alias("score"))
 
 
-def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, damping: float = DAMPING, tolerance: float = TOLERANCE, threshold: float = THRESHOLD, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, damping: float = DAMPING, rounds: int = ROUNDS, threshold: float = THRESHOLD, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, host, path, rule, verdict) of every page."""
     host, path = host_and_path(url)
     p = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), F.col(html).cast("string").alias("html"))
@@ -92,7 +89,7 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULE
         sums = {r.kind: r.n for r in seeds.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
         whole = F.when(F.col("kind") == "trust", float(sums.get("trust", 1))).otherwise(float(sums.get("distrust", 1)))
         seeds = seeds.select("kind", "host", (F.col("n") / whole).alias("score"))
-        scores = seeds if edges.isEmpty() else propagate(edges, seeds, damping, tolerance)
+        scores = seeds if edges.isEmpty() else propagate(edges, seeds, damping, rounds)
         bad = scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"))
         bad = written(bad.filter(F.col("distrust") > threshold * F.col("trust")).select("host", F.lit(True).alias("bad")), "hosts")
         keep += [judged, bad]
