@@ -89,3 +89,45 @@ TEXTS = """
 SELECT c_custkey AS id, CAST(c_name AS VARCHAR(99)) AS s FROM {customer}
 UNION ALL SELECT * FROM (VALUES (CAST(-1 AS BIGINT), ',a'), (CAST(-2 AS BIGINT), ''), (CAST(-3 AS BIGINT), '中文 é'), (CAST(-4 AS BIGINT), ' a , ,b,'), (CAST(-5 AS BIGINT), 'x,y,z'), (CAST(-6 AS BIGINT), NULL)) AS v(id, s)
 """
+
+#: Parts as a table that refers to itself (a third of a part's number is its parent's), with some circles, and lines that refer to parts.
+PART_LINKS = """
+SELECT 'part' AS ptbl, CAST(CASE WHEN p_partkey % 40 = 1 THEN p_partkey + 1 WHEN p_partkey % 40 = 2 THEN p_partkey - 1 ELSE floor(p_partkey / 3) END AS BIGINT) AS pkey, 'part' AS tbl, CAST(p_partkey AS BIGINT) AS "key", CASE WHEN p_partkey % 7 = 0 THEN 'SET NULL' ELSE 'CASCADE' END AS action FROM {part} WHERE p_partkey > 2
+UNION ALL SELECT 'part', CAST(l_partkey AS BIGINT), 'line', l_orderkey * 10 + l_linenumber, 'CASCADE' FROM {lineitem}
+"""
+
+#: A batch over parts, in chains, and lines that refer to them; deletes refer to rows deleted.
+WAVE_ROWS = """
+SELECT 'part' AS tbl, CAST(p_partkey AS BIGINT) AS "key", CASE WHEN p_partkey % 4 = 0 THEN 'D' ELSE 'U' END AS kind, 'part' AS ptbl, CAST(CASE WHEN p_partkey % 4 = 0 THEN floor(p_partkey / 8) * 4 ELSE p_partkey - p_partkey % 10 - 9 END AS BIGINT) AS pkey FROM {part} WHERE p_partkey % 9 <> 0
+UNION ALL SELECT 'line', l_orderkey * 10 + l_linenumber, CASE WHEN min(l_partkey) % 4 = 0 THEN 'D' ELSE 'U' END, 'part', CAST(min(l_partkey) AS BIGINT) FROM {lineitem} GROUP BY l_orderkey, l_linenumber
+"""
+
+#: Layouts of five tables along the log; table 0 has most rows.
+LAYOUT_TABLE = "concat(CASE WHEN o_orderkey % 2 = 0 THEN 'T' ELSE 't' END, CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 5 ELSE 0 END AS VARCHAR(9)))"
+LAYOUT_FEED = f"""
+SELECT {LAYOUT_TABLE} AS tbl, concat('binlog.', CAST(998 + o_orderkey % 4 AS VARCHAR(9))) AS bfile, o_orderkey * 37 AS pos, CAST(o_orderkey AS VARCHAR(20)) AS v1, CAST(o_orderstatus AS VARCHAR(9)) AS v2, CAST(o_custkey AS VARCHAR(20)) AS v3 FROM {{orders}}
+"""
+LAYOUTS = """
+SELECT DISTINCT concat('t', CAST(o_orderkey % 5 AS VARCHAR(9))) AS tbl, concat('binlog.', CAST(998 + o_custkey % 4 AS VARCHAR(9))) AS bfile, o_orderkey * 37 AS pos, CASE WHEN o_orderkey % 2 = 0 THEN 'id' ELSE 'key' END AS n1, CASE WHEN o_custkey % 3 = 0 THEN 'hidden' ELSE 'state' END AS n2, CASE WHEN o_custkey % 2 = 0 THEN 'customer' END AS n3 FROM {orders} WHERE o_orderkey % 97 = 5
+"""
+
+#: CREATE TABLE texts of the tables named by ``part``: in one line or several, with comments and defaults that hold commas, brackets and keywords.
+DDL_NOTE = "concat('not null, generated always (', CAST(p_partkey AS VARCHAR(20)), ') it''s; -- key')"
+DDL = f"""
+SELECT {TABLE_NAME} AS tbl, concat('CREATE TABLE `', {TABLE_NAME}, '` (', CASE WHEN p_partkey % 2 = 0 THEN chr(10) ELSE '' END, '`Id` bigint(20) unsigned NOT NULL AUTO_INCREMENT, /* the ` key, */ `no``te` varchar(', CAST(p_size + 5 AS VARCHAR(9)), ') DEFAULT ''a, (b'' COMMENT ''', replace({DDL_NOTE}, '''', ''''''), ''',', CASE WHEN p_partkey % 2 = 0 THEN chr(10) ELSE ' ' END,
+  'price decimal(', CAST(10 + p_partkey % 4 AS VARCHAR(9)), ', 2) ', CASE WHEN p_partkey % 3 = 0 THEN 'NOT NULL DEFAULT (0)' ELSE 'NULL DEFAULT NULL' END, ', at timestamp(3) NOT NULL DEFAULT ', CASE WHEN p_partkey % 2 = 0 THEN 'NOW(3)' ELSE 'CURRENT_TIMESTAMP(3)' END, ' ON UPDATE CURRENT_TIMESTAMP(3),',
+  ' `twice` int GENERATED ALWAYS AS (`Id` * 2) STORED', CASE WHEN p_partkey % 4 = 0 THEN ', kind enum(''x,y'',''z'') DEFAULT ''z''' ELSE '' END, ', ', CASE WHEN p_partkey % 5 = 0 THEN 'CONSTRAINT `pk` ' ELSE '' END, 'PRIMARY KEY (`Id`', CASE WHEN p_partkey % 3 = 0 THEN ', `no``te`(10) DESC' ELSE '' END, '), KEY `i` (`price`)) ENGINE=x COMMENT=''a, b (c''') AS ddl FROM {{part}}
+"""
+#: What those texts declare.
+DDL_COLUMNS = f"""
+SELECT {TABLE_NAME} AS tbl, 1 AS ordinal, 'Id' AS "column", 'bigint(20) unsigned' AS type, FALSE AS nullable, TRUE AS auto, FALSE AS generated, TRUE AS is_pk, CAST(NULL AS VARCHAR(99)) AS "default", CAST(NULL AS VARCHAR(99)) AS comment FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 2, 'no`te', concat('varchar(', CAST(p_size + 5 AS VARCHAR(9)), ')'), p_partkey % 3 <> 0, FALSE, FALSE, p_partkey % 3 = 0, '''a, (b''', {DDL_NOTE} FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 3, 'price', concat('decimal(', CAST(10 + p_partkey % 4 AS VARCHAR(9)), ',2)'), p_partkey % 3 <> 0, FALSE, FALSE, FALSE, CASE WHEN p_partkey % 3 = 0 THEN '(0)' ELSE 'NULL' END, NULL FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 4, 'at', 'timestamp(3)', FALSE, FALSE, FALSE, FALSE, CASE WHEN p_partkey % 2 = 0 THEN 'NOW(3)' ELSE 'CURRENT_TIMESTAMP(3)' END, NULL FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 5, 'twice', 'int', TRUE, FALSE, TRUE, FALSE, NULL, NULL FROM {{part}}
+UNION ALL SELECT {TABLE_NAME}, 6, 'kind', 'enum(''x,y'',''z'')', TRUE, FALSE, FALSE, FALSE, '''z''', NULL FROM {{part}} WHERE p_partkey % 4 = 0
+"""
+#: What the target has instead: other defaults of ``kind`` and comments of some tables, the same defaults in other writings else.
+DDL_STORED = f"""
+SELECT tbl, lower("column") AS "column", CASE WHEN "column" = 'at' THEN 'CURRENT_TIMESTAMP' WHEN "column" = 'kind' AND length(tbl) % 2 <> 0 THEN '''y''' WHEN "default" = '(0)' THEN '0' ELSE "default" END AS "default", CASE WHEN length(tbl) % 3 = 0 THEN concat(comment, '!') ELSE comment END AS comment FROM ({DDL_COLUMNS}) d WHERE "column" <> 'Id'
+"""

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import mysqlfn as fn
-from ..operators import apply, drift, integrity, metrics, positions, reconcile, split
+from ..operators import apply, drift, integrity, layouts, metrics, positions, reconcile, reject, split
 from ..operators import transforms as tr
 from ..scratch import cut, shared_path
-from ..sources import scans
+from ..sources import changelog, ddl, ranges, scans, targets
+from ..streaming import counters, latest
 from . import fixtures as fx
 from . import replication
 
@@ -31,7 +32,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def sql(self, text: str) -> DataFrame:
-        text = text.replace('"column"', "`column`").replace('"key"', "`key`")
+        text = text.replace('"column"', "`column`").replace('"key"', "`key`").replace('"default"', "`default`")
         return self.spark.sql(text, **{t: getattr(self, t) for t in TABLES if "{" + t + "}" in text})
 
 
@@ -53,7 +54,8 @@ def query(sql: str, **fixtures: str) -> Callable:
         ctes = ", ".join(f"{n} AS ({t})" for n, t in fixtures.items())
         body = sql.strip()
         if ctes:
-            body = f"WITH {ctes}, {body[5:]}" if body[:5].upper() == "WITH " else f"WITH {ctes} {body}"
+            more = "RECURSIVE " if body[:15].upper() == "WITH RECURSIVE " else ""
+            body = f"WITH {more}{ctes}, {body[5 + len(more) :]}" if body[:5].upper() == "WITH " else f"WITH {ctes} {body}"
         SQL[f.__name__] = duck(body)
         return f
 
@@ -756,3 +758,165 @@ def t7_change_rates(t):
     from ..streaming.stream import change_rates
 
     return change_rates(t.events, by="event_type").select(F.col("window.start").alias("start"), "event_type", "events")
+
+
+# ---------------------------------------------------------------- keys between tables, layouts, DDL
+
+
+@query("""WITH RECURSIVE c AS (SELECT tbl, "key", action FROM e WHERE ptbl = 'part' AND pkey BETWEEN 1 AND 5 UNION SELECT e.tbl, e."key", e.action FROM c JOIN e ON e.ptbl = c.tbl AND e.pkey = c."key" WHERE c.action = 'CASCADE') SELECT DISTINCT tbl, "key", action FROM c""", e=fx.PART_LINKS)
+def i3_cascade_closure(t):
+    """Deletes of five parts through a table that refers to itself, circles included, and on to the lines."""
+    links = t.sql(fx.PART_LINKS)
+    each = [("part", links.filter(f"tbl = '{n}' and action = '{a}'"), n, "pkey", "key", a) for n, a in (("part", "CASCADE"), ("part", "SET NULL"), ("line", "CASCADE"))]
+    return integrity.cascade(t.spark.range(1, 6).toDF("key"), each, "part")
+
+
+@query("""WITH RECURSIVE b AS (SELECT o.tbl, o."key", o.kind, p.tbl AS up_tbl, p."key" AS up FROM o LEFT JOIN o p ON p.tbl = o.ptbl AND p."key" = o.pkey AND p.kind = o.kind AND NOT (p.tbl = o.tbl AND p."key" = o."key")),
+d AS (SELECT tbl, "key", kind, 0 AS depth FROM b WHERE up IS NULL UNION ALL SELECT b.tbl, b."key", b.kind, d.depth + 1 FROM d JOIN b ON b.up_tbl = d.tbl AND b.up = d."key" AND b.kind = d.kind)
+SELECT tbl, "key", kind, CAST(CASE WHEN kind = 'U' THEN depth ELSE (SELECT max(depth) + 1 FROM d WHERE kind = 'U') + (SELECT max(depth) FROM d WHERE kind = 'D') - depth END AS INTEGER) AS wave FROM d""", o=fx.WAVE_ROWS)
+def e13_row_waves(t):
+    """A batch over two tables in waves: chains of parts, and lines after their parts."""
+    rows = cut(t.sql(fx.WAVE_ROWS))
+    return integrity.waves(rows.select("tbl", "key", "kind"), rows.select("tbl", "key", "ptbl", "pkey"))
+
+
+@query("""WITH g AS (SELECT lower(tbl) AS tbl, CAST(regexp_extract(bfile, '([0-9]+)$', 1) AS BIGINT) * 1000000000000 + pos AS at_, max({'n1': n1, 'n2': n2, 'n3': coalesce(n3, '')}) AS l FROM lay GROUP BY ALL), r AS (SELECT *, lower(tbl) AS low, CAST(regexp_extract(bfile, '([0-9]+)$', 1) AS BIGINT) * 1000000000000 + pos AS at_ FROM f)
+SELECT r.tbl, r.bfile, r.pos, g.l.n1 AS first, CASE WHEN g.l.n1 = 'id' THEN v1 END AS id, CASE WHEN g.l.n2 = 'state' THEN v2 END AS state, CASE WHEN g.l.n3 = 'customer' THEN v3 END AS customer FROM r ASOF LEFT JOIN g ON r.low = g.tbl AND r.at_ >= g.at_""", f=fx.LAYOUT_FEED, lay=fx.LAYOUTS)
+def b10_layout_at_position(t):
+    """Positional rows under the names that their table had at their place in the log."""
+    lay = t.sql(fx.LAYOUTS).select("tbl", "bfile", "pos", F.struct("n1", "n2", F.coalesce("n3", F.lit(""))).alias("order"), F.when(F.col("n3").isNull(), F.array("n1", "n2")).otherwise(F.array("n1", "n2", "n3")).alias("names"), F.when(F.col("n2") == "hidden", F.array(F.lit(2))).otherwise(F.array().cast("array<int>")).alias("hidden"))
+    got = layouts.named(t.sql(fx.LAYOUT_FEED).withColumn("values", F.array("v1", "v2", "v3")), lay, "values", segment=1 << 14)
+    return got.select("tbl", "bfile", "pos", F.when(F.map_contains_key("image", F.lit("id")), "id").when(F.col("image").isNotNull(), "key").alias("first"), *[F.col("image")[c].alias(c) for c in ("id", "state", "customer")])
+
+
+@query("SELECT * FROM c", c=fx.DDL_COLUMNS)
+def a12_ddl_columns(t):
+    return ddl.columns(t.sql(fx.DDL))
+
+
+@query("""SELECT tbl, 'kind' AS "column", 'z' AS source, 'y' AS target FROM d WHERE "column" = 'kind' AND length(tbl) % 2 <> 0""", d=fx.DDL_COLUMNS)
+def f8_default_drift(t):
+    """Defaults as the DDL declares them against those of the target."""
+    return drift.changed(ddl.columns(t.sql(fx.DDL)).filter("not generated"), t.sql(fx.DDL_STORED), "default", drift.plain_default)
+
+
+@query("""SELECT tbl, 'no`te' AS "column", comment AS source, concat(comment, '!') AS target FROM d WHERE "column" = 'no`te' AND length(tbl) % 3 = 0""", d=fx.DDL_COLUMNS)
+def f9_comment_drift(t):
+    return drift.changed(ddl.columns(t.sql(fx.DDL)), t.sql(fx.DDL_STORED), "comment")
+
+
+# ---------------------------------------------------------------- logs, streams, targets
+
+
+def log_of(t, rows: DataFrame) -> str:
+    """A feed written as a change log, for the queries that read one."""
+    path = shared_path(t.spark, "log")
+    changelog.write_log(rows, path)
+    return path
+
+
+TYPED = "src_db string, tbl string, op string, b_key long, b_status string, b_price double, a_key long, a_status string, a_price double, bfile string, pos long, row_seq int"
+
+
+@query("SELECT op, coalesce(a_key, b_key) AS k, a_status AS status, bfile, pos, row_seq FROM feed", feed=fx.ORDERS_FEED)
+def a3_change_log(t):
+    """The feed, read back from the files of a log."""
+    got = changelog.change_log(t.spark, log_of(t, feed(t)), TYPED)
+    return got.select("op", tr.effective_key().alias("k"), F.col("a_status").alias("status"), "bfile", "pos", "row_seq")
+
+
+@query(f"WITH {CURRENT} {ALL}", feed=fx.ORDERS_FEED)
+def t2_stream_state(t):
+    """A log read as a stream, its latest rows in the state store; what takes effect is written once and read back."""
+    out, place = shared_path(t.spark, "changes"), shared_path(t.spark, "stream")
+    events = changelog.change_log_stream(t.spark, log_of(t, feed(t)), TYPED)
+    latest.apply_stream(events, KEY, VALUES, out, place, trigger={"availableNow": True}).awaitTermination()
+    return latest.current_rows(t.spark, out, KEY, VALUES)
+
+
+@query(f"SELECT lower(tbl) AS tbl, op, count(*) AS read, count(*) FILTER (ok) AS kept, count(*) FILTER (NOT ok) AS filtered FROM (SELECT *, CASE WHEN op = 'D' THEN {B_KEEP} ELSE {A_KEEP} END AS ok FROM feed) GROUP BY ALL", feed=fx.TENANT_FEED)
+def t6_live_counters(t):
+    """Counters of a stream while it runs, from what its batches observe."""
+    path = shared_path(t.spark, "feed")
+    t.sql(fx.TENANT_FEED).write.parquet(path)
+    events = t.spark.readStream.schema(t.spark.read.parquet(path).schema).parquet(path)
+    count = counters.LiveCounters("tenants")
+    t.spark.streams.addListener(count)
+    try:
+        run = counters.observed(events, "tenants", kept(t), ("customer",)).writeStream.format("noop").option("checkpointLocation", shared_path(t.spark, "stream")).trigger(availableNow=True).start()
+        run.awaitTermination()
+        count.wait(run)
+    finally:
+        t.spark.streams.removeListener(count)
+    return count.frame(t.spark)
+
+
+MANY = """SELECT 'orders' AS tbl, CASE WHEN o_orderkey % 2 = 0 THEN 'East' ELSE 'west' END AS tgt_db, o_orderkey AS id, CAST(o_totalprice AS VARCHAR(30)) AS price, CASE WHEN o_orderkey % 50 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR(20)) END AS who FROM {orders}
+UNION ALL SELECT 'Customer', 'east', c_custkey, CAST(c_acctbal AS VARCHAR(30)), CAST(c_nationkey AS VARCHAR(20)) FROM {customer} UNION ALL SELECT 'part', 'nowhere', p_partkey, '1', '1' FROM {part}"""
+MANY_COLUMNS = [("east", "ORDERS", 1, "ID", "bigint"), ("east", "ORDERS", 2, "Who", "int"), ("east", "ORDERS", 3, "added", "varchar(9)"), ("west", "orders", 1, "id", "bigint"), ("west", "orders", 2, "price", "decimal(20,2)"), ("East", "customer", 1, "id", "int"), ("East", "customer", 2, "price", "double"), ("East", "customer", 3, "who", "text")]
+
+
+@query("""SELECT 'east.orders' AS target, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids, CAST(sum(CAST(who AS BIGINT)) AS VARCHAR) AS total FROM f WHERE tbl = 'orders' AND tgt_db = 'East' AND who <> 'x'
+UNION ALL SELECT 'west.orders', count(*), CAST(sum(id) AS BIGINT), CAST(sum(CAST(price AS DECIMAL(20,2))) AS VARCHAR) FROM f WHERE tgt_db = 'west' UNION ALL SELECT 'east.customer', count(*), CAST(sum(id) AS BIGINT), CAST(count(DISTINCT who) AS VARCHAR) FROM f WHERE tbl = 'Customer'
+UNION ALL SELECT 'rejects: unknown target', count(*), CAST(sum(id) AS BIGINT), NULL FROM f WHERE tgt_db = 'nowhere' UNION ALL SELECT 'rejects: does not fit: Who', count(*), CAST(sum(id) AS BIGINT), NULL FROM f WHERE who = 'x' AND tgt_db = 'East'""", f=MANY)
+def e14_written_targets(t):
+    """A batch of many targets written in one pass and read back, each under its own columns, with what was refused."""
+    rows = t.sql(MANY).select("tbl", "tgt_db", F.create_map(F.lit("Id"), F.col("id").cast("string"), F.lit("price"), F.col("price"), F.lit("WHO"), F.col("who")).alias("after"))
+    path = shared_path(t.spark, "targets")
+    targets.write_targets(rows, t.spark.createDataFrame(MANY_COLUMNS, "tgt_db string, tbl string, ordinal int, column string, type string"), path)
+    sums = lambda df, name, ids, total: df.agg(F.lit(name).alias("target"), F.count(F.lit(1)).alias("n"), F.sum(ids).alias("ids"), total.cast("string").alias("total"))
+    read = lambda db, tbl, schema: targets.read_target(t.spark, path, db, tbl, schema)
+    out = sums(read("east", "orders", "ID long, Who int, added string"), "east.orders", "ID", F.sum("Who"))
+    out = out.unionByName(sums(read("west", "orders", "id long, price decimal(20,2)"), "west.orders", "id", F.sum("price")))
+    out = out.unionByName(sums(read("east", "customer", "id int, price double, who string"), "east.customer", "id", F.count_distinct("who")))
+    bad = targets.read_rejects(t.spark, path).select(F.concat(F.lit("rejects: "), "reason").alias("target"), F.get_json_object("value", "$.after.Id").cast("long").alias("id"))
+    return out.unionByName(bad.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"), F.lit(None).cast("string").alias("total")))
+
+
+@query("""WITH x AS (SELECT CAST(power(o_orderkey % 1000, 3) AS BIGINT) * 100000 + o_orderkey AS k, concat(CASE WHEN o_orderkey % 4 = 0 THEN 'customer/' ELSE 'customer/of/the/long/way/' END, o_orderkey) AS s FROM orders)
+SELECT 'number' AS keys, count(*) AS rows, min(k)::VARCHAR AS low, max(k)::VARCHAR AS high, TRUE AS even, TRUE AS apart FROM x UNION ALL SELECT 'text', count(*), min(s), max(s), TRUE, TRUE FROM x""")
+def a1_equal_ranges(t):
+    """Ranges of skewed numbers and of texts that are long alike: all rows once, none with over twice its share, none that meet."""
+    o = t.orders.select(((F.col("o_orderkey") % 1000).cast("long") ** 3).cast("long").alias("c"), "o_orderkey")
+    x = o.select((F.col("c") * 100_000 + F.col("o_orderkey")).alias("k"), F.concat(F.when(F.col("o_orderkey") % 4 == 0, "customer/").otherwise("customer/of/the/long/way/"), "o_orderkey").alias("s"))
+    out = None
+    for name, key in (("number", "k"), ("text", "s")):
+        r = ranges.equi_depth(x, key, 16)
+        after = F.lead("low").over(Window.orderBy("part"))  # a row per range
+        r = r.withColumn("apart", F.coalesce(after > F.col("high"), F.lit(True)))
+        part = r.agg(F.lit(name).alias("keys"), F.sum("rows").alias("rows"), F.min("low").cast("string").alias("low"), F.max("high").cast("string").alias("high"), (F.max("rows") <= 2 * F.ceil(F.sum("rows") / 16)).alias("even"), F.bool_and("apart").alias("apart"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def priced(b):
+    """Example of a row transform: a tax on the price, no orders below 1000 and none of status P."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    low, status = pc.less(b.column("o_totalprice"), 1000.0), pc.equal(b.column("o_orderstatus"), "P")
+    reason = pc.if_else(low, "too small", pc.if_else(status, "still open", pa.nulls(len(b), pa.string())))
+    return pa.RecordBatch.from_arrays([b.column("o_orderkey"), pc.multiply(b.column("o_totalprice"), 1.25)], ["id", "price"]), reason
+
+
+@query("""SELECT CASE WHEN o_totalprice < 1000 THEN 'too small' WHEN o_orderstatus = 'P' THEN 'still open' ELSE 'accepted' END AS side, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS ids, round(sum(CASE WHEN o_totalprice >= 1000 AND o_orderstatus <> 'P' THEN o_totalprice * 1.25 END), 2) AS price FROM orders GROUP BY ALL""")
+def u1_reject_output(t):
+    """Rows and rejections of a row transform, from one pass."""
+    got = cut(reject.judged(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), priced, "id long, price double"))
+    rows, refused = reject.split(got)
+    both = rows.select(F.lit("accepted").alias("side"), "id", "price").unionByName(refused.select(F.col("reason").alias("side"), F.get_json_object("original", "$.o_orderkey").cast("long").alias("id"), F.lit(None).cast("double").alias("price")))
+    return both.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"), F.round(F.sum("price"), 2).alias("price"))
+
+
+@query("""SELECT tbl, lower(CASE WHEN lower("column") = 'level' THEN 'level_' ELSE "column" END) AS target, count(*) AS n FROM (SELECT tbl, "column" FROM c UNION ALL SELECT tbl, 'Level' FROM c WHERE "column" = 'Id' AND length(tbl) % 2 = 0 UNION ALL SELECT tbl, 'LEVEL_' FROM c WHERE "column" = 'Id' AND length(tbl) % 4 = 0) GROUP BY ALL HAVING count(*) > 1""", c=fx.CATALOG)
+def b8_name_clashes(t):
+    """Columns of a table that would get one name in the target."""
+    c = t.sql(fx.CATALOG).select("tbl", "column")
+    more = lambda name, n: c.filter((F.col("column") == "Id") & (F.length("tbl") % n == 0)).select("tbl", F.lit(name).alias("column"))
+    return tr.name_clashes(c.unionByName(more("Level", 2)).unionByName(more("LEVEL_", 4)))
+
+
+@query("SELECT tbl, coalesce(note, '') AS comment FROM (SELECT tbl, max(CASE WHEN generated THEN type END) AS note FROM c GROUP BY tbl) WHERE regexp_matches(tbl, 's$')", c=fx.CATALOG)
+def a11_table_comments(t):
+    c = t.sql(fx.CATALOG).groupBy("tbl").agg(F.max(F.when(F.col("generated"), F.col("type"))).alias("comment"))
+    return scans.comments(c, scans.select_tables(c, include="s$"))

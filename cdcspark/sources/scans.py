@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.apply import file_number
@@ -19,9 +19,9 @@ def snapshot(df: DataFrame, src_db: str, tbl: str) -> DataFrame:
     return df.select(F.lit(src_db).alias("src_db"), F.lit(tbl).alias("tbl"), F.lit("S").alias("op"), *none, *row, F.lit("").alias("bfile"), F.lit(0).cast("long").alias("pos"), F.lit(0).alias("row_seq"))
 
 
-def snapshot_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int, **options: str) -> DataFrame:
-    """A table read in key ranges side by side; needs the database's driver on the class path."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=key, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts), **options).load()
+def snapshot_jdbc(spark: SparkSession, url: str, table: str, predicates: list[str], **options: str) -> DataFrame:
+    """A table read in ranges side by side, a task for each predicate (see ``ranges.predicates``); needs the database's driver on the class path."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
 
 def page(df: DataFrame, key: str, after: object, n: int) -> DataFrame:
@@ -30,14 +30,6 @@ def page(df: DataFrame, key: str, after: object, n: int) -> DataFrame:
     return rest.orderBy(key).limit(n)
 
 
-def change_feed(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return spark.read.schema(ENVELOPE).format(fmt).load(path)
-
-
-def change_stream(spark: SparkSession, path: str, fmt: str = "json", files: int = 1) -> DataFrame:
-    return spark.readStream.schema(ENVELOPE).format(fmt).option("maxFilesPerTrigger", files).load(path)
-
-
 def handover(snap: DataFrame, changes: DataFrame, bfile: str, pos: int) -> DataFrame:
     """Snapshot rows, then the changes after the place that was noted before the snapshot."""
     n = int("".join(c for c in bfile.rpartition(".")[2] if c.isdigit()) or 0)
@@ -104,14 +96,3 @@ def fk_catalog(rows: DataFrame, selected: DataFrame) -> DataFrame:
 
 def comments(catalog: DataFrame, selected: DataFrame) -> DataFrame:
     return catalog.join(selected.select("tbl"), "tbl", "left_semi").select("tbl", F.coalesce("comment", F.lit("")).alias("comment"))
-
-
-def ddl_columns(ddl: DataFrame) -> DataFrame:
-    """(tbl, ordinal, column, type, nullable, auto, generated, is_pk) from CREATE TABLE texts, a column per line."""
-    line = ddl.select("tbl", "ddl", F.posexplode(F.split("ddl", "\n")).alias("at", "line")).withColumn("line", F.regexp_replace(F.trim("line"), r",$", ""))
-    lines = line.filter(F.col("line").rlike(r"^`"))
-    kind = F.regexp_extract("line", r"^`[^`]+`\s+([a-zA-Z]+(?:\s*\([^)]*\))?(?:\s+unsigned)?)", 1)
-    low = F.lower("line")
-    keys = F.split(F.regexp_replace(F.regexp_extract("ddl", r"(?i)primary\s+key\s*\(([^)]*)\)", 1), r"[`\s]", ""), ",")
-    name = F.regexp_extract("line", r"^`([^`]+)`", 1)
-    return lines.select("tbl", F.row_number().over(Window.partitionBy("tbl").orderBy("at")).alias("ordinal"), name.alias("column"), F.lower(kind).alias("type"), ~low.contains("not null").alias("nullable"), low.contains("auto_increment").alias("auto"), (low.contains("generated always") | low.rlike(r"\bas\s*\(")).alias("generated"), F.array_contains(keys, name).alias("is_pk"))

@@ -31,12 +31,3 @@ def search_index(latest: DataFrame, keys: list[str], values: list[str], path: st
         docs.filter("kind = 'D'").select(F.to_json(F.struct(*keys))).write.mode("append").text(f"{path}/deleted")
     finally:
         docs.unpersist()
-
-
-def by_target(feed: DataFrame, path: str) -> None:
-    """One pass for many targets: a folder per target database and table."""
-    feed.write.mode("append").partitionBy("tgt_db", "tbl").parquet(path)
-
-
-def show(df: DataFrame, n: int = 20) -> None:
-    df.show(n, truncate=False)

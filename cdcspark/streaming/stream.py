@@ -1,4 +1,4 @@
-"""Structured Streaming around the apply operators."""
+"""Helpers around Structured Streaming: retry of batches, rates of changes."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from ..operators import apply
-from .state import StateTable
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -30,26 +26,6 @@ def with_retry(sink: Sink, tries: int = 30, pause: float = 0.1, longest: float =
     return run
 
 
-def apply_stream(changes: DataFrame, table: StateTable, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda d: d, trigger: dict | None = None) -> StreamingQuery:
-    """Apply a stream of typed changes to a state table, batch by batch; positions go along."""
-
-    def sink(df: DataFrame, batch: int) -> None:
-        kept = apply.drop_duplicates(transform(df)).persist()
-        try:
-            top = kept.groupBy("tbl").agg(F.max(F.struct(apply.file_number("bfile").alias("n"), "pos", "bfile")).alias("m")).collect()  # a row per table
-            table.apply(apply.key_ops(kept, table.keys, table.values), batch, {r.tbl: [r.m.bfile, r.m.pos] for r in top}, checkpoint)
-        finally:
-            kept.unpersist()
-
-    return changes.writeStream.foreachBatch(with_retry(sink, 3)).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
-
-
-def observed(changes: DataFrame, name: str = "cdc") -> DataFrame:
-    """Counters of each batch for a StreamingQueryListener."""
-    ops = [F.count_if(F.col("op") == o).alias(f"n_{o}") for o in "SIUD"]
-    return changes.observe(name, F.count(F.lit(1)).alias("events"), *ops)
-
-
 def change_rates(events: DataFrame, late: str = "10 minutes", width: str = "1 hour", by: str = "op") -> DataFrame:
     """Events per window and kind; rows later than the watermark are left out in streams."""
     return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", width), by).agg(F.count(F.lit(1)).alias("events"))

@@ -14,7 +14,6 @@ from cdcspark.plans import replication
 from cdcspark.plans.queries import Tables
 from cdcspark.sources import scans, sinks
 from cdcspark.streaming import stream
-from cdcspark.streaming.state import StateTable
 
 SF = "/root/testdata/sf0.001"
 KEY, VALUES = ["key"], ["status", "price"]
@@ -98,12 +97,6 @@ def test_render_json(spark):
     assert df.select(tr.render_json(["a", "b", "c", "d"], ("b",), ("d",))).first()[0] == '{"a":1,"b":"01ff","c":null,"d":1000000}'
 
 
-def test_ddl_columns(spark):
-    text = "CREATE TABLE `t` (\n  `id` bigint(20) unsigned NOT NULL AUTO_INCREMENT,\n  `name` varchar(255) NULL,\n  `g` int GENERATED ALWAYS AS (id+1) STORED,\n  PRIMARY KEY (`id`)\n)"
-    got = rows(scans.ddl_columns(spark.createDataFrame([("t", text)], "tbl string, ddl string")))
-    assert got == [("t", 1, "id", "bigint(20) unsigned", False, True, False, True), ("t", 2, "name", "varchar(255)", True, False, False, False), ("t", 3, "g", "int", True, False, True, False)]
-
-
 def test_types_and_widening(spark):
     df = spark.createDataFrame([("INT(11) unsigned", "int", True), ("tinyint", "bigint", False), ("decimal(12,2)", "decimal(10,0)", True), ("varchar(600)", "varchar(20)", True), ("varchar(20)", "text", False), ("date", "int", False), ("tinyint(1)", "bit", True), ("int", "varchar(9)", True), ("int", "decimal(10,0)", False), ("decimal(9,2)", "bigint", True), ("text", "varchar(20)", True), ("blob", "varchar(20)", True), ("blob", "longblob", False), ("datetime", "date", True), ("timestamp", "datetime", False), ("char(3)", "varchar(9)", True), ("varchar(5)", "varchar(9)", False)], "s string, t string, w boolean")
     assert all(r[0] == r[1] for r in df.select(drift.widens(F.col("s"), F.col("t")), "w").collect())
@@ -170,57 +163,6 @@ def test_file_sinks(spark, feed, tmp_path):
     sinks.search_index(latest, KEY, VALUES, str(tmp_path / "idx"))
     assert spark.read.text(str(tmp_path / "idx/documents")).count() == latest.filter("kind = 'U'").count()
     assert spark.read.text(str(tmp_path / "idx/deleted")).count() == latest.filter("kind = 'D'").count()
-    sinks.by_target(feed.withColumn("tgt_db", F.lit("m")), str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).filter("tgt_db = 'm' and tbl = 'orders'").count() == feed.count()
-
-
-def test_state_table_and_stream(spark, feed, tmp_path):
-    """A stream over files gives the batch result; a repeated batch and a failure in between change nothing."""
-    want = rows(replication.replicate(feed, KEY, VALUES))
-    path = str(tmp_path / "in")
-    feed.repartition(3).write.parquet(path)
-    table = StateTable(spark, str(tmp_path / "state"), KEY, VALUES, "key long, status string, price double", buckets=4)
-    failed = []
-
-    def once_failing(df):
-        if not failed and table.manifest()["batches"]:
-            failed.append(1)
-            raise RuntimeError("lost")
-        return df
-
-    src = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    for _ in range(2):
-        q = stream.apply_stream(src, table, str(tmp_path / "cp"), once_failing, {"availableNow": True})
-        q.awaitTermination(120)
-    assert failed and rows(table.alive()) == want
-    assert table.positions()["orders"][0] == "binlog.000003"
-    version = table.manifest()["version"]
-    (query, batch), = table.manifest()["batches"].items()
-    assert not table.apply(apply.key_ops(feed, KEY, VALUES), batch, query=query)
-    assert table.manifest()["version"] == version
-    # a new checkpoint counts from 0 again: its batches are applied, and what they repeat changes nothing
-    stream.apply_stream(src, table, str(tmp_path / "cp2"), trigger={"availableNow": True}).awaitTermination(120)
-    assert len(table.manifest()["batches"]) == 2 and rows(table.alive()) == want
-
-
-def test_state_table_keeps_places_and_cleans_up(spark, tmp_path):
-    op = lambda key, kind, file, pos: (key, kind, "s", 1.0, file, pos, 0)
-    frame = lambda *ops: spark.createDataFrame(list(ops), "key long, kind string, status string, price double, _file long, _pos long, _seq long")
-    table = StateTable(spark, str(tmp_path / "state"), KEY, VALUES, "key long, status string, price double", buckets=2)
-    assert table.apply(frame(*(op(k, "U", 2, k) for k in range(1, 30))), 5, {"orders": ["binlog.000002", 29]})
-    assert table.apply(frame(op(1, "D", 3, 1), op(99, "U", 1, 1)), 0, {"orders": ["binlog.000001", 900], "new": ["binlog.000001", 4]}, "other")
-    assert not table.apply(frame(op(7, "D", 9, 9)), 5)
-    assert table.positions() == {"orders": ["binlog.000002", 29], "new": ["binlog.000001", 4]}
-    want = sorted([*range(2, 30), 99])
-    keys = lambda: sorted(r.key for r in table.alive().collect())
-    assert keys() == want and table.read().filter("_deleted").count() == 1
-    table.grow(8)
-    assert keys() == want and len(table.manifest()["buckets"]) > 2
-    assert table.apply(frame(op(2, "D", 4, 1)), 1, query="other")
-    want.remove(2)
-    table.expire(4)
-    assert keys() == want and table.read().filter("_deleted").count() == 1
-    assert table.vacuum() and keys() == want and table.vacuum() == []
 
 
 def test_windowed_rates_stream(spark, tmp_path):
