@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import small
 from .apply import file_number
 
 
@@ -34,7 +35,7 @@ def resume_point(p: DataFrame, furthest: bool = False) -> DataFrame:
 
 def skip_applied(feed: DataFrame, p: DataFrame) -> DataFrame:
     """Events beyond their table's position; snapshots and unknown tables pass."""
-    t = latest(p).filter("kind = 'table'").select(F.lower("key").alias("_t"), file_number("bfile").alias("_n"), F.col("pos").alias("_p"))
+    t = small(latest(p).filter("kind = 'table'").select(F.lower("key").alias("_t"), file_number("bfile").alias("_n"), F.col("pos").alias("_p")))
     j = feed.join(t, F.lower(feed["tbl"]) == F.col("_t"), "left")
     new = F.col("_n").isNull() | (F.col("op") == "S") | (F.struct(file_number("bfile"), F.col("pos").cast("long")) > F.struct(F.col("_n"), F.col("_p").cast("long")))
     return j.filter(new).select(feed.columns)

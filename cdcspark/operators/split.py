@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import cut
+
 
 def cleanup_targets(catalog: DataFrame, filter_cols: list[str]) -> DataFrame:
     """(tbl, column, reason): tables with exactly one filter column and a key; others with a reason."""
@@ -40,7 +42,7 @@ def delete_script(keys: DataFrame, key: str, table: str, batch: int = 1000) -> D
     size = min(max(batch, 1), 10_000)
     spark = keys.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    k = keys.select(F.col(key).alias("_k")).repartitionByRange(parts, "_k").withColumn("_p", F.spark_partition_id())
+    k = cut(keys.select(F.col(key).alias("_k")).repartitionByRange(parts, "_k").withColumn("_p", F.spark_partition_id()))  # once: its samples differ between runs
     bounds = k.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("low"))
     first = F.coalesce(F.sum("n").over(Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bounds = F.broadcast(bounds.withColumn("_first", first).select("_p", "_first"))  # a row per partition

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import small
+
 Transform = Callable[[DataFrame], DataFrame]
 
 #: Target names that are reserved and take a trailing underscore.
@@ -77,7 +79,7 @@ def effective_key(key: str = "key") -> Column:
 
 def route(df: DataFrame, routes: DataFrame) -> DataFrame:
     """Add ``tgt_db`` by the source database, whatever its case. ``routes`` is a row per source."""
-    r = routes.select(F.lower("src_db").alias("_src"), "tgt_db")
+    r = small(routes.select(F.lower("src_db").alias("_src"), "tgt_db"))
     return df.join(r, F.lower(df["src_db"]) == F.col("_src"), "left").drop("_src")
 
 
@@ -94,7 +96,7 @@ def route_errors(routes: DataFrame, sources: DataFrame, targets: DataFrame) -> D
 
 def dispatch(df: DataFrame, selected: DataFrame) -> DataFrame:
     """Events of selected (db, tbl) pairs; names compare without case."""
-    s = selected.select(F.lower("db").alias("_d"), F.lower("tbl").alias("_t"))
+    s = small(selected.select(F.lower("db").alias("_d"), F.lower("tbl").alias("_t")))
     return df.join(s, (F.lower(df["src_db"]) == F.col("_d")) & (F.lower(df["tbl"]) == F.col("_t")), "left_semi")
 
 

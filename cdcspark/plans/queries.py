@@ -204,10 +204,14 @@ def b5_database_routing(t):
     return tr.route(t.sql(fx.TWO_SHARDS), t.sql(ROUTES)).groupBy("tgt_db", "op").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT 'shard_c' AS name, 'unknown source' AS error UNION ALL SELECT 'nowhere', 'undeclared target' WHERE EXISTS (SELECT 1 FROM feed)", feed=fx.TWO_SHARDS)
+MANY_ROUTES = "SELECT concat(CASE WHEN c_custkey % 2 = 0 THEN 'Db' ELSE 'db' END, CAST(c_custkey AS VARCHAR(20))) AS src_db, concat('t', CAST(c_nationkey AS VARCHAR(20))) AS tgt_db FROM {customer} WHERE c_custkey % 9 <> 0 UNION ALL SELECT concat('DB', CAST(c_custkey AS VARCHAR(20))), 'T1' FROM {customer} WHERE c_custkey % 17 = 0"
+
+
+@query("""WITH r AS (SELECT lower(src_db) AS name, lower(tgt_db) AS tgt FROM routes), s AS (SELECT DISTINCT concat('db', o_custkey) AS name FROM orders), g AS (SELECT concat('t', n_nationkey) AS name FROM nation WHERE n_nationkey % 4 <> 0)
+SELECT name, 'duplicate route' AS error FROM r GROUP BY name HAVING count(*) > 1 UNION ALL SELECT DISTINCT name, 'unknown source' FROM r WHERE name NOT IN (SELECT name FROM s) UNION ALL SELECT name, 'no route' FROM s WHERE name NOT IN (SELECT name FROM r) UNION ALL SELECT DISTINCT tgt, 'undeclared target' FROM r WHERE tgt NOT IN (SELECT name FROM g)""", routes=MANY_ROUTES)
 def b5_route_errors(t):
-    sources = t.sql(fx.TWO_SHARDS).select(F.col("src_db").alias("db"))
-    return tr.route_errors(t.sql(ROUTES), sources, t.spark.createDataFrame([("merged",)], "db string"))
+    sources = t.orders.select(F.concat(F.lit("DB"), "o_custkey").alias("db"))
+    return tr.route_errors(t.sql(MANY_ROUTES), sources, t.nation.filter("n_nationkey % 4 <> 0").select(F.concat(F.lit("T"), "n_nationkey").alias("db")))
 
 
 @query("SELECT src_db, tbl, op, a_key FROM feed WHERE lower(src_db) = 'shard_b' AND lower(tbl) = 'customer'", feed=fx.TWO_SHARDS)
@@ -323,7 +327,8 @@ def e14_partition_by_target(t):
 
 @query(f"WITH {CURRENT} {ALL}", feed=fx.ORDERS_FEED)
 def e15_replay_safety(t):
-    f, live = feed(t), feed(t).filter("op <> 'S'")
+    f = cut(feed(t))
+    live = f.filter("op <> 'S'")
     start = apply.to_state(apply.compact(apply.key_ops(f.filter("op = 'S'"), KEY, VALUES), KEY, VALUES), KEY, VALUES)
     return apply.alive(replication.in_batches(start, KEY, VALUES, [live.filter("bfile < 'binlog.000003'"), live, live.filter("bfile = 'binlog.000001'")]), KEY, VALUES)
 
@@ -709,6 +714,12 @@ def s9_lengths(t):
     return t.sql(fx.TEXTS).select("id", fn.length(F.col("s")).alias("bytes"), fn.char_length(F.col("s")).alias("chars"))
 
 
+@query("SELECT id, CAST(id AS VARCHAR) AS t, CAST(id AS VARCHAR) = s AS same, CAST(id AS VARCHAR) = CAST(id AS VARCHAR) AS own, TRUE AS past FROM x", x=fx.TEXTS)
+def s6_text_and_now(t):
+    i = F.col("id")
+    return t.sql(fx.TEXTS).select("id", fn.as_text(i).alias("t"), fn.text_equal(i, F.col("s")).alias("same"), fn.text_equal(i, fn.as_text(i)).alias("own"), (fn.now() > F.lit("2000-01-01").cast("timestamp")).alias("past"))
+
+
 @query("SELECT id, CASE WHEN s = '' THEN 'empty' ELSE 'other' END AS v, CAST(s = '' AS INTEGER) AS b FROM x", x=fx.TEXTS)
 def s10_if_and_boolean(t):
     c = F.col("s") == ""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import apply
 from ..operators.transforms import Transform, chain, dispatch, route
+from ..scratch import cut
 
 
 def replicate(feed: DataFrame, keys: list[str], values: list[str], transform: Transform = lambda d: d, selected: DataFrame | None = None) -> DataFrame:
@@ -22,12 +23,11 @@ def replicate_routed(feed: DataFrame, routes: DataFrame, keys: list[str], values
 
 
 def in_batches(state: DataFrame, keys: list[str], values: list[str], parts: list[DataFrame]) -> DataFrame:
-    """State after applying the parts of a feed one after the other.
+    """State after the parts of a feed, merged one after the other as micro-batches come.
 
-    The latest place of a key wins whatever the order of the parts, so they are put together with the
-    state and compacted once: one exchange, with rows of a key combined before it.
+    Each merge lets only later places through, so parts that come twice or late change nothing. The plan
+    is cut after each of them.
     """
-    ops = apply.as_ops(state, keys, values)
     for part in parts:
-        ops = ops.unionByName(apply.key_ops(part, keys, values).select(*ops.columns))
-    return apply.to_state(apply.compact(ops, keys, values), keys, values)
+        state = cut(apply.merge(state, apply.compact(apply.key_ops(part, keys, values), keys, values), keys, values))
+    return state

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a table that is broadcast; it is counted first, and a larger one is joined by an exchange.
+SMALL = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,3 +33,8 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` as the side to broadcast, if it has no more than ``SMALL`` rows."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
