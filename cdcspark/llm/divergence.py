@@ -21,7 +21,8 @@ or more in the text.
 Cases: null and empty texts have no words and fail; a null language is a reference of its own;
 references of fewer than ``MIN_REFERENCE`` words are not used, and without any no text is rejected
 for its distance; equal texts get equal results; repeated rows keep their rows; an empty table
-gives no rows. Languages are labels: more than ``MAX_LANGUAGES`` are refused.
+gives no rows. Of more than ``MAX_LANGUAGES`` languages those with most words are references; all texts
+are held against these.
 """
 
 from __future__ import annotations
@@ -108,9 +109,15 @@ def places(words_: np.ndarray, common: np.ndarray) -> np.ndarray:
 def reference_counts(docs: DataFrame) -> pd.DataFrame:
     """(lang, kind, cell, n): counts over all texts of classes (c), all words (n) and words that are common (w)."""
 
+    out = lambda lang, kind, cell, n: pa.RecordBatch.from_arrays([pa.array([lang] * len(cell), pa.string()), pa.array([kind] * len(cell), pa.string()), pa.array(cell.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "kind", "cell", "n"])
+
+    def classes(total: dict[str | None, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, a in total.items():
+            cell = np.flatnonzero(a)
+            yield out(lang, "c", cell, a[cell])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str | None, np.ndarray] = {}
-        out = lambda lang, kind, cell, n: pa.RecordBatch.from_arrays([pa.array([lang] * len(cell), pa.string()), pa.array([kind] * len(cell), pa.string()), pa.array(cell.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "kind", "cell", "n"])
         for b in batches:
             enc = b.column(1).dictionary_encode()
             names = enc.dictionary.to_pylist()
@@ -129,18 +136,18 @@ def reference_counts(docs: DataFrame) -> pd.DataFrame:
                     have += cc[k]
                     one, n = np.unique(each[of == k], return_counts=True)
                     yield out(names[k], "w", one.view(np.int64), n)
-                if len(total) > MAX_LANGUAGES:
-                    raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        for lang, a in total.items():
-            cell = np.flatnonzero(a)
-            yield out(lang, "c", cell, a[cell])
+                if len(total) > MAX_LANGUAGES:  # counts of a task may come in parts
+                    yield from classes(total)
+                    total.clear()
+        yield from classes(total)
 
     with scope(docs.sparkSession):
         counts = written(docs.mapInArrow(run, "lang string, kind string, cell long, n long").groupBy("lang", "kind", "cell").agg(F.sum("n").alias("n")), "counts")
-        totals = counts.filter("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("n"))
+        totals = counts.filter("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("n")).filter(f"n >= {MIN_REFERENCE}").orderBy(F.desc("n"), F.asc_nulls_last("lang")).limit(MAX_LANGUAGES)
         least = F.broadcast(totals.select(F.col("lang").alias("of"), (F.col("n") / RARE).alias("least")))  # MAX_LANGUAGES rows
         common = counts.filter("kind = 'w'").join(least, F.col("lang").eqNullSafe(F.col("of"))).filter("n >= least").select(counts.columns)  # RARE words a language at most
-        rows = counts.filter("kind = 'c'").unionByName(common).unionByName(totals.select("lang", F.lit("n").alias("kind"), F.lit(0).cast("long").alias("cell"), "n"))
+        known = counts.filter("kind = 'c'").join(least, F.col("lang").eqNullSafe(F.col("of")), "left_semi")
+        rows = known.select(counts.columns).unionByName(common).unionByName(totals.select("lang", F.lit("n").alias("kind"), F.lit(0).cast("long").alias("cell"), "n"))
         return rows.toArrow().to_pandas()
 
 
