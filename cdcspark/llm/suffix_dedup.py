@@ -416,10 +416,20 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     return whole.unionByName(resolved).unionByName(crossed)
 
 
+def keyed(rows: DataFrame, salt: int = 0) -> DataFrame:
+    """Rows (doc_id, text) with a ``key`` of 64 bits that no two different ones share: a second, independent hash and the
+    length tell whether two do by chance, and then all are named anew."""
+    while True:
+        d = rows.withColumn("key", F.xxhash64(F.lit(salt), "doc_id", "text"))
+        again = F.struct(F.xxhash64("text", "doc_id", F.lit(salt)), F.octet_length("text"))
+        if d.select("key", again.alias("again")).groupBy("key").agg((F.min("again") != F.max("again")).alias("clash")).filter("clash").isEmpty():
+            return d
+        salt += 1
+
+
 def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    d = d.withColumn("key", F.xxhash64("doc_id", "text"))
+    d = keyed(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
     with scope(d.sparkSession) as keep:
         runs = repeated_runs(d).select("key", (F.col("first") * 256 + (F.col("last") - F.col("first"))).alias("run"))
         lists = written(runs.groupBy("key").agg(F.collect_set("run").alias("runs")), "runs")  # a text's own runs, once
