@@ -156,6 +156,14 @@ def apply_partial(ops: DataFrame, keys: list[str], values: list[str]) -> DataFra
     return got.filter("kind <> 'D'").select(*keys, *[F.col(f"{v}.v").alias(v) for v in values])
 
 
+def apply_flagged(ops: DataFrame, keys: list[str], values: list[str], has: str = "has_") -> DataFrame:
+    """``apply_partial`` for typed columns: a patch (kind P) holds a value where its flag ``has_<name>`` is set."""
+    place = F.struct(*PLACE)
+    each = [F.max_by(F.struct(F.col(v).alias("v")), F.when((F.col("kind") != "P") | F.col(f"{has}{v}"), place)).alias(v) for v in values]
+    got = ops.groupBy(*keys).agg(F.max_by("kind", place).alias("kind"), *each)
+    return got.filter("kind <> 'D'").select(*keys, *[F.col(f"{v}.v").alias(v) for v in values])
+
+
 def drop_duplicates(feed: DataFrame) -> DataFrame:
     """One row per place of a table: a replayed stretch of the log counts once. Snapshot rows have no place and stay."""
     live = feed.filter("op <> 'S'").dropDuplicates(["src_db", "tbl", "bfile", "pos", "row_seq"])

@@ -293,10 +293,9 @@ s AS (SELECT k, arg_max(op, o) AS last FROM e GROUP BY k),
 a AS (SELECT k, arg_max({{'v': status}}, o) AS x FROM e WHERE has_status GROUP BY k), b AS (SELECT k, arg_max({{'v': price}}, o) AS x FROM e WHERE has_price GROUP BY k)
 SELECT k, a.x.v AS status, b.x.v AS price FROM s JOIN a USING (k) JOIN b USING (k) WHERE last <> 'D'""", p=fx.PATCH_FEED)
 def e7_partial_update(t):
-    p = t.sql(fx.PATCH_FEED)
-    has = lambda c: F.map_filter(F.create_map(F.lit(c), F.col(c).cast("string")), lambda k, v: F.col(f"has_{c}"))
-    ops = p.select("k", F.when(F.col("op") == "U", "P").when(F.col("op") == "D", "D").otherwise("U").alias("kind"), F.map_concat(has("status"), has("price")).alias("image"), apply.file_number("bfile").alias("_file"), F.col("pos").alias("_pos"), F.col("row_seq").alias("_seq"))
-    return apply.apply_partial(ops, ["k"], ["status", "price"]).select("k", "status", F.col("price").cast("double").alias("price"))
+    kind = F.when(F.col("op") == "U", "P").when(F.col("op") == "D", "D").otherwise("U")
+    ops = t.sql(fx.PATCH_FEED).select("k", kind.alias("kind"), "status", "price", "has_status", "has_price", apply.file_number("bfile").alias("_file"), F.col("pos").alias("_pos"), F.col("row_seq").alias("_seq"))
+    return apply.apply_flagged(ops, ["k"], ["status", "price"])
 
 
 @query("SELECT b_key AS \"key\", 'D' AS kind FROM feed WHERE op = 'U' AND b_key <> a_key UNION ALL SELECT a_key, 'U' FROM feed WHERE op = 'U' AND b_key <> a_key", feed=fx.ORDERS_FEED)
