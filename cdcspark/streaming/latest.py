@@ -11,9 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -28,31 +26,27 @@ class LatestRow(StatefulProcessor):
 
     def __init__(self, keys: list[str], fields: StructType, retention: int | None):
         self.keys, self.fields, self.retention = keys, fields, retention
+        self.names = [f.name for f in fields]
+        self.kind = self.names.index("kind")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.row = handle.getValueState("row", self.fields)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        place = list(apply.PLACE)
-        best = None
-        for part in rows:
-            part.columns = [*self.keys, *[f.name for f in self.fields]]  # names that Python has no place for come numbered
-            top = part.sort_values(place).iloc[-1:]
-            best = top if best is None else pd.concat([best, top]).sort_values(place).iloc[-1:]
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        at = [self.names.index(c) for c in apply.PLACE]
+        place = lambda r: tuple(r[i] for i in at)
+        best = max((tuple(r)[len(self.keys) :] for r in rows), key=place)
         held = self.row.get() if self.row.exists() else None
-        now = tuple(int(best[c].iloc[0]) for c in place)
-        names = [f.name for f in self.fields]
-        if held is not None and tuple(held[names.index(c)] for c in place) >= now:
+        if held is not None and place(held) >= place(best):
             return
-        self.row.update(tuple(None if pd.isna(v := best[n].iloc[0]) else v.item() if hasattr(v, "item") else v for n in names))
-        if self.retention is not None and best["kind"].iloc[0] == "D":
+        self.row.update(best)
+        if self.retention is not None and best[self.kind] == "D":
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.retention)
-        yield best[[*self.keys, *names]]
+        yield Row(*self.keys, *self.names)(*key, *best)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        names = [f.name for f in self.fields]
-        if self.row.exists() and self.row.get()[names.index("kind")] == "D":
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.row.exists() and self.row.get()[self.kind] == "D":
             self.row.clear()
         yield from ()
 
@@ -64,7 +58,7 @@ def latest_changes(ops: DataFrame, keys: list[str], values: list[str], retention
     """Of a stream of operations per key (see ``key_ops``) those that take effect: later than all of their key before."""
     ops = ops.select(*keys, "kind", *values, *apply.PLACE)
     fields = StructType([f for f in ops.schema if f.name not in keys])
-    return ops.groupBy(*keys).transformWithStateInPandas(LatestRow(keys, fields, retention), ops.schema, "Append", "None" if retention is None else "ProcessingTime")
+    return ops.groupBy(*keys).transformWithState(LatestRow(keys, fields, retention), ops.schema, "Append", "None" if retention is None else "ProcessingTime")
 
 
 def apply_stream(changes: DataFrame, keys: list[str], values: list[str], path: str, checkpoint: str, transform=lambda d: d, trigger: dict | None = None, retention: int | None = None) -> StreamingQuery:
