@@ -228,14 +228,20 @@ class Search:
         s, i = np.r_[self.pool[j][0], scores], np.r_[self.pool[j][1], ids]
         order = np.lexsort((i, -s))
         s, i = s[order], i[order]
+        self.pool[j] = s, i
         keep, least = np.zeros(len(s), bool), np.iinfo(np.int64).max
-        for low, high in zip(self.low[j].tolist(), self.high[j].tolist(), strict=True):  # a few bands
-            begin, end = np.searchsorted(-s, [-high, -low], "left")[0], np.searchsorted(-s, -low, "right")
-            last = min(begin + self.k, end)
+        for band, low in enumerate(self.low[j].tolist()):  # a few
+            begin, last = self.places(j, band)
             keep[begin:last] = True
             least = min(least, low if last - begin < self.k else int(s[last - 1]))
         self.pool[j], self.least[j] = (s[keep], i[keep]), least
 
+    def places(self, j: int, band: int) -> tuple[int, int]:
+        """Where an anchor's kept rows of a band begin and end: the first ``k`` of it."""
+        s = -self.pool[j][0]
+        begin, end = np.searchsorted(s, -self.high[j][band], "left"), np.searchsorted(s, -self.low[j][band], "right")
+        return int(begin), int(min(begin + self.k, max(begin, end)))
+
 
 def searched(index: DataFrame, n_shelves: int, anchors: DataFrame, k: int, same: bool) -> DataFrame:
     """(anchor, low, high, other, score): each shelf's best ``k`` rows in each band of each anchor that came to it.
@@ -249,7 +255,6 @@ def searched(index: DataFrame, n_shelves: int, anchors: DataFrame, k: int, same:
             shelf = b.column("shelf").to_numpy()
             kind = b.column("ids").is_valid().to_numpy(zero_copy_only=False)
             for i in np.flatnonzero(kind).tolist():
-                held = {k: v for k, v in held.items() if k == shelf[i]}  # rows come shelf by shelf
                 n = b.column("n")[i].as_py()
                 part = lambda c, t: np.frombuffer(b.column(c)[i].as_buffer(), t)  # noqa: B023, E731
                 held.setdefault(int(shelf[i]), []).append(Block(b.column("label")[i].as_py(), part("ids", "<i8"), part("vectors", "<i4").reshape(n, -1), part("lengths", "<f8")))
@@ -260,16 +265,19 @@ def searched(index: DataFrame, n_shelves: int, anchors: DataFrame, k: int, same:
                 find = Search(own.column("vec_id").to_numpy(), own.column("label").to_numpy(), as_matrix(own.column("vec")), low, high, k, same)
                 for block in held.get(s, ()):
                     find.meet(block)
-                n = [len(x) for x, _ in find.pool]
+                kept = [(i, low[i][j], high[i][j], *find.pool[i], *find.places(i, j)) for i in range(len(own)) for j in range(len(low[i]))]
+                n = [last - begin for *_, begin, last in kept]
                 if sum(n):
-                    cols = [own.column("anchor").take(pa.array(np.repeat(np.arange(len(own)), n))), pa.array(np.concatenate([i for _, i in find.pool])), pa.array(np.concatenate([x for x, _ in find.pool]))]
-                    yield pa.RecordBatch.from_arrays(cols, ["anchor", "other", "score"])
+                    each = lambda k: pa.array(np.repeat([x[k] for x in kept], n).astype(np.int64))  # noqa: B023, E731
+                    rows = [pa.array(np.concatenate([x[k][x[5] : x[6]] for x in kept])) for k in (4, 3)]
+                    yield pa.RecordBatch.from_arrays([own.column("anchor").take(each(0)), each(1), each(2), *rows], ["anchor", "low", "high", "other", "score"])
+            held = {s: x for s, x in held.items() if s == shelf[-1]} if len(b) else held  # rows come shelf by shelf
 
     fields = "shelf int, anchor long, vec_id long, label long, vec binary, low array<bigint>, high array<bigint>, ids binary, lengths binary, vectors binary, n int"
     names = [x.split()[0] for x in fields.split(", ")]
     both = [df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in fields.split(", "))]) for df in (index, anchors)]
     dealt = both[0].unionByName(both[1]).repartitionById(n_shelves, F.col("shelf")).sortWithinPartitions("shelf", F.col("ids").isNull())
-    return dealt.select(*names).mapInArrow(run, "anchor long, other long, score long")
+    return dealt.select(*names).mapInArrow(run, "anchor long, low long, high long, other long, score long")
 
 
 def mine(rows: DataFrame, every: int = 100, positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90, scale: int = 256, vec_id: str = "vec_id", label: str | Column = "label", vector: str = "embedding") -> DataFrame:
@@ -306,11 +314,11 @@ def mine(rows: DataFrame, every: int = 100, positives: int = 5, negatives: int =
         keep += [bands]
         asked = bands.groupBy("anchor").agg(F.array_sort(F.collect_set(F.struct(F.col("high"), F.col("low")))).alias("b"))  # at most ``positives``
         asked = anchors.join(asked, "anchor").select("anchor", "vec_id", "label", "vec", F.transform("b", lambda x: x["low"]).alias("low"), F.transform("b", lambda x: x["high"]).alias("high"), F.explode(F.sequence(F.lit(0), F.lit(n_shelves - 1))).alias("shelf"))
-        others = written(searched(index, n_shelves, asked, negatives, False), "others")
+        first = Window.partitionBy("anchor", "low", "high").orderBy(F.desc("score"), "other")
+        others = searched(index, n_shelves, asked, negatives, False).withColumn("rank", F.row_number().over(first))
+        others = written(others.filter(F.col("rank") <= negatives), "others")
         keep += [others]
-    hit = bands.join(others, "anchor").filter("score between low and high")
-    first = Window.partitionBy("anchor", "place").orderBy(F.desc("score"), "other")
-    out = hit.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= negatives).join(anchors.select("anchor", F.col("vec_id").alias("anchor_id")), "anchor")
+    out = bands.join(others, ["anchor", "low", "high"]).join(anchors.select("anchor", F.col("vec_id").alias("anchor_id")), "anchor")
     return out.select("anchor_id", "positive_id", "rank", F.col("other").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
 
 
