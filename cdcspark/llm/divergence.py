@@ -123,19 +123,23 @@ def reference_counts(docs: DataFrame) -> pd.DataFrame:
             names = enc.dictionary.to_pylist()
             code = enc.indices.fill_null(len(names)).to_numpy().astype(np.int64)
             names.append(None)
-            for t in steps(b.column(0), 8 * STEP_BYTES):
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+            for t in steps(b.column(0)):
                 lang = code[t.first : t.first + len(t)]
                 w = words(t)
-                of = lang[w.text]
-                each = codes(lower_ascii(t.buf), w.start, w.end)
+                held.append((lang[w.text].astype(np.int32), codes(lower_ascii(t.buf), w.start, w.end)))
                 cls = CLASS[t.buf]
                 at = np.flatnonzero(cls >= 0)
                 cc = histogram(np.repeat(lang, np.diff(t.bounds))[at], cls[at], len(names), len(CLASSES))
                 for k in np.unique(lang).tolist():
                     have = total.setdefault(names[k], np.zeros(len(CLASSES), np.int64))
                     have += cc[k]
-                    one, n = np.unique(each[of == k], return_counts=True)
-                    yield out(names[k], "w", one.view(np.int64), n)
+                if len(held) >= 8 or t.first + len(t) == len(b):  # words of several steps are counted together
+                    of, each = (np.concatenate(x) for x in zip(*held, strict=True))
+                    held = []
+                    for k in np.unique(of).tolist():
+                        one, n = np.unique(each[of == k], return_counts=True)
+                        yield out(names[k], "w", one.view(np.int64), n)
                 if len(total) > MAX_LANGUAGES:  # counts of a task may come in parts
                     yield from classes(total)
                     total.clear()
