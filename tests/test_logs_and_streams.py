@@ -276,3 +276,18 @@ def test_ranges_of_skewed_keys(spark):
     parts = ranges.predicates(r, "k")
     assert sum(df.filter(p).count() for p in parts) == len(words)
     assert ranges.equi_depth(df.limit(0), "k", 8).count() == 0
+
+
+def test_ddl_texts_of_one_name_and_items_in_brackets(spark):
+    """Two texts of one name are read each by itself, and an item without a word outside its brackets is no error."""
+    texts = [("t", "create table t (a int, b int, primary key (a))"), ("t", "create table t (c int)"), ("odd", "create table o (a int, (x), b int)")]
+    got = ddl.columns(spark.createDataFrame(texts, "tbl string, ddl string"))
+    assert rows(got.select("tbl", "ordinal", "column", "is_pk")) == [("odd", 1, "a", False), ("odd", 2, "(", False), ("odd", 3, "b", False), ("t", 1, "a", True), ("t", 1, "c", False), ("t", 2, "b", False)]
+
+
+def test_ddl_texts_are_read_once_and_fast(spark):
+    """A query over many texts, whose columns are filtered as well, does not read a text again for every use of a column."""
+    many = spark.range(3000).selectExpr("cast(id as string) as tbl", "concat('create table t (', array_join(transform(sequence(1, 12), i -> concat('c', i, ' decimal(10,2) not null default (', id, ') comment ''n''')), ', '), ', primary key (c1))') as ddl")
+    start = time.time()
+    assert ddl.columns(many).filter("not generated and default is not null and comment = 'n'").count() == 36_000
+    assert time.time() - start < 20
