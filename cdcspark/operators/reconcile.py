@@ -10,6 +10,9 @@ from ..scratch import cut, shared_path
 #: Most unequal buckets that are broadcast; more are joined.
 MAX_BUCKETS = 100_000
 NUMERIC = ("integer", "year", "decimal")
+#: What a cast to double may read; other texts are not cast, and no unclosed JSON is parsed, as a failure costs far more than a look.
+DOUBLE = r"(?i)^[\s\x00-\x20\x7f-\x9f]*[+-]?(nan|inf(inity)?|0x[0-9a-f.]+p[+-]?[0-9]+[df]?|[0-9.]+(e[+-]?[0-9]+)?[df]?)[\s\x00-\x20\x7f-\x9f]*$"
+CLOSED = r"(?s)^\s*(\{.*\}|\[.*\]|[^\s{\[].*)\s*$"
 
 
 def kind_of(type_token: str) -> str:
@@ -34,24 +37,31 @@ def normalised(c: Column, kind: str) -> Column:
     if kind == "char":
         return F.rtrim(c)
     if kind == "json":
-        return F.coalesce(F.to_json(F.try_parse_json(c)), c)  # text that is no JSON stays
+        return F.coalesce(F.when(c.rlike(CLOSED), F.to_json(F.try_parse_json(c))), c)  # text that is no JSON stays
     if kind == "binary":
         return F.hex(c)
     return c
 
 
+def _with(value: Column, f) -> Column:
+    """``f(value)``, with ``value`` computed once however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def decimal_text(c: Column) -> Column:
     """One writing of a decimal number of any length: sign, digits without outer zeros, power of ten; null for other texts."""
-    t = F.trim(c.cast("string"))
-    ok = t.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,9})?$")
-    mantissa = F.regexp_replace(F.regexp_extract(t, r"^[+-]?([0-9.]+)", 1), r"^\.", "0.")
-    power = F.coalesce(F.regexp_extract(t, r"[eE]([+-]?\d+)$", 1).try_cast("long"), F.lit(0))
-    fraction = F.regexp_extract(mantissa, r"\.(\d*)$", 1)
-    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.", ""), "^0+", "")
-    short = F.regexp_replace(digits, "0+$", "")
-    power = power - F.length(fraction) + F.length(digits) - F.length(short)
-    text = F.concat(F.when(t.startswith("-"), "-").otherwise(""), short, F.lit("e"), power.cast("string"))
-    return F.when(ok, F.when(short == "", "0").otherwise(text))
+
+    def text(t: Column) -> Column:
+        power = F.when(t.contains("E"), F.regexp_extract(t, r"E([+-]?[0-9]+)", 1).try_cast("long")).otherwise(F.lit(0))
+        return _with(F.regexp_extract(t, r"^[+-]?[0-9.]+", 0), lambda m: _with(F.ltrim(F.replace(m, F.lit("."), F.lit("")), F.lit("+-0")), lambda digits: _with(F.rtrim(digits, F.lit("0")), lambda short: F.when(short == "", "0").otherwise(
+            F.concat(F.when(t.startswith("-"), "-").otherwise(""), short, F.lit("e"), (power - F.when(m.contains("."), F.length(m) - F.instr(m, ".")).otherwise(0) + F.length(digits) - F.length(short)).cast("string"))
+        ))))
+
+    return _with(F.upper(F.trim(c.cast("string"))), lambda t: F.when(t.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)(E[+-]?[0-9]{1,9})?$"), text(t)))
+
+
+def _double(c: Column) -> Column:
+    return F.when(c.cast("string").rlike(DOUBLE), c.try_cast("double"))
 
 
 def equal(a: Column, b: Column, kind: str) -> Column:
@@ -62,15 +72,14 @@ def equal(a: Column, b: Column, kind: str) -> Column:
     """
     text = a.cast("string") == b.cast("string")
     if kind in NUMERIC:
-        x, y = decimal_text(a), decimal_text(b)
-        same = text | F.coalesce(x == y, a.try_cast("double") == b.try_cast("double"), F.lit(False))
+        same = _with(F.struct(decimal_text(a).alias("x"), decimal_text(b).alias("y")), lambda p: F.coalesce(p["x"] == p["y"], _double(a) == _double(b), F.lit(False)))
     elif kind == "float":
         x, y = a.try_cast("double"), b.try_cast("double")
         special = F.isnan(x) | F.isnan(y) | (F.abs(x) == float("inf")) | (F.abs(y) == float("inf"))
-        same = text | F.when(special, x == y).otherwise(F.abs(x - y) <= F.greatest(F.abs(x), F.abs(y), F.lit(1.0)) * 1e-6)
+        same = F.when(special, x == y).otherwise(F.abs(x - y) <= F.greatest(F.abs(x), F.abs(y), F.lit(1.0)) * 1e-6)
     else:
         same = normalised(a, kind) == normalised(b, kind)
-    return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).otherwise(F.coalesce(same, F.lit(False)))
+    return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).when(text, True).otherwise(F.coalesce(same, F.lit(False)))
 
 
 def mismatches(source: DataFrame, target: DataFrame, table: str, key: str, plan: list[tuple[str, str]]) -> DataFrame:
