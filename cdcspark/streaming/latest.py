@@ -1,5 +1,11 @@
 """The latest row of each key, kept in Spark's state store.
 
+Without a retention the state is that of a streaming aggregation, the latest operation of each key and the time
+of the batch that brought it; what this batch brought takes effect. No key costs a call to Python.
+
+With one, deletes are to be forgotten one by one, which needs timers, and a processor in Python (some
+hundreds of microseconds a key) takes the aggregation's place. A checkpoint belongs to one of the two forms.
+
 ``LatestRow`` is a stateful processor: per key it holds the row and its place, lets only later places through,
 and remembers deletes as tombstones, so that an older change that comes late does not bring a row back.
 A tombstone is forgotten some time after its delete, by a timer. State, timers and the offsets of the source
@@ -12,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -61,12 +68,26 @@ def latest_changes(ops: DataFrame, keys: list[str], values: list[str], retention
     return ops.groupBy(*keys).transformWithState(LatestRow(keys, fields, retention), ops.schema, "Append", "None" if retention is None else "ProcessingTime")
 
 
+def aggregated_changes(ops: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The same in native state, for a sink in update mode. ``current_timestamp`` is one time for a whole batch; of equal places the first batch's stays."""
+    ops = ops.select(*keys, "kind", *values, *apply.PLACE, F.unix_micros(F.current_timestamp()).alias("_came"))
+    last = F.max_by(F.struct("kind", *values, *apply.PLACE, "_came"), F.struct(*apply.PLACE, -F.col("_came"))).alias("l")
+    new = ops.groupBy(*keys).agg(last).filter(F.col("l._came") == F.unix_micros(F.current_timestamp()))
+    return new.select(*keys, *[F.col(f"l.{c}").alias(c) for c in ("kind", *values, *apply.PLACE)])
+
+
 def apply_stream(changes: DataFrame, keys: list[str], values: list[str], path: str, checkpoint: str, transform=lambda d: d, trigger: dict | None = None, retention: int | None = None) -> StreamingQuery:
     """Apply a stream of typed changes: the effective ones go to Parquet files at ``path``, each exactly once."""
     for name, value in PROVIDER.items():
         changes.sparkSession.conf.set(name, value)
-    out = latest_changes(apply.key_ops(transform(changes), keys, values), keys, values, retention)
-    return out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+    ops = apply.key_ops(transform(changes), keys, values)
+    if retention is None:
+        # a batch that is run again after a stop has its number again and replaces its files
+        each = lambda df, batch: df.write.mode("overwrite").parquet(f"{path}/of_batch={batch}")
+        out = aggregated_changes(ops, keys, values).writeStream.foreachBatch(each).outputMode("update")
+    else:
+        out = latest_changes(ops, keys, values, retention).writeStream.format("parquet").option("path", path).outputMode("append")
+    return out.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
 def current_rows(spark: SparkSession, path: str, keys: list[str], values: list[str]) -> DataFrame:
