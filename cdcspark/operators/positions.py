@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import small
+from ..scratch import cut, small
 from .apply import file_number
 
 
@@ -34,10 +34,16 @@ def resume_point(p: DataFrame, furthest: bool = False) -> DataFrame:
 
 
 def skip_applied(feed: DataFrame, p: DataFrame) -> DataFrame:
-    """Events beyond their table's position; snapshots and unknown tables pass."""
-    t = small(latest(p).filter("kind = 'table'").select(F.lower("key").alias("_t"), file_number("bfile").alias("_n"), F.col("pos").alias("_p")))
+    """Events beyond their table's position, the furthest whatever its case; snapshots and unknown tables pass.
+
+    Of the positions only those of tables that the feed has are looked at, so that many positions of others do
+    not make the feed itself go through an exchange by table.
+    """
+    tables = small(cut(feed.select(F.lower("tbl").alias("_t")).filter("_t is not null").distinct()))
+    own = is_valid(p).filter("kind = 'table'").select(F.lower("key").alias("_t"), F.struct(file_number("bfile").alias("n"), F.col("pos").cast("long").alias("p")).alias("_at"))
+    t = small(cut(own.join(tables, "_t", "left_semi").groupBy("_t").agg(F.max("_at").alias("_at"))))
     j = feed.join(t, F.lower(feed["tbl"]) == F.col("_t"), "left")
-    new = F.col("_n").isNull() | (F.col("op") == "S") | (F.struct(file_number("bfile"), F.col("pos").cast("long")) > F.struct(F.col("_n"), F.col("_p").cast("long")))
+    new = F.col("_at").isNull() | (F.col("op") == "S") | (F.struct(file_number("bfile").alias("n"), F.col("pos").cast("long").alias("p")) > F.col("_at"))
     return j.filter(new).select(feed.columns)
 
 
