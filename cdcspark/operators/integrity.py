@@ -79,8 +79,12 @@ def depths(rows: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def _doubled(rows: DataFrame, parent: DataFrame) -> DataFrame:
-    """Depths in a forest: (ancestor, how far above) of each row, twice as far every round, until it has none."""
-    at = cut(rows.join(parent, ["tbl", "key"], "left").select("tbl", "key", F.when(F.col("ptbl").isNotNull(), F.struct("ptbl", "pkey")).alias("up"), F.col("ptbl").isNotNull().cast("int").alias("depth")))
+    """Depths in a forest: (ancestor, how far above) of each row, twice as far every round, until it has none.
+
+    Only rows that others refer to take part in the rounds; every row then stands one below its parent.
+    """
+    inner = parent.select(F.col("ptbl").alias("tbl"), F.col("pkey").alias("key")).distinct()
+    at = cut(inner.join(parent, ["tbl", "key"], "left").select("tbl", "key", F.when(F.col("ptbl").isNotNull(), F.struct("ptbl", "pkey")).alias("up"), F.col("ptbl").isNotNull().cast("int").alias("depth")))
     open_ = at.filter("up is not null").count()
     while open_:
         above = at.select(F.struct(F.col("tbl").alias("ptbl"), F.col("key").alias("pkey")).alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
@@ -89,7 +93,8 @@ def _doubled(rows: DataFrame, parent: DataFrame) -> DataFrame:
         before, open_ = open_, at.filter("up is not null").count()
         if open_ == before:  # each round but the last ends some chain, so all that is left goes round in a circle
             break
-    return at.select("tbl", "key", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+    above = at.select(F.col("tbl").alias("ptbl"), F.col("key").alias("pkey"), F.when(F.col("up").isNull(), F.col("depth") + 1).alias("depth"))
+    return rows.join(parent, ["tbl", "key"], "left").join(above, ["ptbl", "pkey"], "left").select("tbl", "key", F.when(F.col("ptbl").isNull(), 0).otherwise(F.col("depth")).alias("depth"))
 
 
 def waves(ops: DataFrame, refs: DataFrame) -> DataFrame:
