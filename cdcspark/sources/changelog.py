@@ -215,6 +215,9 @@ def change_log_stream(spark: SparkSession, path: str, schema: str = ENVELOPE, li
 
 
 def write_log(feed: DataFrame, path: str) -> None:
-    """A feed as a change log: a folder for each of its files, JSON lines in order of their places."""
-    rows = feed.select(F.struct(*feed.columns).alias("r"), F.coalesce(F.nullif("bfile", F.lit("")), F.lit("log.000000")).alias("bfile"), "pos", "row_seq")
-    rows.repartitionByRange("bfile", "pos").sortWithinPartitions("bfile", "pos", "row_seq").select("bfile", F.to_json("r").alias("value")).write.partitionBy("bfile").text(path)
+    """A feed as a change log: a folder for each of its files, JSON lines in order of their places.
+
+    Events of one place (a whole snapshot has one) are dealt over tasks by a hash of the event.
+    """
+    rows = feed.select(F.struct(*feed.columns).alias("r"), F.coalesce(F.nullif("bfile", F.lit("")), F.lit("log.000000")).alias("bfile"), "pos", "row_seq", F.xxhash64(*feed.columns).alias("h"))
+    rows.repartitionByRange("bfile", "pos", "row_seq", "h").sortWithinPartitions("bfile", "pos", "row_seq").select("bfile", F.to_json("r").alias("value")).write.partitionBy("bfile").text(path)

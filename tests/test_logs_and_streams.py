@@ -291,3 +291,48 @@ def test_ddl_texts_are_read_once_and_fast(spark):
     start = time.time()
     assert ddl.columns(many).filter("not generated and default is not null and comment = 'n'").count() == 36_000
     assert time.time() - start < 20
+
+
+def test_late_and_repeated_changes_without_retention(spark, tmp_path):
+    """What came before is neither undone by late rows nor written again by repeated ones, without a call to Python for each key."""
+    path, out, place = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "cp")
+    path.mkdir()
+    seen = []
+
+    def run():
+        events = changelog.change_log_stream(spark, str(path), TYPED)
+        query = latest.apply_stream(events, KEY, VALUES, out, place, trigger={"availableNow": True})
+        query.awaitTermination()
+        seen.append(query.lastProgress.stateOperators[0].operatorName)
+        return rows(latest.current_rows(spark, out, KEY, ["status"]))
+
+    append(path / "log.1", [event(1, "I", 10), event(2, "I", 11), event(2, "D", 30), event(1, "U", 20, "b"), event(3, "I", 12, None)])
+    assert run() == [(1, "b"), (3, None)]
+    append(path / "log.1", [event(2, "U", 25, "late"), event(1, "U", 20, "b"), event(3, "U", 40, "c")])
+    assert run() == [(1, "b"), (3, "c")]
+    assert spark.read.parquet(out).count() == 4 and set(seen) == {"stateStoreSave"}
+
+
+def test_events_of_one_place_are_dealt_over_tasks(spark, tmp_path):
+    """A snapshot, whose events all have one place, is written by many tasks, and the log still holds every event once."""
+    feed = spark.range(4000).selectExpr("'s' as src_db", "id as a_key", "'' as bfile", "0L as pos", "0 as row_seq")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        changelog.write_log(feed, str(tmp_path / "log"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [n for n, _ in changelog.Log(str(tmp_path / "log")).files() if "part-" in n]
+    assert len(files) > 1
+    got = changelog.change_log(spark, str(tmp_path / "log"), "src_db string, a_key long, bfile string, pos long, row_seq int")
+    assert got.count() == got.select("a_key").distinct().count() == 4000
+
+
+def test_rows_that_nobody_refers_to_take_no_part_in_the_rounds(spark, monkeypatch):
+    kept = []
+    real = integrity.cut
+    monkeypatch.setattr(integrity, "cut", lambda df: kept.append(real(df)) or kept[-1])
+    links = spark.createDataFrame([("t", k, "t", k - 1) for k in range(1, 20)] + [("leaf", k, "t", k % 20) for k in range(500)], "tbl string, key long, ptbl string, pkey long")
+    nodes = spark.range(20).selectExpr("'t' as tbl", "id as key").union(spark.range(500).selectExpr("'leaf' as tbl", "id as key"))
+    got = {(r.tbl, r.key): r.depth for r in integrity.depths(nodes, links).collect()}
+    assert got == {**{("t", k): k for k in range(20)}, **{("leaf", k): k % 20 + 1 for k in range(500)}}
+    assert max(d.count() for d in kept[2:]) <= 20

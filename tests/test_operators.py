@@ -251,3 +251,23 @@ def test_cascade_lists_a_row_once_and_order_of_applies(spark):
     d = {n: None for n in ("orders", "lines")}
     order = integrity.in_order(d, d | {"customer": None}, [("lines", "orders"), ("orders", "customer")], lambda a, t, _: done.append((a, t)))
     assert order == done == [("delete", "lines"), ("delete", "orders"), ("upsert", "customer"), ("upsert", "orders"), ("upsert", "lines")]
+
+
+def test_compare_reads_a_number_once_and_casts_no_other_text(spark):
+    """Trailing text behind JSON is no JSON; the plan of a comparison has each regular expression a few times, not hundreds."""
+    df = spark.createDataFrame([("5", "5.0\n"), ("{}x", "{}"), ("0x1p3", "8.0")], "a string, b string")
+    got = df.select(reconcile.equal(F.col("a"), F.col("b"), "decimal"), reconcile.equal(F.col("a"), F.col("b"), "json")).collect()
+    assert [tuple(r) for r in got] == [(True, True), (False, False), (True, False)]
+    plan = df.select(reconcile.equal(F.col("a"), F.col("b"), "decimal").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 6000
+
+
+def test_skipped_events_come_once_and_without_an_exchange_by_table(spark, monkeypatch):
+    """Many positions of other tables do not send the feed to one task; a table stored in two writings counts once."""
+    monkeypatch.setattr("cdcspark.scratch.SMALL", 5)
+    p = spark.range(50).selectExpr("'table' as kind", "concat('other', id) as key", "'log.1' as bfile", "id + 1 as pos", "1 as updated_at")
+    p = p.union(spark.createDataFrame([("table", "T", "log.2", 7, 1), ("table", "t", "log.1", 9, 2)], "kind string, key string, bfile string, pos long, updated_at int"))
+    feed = spark.createDataFrame([("t", "U", "log.1", 9), ("T", "U", "log.2", 8), ("t", "S", "", 0), ("u", "U", "log.1", 1)], "tbl string, op string, bfile string, pos long")
+    got = positions.skip_applied(feed, p)
+    assert rows(got) == [("T", "U", "log.2", 8), ("t", "S", "", 0), ("u", "U", "log.1", 1)]
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
