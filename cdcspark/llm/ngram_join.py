@@ -14,15 +14,19 @@ then all are named anew. One member stands for its class.
    one class are dropped: they come first in its order, and only their number matters.
 3. *Candidates.* Of two sets over the threshold the smaller one has a shingle of the other within its
    first seventh (for 75 percent), the larger one within its first quarter. In a small group (a
-   shingle's sets) every pair is a candidate. In a large one a leader meets all others.
+   shingle's sets) every pair is a candidate. In a large one a leader meets all others: the set whose
+   shingles are the most frequent ones on average, as that is the one most others are copies of.
 4. *Vertical counts.* The order is cut into ``FRAGMENTS`` stretches of equal weight. Each set is
    cut there too; a candidate's overlap is counted in each fragment by itself and summed per pair.
 5. *Components* of the links, by alternating star contraction in Spark.
 6. *Later turns.* What is left are pairs of large groups, neither of them a leader, whose components
    differ. Turn by turn about ``LEADERS`` more sets of a group lead, four times as many each time, and
    meet only sets of other components, each pair in the group of the first shingle that both have; in the
-   last turn all pairs that still differ are compared. So no link between components is missed, and a
-   group of alike sets costs a few pairs a set.
+   last turn all pairs that still differ meet, a large group over a grid of tasks (``GRID``). Sets that
+   meet are candidates only if their signatures allow it: parities of the shingles by hash, of which no
+   more can differ than shingles do. So no link between components is missed, and what is counted in
+   step 4 follows the links, not the pairs of a group; the comparisons of signatures in the last turn
+   are still those of all pairs of a group that differ.
 
 Cases: null and empty texts have no shingles, link with nothing and are their own component; a text
 of fewer words than ``width`` has one shingle of all its words; repeated rows are equal sets, each
@@ -49,6 +53,10 @@ CELL_BITS, HEAVY = 20, 64
 CELL_BLOCKS = 64
 FRAGMENTS = 4
 LEADERS, TURNS = 4, 4
+#: Groups of up to so many times ``LEADERS`` sets are done in turn 1.
+MIDDLING = 16
+#: Sets of a group in a task of the last turn, and the most words of a signature.
+GRID, SIGNATURE = 4096, 64
 RANK_BITS = 57
 #: Shingles that a task holds before it packs them.
 FLUSH = 1 << 21
@@ -80,6 +88,13 @@ def rank_of(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.round(2 * np.log2(counts + 1.0)), 63).astype(np.uint8)
 
 
+def signatures(keys: np.ndarray, of: np.ndarray, n: int, words: int) -> np.ndarray:
+    """Of each of ``n`` sets the parities of its keys in 64 * ``words`` cells, as rows of 64-bit words."""
+    cell = ((mix(keys.view(np.uint64)) >> np.uint64(32)) % np.uint64(64 * words)).astype(np.int64)
+    odd = np.bincount(of * (64 * words) + cell, minlength=n * 64 * words) & 1
+    return np.packbits(odd.astype(bool).reshape(n, -1), axis=1, bitorder="little").view(np.int64)
+
+
 # ---------------------------------------------------------------- packing by ranges of hashes
 
 
@@ -394,27 +409,54 @@ class Join:
     def groups(self, sets: DataFrame) -> DataFrame:
         """(key, cls, n, pos, small, m, turn): the first shingles of each set that may lead to a partner."""
         p, n = self.percent, F.col("n")
-        sets = sets.withColumn("u", n - F.size("keys")).withColumn("probe", (n - F.ceil(n * p / F.lit(100)) + 1).cast("int"))
+        mean = F.aggregate("keys", F.lit(0).cast("long"), lambda s, x: s + F.shiftright(x, RANK_BITS)) * 1000 / n
+        sets = sets.withColumn("mean", mean.cast("int")).withColumn("u", n - F.size("keys")).withColumn("probe", (n - F.ceil(n * p / F.lit(100)) + 1).cast("int"))
         sets = sets.withColumn("index", n - F.ceil(n * (2 * p) / F.lit(100 + p)) + 1).withColumn("keys", F.slice("keys", F.lit(1), F.greatest(F.col("probe") - F.col("u"), F.lit(0)).cast("int")))
-        rows = sets.select("cls", "n", "u", "index", F.posexplode("keys").alias("at", "key"))
+        rows = sets.select("cls", "n", "u", "index", "mean", F.posexplode("keys").alias("at", "key"))
         pos = (F.col("u") + F.col("at")).cast("int")
-        rows = written(rows.select("key", "cls", F.col("n").cast("int").alias("n"), pos.alias("pos"), (pos < F.col("index")).alias("small")), "prefixes")
-        lead = F.struct(F.xxhash64("cls").alias("h"), "cls")
+        rows = written(rows.select("key", "cls", F.col("n").cast("int").alias("n"), pos.alias("pos"), (pos < F.col("index")).alias("small"), "mean"), "prefixes")
+        lead = F.struct((-F.col("mean")).alias("mean"), F.xxhash64("cls").alias("h"), "cls")
         group = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("small").alias("any"), F.min(lead).alias("first")).filter("m > 1 and any").select("key", "m", F.col("first.cls").alias("first"))
-        # turn 0: all of a small group, or the first of a large one; then ever more of them, by the share of a hash
+        # turn 0: all of a small group, or the first of a large one; then all of a middling one, or ever more of them, by the share of a hash
         share = F.pmod(F.xxhash64("cls", F.lit(1)), F.lit(1 << 20)) * F.col("m")
-        turn = F.when((F.col("m") <= LEADERS) | (F.col("cls") == F.col("first")), 0)
+        turn = F.when((F.col("m") <= LEADERS) | (F.col("cls") == F.col("first")), 0).when(F.col("m") <= MIDDLING * LEADERS, 1)
         for k in range(1, TURNS):
             turn = turn.when(share < (LEADERS * 4 ** (k - 1)) << 20, k)
-        return written(rows.join(group, "key").withColumn("turn", turn.otherwise(TURNS)).drop("first"), "groups")
+        return written(rows.join(group, "key").withColumn("turn", turn.otherwise(TURNS)).drop("first", "mean"), "groups")
+
+    def signed(self, sets: DataFrame) -> DataFrame:
+        """(cls, keys) with signatures ``s0``, ``s1``, ...: of at least twice as many bits as a set has shingles on average, at most ``SIGNATURE`` words."""
+        mean = sets.agg(F.avg(F.size("keys"))).first()[0] or 0
+        words = 4
+        while words < SIGNATURE and 32 * words < mean:
+            words *= 2
+        own = [f"s{i}" for i in range(words)]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for lo in range(0, b.num_rows, 1024):
+                    part = b.slice(lo, 1024)
+                    lists = part.column(1)
+                    of = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                    bits = signatures(lists.flatten().to_numpy(), of, len(lists), words)
+                    yield pa.RecordBatch.from_arrays([part.column(0), lists, *(pa.array(bits[:, i]) for i in range(words))], ["cls", "keys", *own])
+
+        return sets.select("cls", "keys").mapInArrow(run, f"cls long, keys array<long>, {', '.join(f'{x} long' for x in own)}")
 
     def candidates(self, rows: DataFrame, turn: int) -> DataFrame:
         """Pairs (a, b, both) of one group, led in ``turn``, that sizes and places do not rule out, each pair once.
 
         ``rows``: (key, cls, n, pos, small, turn, label); sets of one label need no comparison. Where rows
-        also have the shingles ``before`` theirs, a pair is looked at only where it first meets.
+        also have the shingles ``before`` theirs, a pair is looked at only where it first meets; where they
+        have signatures, only if those allow the overlap.
         """
-        x, y = rows.filter(F.col("turn") == turn).alias("x"), rows.filter(F.col("turn") >= turn).alias("y")
+        x, y, same = rows.filter(F.col("turn") == turn), rows.filter(F.col("turn") >= turn), F.col("x.key") == F.col("y.key")
+        if turn == TURNS:  # each set meets each other one in one cell of its group's grid
+            side = F.ceil(F.col("m") / GRID).cast("int")
+            of, every = F.pmod(F.xxhash64("cls", F.lit(2)), side).cast("int"), F.explode(F.sequence(F.lit(0), side - 1))
+            x, y = x.withColumn("row", of).withColumn("col", every), y.withColumn("col", of).withColumn("row", every)
+            same = same & (F.col("x.row") == F.col("y.row")) & (F.col("x.col") == F.col("y.col"))
+        x, y = x.alias("x"), y.alias("y")
         once = (F.col("y.turn") > turn) | (F.col("x.cls") < F.col("y.cls"))
         need = least_overlap(F.col("x.n") + F.col("y.n"), self.percent)
         rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
@@ -422,7 +464,10 @@ class Join:
         less = (F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls"))
         early = F.when(less, F.col("x.small")).otherwise(F.col("y.small"))
         first = ~F.arrays_overlap("x.before", "y.before") if "before" in rows.columns else F.lit(True)
-        j = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & sizes & early & (rest >= need) & first)
+        words = [c for c in rows.columns if c[0] == "s" and c[1:].isdigit()]
+        differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in words), F.lit(0))
+        close = F.col("x.shared") + F.col("y.shared") - differ >= 2 * need if words else F.lit(True)
+        j = x.join(y, same & (F.col("x.label") != F.col("y.label")) & once & sizes & early & (rest >= need) & close & first)
         return j.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
 
     def cuts(self, sets: DataFrame) -> list[int]:
@@ -502,20 +547,18 @@ def link_classes(j: Join, sets: DataFrame) -> DataFrame:
     """(cls, label) of the classes that are linked with others."""
     labels = Labels(j)
     rows = j.groups(sets).withColumn("label", F.col("cls"))
+    before = F.slice("keys", F.lit(1), (F.col("pos") - F.col("n") + F.size("keys")).cast("int"))
     cuts = None
     for turn in range(TURNS + 1):
         if turn:  # large groups of more than one component
             rows = rows.filter(F.col("m") > LEADERS).drop("label").join(labels.table, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
             rows = written(rows, "marked")
             apart = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("apart")).filter("apart").select("key")
-            rows = rows.filter(F.col("turn") >= turn).join(apart, "key")
+            rows = written(rows.filter(F.col("turn") >= turn).join(apart, "key"), "marked")
             if turn == 1:
-                before = F.slice("keys", F.lit(1), (F.col("pos") - F.col("n") + F.size("keys")).cast("int"))
-                rows = written(rows, "marked")
-                own = sets.select("cls", "keys").join(rows.select("cls").distinct(), "cls", "left_semi")
-                rows = rows.join(own, "cls").withColumn("before", before).drop("keys")
-            rows = written(rows, "marked")
-        pairs = written(j.candidates(rows, turn), "pairs")
+                own = written(sets.select("cls", "keys").join(rows.select("cls").distinct(), "cls", "left_semi"), "own")
+                own = written(j.signed(own).withColumn("shared", F.size("keys")), "own")
+        pairs = written(j.candidates(rows.join(own, "cls").withColumn("before", before).drop("keys") if turn else rows, turn), "pairs")
         if pairs.isEmpty():
             if rows.isEmpty():
                 break
